@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolite.llm import neardup, sharding
+from ferrolite.llm import langid, neardup, sharding
+from ferrolite.llm.common import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    judged = langid.identify(docs, langid.fit_dictionaries(docs, ~held_out))
+    return judged.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("lang_best").alias("lang_pred"), "score", "margin", "rejected")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -24,6 +32,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op10_sharding": op10_sharding,
 }
