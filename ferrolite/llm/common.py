@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +64,7 @@ def slices(texts: pa.Array, limit: int = BYTES_PER_PASS) -> Iterator[tuple[int,
     n = len(texts)
     if not n:
         return
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
     ends = np.cumsum(sizes)
     at = 0
     while at < n:
@@ -79,4 +80,4 @@ def as_text(column: pa.Array) -> pa.Array:
         column = column.combine_chunks()
     if column.type != pa.string():
         column = column.cast(pa.string())
-    return pa.compute.fill_null(column, "") if column.null_count else column
+    return pc.fill_null(column, "") if column.null_count else column
