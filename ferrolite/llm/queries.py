@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolite.llm import langid, neardup, secrets, sharding
+from ferrolite.llm import langid, neardup, quality, secrets, sharding
 from ferrolite.llm.common import fold
 
 
@@ -22,6 +22,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("lang_best").alias("lang_pred"), "score", "margin", "rejected")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    scored = quality.score(docs, quality.fit(docs, labels, ~held_out))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +56,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_quality": op2_quality,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_sharding": op10_sharding,
