@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolite.llm import langid, neardup, quality, secrets, sharding
+from ferrolite.llm import langid, neardup, packing, quality, secrets, sharding
 from ferrolite.llm.common import fold
+from ferrolite.llm.tokens import vocabulary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,10 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = secrets.scan(docs, secrets.fit(docs))
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op8_packing": op8_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_sharding": op10_sharding,
 }
