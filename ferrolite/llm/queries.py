@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolite.llm import langid, neardup, packing, quality, secrets, sharding
+from ferrolite.llm import decontaminate, langid, neardup, packing, quality, secrets, sharding
 from ferrolite.llm.common import fold
 from ferrolite.llm.tokens import vocabulary
 
@@ -30,6 +30,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "matched", "windows", "coverage", "exact")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
+    "op3_decontamination": op3_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op8_packing": op8_packing,
     "op9_secret_scan": op9_secret_scan,
