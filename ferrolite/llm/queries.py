@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolite.llm import decontaminate, langid, neardup, packing, quality, secrets, sharding, topk
+from ferrolite.llm import decontaminate, langid, langmodel, neardup, packing, quality, secrets, sharding, topk
 from ferrolite.llm.common import fold
 from ferrolite.llm.tokens import vocabulary
 
@@ -35,6 +35,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "matched", "windows", "coverage", "exact")
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    net, vocab, counts = langmodel.fit(docs, ~held_out)
+    scored = langmodel.score(docs, net, vocab, counts)
+    return scored.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+
+
 def op5_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -72,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
     "op3_decontamination": op3_decontamination,
+    "op4_language_model": op4_language_model,
     "op5_maxscore_topk": op5_maxscore_topk,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op8_packing": op8_packing,
