@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolite.llm import decontaminate, langid, langmodel, neardup, packing, quality, secrets, sharding, topk
+from ferrolite.llm import decontaminate, langid, langmodel, neardup, packing, quality, secrets, sharding, surrogates, topk
 from ferrolite.llm.common import fold
 from ferrolite.llm.tokens import vocabulary
 
@@ -51,6 +51,21 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+#: The key of the query's surrogates; a user passes a secret one.
+SURROGATE_KEY = b"op7"
+
+
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.pseudonymise(_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(k).alias(f"n_{k}") for k in surrogates.KINDS]
+    joined = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", *counts, joined.alias("spans"), "text")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
@@ -83,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_model": op4_language_model,
     "op5_maxscore_topk": op5_maxscore_topk,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_pii_surrogates": op7_pii_surrogates,
     "op8_packing": op8_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_sharding": op10_sharding,
