@@ -7,9 +7,9 @@
 3. Each band bucket links its nodes to its smallest node: at most as many pairs as the bucket has nodes. A pair whose
    collision-corrected estimate (bit counts of the packed signatures) lies far under the threshold is put aside;
    the others are confirmed on full sets and joined into components.
-4. Buckets that still hold nodes of several components are compared in blocks, but only across components and only
-   pairs that the signature estimate lets through are emitted; these are confirmed as well. So no bucket is cut short,
-   and none is expanded into all its pairs.
+4. Buckets that still hold nodes of several components are compared in blocks, but only across components. Their
+   nodes get a second, longer signature, and only pairs that its estimate lets through are emitted; these are
+   confirmed as well. So no bucket is cut short, and none is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -28,40 +28,41 @@ from ferrolite.llm.components import components
 
 PERMS, BANDS, BITS = 128, 32, 4
 ROWS = PERMS // BANDS
-LANES = PERMS * BITS // 64
+#: Minima and bits of the second signature.
+MORE_PERMS, MORE_BITS = 2048, 2
 #: Standard errors that an estimate may lie under the threshold before the pair is put aside.
 SLACK = 4.5
 #: Buckets of up to this many nodes are paired by a join, larger ones in blocks of about BLOCK nodes.
 SMALL, BLOCK = 12, 1024
 
 _rng = np.random.Generator(np.random.PCG64(77003))
-_A = _rng.integers(0, 2**31, PERMS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_B = _rng.integers(0, 2**32, PERMS, dtype=np.uint32)
+_A = _rng.integers(0, 2**31, MORE_PERMS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_B = _rng.integers(0, 2**32, MORE_PERMS, dtype=np.uint32)
 
 
-def least_estimate(threshold: float) -> float:
+def least_estimate(threshold: float, perms: int = PERMS, bits: int = BITS) -> float:
     """The smallest corrected estimate with which a pair is still confirmed on full sets."""
-    c = 2.0**-BITS
+    c = 2.0**-bits
     e = threshold + (1 - threshold) * c
-    return threshold - SLACK * (e * (1 - e) / PERMS) ** 0.5 / (1 - c)
+    return threshold - SLACK * (e * (1 - e) / perms) ** 0.5 / (1 - c)
 
 
-def minima(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """PERMS minima (uint32) of each non-empty run of hashes: shape (runs, PERMS)."""
+def minima(sets: np.ndarray, bounds: np.ndarray, perms: int = PERMS) -> np.ndarray:
+    """Minima (uint32) of each non-empty run of hashes: shape (runs, perms)."""
     x = (sets >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((PERMS, len(bounds)), np.uint32)
+    out = np.empty((perms, len(bounds)), np.uint32)
     v = np.empty_like(x)
-    for j in range(PERMS):
+    for j in range(perms):
         np.multiply(x, _A[j], out=v)
         v += _B[j]
         out[j] = np.minimum.reduceat(v, bounds)
     return out.T
 
 
-def packed(mins: np.ndarray) -> np.ndarray:
-    """The low BITS bits of each minimum, 64 / BITS of them in a word: shape (documents, LANES)."""
-    low = (mins & np.uint32(2**BITS - 1)).astype(np.uint64).reshape(len(mins), LANES, 64 // BITS)
-    return np.bitwise_or.reduce(low << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)), axis=2)
+def packed(mins: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The low bits of each minimum, 64 / bits of them in a word: shape (documents, words)."""
+    low = (mins & np.uint32(2**bits - 1)).astype(np.uint64).reshape(len(mins), mins.shape[1] * bits // 64, 64 // bits)
+    return np.bitwise_or.reduce(low << (np.arange(64 // bits, dtype=np.uint64) * np.uint64(bits)), axis=2)
 
 
 def band_keys(mins: np.ndarray) -> np.ndarray:
@@ -117,18 +118,34 @@ def signatures(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_sign, SIGNED_DDL)
 
 
-def estimate(a: str, b: str) -> Column:
-    """Similarity from two packed signatures: equal lanes by bit counts, less the share that agrees by chance."""
-    ones = sum(1 << (k * BITS) for k in range(64 // BITS))
+def _sign_more(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("node", pa.int64()), ("sig", pa.list_(pa.int64()))])
+    for batch in batches:
+        for at, texts in slices(as_text(batch.column("text")), 1 << 18):
+            sets = shingle_sets(texts)
+            sizes = np.array([len(s) for s in sets], dtype=np.int64)
+            has = sizes > 0
+            mins = np.zeros((0, MORE_PERMS), np.uint32)
+            if has.any():
+                mins = minima(np.concatenate(sets), np.concatenate([[0], np.cumsum(sizes)[:-1]])[has], MORE_PERMS)
+            rows = _lists(packed(mins, MORE_BITS), has)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), rows], schema=schema).filter(pa.array(has))
+
+
+def estimate(a: str, b: str, perms: int = PERMS, bits: int = BITS) -> Column:
+    """Similarity from two packed signatures: equal minima by bit counts, less the share that agrees by chance."""
+    ones = sum(1 << (k * bits) for k in range(64 // bits))
     ones -= (ones >> 63) << 64
-    differ = F.lit(0)
-    for k in range(LANES):
-        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
-        for s in (1, 2):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, s))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(ones)))
-    c = 2.0**-BITS
-    return (F.lit(1.0) - differ / F.lit(float(PERMS)) - F.lit(c)) / F.lit(1 - c)
+
+    def differ(x: Column, y: Column) -> Column:
+        z, s = x.bitwiseXOR(y), 1
+        while s < bits:
+            z, s = z.bitwiseOR(F.shiftrightunsigned(z, s)), 2 * s
+        return F.bit_count(z.bitwiseAND(F.lit(ones)))
+
+    count = F.aggregate(F.zip_with(a, b, differ), F.lit(0), lambda n, x: n + x)
+    c = 2.0**-bits
+    return (F.lit(1.0) - count / F.lit(float(perms)) - F.lit(c)) / F.lit(1 - c)
 
 
 def _linked(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
@@ -154,30 +171,35 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.where(F.pandas_udf(_linked, "boolean")("text_u", "text_v", F.lit(percent))).select("u", "v").distinct()
 
 
-def _across(threshold: float):
-    """Within one block pair: pairs of nodes of different components whose estimate is high enough."""
-    c = 2.0**-BITS
-    ones = np.uint64(sum(1 << (k * BITS) for k in range(64 // BITS)))
+def _across(threshold: float, bits: int = MORE_BITS):
+    """Within one block pair: pairs of nodes of different components whose estimate is high enough.
+
+    A pair that shares several buckets is emitted in the one of the first band only.
+    """
+    c = 2.0**-bits
+    ones = np.uint64(sum(1 << (k * bits) for k in range(64 // bits)))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         node, comp, blk = pdf["node"].to_numpy(), pdf["component"].to_numpy(), pdf["blk"].to_numpy()
-        i, j = int(pdf["i"].iat[0]), int(pdf["j"].iat[0])
+        i, j, key = int(pdf["i"].iat[0]), int(pdf["j"].iat[0]), int(pdf["key"].iat[0])
+        bands = np.array(pdf["bands"].tolist(), dtype=np.int64)
         sig = np.array(pdf["sig"].tolist(), dtype=np.int64).view(np.uint64)
+        most = (1 - threshold * (1 - c) - c) * sig.shape[1] * 64 / bits
         rows, cols = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
-        us, vs = [], []
+        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for r in rows.tolist():
-            x = sig[cols] ^ sig[r]
-            x |= x >> np.uint64(1)
-            x |= x >> np.uint64(2)
-            differ = np.bitwise_count(x & ones).sum(axis=1, dtype=np.int64)
-            ok = ((1 - differ / PERMS - c) / (1 - c) >= threshold) & (comp[cols] != comp[r])
+            ok = comp[cols] != comp[r]
             if i == j:
                 ok &= node[cols] > node[r]
-            hit = node[cols[ok]]
+            there = cols[ok]
+            x, s = sig[there] ^ sig[r], 1
+            while s < bits:
+                x |= x >> np.uint64(s)
+                s *= 2
+            there = there[np.bitwise_count(x & ones).sum(axis=1, dtype=np.int64) <= most]
+            hit = node[there[bands[r][(bands[there] == bands[r]).argmax(axis=1)] == key]]
             us.append(np.minimum(hit, node[r]))
             vs.append(np.maximum(hit, node[r]))
-        if not us:
-            return pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
         return pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
     return compare
@@ -218,17 +240,21 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     # What is left: buckets with nodes of several components.
     placed = members.where("n > 2").join(reached, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
-    rest = stash(placed.join(mixed.select("key", "n"), "key").join(sigs, "node"))
+    rest = stash(placed.join(mixed.select("key", "n"), "key"))
+    high = least_estimate(percent / 100, MORE_PERMS, MORE_BITS)
+    wanted = texts.join(rest.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    longer = stash(wanted.mapInArrow(_sign_more, "node bigint, sig array<bigint>"))
     x = rest.where(F.col("n") <= SMALL)
-    y = x.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("sig").alias("sv"))
-    few = x.select("key", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("sig").alias("su")).join(y, "key").where("u < v and cu <> cv")
-    few = few.where(estimate("su", "sv") >= low).select("u", "v")
-    big = rest.where(F.col("n") > SMALL).withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int"))
+    y = x.select("key", F.col("node").alias("v"), F.col("component").alias("cv"))
+    few = x.select("key", F.col("node").alias("u"), F.col("component").alias("cu")).join(y, "key").where("u < v and cu <> cv").select("u", "v").distinct()
+    few = few.join(longer.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(longer.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v")
+    few = few.where(estimate("su", "sv", MORE_PERMS, MORE_BITS) >= high).select("u", "v")
+    big = rest.where(F.col("n") > SMALL).join(longer, "node").join(reps.select("node", "bands"), "node").withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int"))
     big = big.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
     dealt = big.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
-        "key", "node", "component", "sig", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")
+        "key", "node", "component", "sig", "bands", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")
     )
-    many = dealt.groupBy("key", "i", "j").applyInPandas(_across(low), "u bigint, v bigint")
+    many = dealt.groupBy("key", "i", "j").applyInPandas(_across(high), "u bigint, v bigint")
     more = stash(few.union(many).distinct())
     more = _confirmed(more, texts, percent)
     final = components(links.union(more)) if rest.take(1) else reached
