@@ -6,5 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ferrolite.plans import composition
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+for _part in (composition,):
+    QUERIES |= _part.QUERIES
+    ORACLES |= _part.ORACLES
