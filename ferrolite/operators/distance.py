@@ -30,7 +30,7 @@ def _blocks(rows: DataFrame, n: int, other: int, own: str, theirs: str) -> DataF
 def _least(itself: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     def run(probe: pd.DataFrame, build: pd.DataFrame) -> pd.DataFrame:
         if not len(probe) or not len(build):
-            return pd.DataFrame({"id": np.zeros(0, np.int64), "d": []})
+            return pd.DataFrame({"id": np.zeros(0, np.int64), "d": pd.Series([], dtype=object)})
         b, ids = np.array(build["v"].tolist(), np.float64), build["id"].to_numpy()
         out, positive = np.empty(len(probe)), np.empty(len(probe))
         for k, (i, v) in enumerate(zip(probe["id"], probe["v"], strict=True)):

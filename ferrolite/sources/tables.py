@@ -41,7 +41,7 @@ def read_trend(spark: SparkSession, path: str) -> DataFrame:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """A registry document (jobs[incar][potcar][structure] = entry) as a flat table; a missing or broken one is empty."""
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     jobs = F.from_json("value", f"struct<version:int, jobs:map<string, map<string, map<string, struct<{ENTRY.replace(' ', ':').replace(',:', ', ')}>>>>>")["jobs"]
     flat = rows.select(F.explode(jobs).alias("incar_hash", "a")).select("incar_hash", F.explode("a").alias("potcar_hash", "b")).select("incar_hash", "potcar_hash", F.explode("b").alias("structure_hash", "e"))
     return flat.select("incar_hash", "potcar_hash", "structure_hash", "e.*")
@@ -51,14 +51,14 @@ def registry_document(entries: DataFrame) -> DataFrame:
     """One JSON document of a flat registry, for exchange; the registry itself is a table."""
     names = [c.split()[0] for c in ENTRY.split(", ")]
     inner = entries.groupBy("incar_hash", "potcar_hash").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("structure_hash", F.struct(*names))))).alias("c"))
-    middle = inner.groupBy("incar_hash").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("potcar_hash", "c")))).alias("b"))
-    whole = middle.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("incar_hash", "b")))).alias("jobs"))
+    middle = inner.groupBy("incar_hash").agg(F.map_from_entries(F.collect_list(F.struct("potcar_hash", "c"))).alias("b"))
+    whole = middle.agg(F.map_from_entries(F.collect_list(F.struct("incar_hash", "b"))).alias("jobs"))
     return whole.select(F.to_json(F.struct(F.lit(1).alias("version"), "jobs")).alias("value"))
 
 
 def read_status(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
     """path and the fields of each JSON document; broken ones have nulls."""
-    rows = spark.read.option("wholetext", True).text(paths)
+    rows = spark.read.text(paths, wholetext=True)
     return rows.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("d")).select("path", "d.*")
 
 

@@ -14,10 +14,10 @@ from ferrolite.functions import text as X
 
 def files(spark: SparkSession, paths: str | list[str], pattern: str | None = None, recursive: bool = False, exclude: str | None = None) -> DataFrame:
     """path, name, text: one row for each file, in no order. ``exclude`` is left out, as is nothing else."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive)
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    rows = reader.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
+    rows = reader.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
     return rows if exclude is None else rows.where(~F.col("path").endswith(exclude))
 
 
