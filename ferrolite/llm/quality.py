@@ -40,9 +40,11 @@ class Network:
         """Probability of label 1 for each text of a null-free array."""
         raw, offsets = W.raw(texts)
         sizes = np.diff(offsets)
-        # Each text is followed by WIDTH - 1 zero bytes, so that every byte begins one window.
-        starts = offsets[:-1] + (WIDTH - 1) * np.arange(len(sizes))
-        buf = np.zeros(len(raw) + (WIDTH - 1) * (len(sizes) + 1), np.uint8)
+        # Each text is followed by WIDTH - 1 zero bytes, so that every byte begins one window; an empty text is one zero byte.
+        full = np.maximum(sizes, 1)
+        ends = np.cumsum(full + (WIDTH - 1))
+        starts = ends - full - (WIDTH - 1)
+        buf = np.zeros((int(ends[-1]) if len(ends) else 0) + WIDTH - 1, np.uint8)
         for a, b, s in zip(offsets[:-1].tolist(), offsets[1:].tolist(), starts.tolist(), strict=True):
             buf[s : s + b - a] = raw[a:b]
         n = max(1, len(buf) - WIDTH + 1)
@@ -50,7 +52,6 @@ class Network:
         for k in range(1, WIDTH):
             response += self.tables[k][buf[k : n + k]]
         # Maxima of blocks, then of chunks, then mean, maximum and minimum over the chunks.
-        full = np.maximum(sizes, 1)
         blocks = -(-full // BLOCK)
         first = np.concatenate([[0], np.cumsum(blocks)])
         nth = np.arange(first[-1]) - np.repeat(first[:-1], blocks)
