@@ -4,7 +4,11 @@ A text becomes a sequence of template tokens: words in lower case, and the place
 measure after a number) and <name> (a capitalised word inside a sentence); neighbouring placeholders of a kind are one
 slot. Windows of ``WIDTH`` tokens of the documents are hash-joined with those of the benchmark. Matched windows on one
 diagonal (equal distance of their places) count if their slots are consistent: every value of the item stands for one
-value of the document throughout. A document holds an item if enough of the item's windows are matched so.
+value of the document throughout. A document holds an item if enough of the item's windows are matched so, or if it
+repeats ``VERBATIM`` of them word for word on one diagonal.
+
+Which words are names is read off their capitals, so every text is read twice: with names, and with all words as plain
+ones. The second reading finds copies whose case was changed.
 
 Document windows are tested against a Bloom filter of bounded size before the join, so only candidates are moved.
 """
@@ -24,6 +28,10 @@ from ferrolite.llm.common import as_text, only, slices, stash, tuned
 WIDTH = 8
 #: Share of an item's windows that must be matched consistently, and plain words that a window needs.
 COVERAGE, PLAIN = 0.5, 3
+#: Windows on one diagonal with the item's own values (13 tokens in a row) that are enough by themselves.
+VERBATIM = 6
+#: Readings of a text: with placeholders for names, and without.
+READINGS = (True, False)
 #: Bits of the filter for each benchmark window, and at most. Beyond that the filter lets more through to the join.
 BITS_EACH, BITS_MOST = 32, 1 << 27
 #: Benchmark windows up to which the join broadcasts them (under 100 bytes each); beyond, both sides are shuffled.
@@ -59,7 +67,8 @@ def _unit_hashes() -> np.ndarray:
 class Templates:
     """Template tokens of a batch: hash, byte bounds, kind (0 for a plain word), and bounds of each text."""
 
-    def __init__(self, texts: pa.Array) -> None:
+    def __init__(self, texts: pa.Array, names: bool = True) -> None:
+        self.names = names
         raw, offsets = W.raw(texts)
         buf = W.LOWER[raw]
         # Two-byte Latin capitals (0xC3 0x80-0x9E) in lower case as well.
@@ -75,13 +84,14 @@ class Templates:
         order = np.argsort(starts, kind="stable")
         starts, ends, kind, hashes = starts[order], ends[order], kind[order], hashes[order]
         if len(starts):
-            # A title-case word after one blank in a sentence is a name.
-            title = np.flatnonzero(_UPPER[raw[starts]] & (ends - starts > 1) & (kind == 0))
-            title = title[_LOWER[raw[starts[title] + 1]]]
-            first = offsets[np.searchsorted(offsets, starts[title], side="right") - 1]
-            inside = title[starts[title] - first >= 2]
-            inside = inside[(raw[starts[inside] - 1] == 32) & _GOES_ON[raw[starts[inside] - 2]]]
-            kind[inside] = NAME
+            if names:
+                # A title-case word after one blank in a sentence is a name.
+                title = np.flatnonzero(_UPPER[raw[starts]] & (ends - starts > 1) & (kind == 0))
+                title = title[_LOWER[raw[starts[title] + 1]]]
+                first = offsets[np.searchsorted(offsets, starts[title], side="right") - 1]
+                inside = title[starts[title] - first >= 2]
+                inside = inside[(raw[starts[inside] - 1] == 32) & _GOES_ON[raw[starts[inside] - 2]]]
+                kind[inside] = NAME
             same = np.searchsorted(offsets, starts, side="right")
             after = np.flatnonzero((kind[1:] != NUM) & (kind[:-1] == NUM) & (same[1:] == same[:-1])) + 1
             kind[after[np.isin(hashes[after], _unit_hashes())]] = UNIT
@@ -105,7 +115,7 @@ class Templates:
         text = np.searchsorted(self.bounds, at, side="right") - 1
         plain = np.concatenate([[0], np.cumsum(self.kind == 0)])
         ok = (at + width <= self.bounds[text + 1]) & (plain[width:] - plain[:n] >= min(PLAIN, width))
-        return at[ok], text[ok], W.mix(W.windows(self.hashes, width)[ok] + np.uint64(width))
+        return at[ok], text[ok], W.mix(W.windows(self.hashes, width)[ok] + np.uint64(width + 64 * self.names))
 
     def slots(self, at: int, width: int) -> list[str]:
         """Values of the window's slots, each with its kind."""
@@ -119,31 +129,34 @@ def _probes(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, ipos, width, hash, islots, windows (of the item): an item shorter than ``WIDTH`` is one window."""
+    """item_id, names, ipos, width, hash, islots, windows (of the item in that reading).
+
+    An item shorter than ``WIDTH`` is one window. ``names`` tells the reading, which takes part in the hash.
+    """
     schema = pa.schema(
-        [("item_id", pa.int64()), ("ipos", pa.int64()), ("width", pa.int32()), ("hash", pa.int64()), ("islots", pa.list_(pa.string())), ("windows", pa.int64())]
+        [("item_id", pa.int64()), ("names", pa.bool_()), ("ipos", pa.int64()), ("width", pa.int32()), ("hash", pa.int64()), ("islots", pa.list_(pa.string())), ("windows", pa.int64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("item_id").to_pylist()
             for first, texts in slices(as_text(batch.column("text"))):
-                t = Templates(texts)
-                sizes = np.diff(t.bounds)
                 rows = []
-                for width in np.unique(np.minimum(sizes, WIDTH)).tolist():
-                    if not width:
-                        continue
-                    at, text, hashes = t.windows(width)
-                    mine = np.minimum(sizes[text], WIDTH) == width
-                    count = np.bincount(text[mine], minlength=len(texts))
-                    for a, d, h in zip(at[mine].tolist(), text[mine].tolist(), hashes[mine].view(np.int64).tolist(), strict=True):
-                        rows.append((ids[first + d], a - int(t.bounds[d]), width, h, t.slots(a, width), int(count[d])))
+                for t in [Templates(texts, names) for names in READINGS]:
+                    sizes = np.diff(t.bounds)
+                    for width in np.unique(np.minimum(sizes, WIDTH)).tolist():
+                        if not width:
+                            continue
+                        at, text, hashes = t.windows(width)
+                        mine = np.minimum(sizes[text], WIDTH) == width
+                        count = np.bincount(text[mine], minlength=len(texts))
+                        for a, d, h in zip(at[mine].tolist(), text[mine].tolist(), hashes[mine].view(np.int64).tolist(), strict=True):
+                            rows.append((ids[first + d], t.names, a - int(t.bounds[d]), width, h, t.slots(a, width), int(count[d])))
                 columns = list(zip(*rows, strict=True)) or [()] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     rows = only(benchmark, "item_id", "text").where("item_id is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
-    return rows.mapInArrow(run, "item_id bigint, ipos bigint, width int, hash bigint, islots array<string>, windows bigint")
+    return rows.mapInArrow(run, "item_id bigint, names boolean, ipos bigint, width int, hash bigint, islots array<string>, windows bigint")
 
 
 def _filter_bits(items: DataFrame, count: int) -> np.ndarray:
@@ -175,16 +188,16 @@ def candidate_windows(docs: DataFrame, bloom: np.ndarray, widths: list[int]) ->
         for batch in batches:
             ids, keys = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             for first, texts in slices(as_text(batch.column("text"))):
-                t = Templates(texts)
                 rows = []
-                for width in widths:
-                    at, text, hashes = t.windows(width)
-                    p, q = _probes(hashes, bits)
-                    hit = np.flatnonzero(has(p))
-                    hit = hit[has(q[hit])]
-                    for k in hit.tolist():
-                        d, a = int(text[k]), int(at[k])
-                        rows.append((ids[first + d], keys[first + d], a - int(t.bounds[d]), int(hashes[k].view(np.int64)), t.slots(a, width)))
+                for t in [Templates(texts, names) for names in READINGS]:
+                    for width in widths:
+                        at, text, hashes = t.windows(width)
+                        p, q = _probes(hashes, bits)
+                        hit = np.flatnonzero(has(p))
+                        hit = hit[has(q[hit])]
+                        for k in hit.tolist():
+                            d, a = int(text[k]), int(at[k])
+                            rows.append((ids[first + d], keys[first + d], a - int(t.bounds[d]), int(hashes[k].view(np.int64)), t.slots(a, width)))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -196,8 +209,8 @@ def candidate_windows(docs: DataFrame, bloom: np.ndarray, widths: list[int]) ->
 def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, row, item_id, matched, windows, coverage, exact: one row for each document and item that it holds.
 
-    ``matched`` counts different windows of the item on consistent diagonals, ``coverage`` is their share, ``exact``
-    tells whether all their slots keep the item's values. Rows of ``docs`` with the same id and text give one result;
+    ``matched`` counts different windows of the item on consistent diagonals, ``coverage`` is their share (of the reading
+    in which it is larger), ``exact`` tells whether all their slots keep the item's values. Rows of ``docs`` with the same id and text give one result;
     ``row`` is the text's hash. Null or empty texts hold nothing, an item without windows is held by nothing; null doc
     ids stay null. Ties do not arise: every item that is held is returned. An empty benchmark gives no rows.
     """
@@ -205,19 +218,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -
     shape = items.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()  # WIDTH rows at most
     count = sum(r["n"] for r in shape)
     found = candidate_windows(docs, _filter_bits(items, count), sorted(r["width"] for r in shape))
-    side = items.select("item_id", "ipos", "hash", "islots", "windows")
+    side = items.select("item_id", "names", "ipos", "hash", "islots", "windows")
     joined = found.join(F.broadcast(side) if count <= BROADCAST_ROWS else side, "hash")
     pairs = F.zip_with("islots", "dslots", lambda i, d: F.struct(i.alias("i"), d.alias("d")))
-    lines = joined.groupBy("doc_id", "row", "item_id", "windows", (F.col("dpos") - F.col("ipos")).alias("diagonal")).agg(
+    lines = joined.groupBy("doc_id", "row", "item_id", "names", "windows", (F.col("dpos") - F.col("ipos")).alias("diagonal")).agg(
         F.collect_set("ipos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
     )
     lines = lines.where(F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs"))
-    held = lines.groupBy("doc_id", "row", "item_id", "windows").agg(
+    lines = lines.withColumn("own", F.forall("pairs", lambda p: p["i"] == p["d"]))
+    held = lines.groupBy("doc_id", "row", "item_id", "names", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("bigint").alias("matched"),
-        F.min(F.forall("pairs", lambda p: p["i"] == p["d"])).alias("exact"),
+        F.max(F.when(F.col("own"), F.size("at")).otherwise(0)).alias("verbatim"),
+        F.min("own").alias("exact"),
     )
-    held = held.withColumn("coverage", F.col("matched") / F.col("windows"))
-    return held.where(F.col("coverage") >= coverage).select("doc_id", "row", "item_id", "matched", "windows", "coverage", "exact")
+    held = held.withColumn("coverage", F.col("matched") / F.col("windows")).where((F.col("coverage") >= coverage) | (F.col("verbatim") >= VERBATIM))
+    best = F.max(F.struct("coverage", "names", "matched", "windows", "exact")).alias("best")
+    return held.groupBy("doc_id", "row", "item_id").agg(best).select("doc_id", "row", "item_id", "best.matched", "best.windows", "best.coverage", "best.exact")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
