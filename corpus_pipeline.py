@@ -31,12 +31,12 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     classes = neardup.near_duplicates(docs)
     gone = stash(classes.where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     # Rows that repeat an id: ids alone are counted first, so that texts of unique ids are not moved.
     repeated = stash(left.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_again")))
     if not repeated.take(1):
         return left
-    again = F.col("doc_id") == F.col("_again")
+    again = left["doc_id"] == repeated["_again"]
     return left.join(repeated, again, "left_anti").union(left.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))
 
 
