@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch. Texts can be long, so that the default of 10,000 is too many.
@@ -57,6 +57,27 @@ def fold(doc_id: Column, k: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(k)
 
 
+def smallest(rows: DataFrame, n: int, *by: str) -> DataFrame:
+    """The ``n`` different ids (column doc_id) with the smallest hashes, in each group of equal ``by`` values if given.
+
+    Groups' sizes are estimated first, and hashes beyond what about four times ``n`` ids reach are left out before
+    anything is moved: what is sorted has a bounded size, however many rows and tasks there are. ``by`` must have few
+    values. Null ids are left out.
+    """
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    ids = only(rows, "doc_id", *by).where(F.col("doc_id").isNotNull())
+    counts = ids.groupBy(*by).agg(F.approx_count_distinct("doc_id").alias("ids"))
+    reach = (F.lit(4.0 * n + 64) / F.greatest(F.col("ids"), F.lit(1)) * F.lit(2.0**63)).alias("reach")
+    reach_of = F.broadcast(counts.select(*by, reach))  # a row for each group
+    near = ids.join(reach_of, list(by)) if by else ids.crossJoin(reach_of)
+    near = near.where(place.cast("double") <= F.col("reach")).select("doc_id", *by).distinct()
+    order = [place, F.col("doc_id")]
+    if not by:
+        return near.orderBy(*order).limit(n)
+    ranked = near.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return ranked.where(F.col("nth") <= n).select("doc_id", *by)
+
+
 def slices(texts: pa.Array, limit: int = BYTES_PER_PASS) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive pieces of a string array of about ``limit`` bytes, with their first position."""
     import numpy as np

@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrolite.llm.common import as_text, only, tuned
+from ferrolite.llm.common import as_text, only, smallest, tuned
 
 UNKNOWN = "und"
 #: Labelled documents of each language that a dictionary is made of, pieces of each and their characters.
@@ -40,13 +40,10 @@ def fit_dictionaries(docs: DataFrame, train: Column, sample_docs: int = SAMPLE_D
     """For each non-null ``lang`` among the rows where ``train`` holds, the content of its dictionary.
 
     The sample is the ``sample_docs`` documents of the language with the smallest hashed ids; each adds ``PIECES``
-    short pieces at equal distances over its whole text. The first pass reads ids and labels only and keeps a bounded
-    number of rows for each language and task before anything is shuffled.
+    short pieces at equal distances over its whole text. The first passes read ids and labels only.
     """
     labelled = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample_docs)
-    ids = ids.select("doc_id", "lang").distinct()
+    ids = smallest(labelled, sample_docs, "lang")
     n = F.length("text")
     clean = F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " ")
     spread = F.array(*[F.substring(F.col("text"), (F.floor(n * k / PIECES) + 1).cast("int"), F.lit(PIECE)) for k in range(PIECES)])

@@ -13,11 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolite.llm import words as W
-from ferrolite.llm.common import as_text, only, slices, tuned
+from ferrolite.llm.common import as_text, only, slices, smallest, tuned
 
 WIDTH, FILTERS, VECTOR = 5, 16, 8
 #: Chunks of 512 bytes that begin every 256 bytes: four blocks of which two are shared with the next chunk.
@@ -149,8 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, sample_docs: int
     known = only(labels, "doc_id", "quality").where(train_rows & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     known = known.join(only(docs, "doc_id"), "doc_id", "left_semi").distinct()
     share = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample_docs).select("doc_id", "quality")
+    chosen = smallest(known, sample_docs, "quality")
     rows = only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", F.xxhash64("doc_id").alias("h"), "text").collect()
     rows = sorted(rows, key=lambda r: (r["h"], r["text"] or ""))
     n = {k: sum(r["quality"] == k for r in rows) for k in (0, 1)}

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrolite.llm import words as W
-from ferrolite.llm.common import as_text, only, slices, tuned
+from ferrolite.llm.common import as_text, only, slices, smallest, tuned
 
 # The marked kinds, in the order in which equal starts are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -81,7 +81,7 @@ def ordinary_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[str]
 
     What the patterns mark and what mixes digits with letters is left out; a document adds at most 200 words.
     """
-    ids = only(docs, "doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    ids = smallest(docs, sample_docs)
     found = F.slice(F.array_distinct(F.regexp_extract_all("text", F.lit(r"([A-Za-z0-9+/=_-]{6,})"), F.lit(1))), 1, 200)
     rows = only(docs, "doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").select(found.alias("w"))
     words = sorted({w for r in rows.collect() for w in r["w"]})

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from ferrolite.llm import packing, sharding
 from ferrolite.llm import queries as Q
+from ferrolite.llm.common import smallest
 from ferrolite.llm.tokens import WordTokenizer, vocabulary
 
 
@@ -45,6 +46,19 @@ def test_shards_of_odd_rows(odd, none):
     assert sharding.shard_by_bytes(none).count() == 0
 
 
+def test_sample_is_that_of_a_full_sort(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000).select((F.col("id") / 2).cast("bigint").alias("doc_id"), (F.col("id") % 3 == 0).alias("kind")).union(spark.sql("select null, true"))
+    order = [F.shiftrightunsigned(F.xxhash64("doc_id"), 1), F.col("doc_id")]
+    known = df.where("doc_id is not null").distinct()
+    assert [r["doc_id"] for r in smallest(df, 50).collect()] == [r["doc_id"] for r in known.select("doc_id").distinct().orderBy(*order).limit(50).collect()]
+    for kind in (True, False):
+        want = {r["doc_id"] for r in known.where(F.col("kind") == kind).orderBy(*order).limit(50).collect()}
+        assert {r["doc_id"] for r in smallest(df, 50, "kind").where(F.col("kind") == kind).collect()} == want
+    assert smallest(df.limit(0), 50).count() == smallest(df.limit(0), 50, "kind").count() == 0
+
+
 TRICKY = ["", " ", "It's THE end, don't 'll we'd 12ab3 _x_ a--b c…d", "Ünïcode Straße İstanbul ŉ ß ſ", "日本語 テキスト", "a<|endoftext|>b <|x", "é Å  x y", "\x00\x01 z​", "😀😀 ok", "ÀÉ ŸŽ µ ª²³¹º¼", "a\x0bb\x0cc\x1cd\x85e"]
 
 
