@@ -140,9 +140,9 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("item_id").to_pylist()
-            for first, texts in slices(as_text(batch.column("text"))):
+            for first, texts in slices(as_text(batch.column("text")), 1 << 19):
                 rows = []
-                for t in [Templates(texts, names) for names in READINGS]:
+                for t in (Templates(texts, names) for names in READINGS):
                     sizes = np.diff(t.bounds)
                     for width in np.unique(np.minimum(sizes, WIDTH)).tolist():
                         if not width:
@@ -187,9 +187,9 @@ def candidate_windows(docs: DataFrame, bloom: np.ndarray, widths: list[int]) ->
 
         for batch in batches:
             ids, keys = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
-            for first, texts in slices(as_text(batch.column("text"))):
+            for first, texts in slices(as_text(batch.column("text")), 1 << 19):
                 rows = []
-                for t in [Templates(texts, names) for names in READINGS]:
+                for t in (Templates(texts, names) for names in READINGS):
                     for width in widths:
                         at, text, hashes = t.windows(width)
                         p, q = _probes(hashes, bits)
