@@ -69,7 +69,7 @@ def smallest(rows: DataFrame, n: int, *by: str) -> DataFrame:
     counts = ids.groupBy(*by).agg(F.approx_count_distinct("doc_id").alias("ids"))
     reach = (F.lit(4.0 * n + 64) / F.greatest(F.col("ids"), F.lit(1)) * F.lit(2.0**63)).alias("reach")
     reach_of = F.broadcast(counts.select(*by, reach))  # a row for each group
-    near = ids.join(reach_of, list(by)) if by else ids.crossJoin(reach_of)
+    near = ids.join(reach_of, list(by)) if by else ids.withColumn("reach", F.lit(counts.select(reach).first()["reach"]))
     near = near.where(place.cast("double") <= F.col("reach")).select("doc_id", *by).distinct()
     order = [place, F.col("doc_id")]
     if not by:

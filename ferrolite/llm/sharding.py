@@ -41,16 +41,15 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, overhead: int = OVERHEAD)
         F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"),
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
     )
-    total = totals.agg(F.sum("bytes").alias("total"))
+    total = totals.agg(F.sum("bytes").alias("total")).first()["total"] or 1
     inside = Window.partitionBy("part").orderBy("at")
     placed = (
         ranged.withColumn("upto", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("nth", F.row_number().over(inside))
         .join(F.broadcast(offsets), "part")  # one row for each range: as many as shuffle partitions
-        .crossJoin(F.broadcast(total))  # one row
     )
     middle = (F.col("bytes_before") + F.col("upto")) * 2 - F.col("size")
-    shard = F.least(F.floor(middle.cast("double") * shards / (F.col("total") * 2)), F.lit(shards - 1)).cast("int")
+    shard = F.least(F.floor(middle.cast("double") * shards / F.lit(2.0 * total)), F.lit(shards - 1)).cast("int")
     placed = placed.select("doc_id", "size", "text_crc32", shard.alias("shard"), (F.col("rows_before") + F.col("nth") - 1).alias("rank"))
     first = placed.groupBy("shard").agg(F.min("rank").alias("first"))
     return placed.join(F.broadcast(first), "shard").select(  # one row for each shard
