@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrolite.operators.distance import euclidean, nearest
+from ferrolite.operators.distance import nearest
+
+
+#: Farthest rows that the driver sees in a round (their vectors are sent to it), and rounds after which lineage is cut.
+CANDIDATES, CUT = 512, 8
 
 
-def farthest_points(rows: DataFrame, k: int, min_distance: float = 0.0, anchors: DataFrame | None = None) -> DataFrame:
+def farthest_points(rows: DataFrame, k: int | None, min_distance: float = 0.0, anchors: DataFrame | None = None, first: int | None = None) -> DataFrame:
     """pick (from 1), id, distance: greedy farthest-point sampling over ``rows`` (id, v array<double>).
 
-    Without ``anchors`` the smallest id is first; then always the row farthest from all picks, ties to the smaller id,
-    until ``k`` rows are picked or the farthest is closer than ``min_distance``. A round is one pass over the rows that
-    updates their distance to the picks and one aggregation; the rows stay where they are, one vector is sent around.
+    Without ``anchors`` the row ``first``, or else the smallest id, is first; then always the row farthest from all
+    picks, ties to the smaller id, until ``k`` rows are picked or the farthest is closer than ``min_distance``; with
+    null for ``k`` only the distance ends it. A round sends the ``CANDIDATES`` farthest rows to the driver. As distances
+    only fall, the best of them is the next pick for as long as it comes before the last of them as that was sent; then
+    one pass over the rows updates their distance to the new picks. The rows stay where they are.
     """
     spark = rows.sparkSession
     picks: list[tuple[int, int, float]] = []
@@ -24,15 +33,38 @@ def farthest_points(rows: DataFrame, k: int, min_distance: float = 0.0, anchors:
     else:
         state = rows.withColumn("d", F.lit(float("inf")))
     held = state.select("id", "v", "d").persist(StorageLevel.MEMORY_AND_DISK)
-    for n in range(1, k + 1):
-        order = F.struct(F.col("d"), -F.col("id"))
-        best = held.agg(F.max_by(F.struct("id", "v", "d"), order).alias("x")).first()["x"]
-        if best is None or best["d"] < min_distance or (picks and best["id"] in {p[1] for p in picks}):
+    rounds = 0
+    while k is None or len(picks) < k:
+        left = held.where(F.col("d") >= min_distance)
+        top = left.select("id", "d").orderBy(F.desc("d"), "id").limit(CANDIDATES).collect()
+        if not top:
+            break
+        last = top[-1]
+        near = left.where((F.col("d") > last["d"]) | ((F.col("d") == last["d"]) & (F.col("id") <= last["id"])))
+        if first is not None and not picks:
+            near = held.where(F.col("id") == first)
+        found = near.collect()
+        ids, v, d = np.array([r["id"] for r in found]), np.array([r["v"] for r in found], np.float64), np.array([r["d"] for r in found])
+        new = []
+        while len(ids) and (k is None or len(picks) < k):
+            best = np.lexsort((ids, -d))[0]
+            asked = first is not None and not picks
+            if d[best] < min_distance or (not asked and len(top) == CANDIDATES and (-d[best], ids[best]) > (-last["d"], last["id"])):
+                break
+            picks.append((len(picks) + 1, int(ids[best]), float(d[best])))
+            new.append(v[best])
+            d = np.minimum(d, np.sqrt(((v - v[best]) ** 2).sum(axis=1)))
+            d[best] = -1.0
+            if asked:
+                break
+        if not new:
             break
-        picks.append((n, best["id"], float(best["d"])))
-        point = F.lit([float(x) for x in best["v"]])
-        d = F.when(F.col("id") == best["id"], F.lit(-1.0)).otherwise(F.least("d", euclidean(F.col("v"), point)))
-        after = held.withColumn("d", d).persist(StorageLevel.MEMORY_AND_DISK)
+        after = _approached(held, np.array(new), [p[1] for p in picks[-len(new) :]]).persist(StorageLevel.MEMORY_AND_DISK)
+        rounds += 1
+        if rounds % CUT == 0:
+            cut = after.checkpoint() if spark.sparkContext.getCheckpointDir() else after.localCheckpoint()
+            after.unpersist()
+            after = cut.persist(StorageLevel.MEMORY_AND_DISK)
         after.count()
         held.unpersist()
         held = after
@@ -40,6 +72,22 @@ def farthest_points(rows: DataFrame, k: int, min_distance: float = 0.0, anchors:
     return spark.createDataFrame(picks, "pick int, id bigint, distance double")
 
 
+def _approached(held: DataFrame, points: np.ndarray, ids: list[int]) -> DataFrame:
+    """``held`` (id, v, d) with d no larger than the distance to the points, and -1 for the rows that they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            v, d = np.array(batch.column("v").to_pylist(), np.float64), batch.column("d").to_numpy().copy()
+            for p in points:
+                np.minimum(d, np.sqrt(((v - p) ** 2).sum(axis=1)), out=d)
+            d[np.isin(batch.column("id").to_numpy(), ids)] = -1.0
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(d)], names=["id", "v", "d"])
+
+    return held.mapInArrow(run, held.schema)
+
+
 def count_at(picks: DataFrame, distances: list[float]) -> DataFrame:
     """min_distance, n: how many rows farthest-point sampling picks at each stop distance.
 

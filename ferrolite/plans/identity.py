@@ -49,7 +49,8 @@ def fps_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fps_target_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.count_at(selection.farthest_points(_vectors(spark, sf_dir).select("id", "v"), PICKS), [1.2, 1.3, 1.35, 1.4, 1.45])
+    stops = [1.2, 1.3, 1.35, 1.4, 1.45]
+    return selection.count_at(selection.farthest_points(_vectors(spark, sf_dir).select("id", "v"), None, min(stops)), stops)
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
