@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrolite.operators.distance import nearest
+from ferrolite.operators.distance import farthest, nearest
 
 
 #: Farthest rows that the driver sees in a round (their vectors are sent to it), and rounds after which lineage is cut.
@@ -128,6 +128,46 @@ def distance_for(picks: list[float], target: int, tolerance: int, rounds: int =
     return best
 
 
+def target_picks(rows: DataFrame, target: int, tolerance: int, first: int | None = None) -> DataFrame:
+    """The picks (pick, id, distance) at the stop distance that the search for ``target`` rows ends with.
+
+    The search asks only whether a count exceeds ``target`` and whether it is within ``tolerance``, so a run of one pick
+    more than both answers it as a longer one would.
+    """
+    run = farthest_points(rows, target + tolerance + 1, first=first)
+    stop = distance_for([r["distance"] for r in run.select("distance").collect()], target, tolerance)
+    return run.where(F.col("distance") >= stop)
+
+
+def train_test(rows: DataFrame, anchors: DataFrame, target_train: int, target_test: int, tolerance: int = 50, pool_factor: float = 0.5) -> DataFrame:
+    """id, split of ``rows`` (id, v array<double>): train, test or unselected.
+
+    Training rows are the ``anchors`` (id) and a farthest-point selection of the others that fills ``target_train``; all
+    rows if they are not more. Test rows come from the pool of max(``target_test``, n * ``pool_factor``) left rows that
+    are farthest from the training rows, by a selection that starts with the farthest; all left rows if they are not more.
+    """
+    anchors = anchors.select("id").distinct()
+    n, fixed = rows.count(), anchors.count()
+    if fixed > target_train:
+        raise ValueError(f"{fixed} anchors exceed the target of {target_train} training rows")
+    if target_train >= n:
+        return rows.select("id", F.lit("train").alias("split"))
+    train = anchors
+    if fixed < target_train:
+        train = train.union(target_picks(rows.join(anchors, "id", "left_anti"), target_train - fixed, tolerance).select("id"))
+    left = rows.join(F.broadcast(train), "id", "left_anti")  # train: at most the target and the tolerance
+    m = left.count()
+    test = left.select("id")
+    if target_test < m:
+        found = nearest(left, rows.join(F.broadcast(train), "id", "left_semi").select(F.col("id").alias("id"), F.col("v").alias("v"))).persist(StorageLevel.MEMORY_AND_DISK)
+        pool = farthest(found, target_test, pool_factor).persist(StorageLevel.MEMORY_AND_DISK)
+        start = found.orderBy(F.desc("distance"), "id").first()["id"]
+        test = target_picks(left.join(pool.select("id"), "id", "left_semi"), target_test, tolerance, start).select("id")
+        pool.unpersist()
+        found.unpersist()
+    return split_labels(rows, [("train", train), ("test", test)])
+
+
 def composition_aware(
     descriptors: np.ndarray, bins: list[list[tuple]], anchors: list[int], target: int, frontier: float, ternary_weight: float = 1.0, totals: tuple[int, int] = (20, 190), floor: float = 0.9
 ) -> list[int]:

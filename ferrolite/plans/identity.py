@@ -54,7 +54,9 @@ def fps_target_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _vectors(spark, sf_dir).select("id", selection.hashed_split(F.col("id"), 0.7).alias("split"))
+    """Targets, tolerance and pool as the original workflow has them by default; the last row of each label is an anchor."""
+    rows = _vectors(spark, sf_dir)
+    return selection.train_test(rows.select("id", "v"), rows.groupBy("label").agg(F.max("id").alias("id")), 1000, 200, 50, 0.5)
 
 
 def split_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

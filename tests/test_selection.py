@@ -43,3 +43,47 @@ def test_rounds_change_nothing(spark, vectors, monkeypatch, candidates):
         got = selection.farthest_points(rows, 25, first=int(ids[first])).orderBy("pick").collect()
         want = greedy(ids, v, 0.0, first)[:25]
         assert [r["id"] for r in got] == [i for i, _ in want] and np.allclose([r["distance"] for r in got], [d for _, d in want])
+
+
+def searched(ids, v, target, tolerance, start=0):
+    """Picks after the search by doubling and bisection, each probe a selection of its own."""
+    count = lambda d: len(greedy(ids, v, d, start))
+    high = 0.01
+    while count(high) > target:
+        high *= 2
+    low, best = 0.0, high
+    for _ in range(30):
+        middle = (low + high) / 2
+        n = count(middle)
+        if abs(n - target) <= tolerance:
+            best = middle
+            break
+        if n > target:
+            low = middle
+        else:
+            best = high = middle
+    return {i for i, _ in greedy(ids, v, best, start)}
+
+
+def test_split_by_selection(spark, vectors):
+    ids, v = vectors[0][:150], vectors[1][:150]
+    rows = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], "id bigint, v array<double>")
+    anchors = rows.where("id % 50 = 3").select("id")
+    got = {r["id"]: r["split"] for r in selection.train_test(rows, anchors, 30, 12, 2, 0.5).collect()}
+    fixed = {int(i) for i in ids if i % 50 == 3}
+    free = np.array([i not in fixed for i in ids])
+    train = fixed | searched(ids[free], v[free], 30 - len(fixed), 2)
+    inside = np.array([i in train for i in ids])
+    near = np.sqrt(((v[~inside][:, None] - v[inside][None]) ** 2).sum(axis=2)).min(axis=1)
+    order = np.argsort(-near, kind="stable")[: max(12, int(len(near) * 0.5))]
+    keep = np.sort(order)
+    pool = ids[~inside][keep]
+    test = searched(pool, v[~inside][keep], 12, 2, int(np.flatnonzero(keep == order[0])[0]))
+    assert got == {int(i): "train" if i in train else "test" if i in test else "unselected" for i in ids}
+    with pytest.raises(ValueError):
+        selection.train_test(rows, anchors, 2, 12)
+
+
+def test_registered_split_reads_descriptors(spark):
+    got = [r["split"] for r in identity.train_test_split(spark, SF).collect()]
+    assert len(got) == 500 and set(got) == {"train"}  # fewer rows than the target
