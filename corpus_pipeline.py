@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrolite.llm import decontaminate, neardup, packing, quality, secrets
-from ferrolite.llm.common import fold, stash
+from ferrolite.llm.common import fold, only, stash
 from ferrolite.llm.tokens import vocabulary
 
 #: A document goes if its probability of label 1 is below this.
@@ -27,17 +27,28 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates: the one with the smallest id, and one row of it.
 
-    Rows with equal id and text are one document; a row without id is kept.
+    Rows with equal id and text are one document, and rows of one id with different texts are several; a row without
+    id is kept.
     """
-    classes = neardup.near_duplicates(docs)
-    gone = stash(classes.where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
-    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    # Rows that repeat an id: ids alone are counted first, so that texts of unique ids are not moved.
-    repeated = stash(left.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_again")))
+    # Ids that rows share are counted first, so that texts of unique ids are not moved.
+    h = F.xxhash64("text")
+    known = only(docs, "doc_id", "text").where("doc_id is not null")
+    repeated = known.groupBy(F.col("doc_id").alias("_again")).agg(F.count(F.lit(1)).alias("n"), (F.min(h) < F.max(h)).alias("several")).where("n > 1")
+    repeated = stash(repeated)
+    if repeated.where("several").take(1):
+        # Each text of an id gets a number of its own, in the order of the ids.
+        places = stash(known.select("doc_id", h.alias("h")).distinct().orderBy("doc_id", "h").withColumn("place", F.monotonically_increasing_id()))
+        numbered = stash(known.withColumn("h", h).join(places, ["doc_id", "h"]).select(F.col("place").alias("doc_id"), "text"))
+        gone = neardup.near_duplicates(numbered).where("not kept").select(F.col("doc_id").alias("place")).distinct()
+        gone = stash(places.join(gone, "place").select(F.col("doc_id").alias("_gone"), F.col("h").alias("_gone_text")))
+        left = docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_gone_text"]), "left_anti")
+    else:
+        gone = stash(neardup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
+        left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     if not repeated.take(1):
         return left
     again = left["doc_id"] == repeated["_again"]
-    return left.join(repeated, again, "left_anti").union(left.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))
+    return left.join(repeated, again, "left_anti").union(left.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
