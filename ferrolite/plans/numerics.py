@@ -29,7 +29,7 @@ def paired_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strain_voigt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bases = table(spark, sf_dir, "part").where("p_size <= 10").select(F.col("p_partkey").alias("structure_index"))
+    bases = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("structure_index"))
     rows = generators.elastic_set(bases, [-0.02, -0.01, 0.0, 0.01, 0.02])
     v = fits.strain_voigt(F.col("strain_matrix"))
     return rows.select("structure_index", "elastic_mode", "strain_amplitude", *[F.round(v[i], 12).alias(f"e{i + 1}") for i in range(6)])

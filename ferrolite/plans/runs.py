@@ -24,7 +24,7 @@ def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def config_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = facts(spark, sf_dir).withColumn("oom", F.when((F.col("oom") == 1) & (F.col("n_atoms") > 96), 1).otherwise(0))
-    return benchmark.grid(rows.where("n_atoms <= 32 or ncore < 16"), [1, 2, 4], "avg_loop_time")
+    return benchmark.grid(rows, [1, 2, 4], "avg_loop_time")
 
 
 def predict_params(spark: SparkSession, sf_dir: str) -> DataFrame:
