@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolite.operators.distance import farthest, nearest
-
+from ferrolite.sources.scratch import stash
 
 #: Farthest rows that the driver sees in a round (their vectors are sent to it), and rounds after which lineage is cut.
 CANDIDATES, CUT = 512, 8
@@ -62,7 +62,7 @@ def farthest_points(rows: DataFrame, k: int | None, min_distance: float = 0.0, a
         after = _approached(held, np.array(new), [p[1] for p in picks[-len(new) :]]).persist(StorageLevel.MEMORY_AND_DISK)
         rounds += 1
         if rounds % CUT == 0:
-            cut = after.checkpoint() if spark.sparkContext.getCheckpointDir() else after.localCheckpoint()
+            cut = stash(after)
             after.unpersist()
             after = cut.persist(StorageLevel.MEMORY_AND_DISK)
         after.count()

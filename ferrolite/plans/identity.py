@@ -9,7 +9,10 @@ from ferrolite.functions import structure as S
 from ferrolite.operators import distance, registry, selection
 from ferrolite.plans.tables import table
 
-PICKS = 12
+#: Rows to select, as the original workflow has it by default.
+SELECTED = 1000
+#: Targets, tolerance and pool of the registered split.
+TRAIN, TEST, TOLERANCE, POOL = 200, 40, 10, 0.5
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +47,7 @@ def descriptor_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fps_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    picks = selection.farthest_points(_vectors(spark, sf_dir).select("id", "v"), PICKS)
+    picks = selection.farthest_points(_vectors(spark, sf_dir).select("id", "v"), SELECTED)
     return picks.select("pick", "id", F.when(F.col("pick") > 1, F.round("distance", 8)).alias("distance"))
 
 
@@ -54,9 +57,9 @@ def fps_target_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Targets, tolerance and pool as the original workflow has them by default; the last row of each label is an anchor."""
+    """The last row of each label is an anchor of the training rows."""
     rows = _vectors(spark, sf_dir)
-    return selection.train_test(rows.select("id", "v"), rows.groupBy("label").agg(F.max("id").alias("id")), 1000, 200, 50, 0.5)
+    return selection.train_test(rows.select("id", "v"), rows.groupBy("label").agg(F.max("id").alias("id")), TRAIN, TEST, TOLERANCE, POOL)
 
 
 def split_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,16 +150,38 @@ def missing_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 _V = "v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings)"
 _NN = f"{_V}, nn AS (SELECT a.id, min(list_distance(a.v, b.v)) AS d, min(CASE WHEN list_distance(a.v, b.v) > 1e-12 THEN list_distance(a.v, b.v) END) AS p FROM v a JOIN v b ON a.id <> b.id GROUP BY a.id)"
 _CROSS = f"{_V}, nn AS (SELECT a.id, min(list_distance(a.v, b.v)) AS d FROM v a JOIN v b ON a.label >= 5 AND b.label < 5 GROUP BY a.id)"
-_FPS = f"""WITH RECURSIVE {_V},
-    s AS (
-        SELECT 1 AS pick, id, NULL::DOUBLE AS distance, [v] AS picks FROM v WHERE id = (SELECT min(id) FROM v)
+
+
+def _fps_sql(name: str, rows: str, picks: int | None, least: float = 0.0, first: str = "id") -> str:
+    """Recursive tables for farthest-point selection: each step holds all rows with their distance to the picks so far.
+
+    ``rows`` has id and v; the first pick is the first in the order ``first``. ``name`` has pick, id, distance (infinite
+    for the first pick).
+    """
+    return f"""{name}_steps AS (
+        SELECT 0 AS pick, id, 'inf'::DOUBLE AS d, row_number() OVER (ORDER BY {first}) AS nth, NULL::BIGINT AS chosen, NULL::DOUBLE AS distance FROM {rows}
         UNION ALL
-        (SELECT pick + 1, id, d, list_append(picks, v) FROM (
-            SELECT s.pick, e.id, e.v, s.picks, list_min(list_transform(s.picks, lambda p: list_distance(p, e.v))) AS d,
-                   row_number() OVER (ORDER BY list_min(list_transform(s.picks, lambda p: list_distance(p, e.v))) DESC, e.id) AS r
-            FROM s CROSS JOIN v e WHERE s.pick < {PICKS}
-        ) WHERE r = 1)
-    )"""
+        SELECT pick + 1, n.id, CASE WHEN n.id = best THEN -1 ELSE least(d, list_distance(x.v, y.v)) END, CASE WHEN n.id = best THEN NULL ELSE n.id END, best, far
+        FROM (SELECT *, first_value(id) OVER w AS best, first_value(d) OVER w AS far FROM {name}_steps
+              WINDOW w AS (ORDER BY d DESC, CASE WHEN pick = 0 THEN nth ELSE id END ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) n
+        JOIN {rows} x ON x.id = n.id JOIN {rows} y ON y.id = best WHERE far >= {least} AND pick < {picks if picks is not None else 1 << 40}
+    ), {name} AS (SELECT DISTINCT pick, chosen AS id, distance FROM {name}_steps WHERE pick > 0)"""
+
+
+def _target_sql(name: str, picks: str, target: str, tolerance: int) -> str:
+    """Recursive tables for the stop distance by doubling and bisection; ``name`` has one row, ``stop``."""
+    count = f"(SELECT count(*) FROM {picks} WHERE distance >= {{}})"
+    return f"""{name}_up AS (
+        SELECT 0.01::DOUBLE AS high UNION ALL SELECT high * 2 FROM {name}_up WHERE {count.format('high')} > {target}
+    ), {name}_probe AS (
+        SELECT 0 AS nth, 0::DOUBLE AS low, max(high) AS high, max(high) AS best, FALSE AS done FROM {name}_up
+        UNION ALL
+        SELECT nth + 1, CASE WHEN n > {target} THEN mid ELSE low END, CASE WHEN n > {target} THEN high ELSE mid END,
+            CASE WHEN abs(n - {target}) <= {tolerance} OR n <= {target} THEN mid ELSE best END, abs(n - {target}) <= {tolerance}
+        FROM (SELECT *, (low + high) / 2 AS mid, {count.format('(low + high) / 2')} AS n FROM {name}_probe) WHERE NOT done AND nth < 30
+    ), {name} AS (SELECT arg_max(best, nth) AS stop FROM {name}_probe)"""
+
+
 _REGISTRY = """reg AS (
         SELECT md5((user_id % 5)::VARCHAR) AS incar_hash, md5((user_id % 7)::VARCHAR) AS potcar_hash, md5((user_id % 150)::VARCHAR) AS structure_hash,
                '/jobs/' || max(event_id) AS job_path, arg_max(event_type, event_id) = 'purchase' AS complete, max(event_id) AS event_id
@@ -183,10 +208,16 @@ ORACLES = {
         QUALIFY row_number() OVER (ORDER BY round(d, 9) DESC, id) <= greatest(20, floor(count(*) OVER () * 0.1))""",
     "descriptor_zscore": f"""WITH {_V}, m AS (SELECT avg(v[1]) AS mx, stddev_pop(v[1]) AS sx, avg(v[2]) AS my, stddev_pop(v[2]) AS sy FROM v)
         SELECT id, round((v[1] - mx) / CASE WHEN sx = 0 THEN 1 ELSE sx END, 6) AS x_z, round((v[2] - my) / CASE WHEN sy = 0 THEN 1 ELSE sy END, 6) AS y_z FROM v CROSS JOIN m""",
-    "fps_select": f"{_FPS} SELECT pick::INTEGER AS pick, id, round(distance, 8) AS distance FROM s",
-    "fps_target_count": f"""{_FPS} SELECT t.d AS min_distance, count(pick) AS n FROM (VALUES (1.2::DOUBLE), (1.3), (1.35), (1.4), (1.45)) t(d)
-        LEFT JOIN (SELECT pick, coalesce(distance, 'inf'::DOUBLE) AS distance FROM s) x ON x.distance >= t.d GROUP BY t.d""",
-    "train_test_split": """SELECT vec_id AS id, CASE WHEN ('0x' || substr(md5(vec_id::VARCHAR || '|42'), 1, 8))::BIGINT / 4294967296.0 < 0.7 THEN 'train' ELSE 'test' END AS split FROM embeddings""",
+    "fps_select": f"""WITH RECURSIVE {_V}, {_fps_sql('s', 'v', SELECTED)} SELECT pick::INTEGER AS pick, id, CASE WHEN pick > 1 THEN round(distance, 8) END AS distance FROM s""",
+    "fps_target_count": f"""WITH RECURSIVE {_V}, {_fps_sql('s', 'v', None, 1.2)} SELECT t.d AS min_distance, count(pick) AS n FROM (VALUES (1.2::DOUBLE), (1.3), (1.35), (1.4), (1.45)) t(d)
+        LEFT JOIN s x ON x.distance >= t.d GROUP BY t.d""",
+    "train_test_split": f"""WITH RECURSIVE {_V}, anchor AS (SELECT max(id) AS id FROM v GROUP BY label), free AS (SELECT * FROM v WHERE id NOT IN (FROM anchor)),
+        {_fps_sql('s', 'free', TRAIN + TOLERANCE + 1)}, {_target_sql('a', 's', f'({TRAIN} - (SELECT count(*) FROM anchor))', TOLERANCE)},
+        train AS (FROM anchor UNION SELECT id FROM s WHERE distance >= (SELECT stop FROM a)),
+        l AS (SELECT x.id, any_value(x.v) AS v, min(list_distance(x.v, y.v)) AS d FROM v x JOIN v y ON x.id NOT IN (FROM train) AND y.id IN (FROM train) GROUP BY x.id),
+        pool AS (SELECT id, v, d AS apart FROM l QUALIFY row_number() OVER (ORDER BY d DESC, id) <= greatest({TEST}, floor(count(*) OVER () * {POOL}))),
+        {_fps_sql('t', 'pool', TEST + TOLERANCE + 1, 0.0, 'apart DESC, id')}, {_target_sql('b', 't', str(TEST), TOLERANCE)}
+        SELECT id, CASE WHEN id IN (FROM train) THEN 'train' WHEN id IN (SELECT id FROM t WHERE distance >= (SELECT stop FROM b)) THEN 'test' ELSE 'unselected' END AS split FROM v""",
     "split_labels": """SELECT vec_id AS id, CASE WHEN label = 5 AND vec_id % 2 = 0 THEN 'potential_train' WHEN label IN (3, 4, 5) THEN 'test' WHEN label < 4 THEN 'train' ELSE 'unselected' END AS split FROM embeddings""",
     "structure_hash": """WITH a AS (
             SELECT l_orderkey AS k, p_type AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_discount, l_tax, p_type) AS i,
@@ -208,5 +239,5 @@ ORACLES = {
     "seed_anchor_join": """SELECT printf('seed_%06d', c_custkey) AS seed_id, max(o_orderkey) AS structure_index FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_acctbal > 5000 GROUP BY 1""",
     "positional_identity_join": """SELECT o_orderkey AS structure_index, CASE WHEN o_orderstatus = upper(substr(event_type, 1, 1)) THEN printf('struct_%04d', event_id) END AS path,
         coalesce(o_orderstatus <> upper(substr(event_type, 1, 1)), FALSE) AS mismatch FROM orders LEFT JOIN events ON event_id = o_orderkey""",
-    "missing_dimension": "SELECT DISTINCT p_brand AS element FROM part WHERE p_brand NOT IN (SELECT 'Brand#' || s_nationkey FROM supplier WHERE s_suppkey < 20)",
+    "missing_dimension": "SELECT DISTINCT p_brand AS element FROM part WHERE p_brand NOT IN (SELECT 'Brand#' || s_nationkey FROM supplier)",
 }

@@ -12,7 +12,7 @@ from ferrolite.streaming import jobs
 KIND = {"signup": "submitted", "view": "running", "click": "oom", "purchase": "completed", "error": "failed"}
 
 
-def _events(spark: SparkSession, sf_dir: str, every: int = 1) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.create_map(*[F.lit(x) for kv in KIND.items() for x in kv])
     return table(spark, sf_dir, "events").select((F.col("event_id") % 997).alias("job_id"), F.col("event_id").alias("seq"), kind[F.col("event_type")].alias("kind"), "ts", "value")
 
@@ -46,8 +46,7 @@ def training_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", F.md5(frame.cast("binary")).alias("frame_md5"))
 
 
-_EVENTS = f"""e AS (SELECT event_id % 997 AS job_id, event_id AS seq, CASE event_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in KIND.items())} END AS kind, ts, value FROM events
-        WHERE event_type IN ('signup', 'view', 'click') OR event_id % 9 = 0)"""
+_EVENTS = f"""e AS (SELECT event_id % 997 AS job_id, event_id AS seq, CASE event_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in KIND.items())} END AS kind, ts, value FROM events)"""
 _REPLAY = f"""WITH {_EVENTS}, n AS (SELECT *, sum((kind = 'oom')::INT) OVER w AS k FROM e WINDOW w AS (PARTITION BY job_id ORDER BY seq)),
     f AS (SELECT *, kind IN ('completed', 'failed', 'reused') OR (kind = 'oom' AND k = {jobs.MAX_RETRY + 1}) AS fin FROM n),
     g AS (SELECT *, coalesce(sum(fin::INT) OVER (PARTITION BY job_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS past FROM f),

@@ -153,7 +153,7 @@ ORACLES = {
     "paired_differences": f"""WITH {_RECORDS}, k AS (SELECT *, round(abs(amplitude), 12) AS size, amplitude > 0 AS pos, row_number() OVER (PARTITION BY group_key, mode, round(abs(amplitude), 12), amplitude > 0 ORDER BY path) AS k FROM r WHERE amplitude <> 0)
         SELECT p.group_key, p.mode, p.size AS amplitude, p.k::INTEGER AS k, round(p.stress - m.stress, 6) AS difference FROM k p JOIN k m ON p.pos AND NOT m.pos AND p.group_key = m.group_key AND p.mode = m.mode AND p.size = m.size AND p.k = m.k""",
     "strain_voigt": """WITH m AS (SELECT p_partkey AS structure_index, mode AS elastic_mode, a AS strain_amplitude FROM part, (VALUES (-0.02::DOUBLE), (-0.01), (0.01), (0.02)) t(a),
-            (VALUES ('normal_xx'), ('normal_yy'), ('normal_zz'), ('coupled_xy'), ('coupled_yz'), ('coupled_zx'), ('shear_xy'), ('shear_yz'), ('shear_zx')) u(mode) WHERE p_size <= 10),
+            (VALUES ('normal_xx'), ('normal_yy'), ('normal_zz'), ('coupled_xy'), ('coupled_yz'), ('coupled_zx'), ('shear_xy'), ('shear_yz'), ('shear_zx')) u(mode)),
         k AS (SELECT *, strain_amplitude AS a, 1 / (1 - strain_amplitude * strain_amplitude) - 1 AS c, elastic_mode AS e FROM m)
         SELECT structure_index, elastic_mode, strain_amplitude,
             round(CASE e WHEN 'normal_xx' THEN a WHEN 'coupled_xy' THEN a WHEN 'coupled_yz' THEN c WHEN 'coupled_zx' THEN -a ELSE 0 END, 12) AS e1,

@@ -151,7 +151,7 @@ ORACLES = {
     "outcome_counts": f"""WITH {FACTS_SQL} SELECT a.n_atoms, g.gpus, count(*) FILTER (oom = 0) AS n_ok, count(*) FILTER (oom = 1) AS n_oom
         FROM (SELECT DISTINCT n_atoms FROM facts) a CROSS JOIN (SELECT DISTINCT gpus FROM facts) g LEFT JOIN facts f ON f.n_atoms = a.n_atoms AND f.gpus = g.gpus GROUP BY 1, 2""",
     "config_pivot": f"""WITH {FACTS_SQL}, c AS (SELECT ncore, kpar, CASE WHEN max(CASE WHEN oom = 1 AND n_atoms > 96 THEN 1 ELSE 0 END) = 1 THEN NULL ELSE arg_max(avg_loop_time, avg_loop_time) END AS t
-        FROM facts WHERE n_atoms <= 32 OR ncore < 16 GROUP BY 1, 2)
+        FROM facts GROUP BY 1, 2)
         SELECT ncore, max(CASE WHEN kpar = 1 THEN t END) AS kpar_1, max(CASE WHEN kpar = 2 THEN t END) AS kpar_2, max(CASE WHEN kpar = 4 THEN t END) AS kpar_4 FROM c GROUP BY 1""",
     "predict_params": f"""WITH {FACTS_SQL}, g AS (SELECT * FROM facts WHERE oom <> 1), m AS (SELECT avg(n_electrons) AS me, stddev_pop(n_electrons) AS se, avg(n_kpoints_irr) AS mk, stddev_pop(n_kpoints_irr) AS sk FROM g),
         p AS (SELECT n_electrons, n_kpoints_irr, min(struct_pack(gpus := gpus, t := avg_loop_time, ncore := ncore, kpar := kpar)) AS b FROM g GROUP BY 1, 2),

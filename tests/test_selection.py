@@ -29,7 +29,7 @@ def greedy(ids, v, least, start=0):
 
 def test_target_count_is_not_capped(spark, vectors):
     picks = [d for _, d in greedy(*vectors, 1.2)]
-    assert len(picks) > identity.PICKS
+    assert len(picks) > 12
     got = {r["min_distance"]: r["n"] for r in identity.fps_target_count(spark, SF).collect()}
     assert got == {d: sum(p >= d for p in picks) for d in (1.2, 1.3, 1.35, 1.4, 1.45)}
 
@@ -86,4 +86,4 @@ def test_split_by_selection(spark, vectors):
 
 def test_registered_split_reads_descriptors(spark):
     got = [r["split"] for r in identity.train_test_split(spark, SF).collect()]
-    assert len(got) == 500 and set(got) == {"train"}  # fewer rows than the target
+    assert 190 <= got.count("train") <= 210 and 30 <= got.count("test") <= 50 and set(got) == {"train", "test", "unselected"}
