@@ -87,9 +87,9 @@ class Templates:
         kind[len(a0) :] = NUM
         if reading == LITERAL:
             kind[:] = 0
-        hashes = W.run_hashes(buf, starts, ends)
         order = np.argsort(starts, kind="stable")
-        starts, ends, kind, hashes = starts[order], ends[order], kind[order], hashes[order]
+        starts, ends, kind = starts[order], ends[order], kind[order]
+        hashes = W.run_hashes(buf, starts, ends)
         self.digits = _DIGIT[raw[starts]] if len(starts) else np.zeros(0, bool)
         if len(starts) and reading != LITERAL:
             if reading == NAMES:

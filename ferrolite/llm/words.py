@@ -1,7 +1,8 @@
 """Words and word shingles of whole batches of texts as 64-bit hashes, in numpy.
 
 A batch's UTF-8 bytes are handled as one array: lower-casing, word bounds and the polynomial hash of every
-word take a fixed number of array operations, however many texts there are. White space is ASCII
+word take a fixed number of array operations, however many texts there are. What needs numbers of eight bytes for each
+byte goes in passes of ``PASS`` bytes, within a text as well, so a text of 100 MB takes some bytes of memory for each byte. White space is ASCII
 (0x20, 0x09-0x0D), so no multi-byte character is ever split.
 """
 
@@ -13,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 SHINGLE_WORDS = 5
+#: Bytes that are hashed at once.
+PASS = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -88,19 +91,36 @@ def spans(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.
 
 
 def run_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte run [start, end)."""
-    n = len(buf)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    up, down = powers(n + 1)
-    total = np.empty(n + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_BYTE[buf] * up[:n], out=total[1:])
-    out = (total[ends] - total[starts]) * down[starts]
+    """A 64-bit hash of each byte run [start, end); the runs are in order and do not overlap."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        to = int(np.searchsorted(ends, starts[at] + PASS, side="right"))
+        if to == at:  # a run longer than a pass
+            to = at + 1
+            out[at] = _sum_of(buf[starts[at] : ends[at]])
+        else:
+            low, high = int(starts[at]), int(ends[to - 1])
+            part = buf[low:high]
+            up, down = powers(PASS + 1)
+            total = np.empty(len(part) + 1, np.uint64)
+            total[0] = 0
+            np.cumsum(_BYTE[part] * up[: len(part)], out=total[1:])
+            out[at:to] = (total[ends[at:to] - low] - total[starts[at:to] - low]) * down[starts[at:to] - low]
+        at = to
     out += (ends - starts).astype(np.uint64)
     return mix(out)
 
 
+def _sum_of(run: np.ndarray) -> np.uint64:
+    """The polynomial of one long run, pass by pass."""
+    up, total = powers(PASS + 1)[0], 0
+    for at in range(0, len(run), PASS):
+        part = run[at : at + PASS]
+        total += int((_BYTE[part] * up[: len(part)]).sum()) * pow(int(_P), at, 2**64)
+    return np.uint64(total % 2**64)
+
+
 def words(texts: pa.Array) -> Words:
     """Lower-case A-Z; a word is a run of bytes other than 0x20 and 0x09-0x0D."""
     buf, offsets = raw(texts)
