@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows of one Arrow batch. Texts can be long, so that the default of 10,000 is too many.
 ROWS_PER_BATCH = 1024
@@ -47,6 +48,32 @@ def stash(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(spark: SparkSession, df: DataFrame) -> None:
+    """Delete the table behind a ``stash`` that is no longer read."""
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Keys that are looked up in every task at most, and rows of a key below which it is never one of them.
+HOT_KEYS, HOT_ROWS = 20_000, 512
+
+
+def spread_join(rows: DataFrame, one: DataFrame, on: str) -> DataFrame:
+    """``rows`` joined with ``one``, which has one row for each of their keys, with ``n``, how often ``rows`` has the key.
+
+    Rows of a frequent key stay where they are: keys with more than ``HOT_ROWS`` rows and more than a ``HOT_KEYS``-th of
+    all are ``HOT_KEYS`` at most and are broadcast; only the others' rows are shuffled. So no task gets all rows of one key.
+    """
+    total = one.agg(F.sum("n").alias("n")).first()["n"] or 0
+    most = max(HOT_ROWS, total // HOT_KEYS)
+    hot = one.where(F.col("n") > most)
+    if not hot.take(1):
+        return rows.join(one, on)
+    cold = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(one.where(F.col("n") <= most), on)
+    return rows.join(F.broadcast(hot), on).unionByName(cold)
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns; extra ones may have any names, clashing ones included."""
     return df.select(*[F.col(f"`{n}`") for n in names])
@@ -78,6 +105,29 @@ def smallest(rows: DataFrame, n: int, *by: str) -> DataFrame:
     return ranked.where(F.col("nth") <= n).select("doc_id", *by)
 
 
+def chosen_texts(docs: DataFrame, ids: DataFrame, n: int, most_bytes: int, *by: str) -> DataFrame:
+    """doc_id, text, h (the text's hash) and ``by``: different texts of ``docs`` with the ids of ``ids`` (doc_id, ``by``), in
+    each group ``n`` at most and, in the order of their ids' hashes, as many as fit into ``most_bytes`` together.
+
+    Repeated rows are one. Only numbers of the chosen rows are collected, never texts; ``by`` must have few values.
+    """
+    h = F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")
+    place = F.xxhash64("doc_id")
+    mine = only(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id")  # n ids for each group at most
+    sizes = mine.select("doc_id", h, F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size"), *by).distinct()
+    nth = F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy(place, "doc_id", "h"))
+    rows = sizes.withColumn("nth", nth).where(F.col("nth") <= n).collect()
+    kept, used = [], {}
+    for r in sorted(rows, key=lambda r: (r["nth"], *[str(r[b]) for b in by])):
+        group = tuple(r[b] for b in by)
+        if used.get(group, 0) + r["size"] <= most_bytes:
+            used[group] = used.get(group, 0) + r["size"]
+            kept.append((r["doc_id"], r["h"], *group))
+    schema = T.StructType([sizes.schema["doc_id"], T.StructField("h", T.LongType()), *[sizes.schema[b] for b in by]])
+    marks = docs.sparkSession.createDataFrame(kept, schema)
+    return only(docs, "doc_id", "text").withColumn("h", h).join(F.broadcast(marks), ["doc_id", "h"]).dropDuplicates(["doc_id", "h", *by])
+
+
 def slices(texts: pa.Array, limit: int = BYTES_PER_PASS) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive pieces of a string array of about ``limit`` bytes, with their first position."""
     import numpy as np

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrolite.llm.common import stash
+from ferrolite.llm.common import drop, spread_join, stash
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -17,22 +17,24 @@ def components(edges: DataFrame) -> DataFrame:
     """(u long, v long) links to (node long, component long): the smallest node that each linked node reaches.
 
     Nodes without links are not returned. A star step is one aggregation (the smallest neighbour, combined before it
-    is shuffled) and one join, so a node with very many links is never gathered in one place. Rounds grow with the
+    is shuffled) and one join, in which the links of a node with very many stay where they are. Rounds grow with the
     logarithm of the longest chain. Null ends and self links are left out; no links give no rows.
     """
+    spark = edges.sparkSession
     now = stash(_oriented(edges))
     mark = None
     while True:
         # Large star: every larger neighbour of a node is linked to the node's smallest neighbour (or the node).
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = stash(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")))
+        large = stash(spread_join(both.where("v > u"), least.where("n > 0"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # Small star: a node's smaller neighbours are linked to the smallest of them.
-        large = large.where("u <> v")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
-        now = stash(small)
+        lower = stash(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+        rest = spread_join(large, lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = stash(rest.union(lower.select("u", F.col("m").alias("v"))).distinct())
+        for used in (now, least, large, lower):
+            drop(spark, used)
+        now = small
         seen = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if seen == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolite.llm import words as W
-from ferrolite.llm.common import as_text, only, slices, stash, tuned
+from ferrolite.llm.common import HOT_KEYS, HOT_ROWS, as_text, only, slices, spread_join, stash, tuned
 from ferrolite.llm.components import components
 
 PERMS, BANDS, BITS = 128, 32, 4
@@ -33,7 +33,7 @@ MORE_PERMS, MORE_BITS = 2048, 2
 #: Standard errors that an estimate may lie under the threshold before the pair is put aside.
 SLACK = 4.5
 #: Buckets of up to this many nodes are paired by a join, larger ones in blocks of about BLOCK nodes.
-SMALL, BLOCK = 12, 1024
+SMALL, BLOCK = 12, 4096
 
 _rng = np.random.Generator(np.random.PCG64(77003))
 _A = _rng.integers(0, 2**31, MORE_PERMS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -164,10 +164,19 @@ def _linked(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Of the (u, v) pairs those whose documents are linked."""
-    left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
+    """Of the (u, v) pairs those whose documents are linked.
+
+    The pairs of a frequent ``u`` are dealt over several copies of its text; only those ids and their numbers of copies
+    are broadcast, ``HOT_KEYS`` at most.
+    """
+    counts = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    most = max(HOT_ROWS, (counts.agg(F.sum("n").alias("n")).first()["n"] or 0) // HOT_KEYS)
+    hot = F.broadcast(stash(counts.where(F.col("n") > most).select("u", F.ceil(F.col("n") / most).cast("int").alias("copies"))))
+    left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")).join(hot, "u", "left")
+    left = left.withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1))))).drop("copies")
     right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
-    both = pairs.join(left, "u").join(right, "v")
+    dealt = pairs.join(hot, "u", "left").withColumn("copy", (F.pmod(F.xxhash64("v"), F.coalesce("copies", F.lit(1))) + 1).cast("int")).drop("copies")
+    both = dealt.join(left, ["u", "copy"]).join(right, "v")
     return both.where(F.pandas_udf(_linked, "boolean")("text_u", "text_v", F.lit(percent))).select("u", "v").distinct()
 
 
@@ -213,7 +222,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     nothing). ``component_id`` is the smallest id reachable over links, the document's own included; ``kept`` tells
     whether it is the document's own. Rows that share an id count as one document for links; each row's class follows
     its own text. A row without an id takes no part: null component, kept. Links are found through ``BANDS`` bands of
-    ``ROWS`` minima: a pair at the threshold of 0.75 is missed with a chance of about 5e-6.
+    ``ROWS`` minima: a pair at the threshold of 0.75 is missed with a chance of about 5e-6. Sets are those of 64-bit hashes
+    of shingles, and sets with equal size and two equal sums over them count as equal. A text of any length is one set.
     """
     spark = docs.sparkSession
     low = least_estimate(percent / 100)
@@ -229,7 +239,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     keyed = reps.select("node", F.explode("bands").alias("key"))
     pivots = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")).where("last > pivot")
-    members = stash(keyed.join(pivots.select("key", "pivot", "n"), "key"))  # buckets of one node are gone
+    members = stash(spread_join(keyed, stash(pivots.select("key", "pivot", "n")), "key"))  # buckets of one node are gone
     sigs = reps.select("node", "sig")
     stars = members.where("node > pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
     stars = stars.join(sigs.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(sigs.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v")
@@ -240,7 +250,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     # What is left: buckets with nodes of several components.
     placed = members.where("n > 2").join(reached, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
-    rest = stash(placed.join(mixed.select("key", "n"), "key"))
+    rest = stash(spread_join(placed, stash(mixed.select("key", "n")), "key"))
     high = least_estimate(percent / 100, MORE_PERMS, MORE_BITS)
     wanted = texts.join(rest.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     longer = stash(wanted.mapInArrow(_sign_more, "node bigint, sig array<bigint>"))
