@@ -1,8 +1,9 @@
 """Operator 1: language identification by compression.
 
-A raw-content zstandard dictionary is made for each language from a bounded sample of labelled texts. A text,
-reduced to its lower-case letters, is cut into chunks; every chunk is compressed once with each dictionary, and the
-language with the fewest bytes in total wins; a narrow margin over the next one rejects the text.
+A raw-content zstandard dictionary is made for each language from a bounded sample of labelled texts, which are read
+whole: it holds the words that stand in the most of them, the commonest last, where references to them are shortest. A
+text, reduced to its lower-case letters, is cut into chunks; every chunk is compressed once with each dictionary, and
+the language with the fewest bytes in total wins; a narrow margin over the next one rejects the text.
 """
 
 from __future__ import annotations
@@ -13,19 +14,15 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrolite.llm.common import as_text, only, smallest, tuned
+from ferrolite.llm.common import as_text, chosen_texts, only, smallest, stash, tuned
 
 UNKNOWN = "und"
-#: Labelled documents of each language that a dictionary is made of, pieces of each and their characters.
-SAMPLE_DOCS, PIECES, PIECE = 600, 2, 48
-DICT_BYTES = 48 << 10
+#: Labelled documents of each language that a dictionary is made of and their bytes at most, and its own bytes at most.
+SAMPLE_DOCS, SAMPLE_BYTES, DICT_BYTES = 600, 8 << 20, 48 << 10
 CHUNK = 512
-#: Of a chunk's bytes: by so much at most can one language fall behind in one chunk, so that a long passage which a
-#: dictionary happens to hold does not outweigh the rest of the text.
-MOST_BEHIND = 0.05
 MARGIN = 0.01
 _LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
@@ -36,23 +33,25 @@ def letters(text: str) -> str:
     return _OTHER.sub(" ", text.lower())
 
 
-def fit_dictionaries(docs: DataFrame, train: Column, sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
+def fit_dictionaries(docs: DataFrame, train: Column, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """For each non-null ``lang`` among the rows where ``train`` holds, the content of its dictionary.
 
-    The sample is the ``sample_docs`` documents of the language with the smallest hashed ids; each adds ``PIECES``
-    short pieces at equal distances over its whole text. The first passes read ids and labels only.
+    The sample is the ``sample_docs`` documents of the language with the smallest hashed ids, up to ``sample_bytes`` of
+    whole texts. Their words are counted in Spark, once for each text; what is collected is one dictionary's words.
     """
     labelled = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    ids = smallest(labelled, sample_docs, "lang")
-    n = F.length("text")
-    clean = F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " ")
-    spread = F.array(*[F.substring(F.col("text"), (F.floor(n * k / PIECES) + 1).cast("int"), F.lit(PIECE)) for k in range(PIECES)])
-    taken = labelled.withColumn("text", clean).join(F.broadcast(ids), ["doc_id", "lang"])  # at most sample_docs rows for each language
-    rows = taken.select("lang", F.xxhash64("doc_id").alias("h"), F.when(n <= PIECE * PIECES, F.array("text")).otherwise(spread).alias("t")).collect()
-    found: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], -r["h"], r["t"])):
-        found.setdefault(r["lang"], []).extend(r["t"])
-    return {k: " ".join(v).encode()[-DICT_BYTES:] for k, v in found.items()}
+    labelled = only(labelled, "doc_id", "lang", "text")
+    ids = stash(smallest(labelled, sample_docs, "lang"))
+    texts = chosen_texts(labelled, ids, sample_docs, sample_bytes, "lang")
+    words = F.explode(F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " ")), " "))).alias("word")
+    counts = texts.select("lang", words).where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    upto = F.sum(F.octet_length("word") + 1).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = counts.withColumn("nth", F.row_number().over(order)).withColumn("upto", upto).where(F.col("upto") <= dict_bytes).select("lang", "nth", "word").collect()
+    found: dict[str, list[str]] = {r["lang"]: [] for r in ids.select("lang").distinct().collect()}
+    for r in sorted(rows, key=lambda r: (r["lang"], -r["nth"])):
+        found[r["lang"]].append(r["word"])
+    return {k: (" ".join(v) + " ").encode() for k, v in found.items()}
 
 
 class Compressors:
@@ -70,20 +69,14 @@ class Compressors:
             d.precompute_compress(compression_params=params)
             self.coders.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress)
 
-    def sizes(self, text: str) -> list[float]:
+    def sizes(self, text: str) -> list[int]:
         """Bytes of the whole text with each dictionary, summed over its chunks."""
         data = letters(text).encode()
-        total = [0.0] * len(self.coders)
-        for at in range(0, len(data), CHUNK):
-            part = data[at : at + CHUNK]
-            sizes = [len(c(part)) for c in self.coders]
-            most = min(sizes) + max(1.0, MOST_BEHIND * len(part))
-            for k, s in enumerate(sizes):
-                total[k] += min(s, most)
-        return total
+        parts = [data[at : at + CHUNK] for at in range(0, len(data), CHUNK)]
+        return [sum(len(c(part)) for part in parts) for c in self.coders]
 
 
-def judge(names: list[str], sizes: list[float], margin: float) -> tuple[str, float, float, bool]:
+def judge(names: list[str], sizes: list[int], margin: float) -> tuple[str, float, float, bool]:
     """Best language, a score from 0 to 1 (soft minimum of the sizes), relative margin, rejected or not."""
     order = sorted(range(len(names)), key=lambda k: (sizes[k], names[k]))
     best = sizes[order[0]]
