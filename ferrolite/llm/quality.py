@@ -17,14 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolite.llm import words as W
-from ferrolite.llm.common import as_text, only, slices, smallest, tuned
+from ferrolite.llm.common import as_text, chosen_texts, only, slices, smallest, stash, tuned
 
 WIDTH, FILTERS, VECTOR = 5, 16, 8
 #: Chunks of 512 bytes that begin every 256 bytes: four blocks of which two are shared with the next chunk.
 BLOCK, BLOCKS, STEP = 128, 4, 2
 CHUNK = BLOCK * BLOCKS
-#: Labelled documents of each class to learn from at most, and random chunks of each in an epoch.
-SAMPLE_DOCS, SAMPLE_CHUNKS, EPOCHS = 1200, 8, 8
+#: Bytes whose filter responses are held at once.
+PASS = 1 << 18
+#: Labelled documents of each class to learn from at most and their bytes, and random chunks of a long one in an epoch.
+SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_CHUNKS, EPOCHS = 1200, 32 << 20, 8, 8
 
 
 @dataclass
@@ -47,21 +49,26 @@ class Network:
         buf = np.zeros((int(ends[-1]) if len(ends) else 0) + WIDTH - 1, np.uint8)
         for a, b, s in zip(offsets[:-1].tolist(), offsets[1:].tolist(), starts.tolist(), strict=True):
             buf[s : s + b - a] = raw[a:b]
-        n = max(1, len(buf) - WIDTH + 1)
-        response = self.tables[0][buf[:n]]
-        for k in range(1, WIDTH):
-            response += self.tables[k][buf[k : n + k]]
         # Maxima of blocks, then of chunks, then mean, maximum and minimum over the chunks.
         blocks = -(-full // BLOCK)
         first = np.concatenate([[0], np.cumsum(blocks)])
         nth = np.arange(first[-1]) - np.repeat(first[:-1], blocks)
         begin = np.repeat(starts, blocks) + nth * BLOCK
         end = np.minimum(begin + BLOCK, np.repeat(starts + full, blocks))
-        edges = np.empty(2 * len(begin), np.int64)
-        edges[0::2], edges[1::2] = begin, np.minimum(end, n)
-        if edges[-1] >= n:
-            edges = edges[:-1]
-        tops = np.maximum.reduceat(response, edges, axis=0)[0::2]
+        # Blocks are pooled in passes, within a text as well: responses of one pass are held at a time.
+        tops = np.empty((len(begin), FILTERS), np.float32)
+        at = 0
+        while at < len(begin):
+            to = max(at + 1, int(np.searchsorted(end, begin[at] + PASS, side="right")))
+            low, n = int(begin[at]), int(end[to - 1] - begin[at])
+            part = buf[low : low + n + WIDTH - 1]
+            response = self.tables[0][part[:n]]
+            for k in range(1, WIDTH):
+                response += self.tables[k][part[k : n + k]]
+            edges = np.empty(2 * (to - at), np.int64)
+            edges[0::2], edges[1::2] = begin[at:to] - low, end[at:to] - low
+            tops[at:to] = np.maximum.reduceat(response, edges[:-1], axis=0)[0::2]
+            at = to
         chunks = np.maximum(1, -(-(blocks - BLOCKS) // STEP) + 1)
         cfirst = np.concatenate([[0], np.cumsum(chunks)])
         cnth = np.arange(cfirst[-1]) - np.repeat(cfirst[:-1], chunks)
@@ -77,12 +84,13 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
-def _chunks_of(texts: list[bytes], draw: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Up to SAMPLE_CHUNKS chunks at random places of each text: bytes, lengths, and the text of each."""
+def _chunks_of(texts: list[bytes], draw: np.random.Generator, most: int = SAMPLE_CHUNKS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All chunks of each text, or ``most`` at random places all over it where it has more: bytes, lengths, and the text
+    of each."""
     x, sizes, of = [], [], []
     for d, t in enumerate(texts):
         last = max(0, len(t) - CHUNK)
-        places = range(0, last + 1, STEP * BLOCK) if last <= (SAMPLE_CHUNKS - 1) * STEP * BLOCK else draw.integers(0, last + 1, SAMPLE_CHUNKS).tolist()
+        places = range(0, last + 1, STEP * BLOCK) if last <= (most - 1) * STEP * BLOCK else draw.integers(0, last + 1, most).tolist()
         for p in places:
             part = t[p : p + CHUNK]
             x.append(np.frombuffer(part.ljust(CHUNK + WIDTH - 1, b"\0"), np.uint8))
@@ -91,7 +99,7 @@ def _chunks_of(texts: list[bytes], draw: np.random.Generator) -> tuple[np.ndarra
     return np.array(x), np.array(sizes), np.array(of)
 
 
-def train(texts: list[bytes], labels: list[int], shift: float = 0.0, seed: int = 2) -> Network:
+def train(texts: list[bytes], labels: list[int], shift: float = 0.0, seed: int = 2, chunks: int = SAMPLE_CHUNKS) -> Network:
     """Fit the network by Adam on the logistic loss; ``shift`` is added to the log odds in the end."""
     draw = np.random.Generator(np.random.PCG64(seed))
     vectors = draw.normal(0, 0.5, (256, VECTOR))
@@ -104,7 +112,7 @@ def train(texts: list[bytes], labels: list[int], shift: float = 0.0, seed: int =
         rate = 0.02 * (1 - epoch / EPOCHS) + 0.002
         for at in range(0, len(order), size):
             rows = order[at : at + size]
-            x, sizes, of = _chunks_of([texts[r] for r in rows], draw)
+            x, sizes, of = _chunks_of([texts[r] for r in rows], draw, chunks)
             tables = np.einsum("be,kef->kbf", p[0], p[1]).astype(np.float32)
             response = tables[0][x[:, :CHUNK]]
             for k in range(1, WIDTH):
@@ -140,23 +148,27 @@ def train(texts: list[bytes], labels: list[int], shift: float = 0.0, seed: int =
     return Network(tables, p[2].astype(np.float32), p[3], float(p[4][0]) + shift)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, sample_docs: int = SAMPLE_DOCS) -> Network:
+def fit(
+    docs: DataFrame, labels: DataFrame, train_rows: Column, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES, chunks: int = SAMPLE_CHUNKS
+) -> Network:
     """Learn from the rows of ``labels`` (doc_id, quality 0 or 1) where ``train_rows``, a condition on doc_id, holds.
 
-    The ``sample_docs`` labelled documents of each class with the smallest hashed ids are used, the classes' true
-    shares enter as a shift of the log odds. Without labelled documents of both classes every score is 0.5.
+    Of each class ``sample_docs`` labelled documents, those with the smallest hashed ids, are used, up to ``sample_bytes``
+    of whole texts; repeated rows count once. In an epoch a text is seen in all its chunks, a longer one in ``chunks``
+    random ones of all of it, drawn anew each time. The classes' true shares enter as a shift of the log odds. Without
+    labelled documents of both classes every score is 0.5.
     """
     known = only(labels, "doc_id", "quality").where(train_rows & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     known = known.join(only(docs, "doc_id"), "doc_id", "left_semi").distinct()
     share = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen = smallest(known, sample_docs, "quality")
-    rows = only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", F.xxhash64("doc_id").alias("h"), "text").collect()
+    chosen = stash(smallest(known, sample_docs, "quality"))
+    rows = chosen_texts(docs, chosen, sample_docs, sample_bytes, "quality").select("quality", F.xxhash64("doc_id").alias("h"), "text").collect()
     rows = sorted(rows, key=lambda r: (r["h"], r["text"] or ""))
     n = {k: sum(r["quality"] == k for r in rows) for k in (0, 1)}
     if not n[0] or not n[1]:
         return Network(np.zeros((WIDTH, 256, FILTERS), np.float32), np.zeros(FILTERS, np.float32), np.zeros(3 * FILTERS), 0.0)
     shift = float(np.log(share[1] / share[0]) - np.log(n[1] / n[0]))
-    return train([(r["text"] or "").encode() for r in rows], [r["quality"] for r in rows], shift)
+    return train([(r["text"] or "").encode() for r in rows], [r["quality"] for r in rows], shift, chunks=chunks)
 
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -166,7 +178,8 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
     """doc_id and score (0 to 1) of each row's whole text.
 
     A null text counts as an empty one and gets the score of a single zero byte. Rows are scored one by one: repeated
-    rows, null ids and extra columns change nothing. Texts are handled in passes of a few megabytes.
+    rows, null ids and extra columns change nothing. Filter responses are held for ``PASS`` bytes at a time, in a text of
+    any length.
     """
     held = tuned(docs.sparkSession).sparkContext.broadcast(network)  # some tables of fixed size
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrolite.llm import words as W
-from ferrolite.llm.common import as_text, only, slices, smallest, tuned
+from ferrolite.llm.common import as_text, chosen_texts, only, slices, smallest, stash, tuned
 
 # The marked kinds, in the order in which equal starts are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -29,8 +29,8 @@ _WORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
 #: Shortest run that the models judge, fewest different characters in it, and the ratio (in nats) from which it is a secret.
 RUN, DISTINCT, RATIO = 20, 8, 18.0
-#: Documents whose ordinary words the models learn from at most.
-SAMPLE_DOCS = 400
+#: Documents whose ordinary words the models learn from at most, and their bytes.
+SAMPLE_DOCS, SAMPLE_BYTES = 400, 8 << 20
 
 _CHARS = string.ascii_letters + string.digits + "+/=_-"
 _CLASS = np.full(256, -1, dtype=np.int16)
@@ -76,15 +76,16 @@ def identifiers(count: int = 1500, seed: int = 10) -> list[str]:
     return out
 
 
-def ordinary_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[str]:
-    """Labelled samples of ordinary strings: words of the ``sample_docs`` documents with the smallest hashed ids.
+def ordinary_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> list[str]:
+    """Labelled samples of ordinary strings: the words of ``sample_docs`` documents, those with the smallest hashed ids,
+    up to ``sample_bytes`` of whole texts.
 
-    What the patterns mark and what mixes digits with letters is left out; a document adds at most 200 words.
+    What the patterns mark and what mixes digits with letters is left out. Words are made different in Spark.
     """
-    ids = smallest(docs, sample_docs)
-    found = F.slice(F.array_distinct(F.regexp_extract_all("text", F.lit(r"([A-Za-z0-9+/=_-]{6,})"), F.lit(1))), 1, 200)
-    rows = only(docs, "doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").select(found.alias("w"))
-    words = sorted({w for r in rows.collect() for w in r["w"]})
+    ids = stash(smallest(docs, sample_docs))
+    texts = chosen_texts(docs, ids, sample_docs, sample_bytes)
+    found = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"([A-Za-z0-9+/=_-]{6,})"), F.lit(1)))).alias("w")
+    words = sorted(r["w"] for r in texts.select(found).distinct().collect())
     return [w for w in words if not HEX.search(w) and not ACCESS.search(w) and (w.isdigit() or not any(c.isdigit() for c in w))]
 
 
