@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EDGE = 1e-12
 
@@ -101,7 +106,32 @@ def deficit_reward(count: Column, total: Column, bins: int) -> Column:
     return F.greatest(F.lit(0), target - count) / target
 
 
+@F.pandas_udf(T.StringType())
+def _labels(names: pd.Series, shares: pd.Series) -> pd.Series:
+    return pd.Series(["-".join(k if v == 1 else f"{k}{v:.2g}" for k, v in zip(n, s, strict=True)) if n is not None else None for n, s in zip(names, shares, strict=True)], dtype=object)
+
+
 def label(composition: Column) -> Column:
-    """Elements by falling share, each followed by its share as a whole percentage (halves up)."""
+    """Elements by falling share, ties by name, joined by -: each with its share to two significant digits, but the bare
+    name at 1. Digits are those of C's %.2g, which no built-in function rounds alike, hence the Arrow function."""
     entries = F.array_sort(F.transform(F.map_entries(composition), lambda e: F.struct((-e["value"]).alias("s"), e["key"].alias("k"))))
-    return F.array_join(F.transform(entries, lambda e: F.concat(e["k"], F.floor(-e["s"] * 100 + 0.5).cast("string"))), " ")
+    return _labels(F.transform(entries, lambda e: e["k"]), F.transform(entries, lambda e: -e["s"]))
+
+
+@F.pandas_udf(T.StringType())
+def fraction_label(values: pd.Series) -> pd.Series:
+    """p/q where a fraction of a denominator up to a million is within 1e-12, six decimals otherwise."""
+    out = []
+    for v in values:
+        f = Fraction(v).limit_denominator() if v is not None and math.isfinite(v) else None
+        out.append(None if f is None else f"{f.numerator}/{f.denominator}" if abs(float(f) - v) <= 1e-12 else f"{v:.6f}")
+    return pd.Series(out, dtype=object)
+
+
+def bin_centre(bin_: Column, bins: int) -> Column:
+    return (bin_ + 0.5) / bins
+
+
+def ternary_centre(i: Column, j: Column, k: Column, resolution: int) -> list[Column]:
+    """Barycentric coordinates of a cell."""
+    return [x / F.lit(float(resolution)) for x in (i, j, k)]

@@ -2,24 +2,51 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)`` with ``x`` worked out once, however often ``f`` uses it."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def _triples(v: np.ndarray) -> list[str]:
+    return [f"{x:.14f} {y:.14f} {z:.14f}" for x, y, z in zip(v[0::3], v[1::3], v[2::3], strict=False)]
 
 
-def number(x: Column) -> Column:
-    return F.format_string("%.14f", x)
+@F.pandas_udf(T.StringType())
+def _cell_lines(cells: pd.Series) -> pd.Series:
+    """Nine numbers as three lines, rounded from their exact binary value: the JVM rounds their shortest decimal form,
+    which gives another last digit for some, hence the Arrow function."""
+    return pd.Series([None if v is None else "\n".join(_triples(v)) for v in cells], dtype=object)
 
 
-def row(xs: Column) -> Column:
-    return F.array_join(F.transform(xs, number), " ")
+@F.pandas_udf(T.StringType())
+def _atom_lines(symbols: pd.Series, positions: pd.Series) -> pd.Series:
+    """Atoms by element, in input order within one."""
+    out = []
+    for s, v in zip(symbols, positions, strict=True):
+        lines = None if s is None or v is None else [f"{e} {p}" for e, p in zip(s, _triples(v), strict=False)]
+        out.append(None if lines is None else "\n".join(lines[k] for k in sorted(range(len(lines)), key=lambda k: s[k])))
+    return pd.Series(out, dtype=object)
 
 
 def canonical_text(symbols: Column, positions: Column, cell: Column, pbc: Column) -> Column:
-    """A version line, periodicity, cell rows and atoms: by element, in input order within one, 14 decimals."""
-    atoms = F.transform(F.arrays_zip(symbols.alias("s"), positions.alias("p")), lambda a, i: F.struct(a["s"].alias("s"), i.alias("i"), a["p"].alias("p")))
-    lines = F.transform(F.array_sort(atoms), lambda a: F.concat_ws(" ", a["s"], row(a["p"])))
+    """A version line, periodicity, cell rows and atoms: by element, in input order within one, 14 decimals, a line end last.
+
+    Positions are shares of the cell's vectors; ``scaled`` makes them from Cartesian ones.
+    """
     periodic = F.array_join(F.transform(pbc, lambda b: b.cast("int").cast("string")), " ")
-    return F.concat_ws("\n", F.lit("structure-v1"), F.concat(F.lit("pbc "), periodic), F.lit("cell"), F.array_join(F.transform(cell, row), "\n"), F.lit("atoms"), F.array_join(lines, "\n"))
+    # The layout of the text, line by line; hashes of other tools depend on it.
+    lines = [F.lit("structure-v1"), F.concat(F.lit("pbc "), periodic), F.lit("cell"), _cell_lines(F.flatten(cell)), F.lit("atoms"), _atom_lines(symbols, F.flatten(positions)), F.lit("")]
+    return F.concat_ws("\n", *lines)
 
 
 def structure_hash(symbols: Column, positions: Column, cell: Column, pbc: Column) -> Column:
@@ -39,15 +66,16 @@ def determinant(m: Column) -> Column:
 
 def inverse(m: Column) -> Column:
     """Of a nested 3 x 3 array, in closed form; null if the determinant is below 1e-15 in size."""
-    a = [[m[i][j] for j in range(3)] for i in range(3)]
-    d = determinant(m)
 
-    def minor(i: int, j: int) -> Column:
+    def minor(a: Column, d: Column, i: int, j: int) -> Column:
         r, c = [k for k in range(3) if k != j], [k for k in range(3) if k != i]
         x = a[r[0]][c[0]] * a[r[1]][c[1]] - a[r[0]][c[1]] * a[r[1]][c[0]]
         return (x if (i + j) % 2 == 0 else -x) / d
 
-    return F.when(F.abs(d) >= 1e-15, F.array(*[F.array(*[minor(i, j) for j in range(3)]) for i in range(3)]))
+    def made(a: Column, d: Column) -> Column:
+        return F.when(F.abs(d) >= 1e-15, F.array(*[F.array(*[minor(a, d, i, j) for j in range(3)]) for i in range(3)]))
+
+    return let(m, lambda a: let(determinant(a), lambda d: made(a, d)))
 
 
 def times(v: Column, m: Column) -> Column:
@@ -55,6 +83,30 @@ def times(v: Column, m: Column) -> Column:
     return F.array(*[v[0] * m[0][j] + v[1] * m[1][j] + v[2] * m[2][j] for j in range(3)])
 
 
+def product(a: Column, b: Column) -> Column:
+    """Matrix product of two nested 3 x 3 arrays; null if either is."""
+    return let(a, lambda x: let(b, lambda y: F.when(x.isNotNull() & y.isNotNull(), F.array(*[times(x[i], y) for i in range(3)]))))
+
+
+def scaled(positions: Column, cell: Column) -> Column:
+    """Cartesian positions as shares of the cell's vectors, not wrapped; null for a flat cell.
+
+    Work them out in a stage before ``structure_hash`` (before a grouping, say): Spark does not find an Arrow function whose
+    input has a lambda in a lambda.
+    """
+    return let(inverse(cell), lambda inv: F.when(inv.isNotNull(), F.transform(positions, lambda p: times(p, inv))))
+
+
+def kpoint_mesh(cell: Column, spacing: Column) -> Column:
+    """Divisions along each reciprocal axis: ceil(2 pi |b| / spacing), 1 at least. Symmetry is not used."""
+
+    def one(inv: Column, j: int) -> Column:
+        length = F.sqrt(inv[0][j] * inv[0][j] + inv[1][j] * inv[1][j] + inv[2][j] * inv[2][j])
+        return F.greatest(F.lit(1), F.ceil(F.lit(2 * math.pi) * length / spacing)).cast("int")
+
+    return let(inverse(cell), lambda inv: F.when(inv.isNotNull(), F.array(*[one(inv, j) for j in range(3)])))
+
+
 def replicates(cell: Column, cutoff: Column) -> Column:
     """Repeats along each axis for twice the cutoff: by the diagonal, or by the row's length where that is about 0."""
 

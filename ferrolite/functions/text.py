@@ -12,6 +12,12 @@ ELECTRONS = r"NELECT\s*=\s*([0-9.]+)"
 RANKS = r"running\s+([0-9]+)\s+mpi-ranks"
 CORES = r"running on\s+([0-9]+)\s+total cores"
 STRESS = r"in kB\s+(-?[0-9.]+)\s+(-?[0-9.]+)\s+(-?[0-9.]+)\s+(-?[0-9.]+)\s+(-?[0-9.]+)\s+(-?[0-9.]+)"
+_NUMBER = r"([-+]?[0-9]+(?:\.[0-9]*)?(?:[eE][-+]?[0-9]+)?)"
+_ROW = r"[^\n0-9+-]*" + r"[^\n0-9+-]+".join([_NUMBER] * 3) + r"[^\n]*"
+STRESS_BLOCK = r"STRESS\s+in cartesian coordinates \(kB\)" + (r"\n\s+" + r"\s+".join([r"([-.\d]+)"] * 3)) * 3
+STRESS_LOOSE = r"(?im)^(?=[^\n]*STRESS)(?=[^\n]*KB)[^\n]*\n(?:[^\n]*\n){0,4}?" + r"\n(?:[^\n]*\n){0,2}?".join([_ROW] * 3)
+STRESS_LINE = r"(?im)^(?=[^\n]*STRESS)(?=[^\n]*KB)[^\n]*?" + r"[^\n0-9+-]+".join([_NUMBER] * 6) + r"[^\n0-9]*$"
+KB_A3_PER_EV = 1602.17663
 COMPLETE = "General timing|Voluntary context switches"
 
 
@@ -41,12 +47,31 @@ def electrons(text: Column) -> Column:
     return F.floor(_some(text, ELECTRONS).cast("double")).cast("int")
 
 
+def stress_matrix_gpa(text: Column) -> Column:
+    """Nine numbers, row-major, in GPa: of the last block of three rows under its header, of the last header that has
+    three rows of numbers in the lines after it, or of the last line of six components; null without any."""
+
+    def last(pattern: str, n: int) -> tuple[Column, list[Column]]:
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        return F.size(found) > 0, [F.regexp_extract(F.element_at(found, -1), pattern, k).try_cast("double") * 0.1 for k in range(1, n + 1)]
+
+    (is_block, block), (is_loose, loose), (is_line, line), (is_short, short) = last(STRESS_BLOCK, 9), last(STRESS_LOOSE, 9), last(STRESS_LINE, 6), last(STRESS, 6)
+
+    def six(v: list[Column]) -> Column:  # xx yy zz xy yz zx
+        return F.array(v[0], v[3], v[5], v[3], v[1], v[4], v[5], v[4], v[2])
+
+    return F.when(is_block, F.array(*block)).when(is_loose, F.array(*loose)).when(is_line, six(line)).when(is_short, six(short))
+
+
 def stress_gpa(text: Column) -> Column:
-    """xx yy zz yz xz xy in GPa of the last six-component line (there xx yy zz xy yz zx in kB); null without one."""
-    lines = F.regexp_extract_all(text, F.lit(STRESS), F.lit(0))
-    last = F.element_at(lines, -1)
-    v = [F.regexp_extract(last, STRESS, k).cast("double") * 0.1 for k in range(1, 7)]
-    return F.when(F.size(lines) > 0, F.array(v[0], v[1], v[2], v[4], v[5], v[3]))
+    """xx yy zz yz xz xy in GPa; see ``stress_matrix_gpa``."""
+    m = stress_matrix_gpa(text)
+    return F.when(m.isNotNull(), F.array(m[0], m[4], m[8], (m[5] + m[7]) / 2, (m[2] + m[6]) / 2, (m[1] + m[3]) / 2))
+
+
+def virial(stress_kb: Column, volume: Column) -> Column:
+    """Minus stress times volume, in eV, of nine numbers in kB and a volume in cubic angstrom."""
+    return F.transform(stress_kb, lambda x: -x * volume / F.lit(KB_A3_PER_EV))
 
 
 def is_complete(text: Column, window: int = 50_000) -> Column:

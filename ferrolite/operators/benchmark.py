@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferrolite.operators.distance import nearest_values
+
 SETTINGS = ["ncore", "kpar"]
 
 
@@ -56,8 +58,8 @@ def predicted(queries: DataFrame, facts: DataFrame, cores: int = 64, gpus: list[
     """Settings for new jobs (query_id, n_electrons, n_kpoints_irr) from the nearest benchmark runs.
 
     Features are standardised over the history; of the points at the smallest distance (within 1e-6) the fewest GPUs
-    and then the shortest time decide. The history is first reduced to one row for each point, so that each query
-    meets different points only. Null with fewer than three rows of history.
+    and then the shortest time decide. Both sides are first reduced to different points, and these meet in blocks, of
+    which each returns its nearest ones. Null with fewer than three rows of history.
     """
     good = facts.where("oom <> 1")
     moments = good.agg(
@@ -68,14 +70,14 @@ def predicted(queries: DataFrame, facts: DataFrame, cores: int = 64, gpus: list[
     def sd(c: str) -> Column:
         return F.when(F.col(c) == 0, 1.0).otherwise(F.col(c))
 
-    held = points.crossJoin(F.broadcast(moments)).where("rows >= 3").select(((F.col("n_electrons") - F.col("me")) / sd("se")).alias("e"), ((F.col("n_kpoints_irr") - F.col("mk")) / sd("sk")).alias("k"), "best")
-    # All points as one array: they are different settings of one benchmark, a few hundred.
-    bank = held.agg(F.collect_list(F.struct("e", "k", "best")).alias("bank"))
-    asked = queries.crossJoin(F.broadcast(moments)).crossJoin(F.broadcast(bank)).select(
-        "query_id", ((F.col("n_electrons") - F.col("me")) / sd("se")).alias("qe"), ((F.col("n_kpoints_irr") - F.col("mk")) / sd("sk")).alias("qk"), "bank"
-    )
-    near = F.transform("bank", lambda p: F.struct(F.sqrt((p["e"] - F.col("qe")) ** 2 + (p["k"] - F.col("qk")) ** 2).alias("d"), p["best"].alias("best")))
-    asked = asked.select("query_id", near.alias("near")).withColumn("least", F.array_min(F.transform("near", lambda p: p["d"])))
-    best = F.array_min(F.transform(F.filter("near", lambda p: p["d"] <= F.col("least") + 1e-6), lambda p: p["best"]))
-    found = asked.select("query_id", best.alias("b"))
+    def standard(rows: DataFrame) -> DataFrame:
+        """Rows with both features standardised; the moments are one row."""
+        e, k = (F.col("n_electrons") - F.col("me")) / sd("se"), (F.col("n_kpoints_irr") - F.col("mk")) / sd("sk")
+        return rows.join(F.broadcast(moments.where("rows >= 3"))).withColumn("v", F.array(e, k))
+
+    asked = queries.select("n_electrons", "n_kpoints_irr").distinct()
+    near = nearest_values(standard(asked).withColumn("id", F.xxhash64("n_electrons", "n_kpoints_irr")), standard(points), "best", "struct<gpus:int,avg_loop_time:double,ncore:int,kpar:int>")
+    least = near.groupBy("id").agg(F.min("d").alias("least"))
+    best = near.join(least, "id").where(F.col("d") <= F.col("least") + 1e-6).groupBy("id").agg(F.min("best").alias("b"))
+    found = queries.withColumn("id", F.xxhash64("n_electrons", "n_kpoints_irr")).join(best, "id", "left")
     return found.select("query_id", snap(F.col("b.gpus"), gpus or [1, 2, 4]).alias("gpus"), snap(F.col("b.ncore"), powers_of_two(cores)).alias("ncore"), F.col("b.kpar").alias("kpar"), F.col("b.avg_loop_time").alias("avg_loop_time"))

@@ -58,6 +58,28 @@ def nearest(probe: DataFrame, build: DataFrame, itself: bool = False, block: int
     return probe.select("id").join(least, "id", "left").select("id", F.coalesce("d", inf).alias("distance"), F.coalesce("pd", inf).alias("positive_distance"))
 
 
+def nearest_values(probe: DataFrame, build: DataFrame, value: str, kind: str, within: float = 1e-6, block: int = BLOCK) -> DataFrame:
+    """id, d, ``value``: for each ``probe`` row (id, v) and block of ``build`` rows (v and ``value``) those at the block's
+    smallest distance, up to ``within`` more; blocks meet as in ``nearest``."""
+    n, m = [max(1, -(-x.count() // block)) for x in (probe, build)]
+    left = _blocks(probe, n, m, "i", "j")
+    right = build.select("v", F.col(value), F.pmod(F.xxhash64("v"), F.lit(m)).cast("int").alias("j"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+
+    def run(probe: pd.DataFrame, build: pd.DataFrame) -> pd.DataFrame:
+        out: dict[str, list] = {"id": [], "d": [], value: []}
+        if len(build):
+            b, values = np.array(build["v"].tolist(), np.float64), build[value].tolist()
+            for i, v in zip(probe["id"], probe["v"], strict=True):
+                d = np.sqrt(((b - np.asarray(v, np.float64)) ** 2).sum(axis=1))
+                for k in np.flatnonzero(d <= d.min() + within).tolist():
+                    out["id"].append(i)
+                    out["d"].append(d[k])
+                    out[value].append(values[k])
+        return pd.DataFrame(out)
+
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(run, f"id bigint, d double, {value} {kind}")
+
+
 def summary(distances: DataFrame, digits: int = 9) -> DataFrame:
     """One row: count, min, mean, exact p50, p95, p99, max of ``distance``."""
     d = F.col("distance")

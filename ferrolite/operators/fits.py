@@ -60,52 +60,58 @@ def _bases(symmetry: str) -> tuple[list[str], np.ndarray]:
     return list(table), out
 
 
-def fit_tensor(moments: np.ndarray, symmetry: str) -> tuple[np.ndarray, int]:
-    """6 x 6 tensor and rank from the moments of centred strains and stresses: (strain x strain, strain x stress)."""
+def fit_tensor(moments: np.ndarray, symmetry: str) -> tuple[np.ndarray, int, float]:
+    """6 x 6 tensor, rank and asymmetry from the moments of centred strains and stresses: (strain x strain, strain x stress)."""
     ee, es = moments[:36].reshape(6, 6), moments[36:72].reshape(6, 6)
     rank = int(np.linalg.matrix_rank(ee, tol=1e-12 * max(1e-30, np.abs(ee).max())))
     if symmetry == "general":
         if rank < 6:
-            return np.full((6, 6), np.nan), rank
+            return np.full((6, 6), np.nan), rank, np.nan
         c = np.linalg.solve(ee, es)
-        return (c + c.T) / 2, rank
+        return (c + c.T) / 2, rank, float(np.abs(c - c.T).max())
     _, bases = _bases(symmetry)
     # Least squares over all components: <B_m e, B_n e> and <B_m e, s>, both sums over the moments.
     a = np.array([[np.trace(m @ ee @ n.T) for n in bases] for m in bases])
     b = np.array([np.trace(m @ es) for m in bases])
     if np.linalg.matrix_rank(a) < len(bases):
-        return np.full((6, 6), np.nan), int(np.linalg.matrix_rank(a))
-    return np.tensordot(np.linalg.solve(a, b), bases, axes=1), len(bases)
+        return np.full((6, 6), np.nan), int(np.linalg.matrix_rank(a)), np.nan
+    return np.tensordot(np.linalg.solve(a, b), bases, axes=1), len(bases), 0.0
 
 
 def elastic_tensors(records: DataFrame, symmetry: str = "general", least_records: int = 7) -> DataFrame:
-    """group_key, n, rank, tensor (36 numbers, row-major, null if the strains do not determine it), rmse, least_eigenvalue.
+    """group_key, n, rank, tensor (36 numbers, row-major, null if the strains do not determine it), rmse,
+    least_eigenvalue, asymmetry (the largest difference of mirrored entries before they are made equal).
 
     ``records``: group_key, strain_voigt, stress_voigt_gpa (arrays of six). The fit has an intercept and needs only
-    sums of products, which Spark combines for each group before the shuffle; the small algebra is done on one row for each group.
+    covariances, which Spark combines for each group before the shuffle and in which small strains and large offsets do
+    not cancel; the small algebra is done on one row for each group.
     """
     e = [F.col("strain_voigt")[i] for i in range(6)]
     s = [F.col("stress_voigt_gpa")[i] for i in range(6)]
-    sums = [F.sum(x) for x in (*e, *s)] + [F.sum(x * y) for x in e for y in e] + [F.sum(x * y) for x in e for y in s] + [F.sum(x * y) for x in s for y in s]
-    grouped = records.groupBy("group_key").agg(F.count(F.lit(1)).alias("n"), F.array(*sums).alias("m")).where(F.col("n") >= least_records)
+    n = F.count(F.lit(1))
+    both = e + s
+    covariance = {(i, j): F.covar_pop(both[i], both[j]) * n for i in range(12) for j in range(i, 12)}
+
+    def block(rows: range, columns: range) -> list[Column]:
+        return [covariance[min(i, j), max(i, j)] for i in rows for j in columns]
+
+    strain, stress = range(6), range(6, 12)
+    sums = block(strain, strain) + block(strain, stress) + block(stress, stress)
+    grouped = records.groupBy("group_key").agg(n.alias("n"), F.array(*sums).alias("m")).where(F.col("n") >= least_records)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for key, n, m in zip(pdf["group_key"], pdf["n"], pdf["m"], strict=True):
-                m = np.asarray(m, float)
-                me, ms = m[:6] / n, m[6:12] / n
-                ee = m[12:48].reshape(6, 6) - n * np.outer(me, me)
-                es = m[48:84].reshape(6, 6) - n * np.outer(me, ms)
-                ss = m[84:120].reshape(6, 6) - n * np.outer(ms, ms)
-                c, rank = fit_tensor(np.concatenate([ee.ravel(), es.ravel()]), symmetry)
+                ee, es, ss = np.asarray(m, float).reshape(3, 6, 6)
+                c, rank, asymmetry = fit_tensor(np.concatenate([ee.ravel(), es.ravel()]), symmetry)
                 ok = bool(np.isfinite(c).all())
                 rest = np.trace(ss) - 2 * np.trace(c @ es) + np.trace(c @ ee @ c.T) if ok else np.nan
-                rows.append((key, n, rank, c.ravel().tolist() if ok else None, float(np.sqrt(max(rest, 0) / (6 * n))) if ok else None, float(np.linalg.eigvalsh((c + c.T) / 2).min()) if ok else None))
-            yield pd.DataFrame(rows, columns=["group_key", "n", "rank", "tensor", "rmse", "least_eigenvalue"])
+                rows.append((key, n, rank, c.ravel().tolist() if ok else None, float(np.sqrt(max(rest, 0) / (6 * n))) if ok else None, float(np.linalg.eigvalsh((c + c.T) / 2).min()) if ok else None, asymmetry if ok else None))
+            yield pd.DataFrame(rows, columns=["group_key", "n", "rank", "tensor", "rmse", "least_eigenvalue", "asymmetry"])
 
     kind = records.schema["group_key"].dataType.simpleString()
-    return grouped.mapInPandas(solve, f"group_key {kind}, n bigint, rank int, tensor array<double>, rmse double, least_eigenvalue double")
+    return grouped.mapInPandas(solve, f"group_key {kind}, n bigint, rank int, tensor array<double>, rmse double, least_eigenvalue double, asymmetry double")
 
 
 def principal_plane(rows: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:

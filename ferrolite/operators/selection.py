@@ -222,12 +222,13 @@ def composition_aware(
 def best_attempt(attempts: list[dict], floor: float) -> int:
     """attempt_number of the winner: the first one always counts, a retry only if neither its smallest distance (the
     positive one, if that is larger) nor its mean falls below ``floor`` of the first one's. The best score wins, then
-    the larger smallest distance, the larger mean, the earlier attempt; differences up to 1e-12 are none."""
+    the larger smallest distance (zero included), the larger mean, the earlier attempt; differences up to 1e-12 are none."""
 
     def least(a: dict) -> float:
         return max(a["train_positive_min_dist"], a["train_min_dist"])
 
     def score(a: dict) -> float:
+        # The weights of the score.
         return (
             0.35 * a["binary_occupied_bin_fraction"] + 0.20 * a["binary_normalized_entropy"] + 0.30 * a["ternary_occupied_bin_fraction"] + 0.15 * a["ternary_normalized_entropy"]
         )
@@ -237,7 +238,7 @@ def best_attempt(attempts: list[dict], floor: float) -> int:
     for a in attempts[1:]:
         if least(a) < floor * least(first) or a["train_mean_nn_dist"] < floor * first["train_mean_nn_dist"]:
             continue
-        for mine, other in ((score(a), score(best)), (least(a), least(best)), (a["train_mean_nn_dist"], best["train_mean_nn_dist"]), (-a["attempt_number"], -best["attempt_number"])):
+        for mine, other in ((score(a), score(best)), (a["train_min_dist"], best["train_min_dist"]), (a["train_mean_nn_dist"], best["train_mean_nn_dist"]), (-a["attempt_number"], -best["attempt_number"])):
             if abs(mine - other) > 1e-12:
                 best = a if mine > other else best
                 break

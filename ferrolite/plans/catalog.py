@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrolite.plans import composition, identity, jobs, numerics, runs
+from ferrolite.plans import composition, curation, identity, jobs, numerics, runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _part in (composition, identity, runs, numerics, jobs):
+for _part in (composition, identity, runs, numerics, jobs, curation):
     QUERIES |= _part.QUERIES
     ORACLES |= _part.ORACLES

@@ -157,7 +157,7 @@ ORACLES = {
         FROM e x JOIN e y ON x.element < y.element JOIN e z ON y.element < z.element CROSS JOIN s CROSS JOIN s t
         WHERE round(1 - round(s.i * 0.1::DOUBLE, 10) - round(t.i * 0.1::DOUBLE, 10), 10) > 0""",
     "composition_label": f"""WITH {ATOMS_SQL}, t AS (SELECT structure_index, element, n_atoms / sum(n_atoms) OVER (PARTITION BY structure_index) AS f FROM counts)
-        SELECT structure_index, string_agg(element || CAST(floor(f * 100 + 0.5) AS BIGINT), ' ' ORDER BY f DESC, element) AS label FROM t GROUP BY 1""",
+        SELECT structure_index, string_agg(CASE WHEN f = 1 THEN element ELSE element || printf('%.2g', f) END, '-' ORDER BY f DESC, element) AS label FROM t GROUP BY 1""",
     "largest_remainder_counts": f"""WITH {ATOMS_SQL}, x AS (SELECT structure_index, element, n_atoms * 54 / sum(n_atoms) OVER (PARTITION BY structure_index) AS f FROM counts),
         y AS (SELECT *, floor(f) AS base, 54 - sum(floor(f)) OVER (PARTITION BY structure_index) AS rest, row_number() OVER (PARTITION BY structure_index ORDER BY f - floor(f) DESC, element) AS r FROM x)
         SELECT structure_index, element, CAST(base + CASE WHEN r <= rest THEN 1 ELSE 0 END AS BIGINT) AS n FROM y""",

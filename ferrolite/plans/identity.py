@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrolite.functions import structure as S
@@ -70,13 +70,15 @@ def split_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def structure_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each part in each order is an atom at (quantity, discount, tax) in a cell set by the order's number."""
     items = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
-    atom = F.struct("l_quantity", "l_discount", "l_tax", "p_type")
+
+    def cell(index: str) -> Column:
+        size, zero = (F.col(index) % 7 + 3).cast("double"), F.lit(0.0)
+        return F.array(F.array(size, zero, zero), F.array(zero, size, zero), F.array(zero, zero, size))
+
+    place = S.scaled(F.array(F.array("l_quantity", "l_discount", "l_tax")), cell("l_orderkey"))[0]
+    atom = F.struct("l_quantity", "l_discount", "l_tax", "p_type", place.alias("place"))
     found = items.groupBy(F.col("l_orderkey").alias("structure_index")).agg(F.array_sort(F.collect_list(atom)).alias("atoms"))
-    size = (F.col("structure_index") % 7 + 3).cast("double")
-    zero = F.lit(0.0)
-    cell = F.array(F.array(size, zero, zero), F.array(zero, size, zero), F.array(zero, zero, size))
-    positions = F.transform("atoms", lambda a: F.array(a["l_quantity"], a["l_discount"], a["l_tax"]))
-    return found.select("structure_index", S.structure_hash(F.transform("atoms", lambda a: a["p_type"]), positions, cell, F.lit([True, True, True])).alias("structure_hash"))
+    return found.select("structure_index", S.structure_hash(F.transform("atoms", lambda a: a["p_type"]), F.transform("atoms", lambda a: a["place"]), cell("structure_index"), F.lit([True, True, True])).alias("structure_hash"))
 
 
 def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +99,7 @@ def _identity(*parts: str) -> list:
 
 
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where("event_type in ('purchase', 'signup')")
+    events = table(spark, sf_dir, "events")
     entries = events.withColumn("a", F.col("user_id") % 5).withColumn("b", F.col("user_id") % 7).withColumn("c", F.col("user_id") % 150)
     entries = entries.select(*_identity("a", "b", "c"), F.concat(F.lit("/jobs/"), F.col("event_id")).alias("job_path"), (F.col("event_type") == "purchase").alias("complete"), "event_id")
     return registry.latest(entries, registry.IDENTITY, "event_id")
@@ -185,7 +187,7 @@ def _target_sql(name: str, picks: str, target: str, tolerance: int) -> str:
 _REGISTRY = """reg AS (
         SELECT md5((user_id % 5)::VARCHAR) AS incar_hash, md5((user_id % 7)::VARCHAR) AS potcar_hash, md5((user_id % 150)::VARCHAR) AS structure_hash,
                '/jobs/' || max(event_id) AS job_path, arg_max(event_type, event_id) = 'purchase' AS complete, max(event_id) AS event_id
-        FROM events WHERE event_type IN ('purchase', 'signup') GROUP BY 1, 2, 3
+        FROM events GROUP BY 1, 2, 3
     ),
     jobs AS (SELECT o_orderkey AS job, md5((o_custkey % 300 % 5)::VARCHAR) AS a, md5((o_custkey % 300 % 7)::VARCHAR) AS b, md5((o_custkey % 300)::VARCHAR) AS c FROM orders)"""
 _HASHES = "h AS (SELECT doc_id, source, sha256(coalesce(text, '')) AS structure_hash FROM documents)"
@@ -221,10 +223,10 @@ ORACLES = {
     "split_labels": """SELECT vec_id AS id, CASE WHEN label = 5 AND vec_id % 2 = 0 THEN 'potential_train' WHEN label IN (3, 4, 5) THEN 'test' WHEN label < 4 THEN 'train' ELSE 'unselected' END AS split FROM embeddings""",
     "structure_hash": """WITH a AS (
             SELECT l_orderkey AS k, p_type AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_discount, l_tax, p_type) AS i,
-                   printf('%.14f', l_quantity) || ' ' || printf('%.14f', l_discount) || ' ' || printf('%.14f', l_tax) AS p
-            FROM lineitem JOIN part ON l_partkey = p_partkey
+                   printf('%.14f', l_quantity * f) || ' ' || printf('%.14f', l_discount * f) || ' ' || printf('%.14f', l_tax * f) AS p
+            FROM (SELECT *, (l_orderkey % 7 + 3)::DOUBLE AS e, (e * e) / (e * e * e) AS f FROM lineitem) JOIN part ON l_partkey = p_partkey
         ), t AS (SELECT k, string_agg(s || ' ' || p, chr(10) ORDER BY s, i) AS atoms, printf('%.14f', (k % 7 + 3)::DOUBLE) AS c, printf('%.14f', 0::DOUBLE) AS z FROM a GROUP BY k)
-        SELECT k AS structure_index, sha256(concat_ws(chr(10), 'structure-v1', 'pbc 1 1 1', 'cell', concat_ws(' ', c, z, z), concat_ws(' ', z, c, z), concat_ws(' ', z, z, c), 'atoms', atoms)) AS structure_hash FROM t""",
+        SELECT k AS structure_index, sha256(concat_ws(chr(10), 'structure-v1', 'pbc 1 1 1', 'cell', concat_ws(' ', c, z, z), concat_ws(' ', z, c, z), concat_ws(' ', z, z, c), 'atoms', atoms, '')) AS structure_hash FROM t""",
     "dedup_first": f"WITH {_HASHES} SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY structure_hash ORDER BY doc_id) = 1",
     "dedup_unseen": f"""WITH {_HASHES} SELECT min(doc_id) AS doc_id, structure_hash FROM h WHERE doc_id % 2 = 1 AND structure_hash NOT IN (SELECT structure_hash FROM h WHERE doc_id % 2 = 0) GROUP BY 2""",
     "registry_upsert_latest": f"WITH {_REGISTRY} SELECT * FROM reg",

@@ -13,13 +13,23 @@ ENTRY = "job_path string, project_name string, dataset string, selected_index bi
 def read_facts(spark: SparkSession, path: str | list[str], keep_oom: bool = False) -> DataFrame:
     """Benchmark rows with typed columns; columns that older files lack are 0.
 
-    A row that does not fit its types is not dropped with the whole file: it comes with ``bad`` set and nulls. Rows
-    that ran out of memory are left out unless ``keep_oom``.
+    Each file is read by its own header, so files of different layouts may stand side by side. A row that does not fit
+    its types or its header's width is not dropped with the whole file: it comes with ``bad`` set and nulls. Rows that ran
+    out of memory are left out unless ``keep_oom``.
     """
-    raw = spark.read.option("header", True).csv(path)
-    typed = {n: (F.col(n).try_cast(t) if n in raw.columns else F.lit(0).cast(t)) for n, t in FACTS.items()}
-    wrong = [F.col(n).isNotNull() & F.col(n).try_cast(t).isNull() for n, t in FACTS.items() if n in raw.columns]
-    bad = F.greatest(*[w.cast("int") for w in [*wrong, F.lit(False)]], F.lit(0)) == 1
+    # The numbers need no quotes: a line is split at its commas.
+    lines = spark.read.text(path).where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("file"), F.transform(F.split("value", ","), lambda x: F.trim(x)).alias("v"))
+    is_header = F.exists("v", lambda x: x.isin(*FACTS))
+    headers = lines.where(is_header).groupBy("file").agg(F.min("v").alias("names"))  # a row for each file
+    raw = lines.where(~is_header).join(headers, "file", "left").withColumn("fits", F.coalesce(F.size("v") == F.size("names"), F.lit(False)))
+    raw = raw.withColumn("m", F.when(F.col("fits"), F.map_from_arrays("names", "v")))
+
+    def value(n: str) -> Column:
+        return F.nullif(F.try_element_at("m", F.lit(n)), F.lit(""))
+
+    typed = {n: F.when(~F.col("fits"), None).when(F.array_contains("names", n), value(n).try_cast(t)).otherwise(F.lit(0).cast(t)) for n, t in FACTS.items()}
+    wrong = [value(n).isNotNull() & value(n).try_cast(t).isNull() for n, t in FACTS.items()]
+    bad = ~F.col("fits") | (F.greatest(*[F.coalesce(w, F.lit(False)).cast("int") for w in wrong], F.lit(0)) == 1)
     rows = raw.select(*[v.alias(n) for n, v in typed.items()], bad.alias("bad"))
     return rows if keep_oom else rows.where("oom is null or oom <> 1")
 

@@ -9,10 +9,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ferrolite.operators.registry import latest
+from ferrolite.sources.scratch import stash
+
 FINAL = ("completed", "failed", "reused")
 MAX_RETRY = 3
 
@@ -65,8 +69,40 @@ def stream_states(events: DataFrame, max_retry: int = MAX_RETRY) -> DataFrame:
 
 
 def upsert_latest(batch: DataFrame, path: str, keys: list[str], order: str) -> None:
-    """For foreachBatch: append a batch to a registry table; ``registry.latest`` reads the newest entry of a key."""
-    batch.write.mode("append").parquet(path)
+    """For foreachBatch: a table with the newest entry (by ``order``) of each key, the batch's entries merged into it.
+
+    Each call appends a whole new version as one partition, in one commit, so that readers see the old one or the new one;
+    a batch that is replayed changes nothing. ``upserted`` reads the newest.
+    """
+    spark = batch.sparkSession
+    try:
+        old = upserted(spark, path)
+        number = spark.read.parquet(path).agg(F.max("version").alias("v")).first()["v"] or 0
+        batch = old.unionByName(batch.select(*old.columns))
+    except AnalysisException:  # no version yet
+        number = 0
+    best = latest(batch, keys, order).select(*batch.columns)
+    best.withColumn("version", F.lit(number + 1)).write.mode("append").partitionBy("version").parquet(path)
+
+
+def upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a table made by ``upsert_latest``."""
+    rows = spark.read.parquet(path)
+    newest = rows.agg(F.max("version").alias("v")).first()["v"]
+    return rows.where(F.col("version") == newest).drop("version")
+
+
+def backfilled(completed: DataFrame, path: str, keys: list[str], order: str, dry_run: bool = False) -> DataFrame:
+    """Completed jobs whose identity the registry at ``path`` lacks; they are added unless ``dry_run``. Running it again
+    adds nothing."""
+    try:
+        missing = completed.join(upserted(completed.sparkSession, path).select(*keys), keys, "left_anti")
+    except AnalysisException:
+        missing = completed
+    missing = stash(latest(missing, keys, order).select(*completed.columns))
+    if not dry_run and missing.take(1):
+        upsert_latest(missing, path, keys, order)
+    return missing
 
 
 def tally(states: DataFrame, dataset: Column) -> DataFrame:
