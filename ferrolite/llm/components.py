@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrolite.llm.common import drop, spread_join, stash
+from ferrolite.llm.common import drop, frequent_from, spread_join, stash
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -24,20 +24,24 @@ def components(edges: DataFrame) -> DataFrame:
     now = stash(_oriented(edges))
     mark = None
     while True:
-        # Large star: every larger neighbour of a node is linked to the node's smallest neighbour (or the node).
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stash(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")))
-        large = stash(spread_join(both.where("v > u"), least.where("n > 0"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        h = F.when(F.col("v") < F.col("u"), F.xxhash64("u", "v").cast("decimal(38,0)"))
+        degrees = both.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.sum(h).alias("h"))
+        seen = degrees.agg(F.sum("n").alias("n"), F.sum("h").alias("h"), F.max("n").alias("most")).first()
+        if seen == mark or not seen["n"]:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        mark = seen
+        # No node gets more links by a step than it has now, so that few jobs do where there is no hub.
+        hubs = seen["most"] > frequent_from(seen["n"])
+        held = stash if hubs else (lambda x: x)
+        joined = spread_join if hubs else (lambda rows, one, on: rows.join(one, on))
+        # Large star: every larger neighbour of a node is linked to the node's smallest neighbour (or the node).
+        least = held(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")))
+        large = held(joined(both.where("v > u"), least.where("n > 0"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # Small star: a node's smaller neighbours are linked to the smallest of them.
-        lower = stash(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
-        rest = spread_join(large, lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        lower = held(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+        rest = joined(large, lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = stash(rest.union(lower.select("u", F.col("m").alias("v"))).distinct())
-        for used in (now, least, large, lower):
+        for used in (now, least, large, lower) if hubs else (now,):
             drop(spark, used)
         now = small
-        seen = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if seen == mark:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        mark = seen

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolite.llm import words as W
-from ferrolite.llm.common import HOT_KEYS, HOT_ROWS, as_text, only, slices, spread_join, stash, tuned
+from ferrolite.llm.common import as_text, frequent_from, only, slices, spread_join, stash, tuned
 from ferrolite.llm.components import components
 
 PERMS, BANDS, BITS = 128, 32, 4
@@ -170,13 +170,17 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     are broadcast, ``HOT_KEYS`` at most.
     """
     counts = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    most = max(HOT_ROWS, (counts.agg(F.sum("n").alias("n")).first()["n"] or 0) // HOT_KEYS)
-    hot = F.broadcast(stash(counts.where(F.col("n") > most).select("u", F.ceil(F.col("n") / most).cast("int").alias("copies"))))
-    left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")).join(hot, "u", "left")
-    left = left.withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1))))).drop("copies")
+    size = counts.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    most = frequent_from(size["n"] or 0)
+    left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
     right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
-    dealt = pairs.join(hot, "u", "left").withColumn("copy", (F.pmod(F.xxhash64("v"), F.coalesce("copies", F.lit(1))) + 1).cast("int")).drop("copies")
-    both = dealt.join(left, ["u", "copy"]).join(right, "v")
+    if (size["most"] or 0) <= most:
+        both = pairs.join(left, "u").join(right, "v")
+    else:
+        hot = F.broadcast(stash(counts.where(F.col("n") > most).select("u", F.ceil(F.col("n") / most).cast("int").alias("copies"))))
+        left = left.join(hot, "u", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1))))).drop("copies")
+        dealt = pairs.join(hot, "u", "left").withColumn("copy", (F.pmod(F.xxhash64("v"), F.coalesce("copies", F.lit(1))) + 1).cast("int")).drop("copies")
+        both = dealt.join(left, ["u", "copy"]).join(right, "v")
     return both.where(F.pandas_udf(_linked, "boolean")("text_u", "text_v", F.lit(percent))).select("u", "v").distinct()
 
 
@@ -243,7 +247,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     sigs = reps.select("node", "sig")
     stars = members.where("node > pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
     stars = stars.join(sigs.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(sigs.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v")
-    stars = stars.where(estimate("su", "sv") >= low).select("u", "v").distinct()
+    stars = stash(stars.where(estimate("su", "sv") >= low).select("u", "v").distinct())
     links = stash(_confirmed(stars, texts, percent))
     reached = components(links)
 
