@@ -56,7 +56,7 @@ SURROGATE_KEY = b"op7"
 
 
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = surrogates.pseudonymise(_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    found = surrogates.checked(_table(spark, sf_dir, "documents"), SURROGATE_KEY)
 
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")

@@ -1,11 +1,11 @@
 """Operator 7: personal data replaced by keyed surrogates of the same type, format, script and gender.
 
-Entities are e-mail addresses, phone numbers, payment cards, IPv4 addresses, social security numbers and names of
-persons. A surrogate is a keyed permutation of the entity's own letters and digits within its format, so that two
+Entities are e-mail addresses, phone numbers, payment cards (numbers with a right check digit), IPv4 addresses, social
+security numbers and names of persons. A surrogate is a keyed permutation of the entity's own letters and digits within its format, so that two
 entities never get the same surrogate, the same entity gets the same one in every document, and no table of entities
 is gathered. First names are permuted within the list of their gender and script; other names keep the pattern of
-vowels and consonants and are walked on until they collide with no listed name. ``collisions`` checks the outcome
-over a corpus.
+vowels and consonants and are walked on until they collide with no listed name. ``checked`` counts the outcome over the
+whole corpus first, and goes on to the next key if two entities would share a surrogate or one would keep its own.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ KINDS = ("email", "phone", "card", "ip", "ssn", "name")
 
 # Common first names by gender and script, and titles.
 FIRST = {
-    ("f", "latin"): "Alice Anna Barbara Carol Catherine Clara Diana Elena Elizabeth Emma Eva Grace Hannah Helen Irene Jane Jennifer Jessica Julia Karen Laura Linda Lisa Lucy Margaret Maria Marie Martha Mary Nancy Olivia Patricia Rachel Rebecca Ruth Sarah Sophie Susan Teresa Victoria",
-    ("m", "latin"): "Adam Albert Andrew Anthony Arthur Benjamin Brian Charles Christopher Daniel David Edward Eric Frank George Henry Jack Jacob James John Jonathan Joseph Kevin Liam Lucas Martin Matthew Michael Nicholas Oliver Patrick Paul Peter Richard Robert Samuel Stephen Thomas Walter William",
+    ("f", "latin"): "Alice Anna Barbara Carol Catherine Clara Diana Elena Elizabeth Emma Eva Grace Hannah Helen Irene Jane Jennifer Jessica Julia Karen Laura Linda Lisa Lucy Margaret Maria Marie Martha Mary Nancy Olivia Patricia Rachel Rebecca Ruth Sarah Sophie Susan Teresa Victoria Camille Carmen Chiara Claire Giulia Heike Ingrid Isabelle Lucía Monika Nathalie Petra Pilar Sabine Ursula",
+    ("m", "latin"): "Adam Albert Andrew Anthony Arthur Benjamin Brian Charles Christopher Daniel David Edward Eric Frank George Henry Jack Jacob James John Jonathan Joseph Kevin Liam Lucas Martin Matthew Michael Nicholas Oliver Patrick Paul Peter Richard Robert Samuel Stephen Thomas Walter William Antonio Carlos Dieter François Giovanni Giuseppe Günther Hans Heinz Jacques Javier Jean José Juan Jürgen Karl Klaus Louis Luis Marco Matthias Michel Miguel Pablo Pedro Philippe Pierre Stefan Uwe Wolfgang",
     ("f", "cyrillic"): "Анна Вера Галина Дарья Екатерина Елена Ирина Ксения Людмила Мария Надежда Наталья Ольга Светлана Татьяна Юлия",
     ("m", "cyrillic"): "Александр Алексей Андрей Борис Виктор Владимир Дмитрий Иван Игорь Константин Максим Михаил Николай Олег Павел Сергей",
     ("f", "greek"): "Άννα Αικατερίνη Βασιλική Γεωργία Δέσποινα Ελένη Ειρήνη Κατερίνα Μαρία Σοφία",
@@ -116,6 +116,12 @@ def _luhn(payload: str) -> int:
     return -total % 10
 
 
+def _is_card(s: str) -> bool:
+    """Digits of a payment card: a first digit that issuers use and a right check digit."""
+    own = re.sub(r"\D", "", s)
+    return own[0] in "23456" and len(set(own)) > 1 and _luhn(own[:-1]) == int(own[-1])
+
+
 def _digits_replaced(s: str, new: str, skip: int = 0) -> str:
     """``s`` with its digits, but for the first ``skip``, replaced in turn."""
     it, out, seen = iter(new), [], 0
@@ -216,7 +222,7 @@ def _person_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[in
 
 def entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) in code points, in order, without overlaps."""
-    out = [(m.start(), m.end(), m.lastgroup) for m in _PATTERN.finditer(text)] if _HAS.search(text) else []
+    out = [(m.start(), m.end(), m.lastgroup) for m in _PATTERN.finditer(text) if m.lastgroup != "card" or _is_card(m.group())] if _HAS.search(text) else []
     named = sorted(_person_spans(text, out))
     end = -1
     for a, b, kind in named:
@@ -261,6 +267,16 @@ def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, text string, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
+def checked(docs: DataFrame, key: bytes, attempts: int = 3) -> DataFrame:
+    """``pseudonymise`` with the first of ``attempts`` keys made from ``key`` under which distinctness and change hold over
+    the whole corpus; an error if none does. One key serves all documents, so an entity has one surrogate everywhere."""
+    for n in range(attempts):
+        own = key + b"#%d" % n if n else key
+        if not collisions(docs, own).take(1):
+            return pseudonymise(docs, own)
+    raise ValueError(f"surrogates collide under {attempts} keys")
+
+
 def collisions(docs: DataFrame, key: bytes) -> DataFrame:
     """kind, surrogate, entities: surrogates that several different entities of the corpus share (none are expected),
     and entities that are their own surrogate (with ``entities`` 1). Counted in Spark over distinct entities."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -62,3 +63,65 @@ def test_odd_rows(odd, odd_rows, none):
     of = {r["doc_id"]: r["text"] for r in got}
     assert of[3] is None and of[4] == "" and of[10] == "x" * 300_000
     assert S.pseudonymise(none, b"k").count() == 0 and S.collisions(none, b"k").count() == 0
+
+
+def test_cards_have_a_check_digit_and_names_are_european():
+    text = "Hans Müller met Jürgen Weber and Pierre Dupont; order 1700000000000, 0000000000000000 and 4111111111111112 are no cards, 4111111111111111 is one."
+    kinds = [(k, text[a:b]) for a, b, k in S.entities(text)]
+    assert kinds == [("name", x) for x in ("Hans", "Müller", "Jürgen", "Weber", "Pierre", "Dupont")] + [("card", "4111111111111111")]
+
+
+def naive(text):
+    """Entities but names, by plain rules on white-space tokens."""
+    out = set()
+    for m in re.finditer(r"[^\s,;()]+", text):
+        t = m.group().rstrip(".")
+        digits = re.sub(r"\D", "", t)
+        if re.fullmatch(r"[\w.]+@[\w.]+\.[a-z]{2,}", t):
+            out.add(("email", t))
+        elif re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}", t) and all(int(x) < 256 for x in t.split(".")):
+            out.add(("ip", t))
+        elif re.fullmatch(r"\d{3}-\d{2}-\d{4}", t):
+            out.add(("ssn", t))
+        elif t.isdigit() and 13 <= len(t) <= 19 and t[0] in "23456" and luhn(digits) and len(set(t)) > 1:
+            out.add(("card", t))
+    return out
+
+
+def test_equals_the_naive_version_and_keeps_coreference(spark):
+    draw = random.Random(4)
+
+    def token():
+        return draw.choice([
+            lambda: draw.choice("the of and then a b".split()), lambda: f"user{draw.randrange(40)}@mail{draw.randrange(3)}.org", lambda: ".".join(str(draw.randrange(300)) for _ in range(4)),
+            lambda: f"{draw.randrange(1000):03}-{draw.randrange(100):02}-{draw.randrange(10000):04}", lambda: str(draw.randrange(10 ** draw.choice([12, 15, 16, 19, 20]))), lambda: "411111111111111" + str(draw.randrange(10)),
+        ])()
+
+    texts = [" ".join(token() for _ in range(draw.randrange(40))) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    made = {}
+    for r in S.checked(docs, b"naive").collect():
+        text = texts[r["doc_id"]]
+        got = {(s["kind"], text[s["start"] : s["end"]]) for s in r["spans"]}
+        assert got == naive(text)
+        at = shift = 0
+        for s in r["spans"]:
+            old = text[s["start"] : s["end"]]
+            new = r["text"][s["start"] + shift : s["end"] + shift + 0]
+            if s["kind"] == "ip":  # numbers of other lengths
+                new = re.match(r"[\d.]*\d", r["text"][s["start"] + shift :]).group()
+            shift += len(new) - len(old)
+            assert made.setdefault((s["kind"], old), new) == new != old
+            at = s["end"]
+        assert at <= len(text)
+    assert len({(k, v) for (k, _), v in made.items()}) == len(made) > 200
+
+
+def test_a_colliding_key_is_passed_over(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "write to a@b.org and c@d.org")], "doc_id bigint, text string")
+    real, seen = S.collisions, []
+    monkeypatch.setattr(S, "collisions", lambda d, key: (seen.append(key), real(d, key) if len(seen) > 1 else d)[1])
+    assert S.checked(docs, b"k").first()["text"] == S.pseudonymise(docs, b"k#1").first()["text"] and seen == [b"k", b"k#1"]
+    monkeypatch.setattr(S, "collisions", lambda d, key: d)
+    with pytest.raises(ValueError):
+        S.checked(docs, b"k")
