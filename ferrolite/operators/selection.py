@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrolite.operators.distance import farthest, nearest
@@ -79,7 +80,7 @@ def _approached(held: DataFrame, points: np.ndarray, ids: list[int]) -> DataFram
         for batch in batches:
             if not len(batch):
                 continue
-            v, d = np.array(batch.column("v").to_pylist(), np.float64), batch.column("d").to_numpy().copy()
+            v, d = batch.column("v").flatten().to_numpy().reshape(len(batch), -1), batch.column("d").to_numpy().copy()
             for p in points:
                 np.minimum(d, np.sqrt(((v - p) ** 2).sum(axis=1)), out=d)
             d[np.isin(batch.column("id").to_numpy(), ids)] = -1.0
@@ -168,10 +169,168 @@ def train_test(rows: DataFrame, anchors: DataFrame, target_train: int, target_te
     return split_labels(rows, [("train", train), ("test", test)])
 
 
+def composition_aware_points(
+    rows: DataFrame, target: int, frontier: float, anchors: DataFrame | None = None, ternary_weight: float = 1.0, totals: tuple[int, int] = (20, 190), floor: float = 0.9
+) -> DataFrame:
+    """pick, id: the fill of ``composition_aware`` over rows (id, v array<double>, bins array<struct<subset:string,
+    bin:string, ternary:boolean>>) that stay in Spark.
+
+    Of rows with equal reward only the farthest can be taken, so that each task returns one row for each reward that its
+    rows have, and a second pass counts how many rows are ahead of those that may win. A pick is one or two jobs over all
+    rows, whatever their number; ``anchors`` (id; without any the smallest id) are taken first and are not counted as jobs.
+    """
+    spark = rows.sparkSession
+    fixed = [r["id"] for r in anchors.select("id").distinct().orderBy("id").collect()] if anchors is not None else []
+    if not fixed:
+        first = rows.orderBy("id").select("id").first()
+        fixed = [first["id"]] if first else []
+    start = {r["id"]: (np.array(r["v"], np.float64), r["bins"]) for r in rows.where(F.col("id").isin(fixed)).select("id", "v", "bins").collect()}  # target rows at most
+    picks = [i for i in fixed if i in start][:target]
+    tally: dict[tuple, int] = {}
+    sums: dict[str, int] = {}
+
+    def count(bins: list) -> None:
+        for b in bins:
+            tally[b["subset"], b["bin"]] = tally.get((b["subset"], b["bin"]), 0) + 1
+            sums[b["subset"]] = sums.get(b["subset"], 0) + 1
+
+    for i in picks:
+        count(start[i][1])
+    held = rows.select("id", "v", "bins", F.lit(float("inf")).alias("d")).persist(StorageLevel.MEMORY_AND_DISK)
+    left, fresh = held.count() - len(picks), [(i, start[i][0]) for i in picks]
+    while len(picks) < target and left > 0:
+        weights = _Rewards(dict(tally), dict(sums), ternary_weight, totals)
+        top = held.mapInArrow(_farthest_of_each_reward(fresh, weights), "reward double, id bigint, d double").groupBy("reward").agg(F.max(F.struct("d", (-F.col("id")).alias("m"))).alias("x")).collect()
+        best = sorted((-r["reward"], -r["x"]["d"], -r["x"]["m"]) for r in top)
+        most = max(-d for _, d, _ in best)
+        if most > 1e-12:
+            best = [b for b in best if -b[1] >= floor * most]
+        wide = max(1, math.ceil(frontier * left))
+        ahead = dict.fromkeys((b[2] for b in best), 0)
+        if wide < left and len(best) > 1:
+            marks = [(-d, i) for _, d, i in best]
+            for r in held.mapInArrow(_ahead(fresh, marks), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect():
+                ahead[r["id"]] = r["n"]
+        chosen = next(i for _, _, i in best if ahead[i] < wide or len(best) == 1)
+        row = held.where(F.col("id") == chosen).select("v", "bins").first()
+        picks.append(chosen)
+        count(row["bins"])
+        fresh.append((chosen, np.array(row["v"], np.float64)))
+        left -= 1
+        if len(fresh) >= 4 * CUT:
+            after = stash(held.mapInArrow(_moved(fresh), held.schema)).persist(StorageLevel.MEMORY_AND_DISK)
+            after.count()
+            held.unpersist()
+            held, fresh = after, []
+    held.unpersist()
+    return spark.createDataFrame([(k + 1, int(i)) for k, i in enumerate(picks)], "pick int, id bigint")
+
+
+class _Rewards:
+    """Mean emptiness of a row's bins, by what is chosen so far."""
+
+    def __init__(self, tally: dict[tuple, int], sums: dict[str, int], ternary_weight: float, totals: tuple[int, int]) -> None:
+        self.tally, self.sums, self.ternary_weight, self.totals, self.known = tally, sums, ternary_weight, totals, {}
+
+    def of(self, bins: list[dict]) -> float:
+        weight = total = 0.0
+        for b in bins:
+            key = (b["subset"], b["bin"], b["ternary"])
+            if key not in self.known:
+                goal = max(1, self.sums.get(b["subset"], 0) // self.totals[b["ternary"]] + 1)
+                self.known[key] = max(0, goal - self.tally.get(key[:2], 0)) / goal
+            w = self.ternary_weight if b["ternary"] else 1.0
+            if w > 0:
+                total, weight = total + w * self.known[key], weight + w
+        return total / weight if weight else 0.0
+
+
+def _moved_d(batch: pa.RecordBatch, fresh: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """ids and distances after the fresh picks; -1 for the picked rows."""
+    ids, d = batch.column("id").to_numpy(), batch.column("d").to_numpy().copy()
+    lists = batch.column("v")
+    v = lists.flatten().to_numpy().reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
+    for _, p in fresh:
+        np.minimum(d, np.sqrt(((v - p) ** 2).sum(axis=1)), out=d, where=d >= 0)
+    d[np.isin(ids, [i for i, _ in fresh])] = -1.0
+    return ids, d
+
+
+def _moved(fresh: list[tuple[int, np.ndarray]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), batch.column("bins"), pa.array(_moved_d(batch, fresh)[1])], names=["id", "v", "bins", "d"])
+
+    return run
+
+
+def _farthest_of_each_reward(fresh: list[tuple[int, np.ndarray]], rewards: _Rewards):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top: dict[float, tuple[float, int]] = {}
+        for batch in batches:
+            ids, d = _moved_d(batch, fresh)
+            for i, x, bins in zip(ids.tolist(), d.tolist(), batch.column("bins").to_pylist(), strict=True):
+                if x >= 0:
+                    r = rewards.of(bins)
+                    top[r] = max(top.get(r, (-1.0, 0)), (x, -i))
+        yield pa.RecordBatch.from_arrays([pa.array(list(top), pa.float64()), pa.array([-m for _, m in top.values()], pa.int64()), pa.array([x for x, _ in top.values()], pa.float64())], names=["reward", "id", "d"])
+
+    return run
+
+
+def _ahead(fresh: list[tuple[int, np.ndarray]], marks: list[tuple[float, int]]):
+    """For each mark (d, id) how many rows come before it: farther, or as far with a smaller id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = [0] * len(marks)
+        for batch in batches:
+            ids, d = _moved_d(batch, fresh)
+            for k, (x, i) in enumerate(marks):
+                n[k] += int(((d > x) | ((d == x) & (ids < i))).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([i for _, i in marks], pa.int64()), pa.array(n, pa.int64())], names=["id", "n"])
+
+    return run
+
+
+def attempt_schedule(frontier: float, ternary_weight: float, retries: int) -> list[tuple[float, float]]:
+    """(frontier, ternary weight) of each attempt: as asked, half and twice the frontier within bounds, twice the weight."""
+    every = [(frontier, ternary_weight), (max(0.05, frontier / 2), ternary_weight), (min(0.25, frontier * 2), ternary_weight), (frontier, ternary_weight * 2)]
+    return every[: max(1, retries)]
+
+
+def attempt_metrics(rows: DataFrame, picks: DataFrame, number: int) -> dict:
+    """What an attempt is judged by: the shares of all rows' bins that the picks occupy, the evenness over them, and
+    nearest distances among the picks. Bins are counted in Spark, distances in blocks."""
+    spread = F.explode("bins").alias("b")
+    every = rows.select(spread).groupBy(F.col("b.ternary").alias("t")).agg(F.count_distinct(F.struct("b.subset", "b.bin")).alias("n")).collect()
+    total = {r["t"]: r["n"] for r in every}
+    mine = rows.join(picks.select("id"), "id", "left_semi")
+    cells = mine.select(spread).groupBy(F.col("b.ternary").alias("t"), "b.subset", "b.bin").agg(F.count(F.lit(1)).alias("n"))
+    p = F.col("n") / F.sum("n").over(Window.partitionBy("t"))
+    sums = cells.withColumn("h", -p * F.ln(p)).groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).collect()
+    out: dict = {"attempt_number": number}
+    for t, name in ((False, "binary"), (True, "ternary")):
+        n, h = next(((r["n"], r["h"]) for r in sums if r["t"] == t), (0, 0.0))
+        out[f"{name}_occupied_bin_fraction"] = n / total[t] if total.get(t) else 0.0
+        out[f"{name}_normalized_entropy"] = h / math.log(total[t]) if total.get(t, 0) > 1 else 0.0
+    d = nearest(mine.select("id", "v"), mine.select(F.col("id").alias("id"), F.col("v").alias("v")), itself=True).agg(F.min("distance").alias("a"), F.min("positive_distance").alias("b"), F.avg("distance").alias("c")).first()
+    return out | {"train_min_dist": d["a"], "train_positive_min_dist": d["b"], "train_mean_nn_dist": d["c"]}
+
+
+def composition_aware_training(rows: DataFrame, target: int, frontier: float, retries: int = 4, anchors: DataFrame | None = None, ternary_weight: float = 1.0, floor: float = 0.9) -> DataFrame:
+    """pick, id of the best attempt of the schedule."""
+    picks, metrics = [], []
+    for k, (f, w) in enumerate(attempt_schedule(frontier, ternary_weight, retries)):
+        picks.append(composition_aware_points(rows, target, f, anchors, w))
+        metrics.append(attempt_metrics(rows, picks[-1], k))
+    return picks[best_attempt(metrics, floor)]
+
+
 def composition_aware(
     descriptors: np.ndarray, bins: list[list[tuple]], anchors: list[int], target: int, frontier: float, ternary_weight: float = 1.0, totals: tuple[int, int] = (20, 190), floor: float = 0.9
 ) -> list[int]:
-    """One attempt of the composition-aware fill, for the bounded candidate set of one selection: chosen positions, in order.
+    """One attempt of the composition-aware fill over lists in memory: chosen positions, in order. The plain form of
+    ``composition_aware_points``, which tests compare with.
 
     ``bins`` holds for each row its (subset..., bin...) keys, two-element subsets as (a, b, bin). In each step the
     rows are ordered by distance to the chosen ones; of the first max(1, ceil(frontier * n)) those at no distance are

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ferrolite.functions import composition as C
 from ferrolite.functions import structure as S
 from ferrolite.functions import text as X
-from ferrolite.operators import curation, elastic, fits, generators, registry
+from ferrolite.operators import curation, defects, elastic, fits, generators, registry
 from ferrolite.plans import composition as P
+from ferrolite.plans import numerics
 from ferrolite.plans.tables import ATOMS_SQL, atoms, table
 
 
@@ -283,6 +284,34 @@ def binary_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.join(rows, ["a", "b", "bin"], "left").select("a", "b", "bin", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
+def random_solutions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sites of every order filled twice with its flags in the order of a hash."""
+    sites = numerics._sites(spark, sf_dir)
+    counts = sites.groupBy("structure_index", "element").agg(F.count(F.lit(1)).alias("n"))
+    return defects.random_solutions(sites, counts, 2, 11)
+
+
+def solution_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five variants of each formula over three lattices together."""
+    rows = _structures(spark, sf_dir).select(F.array_join("symbols", "-").alias("composition"), (F.col("structure_index") % 3).alias("lattice"), F.col("structure_index").alias("variant"))
+    return defects.first_of_composition(rows, 5)
+
+
+def interstitials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's cubic cell of eight atoms with each kind of defect; what was placed keeps its distance."""
+    zero = F.lit(0.0)
+    a = (F.col("s_suppkey") % 4 + 4).cast("double")
+    cell = F.array(F.array(a, zero, zero), F.array(zero, a, zero), F.array(zero, zero, a))
+    corners = F.array(*[F.array(*[a / 2 if (k >> b) & 1 else zero for b in range(3)]) for k in range(8)])
+    bases = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("structure_index"), F.array_repeat(F.lit("W"), 8).alias("symbols"), corners.alias("positions"), cell.alias("cell"))
+    out = None
+    for kind in defects.KINDS:
+        gas = ["H", "He"] if kind.startswith("gas") else ["W", "Cr"]
+        part = defects.with_defects(bases, kind, 2, gas, (0.1, 0.3))
+        out = part if out is None else out.union(part)
+    return out.select("structure_index", "variant", "perturbation_type", F.size("symbols").alias("n_atoms"), "asked", "placed")
+
+
 _S = f"""WITH {ATOMS_SQL}, st AS (SELECT structure_index, list(element ORDER BY element) AS symbols FROM counts GROUP BY 1),
     s AS (SELECT st.*, o_custkey, o_totalprice, CASE o_orderpriority WHEN '1-URGENT' THEN 'elastic_stress' WHEN '2-HIGH' THEN 'rattle' END AS perturbation_type FROM st JOIN orders ON o_orderkey = structure_index)"""
 _D = """WITH d AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 2 ELSE 1 END AS n, [229, 225, 194, 227, 221, 62][p_size % 6 + 1] AS g, p_size / 4.0::DOUBLE + 2 AS la FROM part),
@@ -301,6 +330,7 @@ QUERIES = {
         elastic_structures, single_element_elastic, subset_compounds, gas_structures, symmetry_filter, space_group_names, pure_lattices, inherited_metadata, record_validation, position_matches,
         dft_ml_comparison, frames_of_atoms, scheduler_membership, element_union, distinct_bins, next_ids, seed_ids, composition_cap, latest_potential, unresolved_preview, anchor_union, perturbation_union,
         hash_annotation, potential_names, fraction_labels, bin_centres, min_max, virials, kpoint_meshes, elastic_records, elastic_scan_counters, elastic_cubic_paired, elastic_summary, binary_histogram,
+        random_solutions, solution_cap, interstitials,
     )
 }
 
@@ -362,6 +392,12 @@ ORACLES = {
     "elastic_cubic_paired": f"""{_EL} SELECT printf('seed_%06d', s_suppkey) AS group_key, count(*) AS n, 240.0::DOUBLE AS c11, 140.0::DOUBLE AS c12, 80.0::DOUBLE AS c44 FROM r WHERE reason IS NULL GROUP BY s_suppkey""",
     "elastic_summary": f"""{_EL}, m AS (SELECT s_suppkey, mode, count(*) AS c FROM r WHERE reason IS NULL GROUP BY 1, 2)
         SELECT printf('seed_%06d', s_suppkey) AS group_key, sum(c)::BIGINT AS n, string_agg(mode || ':' || c, ',' ORDER BY mode) AS modes, '' AS warnings, 0.0::DOUBLE AS rmse, 80.0::DOUBLE AS least_eigenvalue FROM m GROUP BY s_suppkey HAVING sum(c) >= 7""",
+    "random_solutions": f"""WITH {numerics._SITES}, v AS (SELECT structure_index, variant, site, row_number() OVER (PARTITION BY structure_index, variant ORDER BY md5(structure_index || '|' || site || '|' || variant || '|11'), site) AS r
+            FROM s, range(0, 2) t(variant)),
+        e AS (SELECT structure_index, element, row_number() OVER (PARTITION BY structure_index ORDER BY element) AS r FROM s)
+        SELECT structure_index, variant::INTEGER AS variant, site, element FROM v JOIN e USING (structure_index, r)""",
+    "solution_cap": f"""{_S}, c AS (SELECT array_to_string(symbols, '-') AS composition, structure_index % 3 AS lattice, structure_index AS variant FROM s)
+        SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY composition ORDER BY lattice, variant) <= 5""",
     "binary_histogram": f"""WITH b AS ({P.ORACLES['binary_projection_bins']}) SELECT p.a, p.b, t.i::INTEGER AS bin, coalesce(b.n, 0)::BIGINT AS n FROM (SELECT DISTINCT a, b FROM b) p CROSS JOIN range(0, {P.BINS}) t(i)
         LEFT JOIN b ON b.a = p.a AND b.b = p.b AND b.bin = t.i""",
 }

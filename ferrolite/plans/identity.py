@@ -62,6 +62,14 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.train_test(rows.select("id", "v"), rows.groupBy("label").agg(F.max("id").alias("id")), TRAIN, TEST, TOLERANCE, POOL)
 
 
+def composition_aware_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thirty rows that fill the bins of their label and of the leading components, from the last row of each label on."""
+    rows = _vectors(spark, sf_dir)
+    two = F.struct(F.concat(F.lit("a|"), F.col("label") % 3).alias("subset"), F.floor((F.col("v")[0] + 1) * 10).cast("string").alias("bin"), F.lit(False).alias("ternary"))
+    three = F.struct(F.concat(F.lit("t|"), F.col("label") % 2).alias("subset"), F.concat_ws(",", F.floor((F.col("v")[1] + 1) * 5), F.floor((F.col("v")[2] + 1) * 5)).alias("bin"), F.lit(True).alias("ternary"))
+    return selection.composition_aware_training(rows.select("id", "v", F.array(two, three).alias("bins")), 30, 0.2, 2, rows.groupBy("label").agg(F.max("id").alias("id")))
+
+
 def split_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _vectors(spark, sf_dir)
     return selection.split_labels(rows, [("train", rows.where("label < 4")), ("test", rows.where("label in (3, 4, 5)")), ("potential_train", rows.where("label = 5 and id % 2 = 0"))])
@@ -195,7 +203,7 @@ _HASHES = "h AS (SELECT doc_id, source, sha256(coalesce(text, '')) AS structure_
 QUERIES = {
     f.__name__: f
     for f in (
-        nn_distance_stats, cross_distance_stats, selected_min_distance, descriptor_topk_farthest, descriptor_zscore, fps_select, fps_target_count, train_test_split,
+        nn_distance_stats, cross_distance_stats, selected_min_distance, descriptor_topk_farthest, descriptor_zscore, fps_select, fps_target_count, train_test_split, composition_aware_selection,
         split_labels, structure_hash, dedup_first, dedup_unseen, registry_upsert_latest, registry_reuse, registry_miss, priority_resolve, seed_anchor_join,
         positional_identity_join, missing_dimension,
     )
