@@ -14,7 +14,7 @@ from ferrolite.llm import decontaminate, neardup, packing, quality, secrets
 from ferrolite.llm.common import fold, only, stash
 from ferrolite.llm.tokens import vocabulary
 
-#: A document goes if its probability of label 1 is below this.
+#: A document goes if its probability of label 1 is below this; one of exactly this stays.
 LEAST_QUALITY = 0.5
 
 

@@ -164,6 +164,11 @@ def listed(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
+def element_list(text: Column) -> Column:
+    """Items of a comma-separated list as chemical symbols: the first letter large, the others small."""
+    return F.transform(listed(text), lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1 << 10))))
+
+
 def job_path(path: Column) -> Column:
     """struct(project, dataset, selected_index) of .../projects/P/.../D/struct_NNNN."""
     p = r"projects/([^/]+)/(?:.*/)?([^/]+)/struct_(\d+)"

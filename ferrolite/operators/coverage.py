@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrolite.functions.composition import ternary_cell, unit_bin
+from ferrolite.functions.composition import cartesian, ternary_cell, unit_bin
+from ferrolite.sources.scratch import stash
 
 
 def fractions(counts: DataFrame) -> DataFrame:
@@ -62,6 +65,49 @@ def line_distances(pairs: DataFrame) -> DataFrame:
     )
 
 
+#: Different points of a subset that meet in one task at most (of either side).
+BLOCK = 4096
+
+
+def plane_distances(triples: DataFrame) -> DataFrame:
+    """a, b, c, n, nn_mean, nn_p95: distance of each structure's point in the triangle to the nearest other one's.
+
+    Equal points are one row with a count first, at distance 0. The different points of a subset meet in blocks, so that
+    no subset is gathered in one task. Null for a subset with a single structure.
+    """
+    keys, s = ["a", "b", "c"], F.col("n_a") + F.col("n_b") + F.col("n_c")
+    x, y = cartesian(F.col("n_b") / s, F.col("n_c") / s)
+    points = stash(triples.select(*keys, x.alias("x"), y.alias("y")).groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("n")))
+    blocks = points.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
+    placed = points.join(blocks, keys).withColumn("i", F.pmod(F.xxhash64("x", "y"), F.col("nb")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
+    left, right = placed.select(*keys, "x", "y", "i", other.alias("j")), placed.toDF(*placed.columns).select(*keys, "x", "y", F.col("i").alias("j"), other.alias("i"))
+
+    def near(key: tuple, mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        p, q = mine[["x", "y"]].to_numpy(), theirs[["x", "y"]].to_numpy()
+        d = np.empty(len(p))
+        for k in range(len(p)):
+            apart = np.sqrt(((q - p[k]) ** 2).sum(axis=1))
+            d[k] = apart[apart > 0].min(initial=np.inf)
+        return pd.DataFrame({"a": key[0], "b": key[1], "c": key[2], "x": p[:, 0], "y": p[:, 1], "d": d})
+
+    kind = ", ".join(f"{c} {t}" for c, t in points.dtypes if c in (*keys, "x", "y"))
+    found = left.groupBy(*keys, "i", "j").cogroup(right.groupBy(*keys, "i", "j")).applyInPandas(near, f"{kind}, d double").groupBy(*keys, "x", "y").agg(F.min("d").alias("d"))
+    both = points.toDF(*points.columns).join(found, [*keys, "x", "y"]).withColumn("d", F.when(F.col("n") > 1, F.lit(0.0)).when(F.col("d") < float("inf"), F.col("d")))
+    return both.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.round(F.sum(F.col("d") * F.col("n")) / F.sum(F.when(F.col("d").isNotNull(), F.col("n"))), 9).alias("nn_mean"), F.round(F.percentile("d", F.lit(0.95), F.col("n")), 9).alias("nn_p95")
+    )
+
+
+def report(summaries: DataFrame, distances: DataFrame, keys: list[str], total_bins: int) -> DataFrame:
+    """The coverage report's twelve columns for the subsets of one size."""
+    rows = summaries.join(distances.select(*keys, "nn_mean", "nn_p95"), keys, "left")
+    return rows.select(
+        F.concat_ws("-", *keys).alias("subset_label"), F.lit(len(keys)).alias("subset_size"), F.lit(len(keys) - 1).alias("dimensions"), "structure_count", F.lit(total_bins).alias("total_bins"), "occupied_bins",
+        F.col("occupied_fraction").alias("occupied_bin_fraction"), "normalized_entropy", "max_bin_fraction", "gini", F.col("nn_mean").alias("nn_distance_mean"), F.col("nn_p95").alias("nn_distance_p95"),
+    )
+
+
 def subset_means(summaries: DataFrame) -> DataFrame:
     """One row: mean occupied share and mean entropy over the subsets, 0 without any."""
     return summaries.agg(

@@ -226,6 +226,11 @@ def distinct_elements(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode("symbols").alias("element")).distinct()
 
 
+def unknown_elements(rows: DataFrame, known: DataFrame, key: str, column: str) -> DataFrame:
+    """``key`` and each element of its list ``column`` that the dimension table ``known`` (element) lacks."""
+    return rows.select(key, F.explode(column).alias("element")).distinct().join(known.select("element").distinct(), "element", "left_anti").select(key, "element")
+
+
 def min_max(rows: DataFrame, column: str, per: str) -> DataFrame:
     """``column`` brought to [0, 1] within each group; 0 where a group has one value only. Extremes are aggregated first."""
     ends = rows.groupBy(per).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))

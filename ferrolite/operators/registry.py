@@ -69,8 +69,3 @@ def positional(structures: DataFrame, jobs: DataFrame) -> DataFrame:
     other = jobs.select("structure_index", F.col("identity").alias("found"), "path")
     joined = structures.join(other, "structure_index", "left")
     return joined.select("structure_index", F.when(F.col("identity") == F.col("found"), F.col("path")).alias("path"), (F.col("found").isNotNull() & ~F.col("identity").eqNullSafe(F.col("found"))).alias("mismatch"))
-
-
-def source_label(*columns: str) -> Column:
-    """The first of the columns that is neither null nor empty; unknown without any."""
-    return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in columns], F.lit("unknown"))

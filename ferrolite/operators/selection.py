@@ -318,7 +318,10 @@ def attempt_metrics(rows: DataFrame, picks: DataFrame, number: int) -> dict:
 
 
 def composition_aware_training(rows: DataFrame, target: int, frontier: float, retries: int = 4, anchors: DataFrame | None = None, ternary_weight: float = 1.0, floor: float = 0.9) -> DataFrame:
-    """pick, id of the best attempt of the schedule."""
+    """pick, id of the best attempt of the schedule. ``frontier`` and ``floor`` must lie in (0, 1], the weight must not be
+    negative, and there is one attempt at least."""
+    if not (0 < frontier <= 1 and 0 < floor <= 1 and ternary_weight >= 0 and retries >= 1):
+        raise ValueError("settings of the composition-aware selection are out of range")
     picks, metrics = [], []
     for k, (f, w) in enumerate(attempt_schedule(frontier, ternary_weight, retries)):
         picks.append(composition_aware_points(rows, target, f, anchors, w))

@@ -40,6 +40,14 @@ def binary_neighbour_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.line_distances(C.pairs(_structures(spark, sf_dir)))
 
 
+def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve columns for every pair and triple of elements."""
+    found = _structures(spark, sf_dir)
+    two = coverage.report(binary_coverage_summary(spark, sf_dir), coverage.line_distances(C.pairs(found)), ["a", "b"], BINS)
+    three = coverage.report(ternary_coverage_summary(spark, sf_dir), coverage.plane_distances(C.triples(found)), ["a", "b", "c"], C.ternary_cells(RESOLUTION))
+    return two.union(three)
+
+
 def composition_subset_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     two = coverage.subset_means(binary_coverage_summary(spark, sf_dir)).withColumn("kind", F.lit("binary"))
     return two.unionByName(coverage.subset_means(ternary_coverage_summary(spark, sf_dir)).withColumn("kind", F.lit("ternary")))
@@ -132,7 +140,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         composition_fractions, binary_projection_bins, ternary_projection_bins, binary_coverage_summary, ternary_coverage_summary, binary_neighbour_distances,
-        composition_subset_means, pair_composition_frequency, composition_grid, composition_label, largest_remainder_counts, single_element_structures,
+        coverage_report, composition_subset_means, pair_composition_frequency, composition_grid, composition_label, largest_remainder_counts, single_element_structures,
         structure_type_counts, estimated_electrons, bin_deficit_rewards,
     )
 }
@@ -146,6 +154,18 @@ ORACLES = {
     "binary_neighbour_distances": f"""{_PAIRS}, gaps AS (
             SELECT a, b, least(b_share - lag(b_share) OVER w, lead(b_share) OVER w - b_share) AS d FROM pairs WINDOW w AS (PARTITION BY a, b ORDER BY b_share)
         ) SELECT a, b, count(*) AS n, round(avg(d), 9) AS nn_mean, round(quantile_cont(d, 0.95), 9) AS nn_p95 FROM gaps GROUP BY a, b""",
+    "coverage_report": f"""WITH s2 AS ({_BINARY}), g2 AS ({_PAIRS}, gaps AS (
+            SELECT a, b, least(b_share - lag(b_share) OVER w, lead(b_share) OVER w - b_share) AS d FROM pairs WINDOW w AS (PARTITION BY a, b ORDER BY b_share)
+        ) SELECT a, b, round(avg(d), 9) AS m, round(quantile_cont(d, 0.95), 9) AS p FROM gaps GROUP BY a, b),
+        s3 AS ({_TERNARY}), p3 AS (WITH {ATOMS_SQL} SELECT x.element AS a, y.element AS b, z.element AS c,
+            y.n_atoms / (x.n_atoms + y.n_atoms + z.n_atoms) + z.n_atoms / (x.n_atoms + y.n_atoms + z.n_atoms) / 2 AS px, z.n_atoms / (x.n_atoms + y.n_atoms + z.n_atoms) * (sqrt(3::DOUBLE) / 2) AS py, count(*) AS n
+            FROM counts x JOIN counts y ON x.structure_index = y.structure_index AND x.element < y.element JOIN counts z ON z.structure_index = x.structure_index AND y.element < z.element GROUP BY ALL),
+        d3 AS (SELECT i.a, i.b, i.c, i.n, CASE WHEN i.n > 1 THEN 0 ELSE sqrt(min((i.px - j.px) ** 2 + (i.py - j.py) ** 2)) END AS d FROM p3 i LEFT JOIN p3 j ON i.a = j.a AND i.b = j.b AND i.c = j.c AND (i.px <> j.px OR i.py <> j.py)
+            GROUP BY i.a, i.b, i.c, i.px, i.py, i.n),
+        g3 AS (SELECT a, b, c, round(avg(d), 9) AS m, round(quantile_cont(d, 0.95), 9) AS p FROM (SELECT a, b, c, d, unnest(range(n)) FROM d3) GROUP BY 1, 2, 3)
+        SELECT a || '-' || b AS subset_label, 2 AS subset_size, 1 AS dimensions, structure_count, {BINS} AS total_bins, occupied_bins, occupied_fraction AS occupied_bin_fraction, normalized_entropy, max_bin_fraction, gini,
+            m AS nn_distance_mean, p AS nn_distance_p95 FROM s2 JOIN g2 USING (a, b)
+        UNION ALL SELECT a || '-' || b || '-' || c, 3, 2, structure_count, {C.ternary_cells(RESOLUTION)}, occupied_bins, occupied_fraction, normalized_entropy, max_bin_fraction, gini, m, p FROM s3 JOIN g3 USING (a, b, c)""",
     "composition_subset_means": f"SELECT {_MEANS}, 'binary' AS kind FROM ({_BINARY}) UNION ALL SELECT {_MEANS}, 'ternary' AS kind FROM ({_TERNARY})",
     "pair_composition_frequency": f"""{_PAIRS}, points AS (
             SELECT a, b, n_b / total AS b_fraction, count(*) AS frequency, list_distinct(list(k)) AS ks FROM pairs GROUP BY 1, 2, 3

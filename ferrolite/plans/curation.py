@@ -284,6 +284,14 @@ def binary_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.join(rows, ["a", "b", "bin"], "left").select("a", "b", "bin", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
+def element_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of settings that name no known element, after blanks and cases are put right."""
+    text = F.concat(F.lit(" "), F.lower("p_type"), F.lit(" ,, "), F.upper("p_name"), F.lit(","))
+    rows = table(spark, sf_dir, "part").select("p_partkey", X.element_list(text).alias("elements"))
+    known = table(spark, sf_dir, "part").select(F.initcap("p_type").alias("element"))
+    return curation.unknown_elements(rows, known, "p_partkey", "elements")
+
+
 def random_solutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sites of every order filled twice with its flags in the order of a hash."""
     sites = numerics._sites(spark, sf_dir)
@@ -330,7 +338,7 @@ QUERIES = {
         elastic_structures, single_element_elastic, subset_compounds, gas_structures, symmetry_filter, space_group_names, pure_lattices, inherited_metadata, record_validation, position_matches,
         dft_ml_comparison, frames_of_atoms, scheduler_membership, element_union, distinct_bins, next_ids, seed_ids, composition_cap, latest_potential, unresolved_preview, anchor_union, perturbation_union,
         hash_annotation, potential_names, fraction_labels, bin_centres, min_max, virials, kpoint_meshes, elastic_records, elastic_scan_counters, elastic_cubic_paired, elastic_summary, binary_histogram,
-        random_solutions, solution_cap, interstitials,
+        random_solutions, solution_cap, interstitials, element_lists,
     )
 }
 
@@ -396,6 +404,7 @@ ORACLES = {
             FROM s, range(0, 2) t(variant)),
         e AS (SELECT structure_index, element, row_number() OVER (PARTITION BY structure_index ORDER BY element) AS r FROM s)
         SELECT structure_index, variant::INTEGER AS variant, site, element FROM v JOIN e USING (structure_index, r)""",
+    "element_lists": """SELECT DISTINCT p_partkey, upper(p_name[1]) || lower(p_name[2:]) AS element FROM part WHERE upper(p_name) NOT IN (SELECT upper(p_type) FROM part)""",
     "solution_cap": f"""{_S}, c AS (SELECT array_to_string(symbols, '-') AS composition, structure_index % 3 AS lattice, structure_index AS variant FROM s)
         SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY composition ORDER BY lattice, variant) <= 5""",
     "binary_histogram": f"""WITH b AS ({P.ORACLES['binary_projection_bins']}) SELECT p.a, p.b, t.i::INTEGER AS bin, coalesce(b.n, 0)::BIGINT AS n FROM (SELECT DISTINCT a, b FROM b) p CROSS JOIN range(0, {P.BINS}) t(i)

@@ -70,8 +70,3 @@ def read_status(spark: SparkSession, paths: str | list[str], schema: str) -> Dat
     """path and the fields of each JSON document; broken ones have nulls."""
     rows = spark.read.text(paths, wholetext=True)
     return rows.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("d")).select("path", "d.*")
-
-
-def cache_key(*parts: Column) -> Column:
-    """A folder name for cached answers to a query: md5 of its sorted parameters."""
-    return F.md5(F.array_join(F.array_sort(F.array(*parts)), "_").cast("binary"))

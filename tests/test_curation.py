@@ -271,6 +271,8 @@ def test_job_folders_and_kept_tables(spark, tmp_path):
 def test_required_and_axes(spark):
     with pytest.raises(ValueError):
         curation.required(spark.range(0), "rows")
+    with pytest.raises(ValueError):
+        selection.composition_aware_training(spark.range(0), 3, 0.0)
     cell = F.lit([[2.0, 0.0, 0.0], [0.0, 4.0, 0.0], [1.0, 0.0, 4.0]])
     got = spark.range(1).select(S.scaled(F.lit([[2.0, 2.0, 2.0]]), cell).alias("s"), curation.lattice_record(cell).alias("l")).first()
     assert np.allclose(got["s"][0], np.array([2.0, 2, 2]) @ np.linalg.inv([[2.0, 0, 0], [0, 4, 0], [1, 0, 4]])) and np.isclose(got["l"]["volume"], 32)
