@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import random
+import re
 import zlib
+from collections import Counter
 
+import zstandard
 from pyspark.sql import functions as F
 
 from ferrolite.llm import langid
@@ -40,3 +44,34 @@ def test_odd_rows(odd, odd_rows, none):
     assert {r["lang_pred"] for r in langid.identify(odd, {}).collect()} == {"und"}
     assert langid.identify(none, held).count() == 0 and langid.fit_dictionaries(none, F.lit(True)) == {}
     assert set(langid.fit_dictionaries(odd, F.lit(True))) == {"de", "en"}
+
+
+def test_equals_the_naive_version(spark, make):
+    """Dictionaries by counting in Python, sizes by a compressor of its own for every chunk, repeated rows counted once."""
+    draw = random.Random(2)
+    words = {k: ["".join(draw.choices(a, k=draw.randint(2, 9))) for _ in range(3000)] for k, a in (("en", "abcdefgh"), ("fr", "abcdefgé"))}
+    rows = [(k, " ".join(draw.choices(words[lang], k=draw.randint(1, 400))) + "! 42", lang) for k in range(80) for lang in [draw.choice(["en", "fr"])]]
+    train = F.col("doc_id") % 4 != 2
+    most = 9000
+    got = langid.fit_dictionaries(make(rows + rows[:30] * 5), train, dict_bytes=most)
+    for lang in words:
+        seen = Counter(w for d, t, of in rows if of == lang and d % 4 != 2 for w in set(re.findall(r"[^\W\d_]+", t.lower())))
+        kept, used = [], 0
+        for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])):
+            used += len(w.encode()) + 1
+            if used > most:
+                break
+            kept.append(w)
+        assert got[lang] == (" ".join(reversed(kept)) + " ").encode() and len(got[lang]) > 0.9 * most
+    coders = langid.Compressors(got)
+    for _, text, _ in rows:
+        data = re.sub(r"[\W\d_]+", " ", text.lower()).encode()
+        want = []
+        for name in sorted(got):
+            params = zstandard.ZstdCompressionParameters.from_level(5, dict_size=len(got[name]), source_size=langid.CHUNK, min_match=4, strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_checksum=0)
+            d = zstandard.ZstdCompressionDict(got[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(compression_params=params)
+            want.append(sum(len(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress(data[at : at + langid.CHUNK])) for at in range(0, len(data), langid.CHUNK)))
+        assert coders.sizes(text) == want
+    judged = {r["doc_id"]: r["lang_best"] for r in langid.identify(make(rows), got).collect()}
+    assert all(judged[d] == min(zip(coders.sizes(t), coders.names, strict=True))[1] for d, t, _ in rows)

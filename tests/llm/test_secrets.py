@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
 from ferrolite.llm import queries as Q
 from ferrolite.llm import secrets
@@ -54,3 +57,33 @@ def test_odd_rows_and_redaction(odd, odd_rows, none):
     assert {r["doc_id"]: r["text"] for r in clean.collect()}[11] == "\U0001f600 [secret] [secret] \x00"
     assert secrets.scan(none, model).count() == 0 and secrets.redact(none, model).count() == 0
     assert secrets.fit(none).ratio.shape == model.ratio.shape
+
+
+def test_markov_spans_equal_the_naive_version(make):
+    """Transitions counted one by one; maximal runs of key characters outside of what the patterns find."""
+    draw = random.Random(5)
+    secret, plain = secrets.random_strings(1500, 1), secrets.identifiers(1500, 2)
+
+    def logs(samples):
+        pairs = Counter((a, b) for s in samples for a, b in zip(s, s[1:]))
+        rows = Counter(a for s in samples for a in s[:-1])
+        n = len(secrets._CHARS)
+        return lambda a, b: math.log((pairs[a, b] + 0.5) / (rows[a] + 0.5 * n))
+
+    p, q = logs(secret), logs(plain)
+    texts = []
+    for _ in range(150):
+        parts = [draw.choice([*secrets.random_strings(1, draw.random()), *secrets.identifiers(1, draw.random()), "a" * 30, "token=" + "Ab3" * 8, "0123456789abcdef0123", "AKIA" + "Z9" * 9, "é", "word"]) for _ in range(9)]
+        texts.append(draw.choice([" ", ", ", "\u00e9"]).join(parts))
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "markov"] for r in secrets.scan(make([(k, t, None) for k, t in enumerate(texts)]), secrets.Markov(secret, plain)).collect()}
+    found = 0
+    for k, text in enumerate(texts):
+        fixed = [(a, b) for a, _, b, _ in base(text)]
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/=_-]{20,}", text):
+            ratio = sum(p(a, b) - q(a, b) for a, b in zip(m[0], m[0][1:]))
+            if abs(ratio - secrets.RATIO) > 1e-6 and ratio >= secrets.RATIO and len(set(m[0])) >= secrets.DISTINCT and all(m.end() <= a or m.start() >= b for a, b in fixed):
+                want.append(m.span())
+        assert got[k] == want
+        found += len(want)
+    assert found > 50
