@@ -59,19 +59,19 @@ def drop(spark: SparkSession, df: DataFrame) -> None:
 HOT_KEYS, HOT_ROWS = 20_000, 512
 
 
-def frequent_from(total: int) -> int:
+def frequent_from(total: int, least: int | None = None) -> int:
     """Rows of a key, of ``total`` rows, beyond which it is a frequent one; such keys are ``HOT_KEYS`` at most."""
-    return max(HOT_ROWS, total // HOT_KEYS)
+    return max(HOT_ROWS if least is None else least, total // HOT_KEYS)
 
 
-def spread_join(rows: DataFrame, one: DataFrame, on: str) -> DataFrame:
+def spread_join(rows: DataFrame, one: DataFrame, on: str, least: int | None = None) -> DataFrame:
     """``rows`` joined with ``one``, which has one row for each of their keys, with ``n``, how often ``rows`` has the key.
 
-    Rows of a frequent key stay where they are: keys with more than ``HOT_ROWS`` rows and more than a ``HOT_KEYS``-th of
-    all are ``HOT_KEYS`` at most and are broadcast; only the others' rows are shuffled. So no task gets all rows of one key.
+    Rows of a frequent key stay where they are: keys with more than ``least`` rows (``HOT_ROWS``) and more than a ``HOT_KEYS``-th
+    of all are ``HOT_KEYS`` at most and are broadcast; only the others' rows are shuffled. So no task gets all rows of one key.
     """
     size = one.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
-    most = frequent_from(size["n"] or 0)
+    most = frequent_from(size["n"] or 0, least)
     if (size["most"] or 0) <= most:
         return rows.join(one, on)
     hot = one.where(F.col("n") > most)

@@ -73,7 +73,8 @@ def test_frequent_keys_stay_where_they_are(spark, monkeypatch):
 
 
 def test_components_of_hubs_and_chains(spark, monkeypatch):
-    monkeypatch.setattr(common, "HOT_ROWS", 4)
+    monkeypatch.setattr(components, "HUB_LINKS", 4)
+    monkeypatch.setattr(common, "HOT_KEYS", 50)
     draw = np.random.Generator(np.random.PCG64(2))
     links = [(0, k) for k in range(1, 60)] + [(100 + k, 101 + k) for k in range(37)] + [(int(a), int(b)) for a, b in draw.integers(200, 400, (150, 2))] + [(500, 500), (None, 3)]
     parent = {}
