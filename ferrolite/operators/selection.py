@@ -15,7 +15,7 @@ from ferrolite.operators.distance import farthest, nearest
 from ferrolite.sources.scratch import stash
 
 #: Farthest rows that the driver sees in a round (their vectors are sent to it), and rounds after which lineage is cut.
-CANDIDATES, CUT = 512, 8
+CANDIDATES, CUT = 2048, 8
 
 
 def farthest_points(rows: DataFrame, k: int | None, min_distance: float = 0.0, anchors: DataFrame | None = None, first: int | None = None) -> DataFrame:
