@@ -218,6 +218,26 @@ def _across(threshold: float, bits: int = MORE_BITS):
     return compare
 
 
+def _mended(rest: DataFrame, reps: DataFrame, texts: DataFrame, links: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
+    """The components with the links that are found within buckets of several components (``rest``)."""
+    high = least_estimate(percent / 100, MORE_PERMS, MORE_BITS)
+    wanted = texts.join(rest.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    longer = stash(wanted.mapInArrow(_sign_more, "node bigint, sig array<bigint>"))
+    x = rest.where(F.col("n") <= SMALL)
+    y = x.select("key", F.col("node").alias("v"), F.col("component").alias("cv"))
+    few = x.select("key", F.col("node").alias("u"), F.col("component").alias("cu")).join(y, "key").where("u < v and cu <> cv").select("u", "v").distinct()
+    few = few.join(longer.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(longer.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v")
+    few = few.where(estimate("su", "sv", MORE_PERMS, MORE_BITS) >= high).select("u", "v")
+    big = rest.where(F.col("n") > SMALL).join(longer, "node").join(reps.select("node", "bands"), "node").withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int"))
+    big = big.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    dealt = big.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
+        "key", "node", "component", "sig", "bands", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")
+    )
+    many = dealt.groupBy("key", "i", "j").applyInPandas(_across(high), "u bigint, v bigint")
+    more = stash(_confirmed(stash(few.union(many).distinct()), texts, percent))
+    return components(links.union(more)) if more.take(1) else reached
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs``.
 
@@ -255,23 +275,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     placed = members.where("n > 2").join(reached, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
     rest = stash(spread_join(placed, stash(mixed.select("key", "n")), "key"))
-    high = least_estimate(percent / 100, MORE_PERMS, MORE_BITS)
-    wanted = texts.join(rest.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    longer = stash(wanted.mapInArrow(_sign_more, "node bigint, sig array<bigint>"))
-    x = rest.where(F.col("n") <= SMALL)
-    y = x.select("key", F.col("node").alias("v"), F.col("component").alias("cv"))
-    few = x.select("key", F.col("node").alias("u"), F.col("component").alias("cu")).join(y, "key").where("u < v and cu <> cv").select("u", "v").distinct()
-    few = few.join(longer.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(longer.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v")
-    few = few.where(estimate("su", "sv", MORE_PERMS, MORE_BITS) >= high).select("u", "v")
-    big = rest.where(F.col("n") > SMALL).join(longer, "node").join(reps.select("node", "bands"), "node").withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int"))
-    big = big.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
-    dealt = big.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
-        "key", "node", "component", "sig", "bands", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")
-    )
-    many = dealt.groupBy("key", "i", "j").applyInPandas(_across(high), "u bigint, v bigint")
-    more = stash(few.union(many).distinct())
-    more = _confirmed(more, texts, percent)
-    final = components(links.union(more)) if rest.take(1) else reached
+    final = _mended(rest, reps, texts, links, reached, percent) if rest.take(1) else reached
 
     # From nodes back to rows.
     classes = nodes.join(final, "node", "left").select("f1", "f2", "n_shingles", F.coalesce("component", "node").alias("component"))
