@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolite.llm import decontaminate, langid, langmodel, neardup, packing, quality, secrets, sharding, surrogates, topk
+from ferrolite.llm import decontaminate, divergence, langid, langmodel, neardup, packing, quality, secrets, sharding, surrogates, topk
 from ferrolite.llm.common import fold
 from ferrolite.llm.tokens import vocabulary
 
@@ -91,6 +91,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -102,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_sharding": op10_sharding,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -119,4 +124,34 @@ ORACLES: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ),
+        t AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+        c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t GROUP BY ALL),
+        kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+        l AS (SELECT lang, sum(n)::HUGEINT AS total, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        cell AS (SELECT g.lang, g.source, kept.term, kept.n AS lang_n, coalesce(c.n, 0)::HUGEINT AS n FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+        total AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM cell GROUP BY ALL),
+        dense AS (
+            SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // (total.total + 2 * v) AS p, 1 + (1000000000 * (lang_n + 2)) // (l.total + 2 * v) AS q
+            FROM cell JOIN total USING (lang, source) JOIN l USING (lang)
+        ),
+        pair AS (
+            SELECT a.lang, a.source, b.source AS item,
+                   coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) FROM dense x JOIN dense y ON x.lang = y.lang AND x.term = y.term WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        ),
+        term AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM dense WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, 'pair' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pair
+            UNION ALL
+            SELECT *, 'term' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM term
+        )
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+    """,
 }
