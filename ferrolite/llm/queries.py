@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolite.llm import decontaminate, divergence, langid, langmodel, neardup, packing, quality, secrets, sharding, surrogates, topk
+from ferrolite.llm import decontaminate, divergence, langid, langmodel, neardup, negatives, packing, quality, secrets, sharding, surrogates, topk
 from ferrolite.llm.common import fold
 from ferrolite.llm.tokens import vocabulary
 
@@ -95,6 +95,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_sharding": op10_sharding,
     "op11_source_divergence": op11_source_divergence,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -154,4 +160,21 @@ ORACLES: dict[str, str] = {
         )
         SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
     """,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, list_inner_product(a.v, c.v)::BIGINT AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+            WHERE a.vec_id % 50 = 0
+        ),
+        positive AS (SELECT * FROM scored WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+               n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        QUALIFY rank <= 3
+    """,
 }
