@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolite.llm import decontaminate, divergence, langid, langmodel, neardup, negatives, packing, quality, secrets, sharding, surrogates, topk
+from ferrolite.llm import decontaminate, divergence, jaccard, langid, langmodel, neardup, negatives, packing, quality, secrets, sharding, surrogates, topk
 from ferrolite.llm.common import fold
 from ferrolite.llm.tokens import vocabulary
 
@@ -95,6 +95,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
@@ -112,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_sharding": op10_sharding,
     "op11_source_divergence": op11_source_divergence,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
