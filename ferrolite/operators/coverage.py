@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrolite.functions.composition import cartesian, ternary_cell, unit_bin
+from ferrolite.operators import ranks
 from ferrolite.sources.scratch import stash
 
 
@@ -49,20 +50,36 @@ def summary(histogram: DataFrame, keys: list[str], total_bins: int) -> DataFrame
     )
 
 
-def line_distances(pairs: DataFrame) -> DataFrame:
+#: Parts of the line in which shares are put in order; only the parts' ends meet those of other parts.
+LINE_PARTS = 1024
+
+
+def _spread(near: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, n, nn_mean, nn_p95 of distances ``d`` that occur ``n`` times each; exact percentiles without a sort."""
+    near = stash(near.select(*keys, "d", "n"))
+    known = F.when(F.col("d").isNotNull(), F.col("n"))
+    means = near.groupBy(*keys).agg(F.sum("n").alias("n"), F.round(F.sum(F.col("d") * F.col("n")) / F.sum(known), 9).alias("nn_mean"))
+    p95 = ranks.percentiles(near, "d", {"p95": 0.95}, tuple(keys), "n")
+    return means.join(p95, keys, "left").select(*keys, "n", "nn_mean", F.round("p95", 9).alias("nn_p95"))
+
+
+def line_distances(pairs: DataFrame, parts: int = LINE_PARTS) -> DataFrame:
     """a, b, n, nn_mean, nn_p95: distance of each structure's share to the nearest other one's in the same pair.
 
     On a line the nearest is a neighbour in order. Equal shares are one row with a count first; structures that share
-    a value are at distance 0. Null for a pair with a single structure.
+    a value are at distance 0. Shares are ordered within parts of the line, and a part's ends meet those of the parts
+    next to it, so that no pair is ordered in one task. Null for a pair with a single structure.
     """
-    values = pairs.groupBy("a", "b", "b_share").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("a", "b").orderBy("b_share")
-    gap = F.least(F.col("b_share") - F.lag("b_share").over(order), F.lead("b_share").over(order) - F.col("b_share"))
-    near = values.withColumn("d", F.when(F.col("n") > 1, F.lit(0.0)).otherwise(gap))
-    # Percentile of a weighted column: n occurrences of each distance.
-    return near.groupBy("a", "b").agg(
-        F.sum("n").alias("n"), F.round(F.sum(F.col("d") * F.col("n")) / F.sum(F.when(F.col("d").isNotNull(), F.col("n"))), 9).alias("nn_mean"), F.round(F.percentile("d", F.lit(0.95), F.col("n")), 9).alias("nn_p95")
-    )
+    values = pairs.groupBy("a", "b", "b_share").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.floor(F.col("b_share") * parts))
+    values = stash(values)
+    ends = values.groupBy("a", "b", "part").agg(F.min("b_share").alias("first"), F.max("b_share").alias("last"))
+    line = Window.partitionBy("a", "b").orderBy("part")
+    ends = ends.select("a", "b", "part", F.lag("last").over(line).alias("below"), F.lead("first").over(line).alias("above"))
+    order = Window.partitionBy("a", "b", "part").orderBy("b_share")
+    near = values.join(ends, ["a", "b", "part"])
+    before, after = F.coalesce(F.lag("b_share").over(order), F.col("below")), F.coalesce(F.lead("b_share").over(order), F.col("above"))
+    gap = F.least(F.col("b_share") - before, after - F.col("b_share"))
+    return _spread(near.withColumn("d", F.when(F.col("n") > 1, F.lit(0.0)).otherwise(gap)), ["a", "b"])
 
 
 #: Different points of a subset that meet in one task at most (of either side).
@@ -94,9 +111,7 @@ def plane_distances(triples: DataFrame) -> DataFrame:
     kind = ", ".join(f"{c} {t}" for c, t in points.dtypes if c in (*keys, "x", "y"))
     found = left.groupBy(*keys, "i", "j").cogroup(right.groupBy(*keys, "i", "j")).applyInPandas(near, f"{kind}, d double").groupBy(*keys, "x", "y").agg(F.min("d").alias("d"))
     both = points.toDF(*points.columns).join(found, [*keys, "x", "y"]).withColumn("d", F.when(F.col("n") > 1, F.lit(0.0)).when(F.col("d") < float("inf"), F.col("d")))
-    return both.groupBy(*keys).agg(
-        F.sum("n").alias("n"), F.round(F.sum(F.col("d") * F.col("n")) / F.sum(F.when(F.col("d").isNotNull(), F.col("n"))), 9).alias("nn_mean"), F.round(F.percentile("d", F.lit(0.95), F.col("n")), 9).alias("nn_p95")
-    )
+    return _spread(both, keys)
 
 
 def report(summaries: DataFrame, distances: DataFrame, keys: list[str], total_bins: int) -> DataFrame:

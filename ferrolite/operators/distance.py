@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferrolite.operators import ranks
+from ferrolite.sources.scratch import stash
+
 #: Rows of one side of a block pair.
 BLOCK = 4096
 
@@ -43,13 +47,8 @@ def _least(itself: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]
     return run
 
 
-def nearest(probe: DataFrame, build: DataFrame, itself: bool = False, block: int = BLOCK) -> DataFrame:
-    """id, distance, positive_distance of each ``probe`` row to the nearest ``build`` row (and to the nearest one further
-    than 1e-12): both have id and v (array<double>).
-
-    Blocks of both sides meet in a grid, so that a task holds one block of each and returns one number for a row; with
-    ``itself`` a row is not compared with its own id. Infinite where nothing is to compare with.
-    """
+def nearest_by_grid(probe: DataFrame, build: DataFrame, itself: bool = False, block: int = BLOCK) -> DataFrame:
+    """``nearest`` of usable vectors without an index: all blocks of both sides meet."""
     n, m = [max(1, -(-x.count() // block)) for x in (probe, build)]
     left, right = _blocks(probe, n, m, "i", "j"), _blocks(build, m, n, "j", "i")
     found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(_least(itself), "id bigint, d array<double>")
@@ -58,6 +57,119 @@ def nearest(probe: DataFrame, build: DataFrame, itself: bool = False, block: int
     return probe.select("id").join(least, "id", "left").select("id", F.coalesce("d", inf).alias("distance"), F.coalesce("pd", inf).alias("positive_distance"))
 
 
+def usable(v: Column) -> Column:
+    """Whether a vector is there and all its components are finite numbers."""
+    ok = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
+    return v.isNotNull() & F.coalesce(ok, F.lit(False))
+
+
+#: Pivots of the index, its blocks, and build blocks that a probe block meets first.
+PIVOTS, BLOCKS, HOME = 512, 200_000, 3
+
+
+def _placed(rows: DataFrame, pivots: np.ndarray, count: int, block: int) -> DataFrame:
+    """id, v, block, c, r: rows beside their nearest pivot, and blocks of consecutive distances from one pivot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            v = batch.column("v").flatten().to_numpy().reshape(len(batch), -1)
+            r, c = np.full(len(v), np.inf), np.zeros(len(v), np.int32)
+            for k, p in enumerate(pivots):
+                d = np.sqrt(((v - p) ** 2).sum(axis=1))
+                c[d < r] = k
+                np.minimum(d, r, out=r)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(c), pa.array(r)], names=["id", "v", "c", "r"])
+
+    order = ["c", "r", "id"]
+    near = rows.mapInArrow(run, "id bigint, v array<double>, c int, r double")
+    dealt = near.repartitionByRange(max(1, -(-count // (16 * block))), *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    number = F.shiftright("at", 33) * F.lit(2**31) + F.floor(F.col("at").bitwiseAND(F.lit(2**33 - 1)) / F.lit(block))
+    return stash(dealt.select("id", "v", "c", "r", F.xxhash64("c", number).alias("block")))
+
+
+def _outlines(rows: DataFrame) -> DataFrame:
+    """Of each block its pivot and the least and largest distance from it."""
+    return rows.groupBy("block").agg(F.first("c").alias("c"), F.min("r").alias("a"), F.max("r").alias("b"))
+
+
+def _block_pairs(probes: DataFrame, builds: list, pivots: np.ndarray, home: bool) -> DataFrame:
+    """(p, q): the build blocks that each probe block (block, c, a, b, reach) meets: the ``HOME`` ones whose lower bounds, and
+    then pivots, are nearest, or else all others whose lower bound is within its ``reach``."""
+    names = np.array([r["block"] for r in builds], np.int64)
+    c, a, b = np.array([r["c"] for r in builds], np.int64), np.array([r["a"] for r in builds]), np.array([r["b"] for r in builds])
+    apart = np.sqrt(((pivots[:, None, :] - pivots[None]) ** 2).sum(axis=2)) if len(pivots) <= 64 else np.array([np.sqrt(((pivots - p) ** 2).sum(axis=1)) for p in pivots])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for p, cp, ap, bp, reach in zip(*[batch.column(n).to_pylist() for n in ("block", "c", "a", "b", "reach")], strict=True):
+                d = apart[cp][c]
+                # By the triangle inequality no two of their rows are nearer than this.
+                bound = np.maximum(np.maximum(d - bp - b, 0), np.maximum(a - d - bp, ap - d - b))
+                first = np.lexsort((d, bound))[:HOME]
+                if home:
+                    hit = names[first]
+                else:
+                    ok = bound * (1 - 1e-9) - 1e-12 <= reach
+                    ok[first] = False
+                    hit = names[ok]
+                left += [p] * len(hit)
+                right += hit.tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["p", "q"])
+
+    return stash(probes.select("block", "c", "a", "b", "reach").mapInArrow(run, "p bigint, q bigint"))
+
+
+def nearest(probe: DataFrame, build: DataFrame, itself: bool = False, block: int = BLOCK, report: dict | None = None) -> DataFrame:
+    """id, distance, positive_distance of each ``probe`` row to the nearest ``build`` row (and to the nearest one further
+    than 1e-12): both have id and v (array<double>).
+
+    Rows are placed beside the nearest of up to ``PIVOTS`` rows of ``build`` and cut into blocks by their distance from
+    it. A probe block meets a few build blocks first; then, with the largest distance that its rows have by then, those
+    that the triangle inequality does not rule out. A task holds one block of each side and returns two numbers for a
+    row. ``report`` gets the numbers of ``block_pairs`` and of those ``visited``. With ``itself`` a row is not compared
+    with its own id. Infinite where nothing is to compare with; null for a vector that is null or holds null or
+    non-finite components, which is compared with nothing.
+    """
+    ok = usable(F.col("v"))
+    left = stash(probe.where(ok).select(F.col("id").cast("bigint").alias("id"), "v"))
+    right = left if build is probe else stash(build.where(ok).select(F.col("id").cast("bigint").alias("id"), "v"))
+    n, m = left.count(), right.count()
+    block = max(block, -(-max(n, m) // BLOCKS))
+    found = None
+    if n and m:
+        wanted = min(PIVOTS, 2 * -(-m // block)) if m > block else 1
+        pivots = np.array([r["v"] for r in right.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()], np.float64)
+        mine, theirs = _placed(left, pivots, n, block), None
+        theirs = mine if right is left else _placed(right, pivots, m, block)
+        builds = _outlines(theirs).collect()  # BLOCKS and PIVOTS at most
+
+        def met(pairs: DataFrame) -> DataFrame:
+            one = mine.join(pairs.withColumnRenamed("p", "block"), "block").select("id", "v", "block", "q").toDF("id", "v", "p", "q")
+            two = theirs.join(pairs.withColumnRenamed("q", "block"), "block").select("id", "v", "p", "block").toDF("id", "v", "p", "q")
+            return stash(one.groupBy("p", "q").cogroup(two.groupBy("p", "q")).applyInPandas(_least(itself), "id bigint, d array<double>"))
+
+        inf = F.lit(float("inf"))
+        outlines = stash(_outlines(mine))
+        pairs = _block_pairs(outlines.withColumn("reach", inf), builds, pivots, True)
+        found, visited = met(pairs), pairs.count()
+        if len(builds) > HOME:
+            far = found.groupBy("id").agg(F.min(F.col("d")[1]).alias("d"))
+            reach = mine.select("id", "block").join(far, "id", "left").groupBy("block").agg(F.max(F.coalesce("d", inf)).alias("reach"))
+            more = _block_pairs(outlines.join(reach, "block"), builds, pivots, False)
+            found, visited = found.union(met(more)), visited + more.count()
+        if report is not None:
+            report |= {"block_pairs": outlines.count() * len(builds), "visited": visited}
+    inf = F.lit(float("inf"))
+    if found is None:
+        least = left.select("id", inf.alias("d"), inf.alias("pd")).limit(0)
+    else:
+        least = found.groupBy("id").agg(F.min(F.col("d")[0]).alias("d"), F.min(F.col("d")[1]).alias("pd"))
+    return probe.select("id", ok.alias("ok")).join(least, "id", "left").select("id", F.when(F.col("ok"), F.coalesce("d", inf)).alias("distance"), F.when(F.col("ok"), F.coalesce("pd", inf)).alias("positive_distance"))
+
+
 def nearest_values(probe: DataFrame, build: DataFrame, value: str, kind: str, within: float = 1e-6, block: int = BLOCK) -> DataFrame:
     """id, d, ``value``: for each ``probe`` row (id, v) and block of ``build`` rows (v and ``value``) those at the block's
     smallest distance, up to ``within`` more; blocks meet as in ``nearest``."""
@@ -81,16 +193,20 @@ def nearest_values(probe: DataFrame, build: DataFrame, value: str, kind: str, wi
 
 
 def summary(distances: DataFrame, digits: int = 9) -> DataFrame:
-    """One row: count, min, mean, exact p50, p95, p99, max of ``distance``."""
+    """One row: count, min, mean, exact p50, p95, p99, max of ``distance``. Percentiles are those of ``ranks``; all of
+    them are null without distances."""
     d = F.col("distance")
-    stats = {"min": F.min(d), "mean": F.avg(d), "p50": F.percentile(d, F.lit(0.5)), "p95": F.percentile(d, F.lit(0.95)), "p99": F.percentile(d, F.lit(0.99)), "max": F.max(d)}
-    return distances.agg(F.count(d).alias("n"), *[F.round(c, digits).alias(f"nn_{k}") for k, c in stats.items()])
+    held = stash(distances.select(d))
+    spots = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    stats = held.agg(F.count(d).alias("n"), F.min(d).alias("min"), F.avg(d).alias("mean"), F.max(d).alias("max"))
+    both = stats.join(F.broadcast(ranks.percentiles(held, "distance", spots)), F.lit(True), "left")  # one row
+    return both.select("n", *[F.round(c, digits).alias(f"nn_{c}") for c in ("min", "mean", *spots, "max")])
 
 
 def farthest(distances: DataFrame, target: int, factor: float) -> DataFrame:
-    """The max(target, int(n * factor)) rows of largest distance, ties to the smaller id."""
-    k = max(target, int(distances.count() * factor))
-    return distances.orderBy(F.desc("distance"), "id").limit(k)
+    """The max(target, int(n * factor)) rows of largest distance, ties to the smaller id, without a sort."""
+    held = stash(distances)
+    return ranks.largest(held, max(target, int(held.count() * factor)))
 
 
 def zscored(rows: DataFrame, columns: list[str]) -> DataFrame:

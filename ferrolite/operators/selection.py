@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrolite.operators.distance import farthest, nearest
+from ferrolite.operators.distance import farthest, nearest, usable
 from ferrolite.sources.scratch import stash
 
 #: Farthest rows that the driver sees in a round (their vectors are sent to it), and rounds after which lineage is cut.
@@ -25,9 +25,11 @@ def farthest_points(rows: DataFrame, k: int | None, min_distance: float = 0.0, a
     picks, ties to the smaller id, until ``k`` rows are picked or the farthest is closer than ``min_distance``; with
     null for ``k`` only the distance ends it. A round sends the ``CANDIDATES`` farthest rows to the driver. As distances
     only fall, the best of them is the next pick for as long as it comes before the last of them as that was sent; then
-    one pass over the rows updates their distance to the new picks. The rows stay where they are.
+    one pass over the rows updates their distance to the new picks. The rows stay where they are. Rows without an id, and
+    vectors that are null or hold null or non-finite components, take no part.
     """
     spark = rows.sparkSession
+    rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
     picks: list[tuple[int, int, float]] = []
     if anchors is not None:
         state = rows.join(anchors.select("id"), "id", "left_anti").join(nearest(rows, rows.join(anchors.select("id"), "id", "left_semi")).select("id", F.col("distance").alias("d")), "id")
