@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolite.operators.distance import farthest, nearest, usable
@@ -16,6 +16,8 @@ from ferrolite.sources.scratch import stash
 
 #: Farthest rows that the driver sees in a round (their vectors are sent to it), and rounds after which lineage is cut.
 CANDIDATES, CUT = 2048, 8
+#: Picks that a round of the composition-aware fill foresees, and rows whose place one of its steps may ask for.
+STEPS, MARKS = 64, 64
 
 
 def farthest_points(rows: DataFrame, k: int | None, min_distance: float = 0.0, anchors: DataFrame | None = None, first: int | None = None) -> DataFrame:
@@ -172,67 +174,204 @@ def train_test(rows: DataFrame, anchors: DataFrame, target_train: int, target_te
 
 
 def composition_aware_points(
-    rows: DataFrame, target: int, frontier: float, anchors: DataFrame | None = None, ternary_weight: float = 1.0, totals: tuple[int, int] = (20, 190), floor: float = 0.9
+    rows: DataFrame, target: int, frontier: float, anchors: DataFrame | None = None, ternary_weight: float = 1.0, totals: tuple[int, int] = (20, 190), floor: float = 0.9, steps: int = STEPS
 ) -> DataFrame:
-    """pick, id: the fill of ``composition_aware`` over rows (id, v array<double>, bins array<struct<subset:string,
-    bin:string, ternary:boolean>>) that stay in Spark.
-
-    Of rows with equal reward only the farthest can be taken, so that each task returns one row for each reward that its
-    rows have, and a second pass counts how many rows are ahead of those that may win. A pick is one or two jobs over all
-    rows, whatever their number; ``anchors`` (id; without any the smallest id) are taken first and are not counted as jobs.
+    """pick, id: the composition-aware fill over rows (id, v array<double>, bins array<struct<subset:string, bin:string,
+    ternary:boolean>>) that stay in Spark; ``anchors`` (id; without any the smallest id) are taken first.
+
+    In each step the rows are ordered by distance to the chosen ones; of the first max(1, ceil(``frontier`` * n)) those
+    at no distance are left out if others remain, and so are those below ``floor`` of the largest distance; the row whose
+    bins are the emptiest is taken, then the farther one, then the smaller id.
+
+    A round foresees up to ``steps`` picks on a bounded list of rows, the farthest ones and the farthest of each set of
+    bins, and then certifies them all in one pass over the rows: with the picks foreseen, each task returns for every
+    step the farthest row of each reward (of rows with equal reward no other can be taken) and how many of its rows come
+    before those that the step compares. The picks that this confirms are taken, and so is the right one of the first
+    step that was foreseen wrongly. So a round takes one pick at least, and as many as were foreseen while the list
+    holds what matters. Rows without an id and unusable vectors take no part.
     """
     spark = rows.sparkSession
-    fixed = [r["id"] for r in anchors.select("id").distinct().orderBy("id").collect()] if anchors is not None else []
-    if not fixed:
-        first = rows.orderBy("id").select("id").first()
-        fixed = [first["id"]] if first else []
-    start = {r["id"]: (np.array(r["v"], np.float64), r["bins"]) for r in rows.where(F.col("id").isin(fixed)).select("id", "v", "bins").collect()}  # target rows at most
-    picks = [i for i in fixed if i in start][:target]
-    tally: dict[tuple, int] = {}
-    sums: dict[str, int] = {}
-
-    def count(bins: list) -> None:
-        for b in bins:
-            tally[b["subset"], b["bin"]] = tally.get((b["subset"], b["bin"]), 0) + 1
-            sums[b["subset"]] = sums.get(b["subset"], 0) + 1
-
-    for i in picks:
-        count(start[i][1])
-    held = rows.select("id", "v", "bins", F.lit(float("inf")).alias("d")).persist(StorageLevel.MEMORY_AND_DISK)
-    left, fresh = held.count() - len(picks), [(i, start[i][0]) for i in picks]
+    held = rows.where(F.col("id").isNotNull() & usable(F.col("v"))).select("id", "v", "bins", F.lit(float("inf")).alias("d")).persist(StorageLevel.MEMORY_AND_DISK)
+    start = held.join(anchors.select("id").distinct(), "id", "left_semi") if anchors is not None else held
+    first = start.select("id", "v", "bins").orderBy("id").limit(target if anchors is not None else 1).collect()  # target rows at most
+    if not first and anchors is not None:
+        first = held.select("id", "v", "bins").orderBy("id").limit(1).collect()
+    picks = [(int(r["id"]), np.array(r["v"], np.float64), r["bins"]) for r in first[:target]]
+    left, fresh, rounds = held.count() - len(picks), list(picks), 0
+    rewards = _Rewards(ternary_weight, totals)
+    for _, _, bins in picks:
+        rewards.count(bins)
     while len(picks) < target and left > 0:
-        weights = _Rewards(dict(tally), dict(sums), ternary_weight, totals)
-        top = held.mapInArrow(_farthest_of_each_reward(fresh, weights), "reward double, id bigint, d double").groupBy("reward").agg(F.max(F.struct("d", (-F.col("id")).alias("m"))).alias("x")).collect()
-        best = sorted((-r["reward"], -r["x"]["d"], -r["x"]["m"]) for r in top)
-        most = max(-d for _, d, _ in best)
-        if most > 1e-12:
-            best = [b for b in best if -b[1] >= floor * most]
-        wide = max(1, math.ceil(frontier * left))
-        ahead = dict.fromkeys((b[2] for b in best), 0)
-        if wide < left and len(best) > 1:
-            marks = [(-d, i) for _, d, i in best]
-            for r in held.mapInArrow(_ahead(fresh, marks), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect():
-                ahead[r["id"]] = r["n"]
-        chosen = next(i for _, _, i in best if ahead[i] < wide or len(best) == 1)
-        row = held.where(F.col("id") == chosen).select("v", "bins").first()
-        picks.append(chosen)
-        count(row["bins"])
-        fresh.append((chosen, np.array(row["v"], np.float64)))
-        left -= 1
-        if len(fresh) >= 4 * CUT:
-            after = stash(held.mapInArrow(_moved(fresh), held.schema)).persist(StorageLevel.MEMORY_AND_DISK)
-            after.count()
-            held.unpersist()
-            held, fresh = after, []
+        after = held.mapInArrow(_moved(fresh), held.schema)
+        rounds += 1
+        after = (stash(after) if rounds % CUT == 0 else after).persist(StorageLevel.MEMORY_AND_DISK)
+        known = _candidates(after)
+        held.unpersist()
+        held = after
+        wides = [max(1, math.ceil(frontier * (left - t))) for t in range(min(steps, target - len(picks), left))]
+        plan, marks = _foreseen(known, rewards.copy(), wides, left, floor)
+        found = held.mapInArrow(_certified(plan, marks, rewards.copy()), "step int, reward double, mark bigint, id bigint, d double, n bigint")
+        found = found.groupBy("step", "reward", "mark").agg(F.max(F.struct("d", (-F.col("id")).alias("m"))).alias("x"), F.sum("n").alias("n")).collect()
+        fresh = []
+        for t, wide in enumerate(wides[: max(1, len(plan))]):
+            best = sorted((-r["reward"], -r["x"]["d"], -r["x"]["m"]) for r in found if r["step"] == t and r["mark"] is None)
+            ahead = {r["mark"]: r["n"] for r in found if r["step"] == t and r["mark"] is not None}
+            sure = set(marks[t]) if marks else set()
+            chosen = _chosen(best, lambda d, i, a=ahead, s=sure: a.get(i, 0) if (d, i) in s else None, wide, left - t, floor)
+            if chosen is None and t == 0:  # a row that wasn't foreseen: one more pass counts what is before it
+                every = [(-d, i) for _, d, i in best]
+                counts = held.mapInArrow(_certified([], [every], rewards.copy()), "step int, reward double, mark bigint, id bigint, d double, n bigint").where("mark is not null").groupBy("mark").agg(F.sum("n").alias("n")).collect()
+                exact = {r["mark"]: r["n"] for r in counts}
+                chosen = _chosen(best, lambda d, i, e=exact: e.get(i, 0), wide, left, floor)
+            if chosen is None:
+                break
+            row = known.get(chosen)
+            if row is None:
+                r = held.where(F.col("id") == chosen).select("v", "bins").first()
+                row = (np.array(r["v"], np.float64), r["bins"])
+            fresh.append((chosen, *row))
+            rewards.count(row[1])
+            if not plan or chosen != plan[t][0]:
+                break
+        picks += fresh
+        left -= len(fresh)
     held.unpersist()
-    return spark.createDataFrame([(k + 1, int(i)) for k, i in enumerate(picks)], "pick int, id bigint")
+    return spark.createDataFrame([(k + 1, i) for k, (i, _, _) in enumerate(picks)], "pick int, id bigint")
+
+
+def _chosen(best: list[tuple[float, float, int]], ahead: Callable[[float, int], int | None], wide: int, left: int, floor: float) -> int | None:
+    """The id that is taken among the farthest rows of each reward, sorted (-reward, -d, id); null if it takes a count
+    of rows ahead that is not known."""
+    if not best:
+        return None
+    most = max(-d for _, d, _ in best)
+    if most > 1e-12:
+        best = [b for b in best if -b[1] >= floor * most]
+    for _, d, i in best:
+        if wide >= left or len(best) == 1:
+            return i
+        n = ahead(-d, i)
+        if n is None:
+            return None
+        if n < wide:
+            return i
+    return None
+
+
+def _candidates(held: DataFrame) -> dict[int, tuple[np.ndarray, list]]:
+    """id: (vector, bins) of the ``CANDIDATES`` farthest rows and of the farthest row of each set of bins, as many again."""
+    there = held.where("d >= 0")
+    far = there.select("id", "v", "bins", "d").orderBy(F.desc("d"), "id").limit(CANDIDATES).collect()
+    out = {int(r["id"]): (np.array(r["v"], np.float64), r["bins"], r["d"]) for r in far}
+    if len(far) == CANDIDATES:
+        each = there.groupBy(F.xxhash64(F.to_json("bins")).alias("s")).agg(F.max(F.struct("d", (-F.col("id")).alias("m"))).alias("x")).select("x.d", (-F.col("x.m")).alias("id"))
+        ids = each.orderBy(F.desc("d"), "id").limit(CANDIDATES)
+        out |= {int(r["id"]): (np.array(r["v"], np.float64), r["bins"], r["d"]) for r in there.join(F.broadcast(ids.select("id")), "id", "left_semi").select("id", "v", "bins", "d").collect()}
+    return _Known(out)
+
+
+class _Known(dict):
+    """Candidates by id; ``d`` has their distances as the round begins."""
+
+    def __init__(self, rows: dict) -> None:
+        super().__init__({i: (v, bins) for i, (v, bins, _) in rows.items()})
+        self.d = {i: d for i, (_, _, d) in rows.items()}
+
+
+def _foreseen(known: _Known, rewards: _Rewards, wides: list[int], left: int, floor: float) -> tuple[list, list]:
+    """The picks (id, v, bins) that the fill would make if the candidates were all rows, and for each step the (d, id) of
+    the rows whose place it asks for."""
+    ids = np.array(list(known), np.int64)
+    v, d = np.array([known[i][0] for i in ids.tolist()]), np.array([known.d[i] for i in ids.tolist()])
+    names = [tuple((b["subset"], b["bin"], b["ternary"]) for b in known[i][1]) for i in ids.tolist()]
+    kinds, kind = list(dict.fromkeys(names)), np.zeros(len(ids), np.int64)
+    place = {n: k for k, n in enumerate(kinds)}
+    kind[:] = [place[n] for n in names]
+    sample = {n: known[i][1] for n, i in zip(names, ids.tolist(), strict=True)}
+    plan, marks = [], []
+    for t, wide in enumerate(wides):
+        r = np.array([rewards.of(sample[n]) for n in kinds])[kind]
+        best = _farthest_of_each(r, d, ids)
+        asked: list[tuple[float, int]] = []
+
+        def ahead(x: float, i: int) -> int:
+            asked.append((x, i))
+            return int(((d > x) | ((d == x) & (ids < i))).sum())
+
+        chosen = _chosen(best, ahead, wide, left - t, floor)
+        if chosen is None or len(asked) > MARKS:
+            break
+        plan.append((chosen, *known[chosen]))
+        marks.append(asked)
+        k = int(np.flatnonzero(ids == chosen)[0])
+        np.minimum(d, np.sqrt(((v - v[k]) ** 2).sum(axis=1)), out=d, where=d >= 0)
+        d[k] = -1.0
+        rewards.count(known[chosen][1])
+    return plan, marks
+
+
+def _farthest_of_each(r: np.ndarray, d: np.ndarray, ids: np.ndarray) -> list[tuple[float, float, int]]:
+    """(-reward, -d, id) of the farthest row of each reward, ties to the smaller id, sorted; rows with d < 0 are out."""
+    there = d >= 0
+    r, d, ids = r[there], d[there], ids[there]
+    order = np.lexsort((ids, -d, -r))
+    first = order[np.flatnonzero(np.diff(r[order], prepend=np.nan) != 0)] if len(order) else order
+    return [(-float(r[k]), -float(d[k]), int(ids[k])) for k in first.tolist()]
+
+
+def _certified(plan: list, marks: list, rewards: _Rewards):
+    """For every step of the plan the farthest row of each reward (mark null), and the number of rows before each mark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps = [rewards.copy()]
+        for _, _, bins in plan[:-1]:
+            steps.append(steps[-1].copy())
+            steps[-1].count(bins)
+        best: dict[tuple[int, float], tuple[float, int]] = {}
+        ahead = [[0] * len(m) for m in marks]
+        for batch in batches:
+            if not len(batch):
+                continue
+            ids, d = batch.column("id").to_numpy(), batch.column("d").to_numpy().copy()
+            v = batch.column("v").flatten().to_numpy().reshape(len(ids), -1)
+            bins = batch.column("bins").to_pylist()
+            place: dict[tuple, int] = {}
+            kind = np.array([place.setdefault(tuple((b["subset"], b["bin"], b["ternary"]) for b in x), len(place)) for x in bins])
+            sample = [bins[k] for k in np.unique(kind, return_index=True)[1].tolist()]
+            for t, step in enumerate(steps):
+                r = np.array([step.of(x) for x in sample])[kind]
+                for reward, far, i in _farthest_of_each(r, d, ids):
+                    key = (t, -reward)
+                    best[key] = max(best.get(key, (-1.0, 0)), (-far, -i))
+                for k, (x, i) in enumerate(marks[t] if t < len(marks) else []):
+                    ahead[t][k] += int(((d > x) | ((d == x) & (ids < i))).sum())
+                if t + 1 < len(steps):
+                    np.minimum(d, np.sqrt(((v - plan[t][1]) ** 2).sum(axis=1)), out=d, where=d >= 0)
+                    d[ids == plan[t][0]] = -1.0
+        rows = [(t, r, None, -m, x, 0) for (t, r), (x, m) in best.items()]
+        rows += [(t, None, i, i, x, n) for t, m in enumerate(marks) for (x, i), n in zip(m, ahead[t], strict=True)]
+        kinds = (("step", pa.int32()), ("reward", pa.float64()), ("mark", pa.int64()), ("id", pa.int64()), ("d", pa.float64()), ("n", pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], k) for c, (_, k) in enumerate(kinds)], names=[n for n, _ in kinds])
+
+    return run
 
 
 class _Rewards:
     """Mean emptiness of a row's bins, by what is chosen so far."""
 
-    def __init__(self, tally: dict[tuple, int], sums: dict[str, int], ternary_weight: float, totals: tuple[int, int]) -> None:
-        self.tally, self.sums, self.ternary_weight, self.totals, self.known = tally, sums, ternary_weight, totals, {}
+    def __init__(self, ternary_weight: float, totals: tuple[int, int], tally: dict[tuple, int] | None = None, sums: dict[str, int] | None = None) -> None:
+        self.ternary_weight, self.totals, self.tally, self.sums = ternary_weight, totals, tally or {}, sums or {}
+        self.known: dict[tuple, float] = {}
+
+    def copy(self) -> _Rewards:
+        return _Rewards(self.ternary_weight, self.totals, dict(self.tally), dict(self.sums))
+
+    def count(self, bins: list) -> None:
+        """One more chosen row."""
+        self.known = {}
+        for b in bins:
+            self.tally[b["subset"], b["bin"]] = self.tally.get((b["subset"], b["bin"]), 0) + 1
+            self.sums[b["subset"]] = self.sums.get(b["subset"], 0) + 1
 
     def of(self, bins: list[dict]) -> float:
         weight = total = 0.0
@@ -247,18 +386,18 @@ class _Rewards:
         return total / weight if weight else 0.0
 
 
-def _moved_d(batch: pa.RecordBatch, fresh: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def _moved_d(batch: pa.RecordBatch, fresh: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     """ids and distances after the fresh picks; -1 for the picked rows."""
     ids, d = batch.column("id").to_numpy(), batch.column("d").to_numpy().copy()
     lists = batch.column("v")
     v = lists.flatten().to_numpy().reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
-    for _, p in fresh:
+    for _, p, _ in fresh:
         np.minimum(d, np.sqrt(((v - p) ** 2).sum(axis=1)), out=d, where=d >= 0)
-    d[np.isin(ids, [i for i, _ in fresh])] = -1.0
+    d[np.isin(ids, [i for i, _, _ in fresh])] = -1.0
     return ids, d
 
 
-def _moved(fresh: list[tuple[int, np.ndarray]]):
+def _moved(fresh: list[tuple]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), batch.column("bins"), pa.array(_moved_d(batch, fresh)[1])], names=["id", "v", "bins", "d"])
@@ -266,56 +405,29 @@ def _moved(fresh: list[tuple[int, np.ndarray]]):
     return run
 
 
-def _farthest_of_each_reward(fresh: list[tuple[int, np.ndarray]], rewards: _Rewards):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top: dict[float, tuple[float, int]] = {}
-        for batch in batches:
-            ids, d = _moved_d(batch, fresh)
-            for i, x, bins in zip(ids.tolist(), d.tolist(), batch.column("bins").to_pylist(), strict=True):
-                if x >= 0:
-                    r = rewards.of(bins)
-                    top[r] = max(top.get(r, (-1.0, 0)), (x, -i))
-        yield pa.RecordBatch.from_arrays([pa.array(list(top), pa.float64()), pa.array([-m for _, m in top.values()], pa.int64()), pa.array([x for x, _ in top.values()], pa.float64())], names=["reward", "id", "d"])
-
-    return run
-
-
-def _ahead(fresh: list[tuple[int, np.ndarray]], marks: list[tuple[float, int]]):
-    """For each mark (d, id) how many rows come before it: farther, or as far with a smaller id."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = [0] * len(marks)
-        for batch in batches:
-            ids, d = _moved_d(batch, fresh)
-            for k, (x, i) in enumerate(marks):
-                n[k] += int(((d > x) | ((d == x) & (ids < i))).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([i for _, i in marks], pa.int64()), pa.array(n, pa.int64())], names=["id", "n"])
-
-    return run
-
-
 def attempt_schedule(frontier: float, ternary_weight: float, retries: int) -> list[tuple[float, float]]:
     """(frontier, ternary weight) of each attempt: as asked, half and twice the frontier within bounds, twice the weight."""
     every = [(frontier, ternary_weight), (max(0.05, frontier / 2), ternary_weight), (min(0.25, frontier * 2), ternary_weight), (frontier, ternary_weight * 2)]
     return every[: max(1, retries)]
 
 
-def attempt_metrics(rows: DataFrame, picks: DataFrame, number: int) -> dict:
-    """What an attempt is judged by: the shares of all rows' bins that the picks occupy, the evenness over them, and
-    nearest distances among the picks. Bins are counted in Spark, distances in blocks."""
-    spread = F.explode("bins").alias("b")
-    every = rows.select(spread).groupBy(F.col("b.ternary").alias("t")).agg(F.count_distinct(F.struct("b.subset", "b.bin")).alias("n")).collect()
-    total = {r["t"]: r["n"] for r in every}
+def attempt_metrics(rows: DataFrame, picks: DataFrame, number: int, totals: tuple[int, int] = (20, 190)) -> dict:
+    """What an attempt is judged by: the mean over the picks' subsets of the share of the subset's ``totals`` bins that
+    they occupy and of the entropy over them (1 if all are equally full), for two and three elements; and nearest
+    distances among the picks."""
     mine = rows.join(picks.select("id"), "id", "left_semi")
-    cells = mine.select(spread).groupBy(F.col("b.ternary").alias("t"), "b.subset", "b.bin").agg(F.count(F.lit(1)).alias("n"))
-    p = F.col("n") / F.sum("n").over(Window.partitionBy("t"))
-    sums = cells.withColumn("h", -p * F.ln(p)).groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).collect()
+    cells = mine.select(F.explode("bins").alias("b")).groupBy(F.col("b.ternary").alias("t"), F.col("b.subset").alias("s"), "b.bin").agg(F.count(F.lit(1)).alias("n"))
+    total = F.when(F.col("t"), totals[1]).otherwise(totals[0]).cast("double")
+    # Of n_1 .. n_k that sum to N the entropy is ln N - sum(n ln n) / N.
+    entropy = F.ln(F.sum("n")) - F.sum(F.col("n") * F.ln("n")) / F.sum("n")
+    each = cells.groupBy("t", "s").agg((F.count(F.lit(1)) / total).alias("occupied"), (entropy / F.ln(F.greatest(total, F.lit(2.0)))).alias("even"))
+    means = {r["t"]: r for r in each.groupBy("t").agg(F.avg("occupied").alias("occupied"), F.avg("even").alias("even")).collect()}
     out: dict = {"attempt_number": number}
     for t, name in ((False, "binary"), (True, "ternary")):
-        n, h = next(((r["n"], r["h"]) for r in sums if r["t"] == t), (0, 0.0))
-        out[f"{name}_occupied_bin_fraction"] = n / total[t] if total.get(t) else 0.0
-        out[f"{name}_normalized_entropy"] = h / math.log(total[t]) if total.get(t, 0) > 1 else 0.0
-    d = nearest(mine.select("id", "v"), mine.select(F.col("id").alias("id"), F.col("v").alias("v")), itself=True).agg(F.min("distance").alias("a"), F.min("positive_distance").alias("b"), F.avg("distance").alias("c")).first()
+        out[f"{name}_occupied_bin_fraction"] = means[t]["occupied"] if t in means else 0.0
+        out[f"{name}_normalized_entropy"] = means[t]["even"] if t in means else 0.0
+    same = mine.select("id", "v")
+    d = nearest(same, same, itself=True).agg(F.min("distance").alias("a"), F.min("positive_distance").alias("b"), F.avg("distance").alias("c")).first()
     return out | {"train_min_dist": d["a"], "train_positive_min_dist": d["b"], "train_mean_nn_dist": d["c"]}
 
 
@@ -331,58 +443,6 @@ def composition_aware_training(rows: DataFrame, target: int, frontier: float, re
     return picks[best_attempt(metrics, floor)]
 
 
-def composition_aware(
-    descriptors: np.ndarray, bins: list[list[tuple]], anchors: list[int], target: int, frontier: float, ternary_weight: float = 1.0, totals: tuple[int, int] = (20, 190), floor: float = 0.9
-) -> list[int]:
-    """One attempt of the composition-aware fill over lists in memory: chosen positions, in order. The plain form of
-    ``composition_aware_points``, which tests compare with.
-
-    ``bins`` holds for each row its (subset..., bin...) keys, two-element subsets as (a, b, bin). In each step the
-    rows are ordered by distance to the chosen ones; of the first max(1, ceil(frontier * n)) those at no distance are
-    left out if others remain, and so are those below ``floor`` of the largest distance; the row whose bins are the
-    emptiest is taken, then the farther one, then the earlier one.
-    """
-    chosen = list(anchors) or [0]
-    near = np.full(len(descriptors), np.inf)
-    tally: dict[tuple, int] = {}
-    sums: dict[tuple, int] = {}
-
-    def subset(key: tuple) -> tuple:
-        return key[:2] if len(key) == 3 else key[:3]
-
-    def take(i: int) -> None:
-        nonlocal near
-        near = np.minimum(near, np.sqrt(((descriptors - descriptors[i]) ** 2).sum(axis=1)))
-        for key in bins[i]:
-            tally[key] = tally.get(key, 0) + 1
-            sums[subset(key)] = sums.get(subset(key), 0) + 1
-
-    def reward(i: int) -> float:
-        weight = total = 0.0
-        for key in bins[i]:
-            w, cells = (1.0, totals[0]) if len(key) == 3 else (ternary_weight, totals[1])
-            if w > 0:
-                goal = max(1, sums.get(subset(key), 0) // cells + 1)
-                total += w * max(0, goal - tally.get(key, 0)) / goal
-                weight += w
-        return total / weight if weight else 0.0
-
-    for i in chosen:
-        take(i)
-    left = [i for i in range(len(descriptors)) if i not in set(chosen)]
-    while left and len(chosen) < target:
-        left.sort(key=lambda i: (-near[i], i))
-        front = left[: max(1, int(np.ceil(frontier * len(left))))]
-        far = [i for i in front if near[i] > 1e-12]
-        front = far or front
-        front = [i for i in front if near[i] >= floor * near[front[0]]]
-        best = min(front, key=lambda i: (-reward(i), -near[i], i))
-        chosen.append(best)
-        left.remove(best)
-        take(best)
-    return chosen
-
-
 def best_attempt(attempts: list[dict], floor: float) -> int:
     """attempt_number of the winner: the first one always counts, a retry only if neither its smallest distance (the
     positive one, if that is larger) nor its mean falls below ``floor`` of the first one's. The best score wins, then

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
+
+from plain_selection import composition_aware
 from pyspark.sql import functions as F
 
 from ferrolite.functions import composition as C
@@ -96,7 +100,10 @@ def test_defects_keep_their_distance(spark):
 
 
 @pytest.mark.parametrize("frontier, weight", [(0.05, 1.0), (0.4, 0.5), (1.0, 2.0)])
-def test_composition_aware_points_equal_the_plain_form(spark, frontier, weight):
+def test_composition_aware_points_equal_the_plain_form(spark, monkeypatch, frontier, weight):
+    """With all rows as candidates, and with so few that most steps are foreseen wrongly."""
+    if frontier != 1.0:
+        monkeypatch.setattr(selection, "CANDIDATES", 5 if frontier < 0.1 else 30)
     draw = np.random.Generator(np.random.PCG64(9))
     v = draw.normal(0, 1, (90, 3))
     v[20:24] = v[3]  # at no distance
@@ -104,11 +111,22 @@ def test_composition_aware_points_equal_the_plain_form(spark, frontier, weight):
     rows = [(k, v[k].tolist(), [("|".join(map(str, b[:2] if len(b) == 3 else b[:3])), str(b[2:] if len(b) == 3 else b[3:]), len(b) > 3) for b in bins[k]]) for k in range(90)]
     df = spark.createDataFrame(rows, "id bigint, v array<double>, bins array<struct<subset:string,bin:string,ternary:boolean>>").repartition(3)
     anchors = spark.createDataFrame([(7,), (3,)], "id bigint")
-    got = [r["id"] for r in selection.composition_aware_points(df, 15, frontier, anchors, weight, (4, 6)).orderBy("pick").collect()]
-    assert got == selection.composition_aware(v, bins, [3, 7], 15, frontier, weight, (4, 6))
+    got = [r["id"] for r in selection.composition_aware_points(df, 15, frontier, anchors, weight, (4, 6), steps=6).orderBy("pick").collect()]
+    assert got == composition_aware(v, bins, [3, 7], 15, frontier, weight, (4, 6))
     assert selection.attempt_schedule(0.2, 1.0, 4) == [(0.2, 1.0), (0.1, 1.0), (0.25, 1.0), (0.2, 2.0)] and len(selection.attempt_schedule(0.2, 1.0, 0)) == 1
 
 
+def test_metrics_are_means_over_subsets(spark):
+    two = lambda b: ("W|Y", str(b), False)
+    three = lambda b: ("Cr|W|Y", str(b), True)
+    rows = [(0, [0.0], [two(10), three(6)]), (1, [1.0], [two(10), three(6)]), (2, [3.0], [two(5), three(9)]), (3, [9.0], [two(1)])]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, bins array<struct<subset:string,bin:string,ternary:boolean>>")
+    m = selection.attempt_metrics(df, df.where("id < 3"), 0)
+    h = -(2 / 3 * math.log(2 / 3) + 1 / 3 * math.log(1 / 3))
+    want = {"binary_occupied_bin_fraction": 0.1, "binary_normalized_entropy": h / math.log(20), "ternary_occupied_bin_fraction": 2 / 190, "ternary_normalized_entropy": h / math.log(190), "train_min_dist": 1.0}
+    assert all(m[k] == pytest.approx(v) for k, v in want.items()) and m["train_mean_nn_dist"] == pytest.approx(4 / 3)
+
+
 def test_best_attempt_ties(spark):
     def attempt(n, least, positive, mean=1.0, score=0.5):
         return {"attempt_number": n, "train_min_dist": least, "train_positive_min_dist": positive, "train_mean_nn_dist": mean, "binary_occupied_bin_fraction": score, "binary_normalized_entropy": 0, "ternary_occupied_bin_fraction": 0, "ternary_normalized_entropy": 0}

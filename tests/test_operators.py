@@ -6,6 +6,8 @@ import math
 
 import numpy as np
 import pytest
+
+from plain_selection import composition_aware
 from pyspark.sql import functions as F
 
 from ferrolite.functions import composition as C
@@ -115,10 +117,10 @@ def test_target_distance():
 def test_composition_aware_fill():
     same = np.zeros((3, 1))
     bins = [[("Cr", "W", 10)], [("Cr", "W", 10)], [("Cr", "W", 5)]]
-    assert selection.composition_aware(same, bins, [0], 2, 1.0) == [0, 2]
-    assert selection.composition_aware(np.array([[0.0], [10.0], [8.0]]), bins, [0], 2, 0.5) == [0, 1]
-    assert selection.composition_aware(np.array([[0.0], [10.0], [9.5], [7.0]]), [[("A", "B", 1)]] * 3 + [[("A", "B", 2)]], [0], 2, 1.0)[1] == 1
-    assert selection.composition_aware(same, bins[:2] + bins[:1], [0], 2, 1.0) == [0, 1]
+    assert composition_aware(same, bins, [0], 2, 1.0) == [0, 2]
+    assert composition_aware(np.array([[0.0], [10.0], [8.0]]), bins, [0], 2, 0.5) == [0, 1]
+    assert composition_aware(np.array([[0.0], [10.0], [9.5], [7.0]]), [[("A", "B", 1)]] * 3 + [[("A", "B", 2)]], [0], 2, 1.0)[1] == 1
+    assert composition_aware(same, bins[:2] + bins[:1], [0], 2, 1.0) == [0, 1]
 
 
 def _attempt(n, least, positive, mean, score):
