@@ -4,15 +4,18 @@ Entities are e-mail addresses, phone numbers, payment cards (numbers with a righ
 security numbers and names of persons. A surrogate is a keyed permutation of the entity's own letters and digits within its format, so that two
 entities never get the same surrogate, the same entity gets the same one in every document, and no table of entities
 is gathered. First names are permuted within the list of their gender and script; other names keep the pattern of
-vowels and consonants and are walked on until they collide with no listed name. ``checked`` counts the outcome over the
-whole corpus first, and goes on to the next key if two entities would share a surrogate or one would keep its own.
+vowels and consonants (letters of other scripts are permuted within their block) and are walked on until they collide
+with no listed name. ``checked`` counts the outcome over the whole corpus first; entities that would share a surrogate or
+keep their own, if there are any, get one made from a digest. Whatever the texts hold, it raises nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,7 +39,8 @@ _VOWELS = ("aeiou", "аеиоуыэюя", "αεηιουω", "áéíóú", "àè
 _CONSONANTS = ("bcdfghjklmnpqrstvwxyz", "бвгджзклмнпрстфхцчшщ", "βγδζθκλμνξπρστφχψ")
 
 _LISTS = {k: v.split() for k, v in FIRST.items()}
-_FIRST_OF = {name.casefold(): (key, i) for key, names in _LISTS.items() for i, name in enumerate(names)}
+#: Listed names as they are written, and in capitals; any other spelling is another entity.
+_FIRST_OF = {form: (key, i) for key, names in _LISTS.items() for i, name in enumerate(names) for form in (name.upper(), name)}
 _NAMES = frozenset(n for names in _LISTS.values() for n in names) | frozenset(n.upper() for names in _LISTS.values() for n in names)
 _TITLE_SET = frozenset(TITLES.split())
 
@@ -44,7 +48,7 @@ _PATTERN = re.compile(
     r"(?P<email>(?<![\w.+%-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-]))"
     r"|(?P<phone>(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d\w])|(?<![\w.+])\+\d{1,3}(?:[ .-]?\d{1,4}){3,6}(?![\w]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<ip>(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d))"
+    r"|(?P<ip>(?<![\w.])(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}(?![\w]|\.\d))"
     r"|(?P<card>(?<![\w])(?:\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{4}|\d{13,19})(?![\w]))"
 )
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -95,14 +99,63 @@ class Keyed:
         return "".join(reversed(out))
 
     def within(self, s: str, tweak: str, alphabets: tuple[str, ...]) -> str:
-        """Each alphabet's characters of ``s`` permuted among their places; case and all other characters stay."""
-        low = [c.lower() if len(c.lower()) == 1 else c for c in s]
+        """Each alphabet's characters of ``s`` permuted among their places, other letters among those of their block and
+        kind; case and all other characters stay."""
+        # Only letters whose capital is their own are put in lower case: others would be taken for them.
+        low = [x if len(x := c.lower()) == 1 and x.upper() == c else c for c in s]
         out = list(low)
-        for a in alphabets:
+        others = {a for c in low if not c.isascii() for a in [_block(c)] if len(a) > 1}
+        for a in (*alphabets, *sorted(others)):
             places = [k for k, c in enumerate(low) if c in a]
             for k, c in zip(places, self.string("".join(low[k] for k in places), a, tweak), strict=True):
                 out[k] = c
-        return "".join(o.upper() if c.isupper() else o for o, c in zip(out, s, strict=True))
+        return "".join(o.upper() if c != x else o for o, c, x in zip(out, s, low, strict=True))
+
+    def token(self, kind: str, s: str) -> str:
+        """A name or address made from a digest, as different from others' as the digests are."""
+        x, letters = self._draw(f"token{kind}", *s.encode("utf-8", "surrogatepass")), []
+        for _ in range(24):
+            x, k = divmod(x, 26)
+            letters.append(_ABC[k])
+        word = "".join(letters)
+        return f"{word}@example.{s.rpartition('.')[2]}" if kind == "email" else word.capitalize()
+
+
+_KNOWN = frozenset("".join((*_VOWELS, *_CONSONANTS, "abcdefghijklmnopqrstuvwxyz")))
+
+
+def _class(c: str) -> tuple[str, str, bool] | None:
+    """Script (the first word of its name) and general category of a letter, and whether it has a capital of its own; null for those that the alphabets have and
+    for capitals that are written as their small letter with a mark for it."""
+    low = c.lower()
+    if c in _KNOWN or not c.isalpha() or (len(low) == 1 and low != c and low.upper() == c):
+        return None
+    high = c.upper()
+    return unicodedata.name(c, "").split(" ")[0], unicodedata.category(c), len(high) == 1 and high != c and high.lower() == c
+
+
+@lru_cache(maxsize=1024)
+def _blocks(start: int) -> dict[tuple, str]:
+    """The letters of each class among the 128 code points from ``start`` on."""
+    out: dict[tuple, str] = {}
+    for x in map(chr, range(start, start + 128)):
+        if (k := _class(x)) is not None:
+            out[k] = out.get(k, "") + x
+    return out
+
+
+@lru_cache(maxsize=4096)
+def _block(c: str) -> str:
+    """The letters of the same class among the 128 code points around ``c``; one that is alone there goes with the others
+    of this kind among 1024. Every letter is in one such alphabet only."""
+    kind = _class(c)
+    if kind is None:
+        return ""
+    near = _blocks(ord(c) >> 7 << 7)[kind]
+    if len(near) > 1:
+        return near
+    start = ord(c) >> 10 << 10
+    return "".join(x for at in range(start, start + 1024, 128) if len(x := _blocks(at).get(kind, "")) == 1)
 
 
 _DIGITS, _ABC = "0123456789", "abcdefghijklmnopqrstuvwxyz"
@@ -122,6 +175,11 @@ def _is_card(s: str) -> bool:
     return own[0] in "23456" and len(set(own)) > 1 and _luhn(own[:-1]) == int(own[-1])
 
 
+def _is_one(kind: str, s: str) -> bool:
+    """Cards need a right check digit, addresses a letter or digit before their last dot."""
+    return _is_card(s) if kind == "card" else kind != "email" or any(c.isalnum() for c in s.rpartition(".")[0])
+
+
 def _digits_replaced(s: str, new: str, skip: int = 0) -> str:
     """``s`` with its digits, but for the first ``skip``, replaced in turn."""
     it, out, seen = iter(new), [], 0
@@ -166,26 +224,23 @@ def _ssn(k: Keyed, s: str) -> str:
     return _digits_replaced(s, k.string(s.replace("-", ""), _DIGITS, "ssn"))
 
 
-def _cased(s: str, like: str) -> str:
-    return s.upper() if len(like) > 1 and like.isupper() else s
-
-
 def _first(k: Keyed, s: str) -> str:
     """The next name of the same gender and script, in a keyed order."""
-    key, i = _FIRST_OF[s.casefold()]
+    key, i = _FIRST_OF[s]
     names = _LISTS[key]
     order = sorted(range(len(names)), key=lambda j: k._draw(f"first{key}", j))
-    return _cased(names[order[(order.index(i) + 1) % len(names)]], s)
+    name = names[order[(order.index(i) + 1) % len(names)]]
+    return name if s == names[i] else name.upper()
 
 
 def _other_name(k: Keyed, s: str) -> str:
     """Vowels stay vowels and consonants consonants; walked on until the outcome is no listed name."""
-    if s.casefold() in _FIRST_OF:
+    if s in _FIRST_OF:
         return _first(k, s)
     out = s
     for _ in range(64):
         out = k.within(out, "name", _VOWELS + _CONSONANTS)
-        if out.casefold() not in _FIRST_OF:
+        if out not in _FIRST_OF:
             break
     return out
 
@@ -222,7 +277,7 @@ def _person_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[in
 
 def entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) in code points, in order, without overlaps."""
-    out = [(m.start(), m.end(), m.lastgroup) for m in _PATTERN.finditer(text) if m.lastgroup != "card" or _is_card(m.group())] if _HAS.search(text) else []
+    out = [(m.start(), m.end(), m.lastgroup) for m in _PATTERN.finditer(text) if _is_one(m.lastgroup, m.group())] if _HAS.search(text) else []
     named = sorted(_person_spans(text, out))
     end = -1
     for a, b, kind in named:
@@ -232,10 +287,19 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
-def replaced(text: str, spans: list[tuple[int, int, str]], key: Keyed) -> str:
+#: Entities that are mapped one by one at most (they travel with the tasks); beyond, all of their kind get digests.
+REMAPPED = 10_000
+
+
+def surrogate(key: Keyed, kind: str, s: str, digests: frozenset = frozenset()) -> str:
+    """``digests`` has the kinds and the (kind, entity) pairs that get one made from a digest."""
+    return key.token(kind, s) if digests and (kind in digests or (kind, s) in digests) else _MAKE[kind](key, s)
+
+
+def replaced(text: str, spans: list[tuple[int, int, str]], key: Keyed, digests: frozenset = frozenset()) -> str:
     out, at = [], 0
     for a, b, kind in spans:
-        out += [text[at:a], _MAKE[kind](key, text[a:b])]
+        out += [text[at:a], surrogate(key, kind, text[a:b], digests)]
         at = b
     return "".join([*out, text[at:]])
 
@@ -243,7 +307,7 @@ def replaced(text: str, spans: list[tuple[int, int, str]], key: Keyed) -> str:
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("spans", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))])
 
 
-def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: bytes, digests: frozenset = frozenset()) -> DataFrame:
     """doc_id, text with surrogates, spans array<struct<kind, start, end>> (of the original text) for each row.
 
     Every whole text is handled row by row: nothing is shuffled, and repeated rows, null ids and extra columns change
@@ -259,7 +323,7 @@ def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
             for valid, x in zip(column.is_valid().to_pylist(), as_text(column), strict=True):
                 text = x.as_py()
                 here = entities(text)
-                texts.append((replaced(text, here, keyed) if here else text) if valid else None)
+                texts.append((replaced(text, here, keyed, digests) if here else text) if valid else None)
                 spans.append([{"kind": k, "start": a, "end": b} for a, b, k in here])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(spans, _SCHEMA.field("spans").type)], schema=_SCHEMA)
 
@@ -267,28 +331,47 @@ def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, text string, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
-def checked(docs: DataFrame, key: bytes, attempts: int = 3) -> DataFrame:
+def checked(docs: DataFrame, key: bytes, attempts: int = 2) -> DataFrame:
     """``pseudonymise`` with the first of ``attempts`` keys made from ``key`` under which distinctness and change hold over
-    the whole corpus; an error if none does. One key serves all documents, so an entity has one surrogate everywhere."""
+    the whole corpus. If none does, entities that collide get surrogates made from digests (24 letters of a keyed hash,
+    for names and addresses; all other kinds are permutations that can't collide): ``REMAPPED`` of them one by one, or
+    else all of their kind. One key serves all documents, so an entity has one surrogate everywhere. No entity, whatever
+    its script or spelling, stops the others."""
     for n in range(attempts):
         own = key + b"#%d" % n if n else key
         if not collisions(docs, own).take(1):
             return pseudonymise(docs, own)
-    raise ValueError(f"surrogates collide under {attempts} keys")
+    digests: frozenset = frozenset()
+    for _ in range(2):
+        found = colliding(docs, own, digests)
+        few = found.limit(REMAPPED + 1).collect()
+        if not few:
+            break
+        digests |= {(r["kind"], r["entity"]) for r in few} if len(few) <= REMAPPED else {r["kind"] for r in found.select("kind").distinct().collect()}
+    return pseudonymise(docs, own, frozenset(d for d in digests if (d if isinstance(d, str) else d[0]) in ("name", "email")))
 
 
-def collisions(docs: DataFrame, key: bytes) -> DataFrame:
-    """kind, surrogate, entities: surrogates that several different entities of the corpus share (none are expected),
-    and entities that are their own surrogate (with ``entities`` 1). Counted in Spark over distinct entities."""
+def _made(docs: DataFrame, key: bytes, digests: frozenset = frozenset()) -> DataFrame:
+    """kind, entity, surrogate: the distinct entities of the corpus."""
     tuned(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keyed = Keyed(key)
         for batch in batches:
             rows = {(k, t[a:b]) for t in (x.as_py() for x in as_text(batch.column("text"))) for a, b, k in entities(t)}
-            made = [(k, s, _MAKE[k](keyed, s)) for k, s in sorted(rows)]
+            made = [(k, s, surrogate(keyed, k, s, digests)) for k, s in sorted(rows)]
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in made], pa.string()) for c in range(3)], names=["kind", "entity", "surrogate"])
 
-    found = only(docs, "text").mapInArrow(run, "kind string, entity string, surrogate string").distinct()
-    shared = found.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("entities"), F.max(F.col("entity") == F.col("surrogate")).alias("same"))
+    return only(docs, "text").mapInArrow(run, "kind string, entity string, surrogate string").distinct()
+
+
+def collisions(docs: DataFrame, key: bytes, digests: frozenset = frozenset()) -> DataFrame:
+    """kind, surrogate, entities: surrogates that several different entities of the corpus share (none are expected),
+    and entities that are their own surrogate (with ``entities`` 1). Counted in Spark over distinct entities."""
+    shared = _made(docs, key, digests).groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("entities"), F.max(F.col("entity") == F.col("surrogate")).alias("same"))
     return shared.where("entities > 1 or same").select("kind", "surrogate", "entities")
+
+
+def colliding(docs: DataFrame, key: bytes, digests: frozenset = frozenset()) -> DataFrame:
+    """kind, entity: those behind ``collisions``."""
+    return _made(docs, key, digests).join(collisions(docs, key, digests).select("kind", "surrogate"), ["kind", "surrogate"], "left_semi").select("kind", "entity")
