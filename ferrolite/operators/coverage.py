@@ -123,6 +123,11 @@ def report(summaries: DataFrame, distances: DataFrame, keys: list[str], total_bi
     )
 
 
+def ordered(rows: DataFrame) -> DataFrame:
+    """The report in the order of subset sizes and labels: ranges are sorted apart, so no task sorts it all."""
+    return rows.orderBy("subset_size", "subset_label")
+
+
 def subset_means(summaries: DataFrame) -> DataFrame:
     """One row: mean occupied share and mean entropy over the subsets, 0 without any."""
     return summaries.agg(

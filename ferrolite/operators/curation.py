@@ -155,6 +155,11 @@ def scheduled(jobs: DataFrame, running: DataFrame, pending: DataFrame) -> DataFr
     return jobs.join(there, "name", "left").withColumn("scheduled", F.coalesce("_there", F.lit(False))).drop("_there")
 
 
+def first_record(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The first row in an explicit order, if there is any: each task keeps one."""
+    return rows.orderBy(*order).limit(1)
+
+
 def capped(rows: DataFrame, per: str, order: list[str], n: int) -> DataFrame:
     """The first ``n`` rows of each value of ``per``: a window that keeps n rows a task before the shuffle."""
     w = Window.partitionBy(per).orderBy(*order)

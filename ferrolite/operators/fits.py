@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferrolite.operators.distance import usable
+
 
 def error_metrics(rows: DataFrame, truth: str, model: str, keys: list[str] | None = None, digits: int = 9) -> DataFrame:
     """n, rmse, r2, slope, intercept of ``model`` against ``truth``, over rows that have both."""
@@ -117,28 +119,34 @@ def elastic_tensors(records: DataFrame, symmetry: str = "general", least_records
 def principal_plane(rows: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     """id, pc1, pc2: centred vectors on their first two principal components (fitted on ``fit_on``, if given).
 
-    Moments of the components are aggregated in Spark; a component's largest entry is made positive.
+    The components' means are aggregated in Spark first and their moments about these then, so that large offsets cancel
+    nothing; a component's largest entry is made positive. Vectors that are null, hold null or non-finite components, or
+    have another length than the longest take no part and have nulls; so have all without any vector to fit on.
     """
-    source = fit_on if fit_on is not None else rows
-    d = len(source.select("v").first()["v"])
+    source = (fit_on if fit_on is not None else rows).where(usable(F.col("v"))).select("v")
+    d = source.agg(F.max(F.size("v")).alias("d")).first()["d"]
+    if not d or d < 2:
+        return rows.select("id", F.lit(None).cast("double").alias("pc1"), F.lit(None).cast("double").alias("pc2"))
+    source = source.where(F.size("v") == d)
+    means = source.select(F.posexplode("v").alias("at", "x")).groupBy("at").agg(F.avg("x").alias("x"), F.count(F.lit(1)).alias("n")).collect()  # d rows
+    first, n = np.array([r["x"] for r in sorted(means, key=lambda r: r["at"])]), means[0]["n"]
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, total, square = 0, np.zeros(d), np.zeros((d, d))
+        total, square = np.zeros(d), np.zeros((d, d))
         for pdf in batches:
-            x = np.array(pdf["v"].tolist(), float)
-            n, total, square = n + len(x), total + x.sum(axis=0), square + x.T @ x
-        yield pd.DataFrame({"n": [n], "total": [total.tolist()], "square": [square.ravel().tolist()]})
-
-    parts = source.select("v").mapInPandas(moments, "n bigint, total array<double>, square array<double>")
-    both = parts.select("n", F.posexplode(F.concat("total", "square")).alias("at", "x")).groupBy("at").agg(F.sum("n").alias("n"), F.sum("x").alias("x")).orderBy("at").toPandas()  # d + d * d rows
-    n, x = int(both["n"].iloc[0]), both["x"].to_numpy()
-    mean = x[:d] / n
-    _, vectors = np.linalg.eigh(x[d:].reshape(d, d) / n - np.outer(mean, mean))
+            x = np.array(pdf["v"].tolist(), float).reshape(-1, d) - first
+            total, square = total + x.sum(axis=0), square + x.T @ x
+        yield pd.DataFrame({"total": [total.tolist()], "square": [square.ravel().tolist()]})
+
+    parts = source.mapInPandas(moments, "total array<double>, square array<double>")
+    both = parts.select(F.posexplode(F.concat("total", "square")).alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).orderBy("at").toPandas()  # d + d * d rows
+    rest = both["x"].to_numpy()[:d] / n  # what the rounding of the first mean leaves
+    _, vectors = np.linalg.eigh(both["x"].to_numpy()[d:].reshape(d, d) / n - np.outer(rest, rest))
     top = vectors[:, [-1, -2]].T
     top = top * np.sign(top[np.arange(2), np.abs(top).argmax(axis=1)])[:, None]
-    centred = F.zip_with("v", F.lit(mean.tolist()), lambda a, b: a - b)
+    centred = F.zip_with("v", F.lit((first + rest).tolist()), lambda a, b: a - b)
 
     def project(w: np.ndarray) -> Column:
-        return F.aggregate(F.zip_with(centred, F.lit(w.tolist()), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        return F.when(usable(F.col("v")) & (F.size("v") == d), F.aggregate(F.zip_with(centred, F.lit(w.tolist()), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
 
     return rows.select("id", project(top[0]).alias("pc1"), project(top[1]).alias("pc2"))

@@ -43,32 +43,45 @@ def missing_elements(counts: DataFrame, known: DataFrame) -> DataFrame:
     return counts.select("element").distinct().join(known.select("element"), "element", "left_anti")
 
 
-def parameter_grid(spark: SparkSession, gpus: list[int], ncores: list[int], kpars: list[int]) -> DataFrame:
-    """gpus, ncore, kpar: every combination, in this order of nesting, numbered from 0."""
-    one = spark.range(1).select(F.explode(F.lit(gpus)).alias("gpus"))
-    rows = one.select("gpus", F.explode(F.lit(ncores)).alias("ncore")).select("gpus", "ncore", F.explode(F.lit(kpars)).alias("kpar"))
-    at = [F.array_position(F.lit(v), F.col(c)) - 1 for v, c in ((gpus, "gpus"), (ncores, "ncore"), (kpars, "kpar"))]
-    return rows.withColumn("job", ((at[0] * len(ncores) + at[1]) * len(kpars) + at[2]).cast("bigint"))
+def _powers(least: int, most: int) -> Column:
+    return F.array(*[F.lit(2**k) for k in range(least, most)])
 
 
-def retry_ladder(spark: SparkSession, gpu: int, ncore: int, kpar: int, gpu_tiers: list[int], cores: int, max_nodes: int) -> DataFrame:
-    """level, nodes, gpus, ncore, kpar: what a job that ran out of memory tries next.
+def parameter_grids(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (any columns, with cores and gpus of a node) by every combination of gpus, ncore and kpar to measure,
+    numbered from 0 in this order of nesting.
+
+    gpus: 1, 2, 4, 8 up to the node's; ncore: powers of two from 2 that divide its cores; kpar: powers of two up to its
+    gpus. Where there is none, its gpus, its cores and 1 are all there is.
+    """
+    gpu = F.filter(_powers(0, 4), lambda x: x <= F.col("gpus"))
+    core = F.filter(_powers(1, 12), lambda x: (x <= F.col("cores")) & (F.col("cores") % x == 0))
+    kpar = F.filter(_powers(0, 8), lambda x: x <= F.col("gpus"))
+    lists = [F.when(F.size(x) > 0, x).otherwise(F.array(y.cast("int"))) for x, y in ((gpu, F.col("gpus")), (core, F.col("cores")), (kpar, F.lit(1)))]
+    every = F.flatten(F.transform(lists[0], lambda g: F.flatten(F.transform(lists[1], lambda n: F.transform(lists[2], lambda k: F.struct(g.alias("gpus"), n.alias("ncore"), k.alias("kpar")))))))
+    kept = [c for c in nodes.columns if c not in ("cores", "gpus")]
+    return nodes.select(*kept, F.posexplode(every).alias("job", "x")).select(*kept, "job", "x.*")
+
+
+def retry_ladders(jobs: DataFrame, gpu_tiers: list[int], cores: int, max_nodes: int) -> DataFrame:
+    """job, level, nodes, gpus, ncore, kpar: what each of ``jobs`` (job, gpu, ncore, kpar) tries next if it runs out of memory.
 
     For the job's own tier and each larger one: ncore halves from its start, at falling kpar; after the last tier the
-    nodes double. The first settings and repeats are left out; levels count from 1.
+    nodes double. The first settings and repeats are left out; levels count from 1. Each job is a row for itself.
     """
-    tiers = [g for g in gpu_tiers if g >= gpu] or [gpu]
-    steps = [(t, 1, g) for t, g in enumerate(tiers)]
-    nodes = 2
-    while nodes <= max_nodes:
-        steps.append((len(steps), nodes, tiers[-1]))
-        nodes *= 2
-    base = spark.createDataFrame(steps, "phase int, nodes int, gpus int")
-    halves = F.expr(f"transform(sequence(0, cast(floor(log2({max(1, min(ncore, cores))})) as int)), k -> shiftright({max(1, min(ncore, cores))}, k))")
-    rows = base.select("phase", "nodes", "gpus", F.posexplode(F.expr(f"filter(array({kpar}, {max(1, kpar // 2)}, 1), v -> v >= 1)")).alias("kp", "kpar")).select("*", F.posexplode(halves).alias("np", "ncore"))
-    first = Window.partitionBy("nodes", "gpus", "ncore", "kpar").orderBy("phase", "kp", "np")
-    rows = rows.withColumn("seen", F.row_number().over(first)).where("seen = 1").where(~((F.col("nodes") == 1) & (F.col("gpus") == gpu) & (F.col("ncore") == ncore) & (F.col("kpar") == kpar)))
-    return rows.withColumn("level", F.row_number().over(Window.orderBy("phase", "kp", "np"))).select("level", "nodes", "gpus", "ncore", "kpar")
+    tiers = F.filter(F.lit(gpu_tiers), lambda g: g >= F.col("gpu"))
+    tiers = F.when(F.size(tiers) > 0, tiers).otherwise(F.array(F.col("gpu").cast("int")))
+    doubled = [2**k for k in range(1, max(1, max_nodes).bit_length())]
+    wide = F.array(*[F.struct(F.lit(n).alias("nodes"), F.element_at(tiers, -1).alias("gpus")) for n in doubled]) if doubled else None
+    steps = F.transform(tiers, lambda g: F.struct(F.lit(1).alias("nodes"), g.alias("gpus")))
+    steps = steps if wide is None else F.concat(steps, wide)
+    start = F.greatest(F.lit(1), F.least(F.col("ncore"), F.lit(cores))).cast("int")
+    halves = F.transform(F.sequence(F.lit(0), F.floor(F.log2(start.cast("double"))).cast("int")), lambda k: F.call_function("shiftright", start, k))
+    falling = F.array(F.col("kpar").cast("int"), F.greatest(F.lit(1), F.floor(F.col("kpar") / 2)).cast("int"), F.lit(1))
+    every = F.flatten(F.transform(steps, lambda s: F.flatten(F.transform(falling, lambda k: F.transform(halves, lambda n: F.struct(s["nodes"].alias("nodes"), s["gpus"].alias("gpus"), n.alias("ncore"), k.alias("kpar")))))))
+    own = F.struct(F.lit(1).alias("nodes"), F.col("gpu").cast("int").alias("gpus"), F.col("ncore").cast("int").alias("ncore"), F.col("kpar").cast("int").alias("kpar"))
+    left = jobs.select("job", F.filter(F.array_distinct(every), lambda x: x != own).alias("every"))
+    return left.select("job", F.posexplode("every").alias("at", "x")).select("job", (F.col("at") + 1).alias("level"), "x.*")
 
 
 # The nine deformation modes.

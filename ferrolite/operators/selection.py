@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferrolite.operators import ranks
 from ferrolite.operators.distance import farthest, nearest, usable
 from ferrolite.sources.scratch import stash
 
@@ -469,10 +470,15 @@ def best_attempt(attempts: list[dict], floor: float) -> int:
     return best["attempt_number"]
 
 
-def hashed_split(key: Column, share: float) -> Column:
-    """'train' for about ``share`` of the keys, 'test' for the others: by an md5 of the key, whatever the order."""
-    at = F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit("|42"))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    return F.when(at < share, "train").otherwise("test")
+def random_split(rows: DataFrame, share: float = 0.7, seed: int = 42) -> DataFrame:
+    """id, split: exactly max(1, round(``share`` * n)) rows are train, the others test, in the order of a hash of id and seed.
+
+    The last row of the training set is found by ranks, so that nothing is sorted; halves are rounded to even.
+    """
+    at = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(seed))), 1, 8), 16, 10).cast("double")
+    held = stash(rows.select("id", (-at).alias("distance")))
+    train = ranks.largest(held, max(1, round(share * held.count())))
+    return split_labels(rows, [("test", held), ("train", train)])
 
 
 def split_labels(rows: DataFrame, layers: list[tuple[str, DataFrame]]) -> DataFrame:

@@ -45,7 +45,7 @@ def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _structures(spark, sf_dir)
     two = coverage.report(binary_coverage_summary(spark, sf_dir), coverage.line_distances(C.pairs(found)), ["a", "b"], BINS)
     three = coverage.report(ternary_coverage_summary(spark, sf_dir), coverage.plane_distances(C.triples(found)), ["a", "b", "c"], C.ternary_cells(RESOLUTION))
-    return two.union(three)
+    return coverage.ordered(two.union(three))
 
 
 def composition_subset_means(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,14 +110,15 @@ def dft_ml_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frames_of_atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = table(spark, sf_dir, "lineitem").where("l_discount >= 0.09").select(F.col("l_orderkey").alias("structure_index"), F.col("l_linenumber").alias("atom_index"))
+    chosen = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("structure_index"), F.col("l_linenumber").alias("atom_index"))
     return curation.frames_of_atoms(chosen)
 
 
 def scheduler_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = table(spark, sf_dir, "customer").select(F.format_string("job_%d", "c_custkey").alias("name"))
     queue = table(spark, sf_dir, "events").select(F.format_string("job_%d", "user_id").alias("name"), "event_type")
-    return curation.scheduled(jobs, queue.where("event_type = 'purchase'"), queue.where("event_type = 'signup'"))
+    running = F.col("event_type").isin("purchase", "error")
+    return curation.scheduled(jobs, queue.where(running), queue.where(~F.coalesce(running, F.lit(False))))
 
 
 def element_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +158,12 @@ def latest_potential(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.newest(rows, "o_custkey", "o_orderdate", "path")
 
 
+def first_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first record of those of the cheapest formula: the one of the smallest total, then of the smallest number."""
+    rows = _structures(spark, sf_dir).select("structure_index", F.array_join("symbols", "-").alias("formula"), "o_totalprice")
+    return curation.first_record(rows, ["o_totalprice", "structure_index"])
+
+
 def unresolved_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first eight orders without lines, for a report."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("structure_index"))
@@ -164,8 +171,8 @@ def unresolved_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anchor_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Anchors of both kinds, once each: the newest structure of each customer in credit, and single elements under elastic strain."""
-    seeds = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select(F.format_string("seed_%06d", "c_custkey").alias("seed_id"))
+    """Anchors of both kinds, once each: the newest structure of each customer, and single elements under elastic strain."""
+    seeds = table(spark, sf_dir, "customer").select(F.format_string("seed_%06d", "c_custkey").alias("seed_id"))
     made = table(spark, sf_dir, "orders").select(F.format_string("seed_%06d", "o_custkey").alias("seed_id"), F.col("o_orderkey").alias("structure_index"))
     return registry.seed_anchors(made, seeds).select("structure_index").union(single_element_elastic(spark, sf_dir).select("structure_index")).distinct()
 
@@ -336,13 +343,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         elastic_structures, single_element_elastic, subset_compounds, gas_structures, symmetry_filter, space_group_names, pure_lattices, inherited_metadata, record_validation, position_matches,
-        dft_ml_comparison, frames_of_atoms, scheduler_membership, element_union, distinct_bins, next_ids, seed_ids, composition_cap, latest_potential, unresolved_preview, anchor_union, perturbation_union,
+        dft_ml_comparison, frames_of_atoms, scheduler_membership, element_union, distinct_bins, next_ids, seed_ids, composition_cap, latest_potential, first_lattice, unresolved_preview, anchor_union, perturbation_union,
         hash_annotation, potential_names, fraction_labels, bin_centres, min_max, virials, kpoint_meshes, elastic_records, elastic_scan_counters, elastic_cubic_paired, elastic_summary, binary_histogram,
         random_solutions, solution_cap, interstitials, element_lists,
     )
 }
 
 ORACLES = {
+    "first_lattice": f"{_S} SELECT structure_index, array_to_string(symbols, '-') AS formula, o_totalprice FROM s ORDER BY o_totalprice, structure_index LIMIT 1",
     "elastic_structures": f"{_S} SELECT structure_index, o_custkey FROM s WHERE perturbation_type = 'elastic_stress'",
     "single_element_elastic": f"{_S} SELECT structure_index, symbols[1] AS element FROM s WHERE perturbation_type = 'elastic_stress' AND len(symbols) = 1",
     "subset_compounds": f"""{_S} SELECT structure_index, round(CASE WHEN structure_index % 5 <> 0 THEN o_totalprice / 1000 END, 6) AS energy_above_hull, array_to_string(symbols, '-') AS formula FROM s
@@ -366,8 +374,8 @@ ORACLES = {
             WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag))
         SELECT l_orderkey AS struct_id, atom_id::INTEGER AS atom_id, l_returnflag AS species, round(energy / n, 6) AS energy_per_atom, round(sqrt(l_discount ** 2 + l_tax ** 2 + 0.01::DOUBLE ** 2), 9) AS force_magnitude,
             user_id % 7 <> n AS mismatch FROM i JOIN events ON event_id = l_orderkey AND event_type <> 'error'""",
-    "frames_of_atoms": "SELECT DISTINCT l_orderkey AS structure_index FROM lineitem WHERE l_discount >= 0.09",
-    "scheduler_membership": "SELECT 'job_' || c_custkey AS name, c_custkey IN (SELECT user_id FROM events WHERE event_type IN ('purchase', 'signup')) AS scheduled FROM customer",
+    "frames_of_atoms": "SELECT DISTINCT l_orderkey AS structure_index FROM lineitem",
+    "scheduler_membership": "SELECT 'job_' || c_custkey AS name, c_custkey IN (SELECT user_id FROM events WHERE user_id IS NOT NULL) AS scheduled FROM customer",
     "element_union": f"{_S} SELECT DISTINCT unnest(symbols) AS element FROM s",
     "distinct_bins": f"SELECT (SELECT count(*) FROM ({P.ORACLES['binary_projection_bins']})) AS binary_bins, (SELECT count(*) FROM ({P.ORACLES['ternary_projection_bins']})) AS ternary_bins",
     "next_ids": """SELECT 'dataset' AS kind, max(c_custkey % 977) + 1 AS next FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT 'seed', max(s_suppkey * 3) + 1 FROM supplier UNION ALL SELECT 'none', 5""",
@@ -377,7 +385,7 @@ ORACLES = {
     "latest_potential": "SELECT o_custkey, printf('potentials/%06d', arg_max(o_orderkey, (o_orderdate, printf('%06d', o_orderkey)))) AS path FROM orders GROUP BY 1",
     "unresolved_preview": "SELECT o_orderkey AS structure_index FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) ORDER BY 1 LIMIT 8",
     "anchor_union": f"""{_S} SELECT structure_index FROM s WHERE perturbation_type = 'elastic_stress' AND len(symbols) = 1
-        UNION SELECT max(o_orderkey) FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 9000 GROUP BY c_custkey""",
+        UNION SELECT max(o_orderkey) FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey""",
     "perturbation_union": """WITH f AS (SELECT * FROM (VALUES ('unperturbed', 0, 1), ('strain', 1, 3), ('elastic_stress', 2, 18), ('volume', 3, 5), ('rattle', 4, 4)) t(perturbation_type, family, n))
         SELECT s_suppkey AS structure_index, v::INTEGER AS variant, perturbation_type, family, printf('seed_%06d', s_suppkey) AS seed_id FROM supplier, f, range(0, 18) t(v) WHERE v < n""",
     "hash_annotation": """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'old' || doc_id ELSE sha256(coalesce(source, '')) END AS structure_hash, CASE WHEN doc_id % 4 = 0 THEN 'structure-v0' ELSE 'structure-v1' END AS structure_hash_version FROM documents""",

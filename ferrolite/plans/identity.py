@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrolite.functions import structure as S
-from ferrolite.operators import distance, registry, selection
+from ferrolite.operators import distance, registry, selection, validation
 from ferrolite.plans.tables import table
 
 #: Rows to select, as the original workflow has it by default.
@@ -70,6 +70,22 @@ def composition_aware_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.composition_aware_training(rows.select("id", "v", F.array(two, three).alias("bins")), 30, 0.2, 2, rows.groupBy("label").agg(F.max("id").alias("id")))
 
 
+def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven of ten orders for training, by a hash."""
+    return selection.random_split(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")), 0.7)
+
+
+def settings_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of orders as settings of runs: numbers near the ends of their ranges, words, blanks, and lists of return flags."""
+    keys = [r[0] for r in validation.RULES] + ["flags", "free"]
+    x = (F.col("l_linenumber") + F.col("l_orderkey")) % 7
+    number = F.round(F.col("l_discount") * 20 - 0.4, 2).cast("string")
+    flags = F.concat_ws(",", F.lower("l_returnflag"), F.when(F.col("l_suppkey") % 3 == 0, F.col("l_linestatus")))
+    value = F.when(F.col("l_quantity") < 4, " ").when(F.col("l_quantity") < 7, F.lit("word")).when(x == 5, flags).when(x.isin(2, 4), F.floor(F.col("l_quantity") / 10).cast("string")).otherwise(number)
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("run"), F.col("l_linenumber").alias("line"), F.element_at(F.lit(keys), (x + 1).cast("int")).alias("key"), value.alias("value"))
+    return validation.violations(rows, validation.rules(spark, None, {"flags": (["A", "N", "R"], True)}))
+
+
 def split_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _vectors(spark, sf_dir)
     return selection.split_labels(rows, [("train", rows.where("label < 4")), ("test", rows.where("label in (3, 4, 5)")), ("potential_train", rows.where("label = 5 and id % 2 = 0"))])
@@ -134,13 +150,14 @@ def priority_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     own = orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("key"), F.concat(F.lit("own/"), F.col("o_orderkey")).alias("path"))
     other = orders.where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("key"), F.concat(F.lit("other/"), F.col("o_orderkey")).alias("path"))
+    pending = orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("key"), F.concat(F.lit("pending/"), F.col("o_orderkey")).alias("path"))
     kept = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.concat(F.lit("registry/"), F.col("event_id")).alias("path"))
-    return registry.prioritised(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key")), [own, other, kept])
+    return registry.prioritised(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key")), [own, other, pending, kept])
 
 
 def seed_anchor_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     generated = table(spark, sf_dir, "orders").select(F.format_string("seed_%06d", "o_custkey").alias("seed_id"), F.col("o_orderkey").alias("structure_index"))
-    seeds = table(spark, sf_dir, "customer").where("c_acctbal > 5000").select(F.format_string("seed_%06d", "c_custkey").alias("seed_id"))
+    seeds = table(spark, sf_dir, "customer").select(F.format_string("seed_%06d", "c_custkey").alias("seed_id"))
     return registry.seed_anchors(generated, seeds)
 
 
@@ -204,12 +221,25 @@ QUERIES = {
     f.__name__: f
     for f in (
         nn_distance_stats, cross_distance_stats, selected_min_distance, descriptor_topk_farthest, descriptor_zscore, fps_select, fps_target_count, train_test_split, composition_aware_selection,
-        split_labels, structure_hash, dedup_first, dedup_unseen, registry_upsert_latest, registry_reuse, registry_miss, priority_resolve, seed_anchor_join,
+        random_split, settings_violations, split_labels, structure_hash, dedup_first, dedup_unseen, registry_upsert_latest, registry_reuse, registry_miss, priority_resolve, seed_anchor_join,
         positional_identity_join, missing_dimension,
     )
 }
 
 ORACLES = {
+    "random_split": """WITH h AS (SELECT o_orderkey AS id, row_number() OVER (ORDER BY ('0x' || substr(md5(o_orderkey || '|42'), 1, 8))::BIGINT, o_orderkey) AS nth, count(*) OVER () AS n FROM orders)
+        SELECT id, CASE WHEN nth <= greatest(1, round_even(0.7 * n, 0)) THEN 'train' ELSE 'test' END AS split FROM h""",
+    "settings_violations": """WITH k AS (SELECT [%s, 'flags', 'free'] AS keys), l AS (SELECT *, (l_linenumber + l_orderkey) %% 7 AS x FROM lineitem),
+        s AS (SELECT l_orderkey AS run, keys[x + 1] AS key, x, CASE WHEN l_quantity < 4 THEN ' ' WHEN l_quantity < 7 THEN 'word'
+            WHEN x = 5 THEN lower(l_returnflag) || CASE WHEN l_suppkey %% 3 = 0 THEN ',' || l_linestatus ELSE '' END
+            WHEN x IN (2, 4) THEN floor(l_quantity / 10)::BIGINT::VARCHAR ELSE round(l_discount * 20 - 0.4, 2)::VARCHAR END AS value FROM l, k),
+        n AS (SELECT *, try_cast(value AS DOUBLE) AS v FROM s),
+        r AS (SELECT run, key, value, CASE WHEN key = 'free' THEN NULL WHEN trim(value) = '' THEN CASE WHEN x IN (4, 5) THEN 'missing' END
+            WHEN x = 5 THEN CASE WHEN len(list_filter(string_split(upper(value), ','), lambda i: i NOT IN ('A', 'N', 'R'))) > 0 THEN 'unknown item' END
+            WHEN v IS NULL THEN 'not a number' WHEN x IN (2, 4) AND v <> floor(v) THEN 'not a whole number'
+            WHEN (x IN (0, 3) AND v <= 0) OR (x = 1 AND v < 0) OR (x IN (2, 4) AND v < 1) THEN 'below the range' WHEN x IN (0, 3) AND v > 1 THEN 'above the range' END AS reason FROM n)
+        SELECT run, key, value, reason FROM r WHERE reason IS NOT NULL
+        UNION ALL SELECT run, key, NULL, 'missing' FROM (SELECT DISTINCT run FROM s), (VALUES ('target_n_atoms'), ('flags')) t(key) WHERE (run, key) NOT IN (SELECT (run, key) FROM s)""" % ", ".join(f"'{r[0]}'" for r in validation.RULES),
     "nn_distance_stats": f"""WITH {_NN} SELECT count(d) AS n, round(min(d), 9) AS nn_min, round(avg(d), 9) AS nn_mean, round(quantile_cont(d, 0.5), 9) AS nn_p50,
         round(quantile_cont(d, 0.95), 9) AS nn_p95, round(quantile_cont(d, 0.99), 9) AS nn_p99, round(max(d), 9) AS nn_max FROM nn""",
     "cross_distance_stats": f"WITH {_CROSS} SELECT count(d) AS n, round(min(d), 9) AS nn_min, round(avg(d), 9) AS nn_mean FROM nn",
@@ -243,10 +273,11 @@ ORACLES = {
     "registry_miss": f"WITH {_REGISTRY} SELECT job FROM jobs ANTI JOIN reg ON complete AND a = incar_hash AND b = potcar_hash AND c = structure_hash",
     "priority_resolve": """WITH c AS (
             SELECT o_custkey AS key, 'own/' || o_orderkey AS path, 1 AS priority FROM orders WHERE o_orderstatus = 'F'
-            UNION ALL SELECT o_custkey, 'other/' || o_orderkey, 2 FROM orders WHERE o_orderstatus = 'O' UNION ALL SELECT user_id, 'registry/' || event_id, 3 FROM events
+            UNION ALL SELECT o_custkey, 'other/' || o_orderkey, 2 FROM orders WHERE o_orderstatus = 'O'
+            UNION ALL SELECT o_custkey, 'pending/' || o_orderkey, 3 FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT user_id, 'registry/' || event_id, 4 FROM events
         ), b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY key ORDER BY priority, path) = 1)
         SELECT c_custkey AS key, path, priority FROM customer LEFT JOIN b ON key = c_custkey""",
-    "seed_anchor_join": """SELECT printf('seed_%06d', c_custkey) AS seed_id, max(o_orderkey) AS structure_index FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_acctbal > 5000 GROUP BY 1""",
+    "seed_anchor_join": """SELECT printf('seed_%06d', c_custkey) AS seed_id, max(o_orderkey) AS structure_index FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1""",
     "positional_identity_join": """SELECT o_orderkey AS structure_index, CASE WHEN o_orderstatus = upper(substr(event_type, 1, 1)) THEN printf('struct_%04d', event_id) END AS path,
         coalesce(o_orderstatus <> upper(substr(event_type, 1, 1)), FALSE) AS mismatch FROM orders LEFT JOIN events ON event_id = o_orderkey""",
     "missing_dimension": "SELECT DISTINCT p_brand AS element FROM part WHERE p_brand NOT IN (SELECT 'Brand#' || s_nationkey FROM supplier)",

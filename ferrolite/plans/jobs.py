@@ -30,6 +30,17 @@ def job_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.progress(polls, 100.0).select("job_id", "seq", F.round(F.col("rate") * 1e6, 6).alias("rate"), F.round("remaining", 3).alias("remaining"))
 
 
+def job_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as jobs: a purchase is the marker of the end, a click a lack of memory, a view a log; orders are the scheduler's queue."""
+    kind = F.col("event_type")
+    found = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("job_id")).agg(
+        F.max(kind == "purchase").alias("completed"), F.max(kind == "click").alias("oom"), F.max(kind == "view").alias("has_log"), F.count_if(kind == "error").cast("int").alias("retry_level"),
+        F.when(F.max(kind == "signup"), "submitted").otherwise("pending").alias("status"),
+    )
+    queue = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("job_id"))
+    return jobs.outcomes(found, queue).select("job_id", "status", "retry_level", "outcome")
+
+
 def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.windowed(_events(spark, sf_dir))
 
@@ -53,7 +64,7 @@ _REPLAY = f"""WITH {_EVENTS}, n AS (SELECT *, sum((kind = 'oom')::INT) OVER w AS
     states AS (SELECT job_id, CASE WHEN arg_max(kind, seq) = 'oom' THEN CASE WHEN max(k) > {jobs.MAX_RETRY} THEN 'failed' ELSE 'submitted' END ELSE arg_max(kind, seq) END AS status,
         least(max(k), {jobs.MAX_RETRY})::INTEGER AS retry_level, max(seq) AS last_event FROM g WHERE past = 0 GROUP BY 1)"""
 
-QUERIES = {f.__name__: f for f in (job_state_machine, job_status_tally, job_progress, event_windows, training_frames)}
+QUERIES = {f.__name__: f for f in (job_state_machine, job_status_tally, job_progress, event_windows, training_frames, job_outcomes)}
 
 ORACLES = {
     "job_state_machine": f"{_REPLAY} SELECT * FROM states",
@@ -62,6 +73,10 @@ ORACLES = {
     "job_progress": f"""WITH {_EVENTS}, p AS (SELECT job_id, seq, value, epoch_us(ts)::DOUBLE / 1000000 AS t FROM e),
         r AS (SELECT *, CASE WHEN t - lag(t) OVER w > 0 THEN (value - lag(value) OVER w) / (t - lag(t) OVER w) END AS rate FROM p WINDOW w AS (PARTITION BY job_id ORDER BY seq))
         SELECT job_id, seq, round(rate * 1e6, 6) AS rate, round(CASE WHEN rate > 0 THEN greatest(100 - value, 0) / rate END, 3) AS remaining FROM r""",
+    "job_outcomes": f"""WITH j AS (SELECT user_id AS job_id, CASE WHEN bool_or(event_type = 'signup') THEN 'submitted' ELSE 'pending' END AS status, count(*) FILTER (event_type = 'error')::INTEGER AS retry_level,
+            bool_or(event_type = 'purchase') AS completed, bool_or(event_type = 'click') AS oom, bool_or(event_type = 'view') AS has_log FROM events GROUP BY 1)
+        SELECT job_id, status, retry_level, CASE WHEN status <> 'submitted' THEN status WHEN job_id IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') THEN 'active' WHEN completed THEN 'completed'
+            WHEN oom AND retry_level < {jobs.MAX_RETRY} THEN 'retry' WHEN retry_level >= {jobs.MAX_RETRY} OR has_log THEN 'failed' ELSE 'pending' END AS outcome FROM j""",
     "event_windows": f"WITH {_EVENTS} SELECT date_trunc('day', ts)::TIMESTAMP AS start, kind, count(*) AS n FROM e GROUP BY 1, 2",
     "training_frames": """WITH c AS (SELECT c_custkey, c_acctbal AS e, c_nationkey::DOUBLE AS a, printf('%.10f', 0::DOUBLE) AS z FROM customer),
         x AS (SELECT *, concat_ws(' ', printf('%.10f', a), z, z, z, printf('%.10f', a), z, z, z, printf('%.10f', a)) AS l, printf('%15.10f', 0::DOUBLE) AS o FROM c)

@@ -38,11 +38,16 @@ def snap_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def param_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generators.parameter_grid(spark, [1, 2, 4], [2, 4, 8, 16, 32, 64], [1, 2, 4])
+    """Every supplier as a kind of node, by the settings that a benchmark measures on it."""
+    nodes = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_suppkey") % 24 * 4 + 4).alias("cores"), (F.col("s_nationkey") % 9).alias("gpus"))
+    return generators.parameter_grids(nodes)
 
 
 def retry_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generators.retry_ladder(spark, 1, 16, 4, [1, 2, 4], 64, 8)
+    """Every part as a job that ran out of memory with settings of its own."""
+    two = lambda n: F.call_function("shiftleft", F.lit(1), (F.col("p_size") % n).cast("int"))
+    jobs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("job"), two(3).alias("gpu"), two(8).alias("ncore"), two(4).alias("kpar"))
+    return generators.retry_ladders(jobs, [1, 2, 4], 64, 8)
 
 
 def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,10 +165,16 @@ ORACLES = {
         SELECT query_id, b.gpus AS gpus, b.ncore AS ncore, b.kpar AS kpar, b.t AS avg_loop_time FROM x""",
     "snap_values": """SELECT p_partkey, (SELECT v FROM (VALUES (1), (2), (4), (8), (16), (32), (64)) t(v) ORDER BY abs(v - p_size), v LIMIT 1) AS ncore,
         (SELECT v FROM (VALUES (1), (2), (4), (8), (16)) t(v) ORDER BY abs(v - p_size), v LIMIT 1) AS nodes FROM part""",
-    "param_grid": """SELECT g AS gpus, n AS ncore, k AS kpar, row_number() OVER (ORDER BY g, n, k) - 1 AS job FROM (VALUES (1), (2), (4)) a(g), (VALUES (2), (4), (8), (16), (32), (64)) b(n), (VALUES (1), (2), (4)) c(k)""",
-    "retry_ladder": """WITH t AS (SELECT * FROM (VALUES (0, 1, 1), (1, 1, 2), (2, 1, 4), (3, 2, 4), (4, 4, 4), (5, 8, 4)) t(phase, nodes, gpus)),
-        r AS (SELECT * FROM t, (VALUES (0, 4), (1, 2), (2, 1)) k(kp, kpar), (VALUES (0, 16), (1, 8), (2, 4), (3, 2), (4, 1)) n(np, ncore) WHERE NOT (nodes = 1 AND gpus = 1 AND kpar = 4 AND ncore = 16))
-        SELECT row_number() OVER (ORDER BY phase, kp, np)::INTEGER AS level, nodes, gpus, ncore, kpar FROM r""",
+    "param_grid": """WITH n AS (SELECT s_suppkey, (s_suppkey % 24 * 4 + 4)::INTEGER AS cores, (s_nationkey % 9)::INTEGER AS gpus FROM supplier),
+        g AS (SELECT s_suppkey, x::INTEGER AS gpus FROM n, (VALUES (1), (2), (4), (8)) v(x) WHERE x <= gpus UNION ALL SELECT s_suppkey, gpus FROM n WHERE gpus < 1),
+        c AS (SELECT s_suppkey, (2 ** k)::INTEGER AS ncore FROM n, range(1, 12) r(k) WHERE cores % (2 ** k)::INTEGER = 0),
+        p AS (SELECT s_suppkey, (2 ** k)::INTEGER AS kpar FROM n, range(0, 8) r(k) WHERE 2 ** k <= gpus UNION ALL SELECT s_suppkey, 1 FROM n WHERE gpus < 1)
+        SELECT s_suppkey, (row_number() OVER (PARTITION BY s_suppkey ORDER BY gpus, ncore, kpar) - 1)::INTEGER AS job, gpus, ncore, kpar FROM g JOIN c USING (s_suppkey) JOIN p USING (s_suppkey)""",
+    "retry_ladder": """WITH j AS (SELECT p_partkey AS job, (2 ** (p_size % 3))::INTEGER AS gpu, (2 ** (p_size % 8))::INTEGER AS first, (2 ** (p_size % 4))::INTEGER AS k0 FROM part),
+        s AS (SELECT job, nodes, gpus, kp, CASE kp WHEN 0 THEN k0 WHEN 1 THEN greatest(1, k0 // 2) ELSE 1 END AS kpar, np, least(first, 64) >> np AS ncore, gpu, first, k0
+            FROM j, (VALUES (1, 1), (1, 2), (1, 4), (2, 4), (4, 4), (8, 4)) t(nodes, gpus), range(0, 3) a(kp), range(0, 8) b(np) WHERE (nodes > 1 OR gpus >= gpu) AND least(first, 64) >> np > 0),
+        d AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY job, nodes, gpus, ncore, kpar ORDER BY kp, np) = 1)
+        SELECT job, row_number() OVER (PARTITION BY job ORDER BY nodes, gpus, kp, np)::INTEGER AS level, nodes, gpus, ncore, kpar::INTEGER AS kpar FROM d WHERE NOT (nodes = 1 AND gpus = gpu AND ncore = first AND kpar = k0)""",
     "log_regex_extract": f"""WITH {_LOGS}, x AS (SELECT event_id, log, regexp_extract_all(log, 'LOOP:\\s+cpu time\\s+[0-9.]+:\\s+real time\\s+([0-9.]+)', 1)::DOUBLE[] AS t FROM l)
         SELECT event_id, coalesce(nullif(regexp_extract(log, 'running\\s+([0-9]+)\\s+mpi-ranks', 1), ''), regexp_extract(log, 'running on\\s+([0-9]+)\\s+total cores', 1))::INTEGER AS ranks,
         regexp_extract(log, 'Found\\s+([0-9]+)\\s+irreducible', 1)::INTEGER AS n_kpoints_irr, floor(regexp_extract(log, 'NELECT\\s*=\\s*([0-9.]+)', 1)::DOUBLE)::INTEGER AS n_electrons,

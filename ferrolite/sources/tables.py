@@ -49,16 +49,28 @@ def read_trend(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("structures").cast("int").alias("structures"), *[F.col(c).cast("double").alias(c) for c in TREND[1:]]).orderBy("structures")
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """A registry document (jobs[incar][potcar][structure] = entry) as a flat table; a missing or broken one is empty."""
-    rows = spark.read.text(path, wholetext=True)
+def read_registry(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A registry document (jobs[incar][potcar][structure] = entry) as a flat table; a missing or broken one is empty.
+    With ``lines`` each line is a document."""
+    rows = spark.read.text(path, wholetext=not lines)
     jobs = F.from_json("value", f"struct<version:int, jobs:map<string, map<string, map<string, struct<{ENTRY.replace(' ', ':').replace(',:', ', ')}>>>>>")["jobs"]
     flat = rows.select(F.explode(jobs).alias("incar_hash", "a")).select("incar_hash", F.explode("a").alias("potcar_hash", "b")).select("incar_hash", "potcar_hash", F.explode("b").alias("structure_hash", "e"))
     return flat.select("incar_hash", "potcar_hash", "structure_hash", "e.*")
 
 
+def registry_lines(entries: DataFrame) -> DataFrame:
+    """A flat registry as JSON documents of one entry each, which ``read_registry`` reads with ``lines``: nothing is
+    gathered, and lines of several registries can be put together."""
+    names = [c.split()[0] for c in ENTRY.split(", ")]
+    keyed = F.create_map("structure_hash", F.struct(*names))
+    for key in ("potcar_hash", "incar_hash"):
+        keyed = F.create_map(key, keyed)
+    return entries.select(F.to_json(F.struct(F.lit(1).alias("version"), keyed.alias("jobs"))).alias("value"))
+
+
 def registry_document(entries: DataFrame) -> DataFrame:
-    """One JSON document of a flat registry, for exchange; the registry itself is a table."""
+    """One JSON document of a small flat registry, for exchange with tools that read one; ``registry_lines`` has a row for
+    each entry, and the registry itself is a table."""
     names = [c.split()[0] for c in ENTRY.split(", ")]
     inner = entries.groupBy("incar_hash", "potcar_hash").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("structure_hash", F.struct(*names))))).alias("c"))
     middle = inner.groupBy("incar_hash").agg(F.map_from_entries(F.collect_list(F.struct("potcar_hash", "c"))).alias("b"))

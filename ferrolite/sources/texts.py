@@ -6,6 +6,8 @@ on columns. Directories are read with ``recursive``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +15,22 @@ from ferrolite.functions import text as X
 
 
 def files(spark: SparkSession, paths: str | list[str], pattern: str | None = None, recursive: bool = False, exclude: str | None = None) -> DataFrame:
-    """path, name, text: one row for each file, in no order. ``exclude`` is left out, as is nothing else."""
+    """path, name, text: one row for each file, in no order, also where several paths meet it.
+
+    ``exclude`` is left out, as is nothing else: one file if it is absolute, or else the files whose path ends with these
+    names of folders and file.
+    """
     reader = spark.read.option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     rows = reader.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
-    return rows if exclude is None else rows.where(~F.col("path").endswith(exclude))
+    if not isinstance(paths, str) and len(paths) > 1:
+        rows = rows.dropDuplicates(["path"])
+    if exclude is None:
+        return rows
+    plain = F.regexp_replace("path", r"^\w+:(//[^/]*)?", "")
+    other = re.sub(r"^\w+:(//[^/]*)?", "", exclude)
+    return rows.where(plain != other if other.startswith("/") else ~F.concat(F.lit("/"), plain).endswith(f"/{other}"))
 
 
 def structure_format(name: Column) -> Column:

@@ -68,28 +68,74 @@ def stream_states(events: DataFrame, max_retry: int = MAX_RETRY) -> DataFrame:
     )
 
 
-def upsert_latest(batch: DataFrame, path: str, keys: list[str], order: str) -> None:
+#: Buckets of a keyed table; all calls for one table must agree.
+BUCKETS = 64
+
+
+def upsert_latest(batch: DataFrame, path: str, keys: list[str], order: str, buckets: int = BUCKETS) -> None:
     """For foreachBatch: a table with the newest entry (by ``order``) of each key, the batch's entries merged into it.
 
-    Each call appends a whole new version as one partition, in one commit, so that readers see the old one or the new one;
-    a batch that is replayed changes nothing. ``upserted`` reads the newest.
+    Keys are dealt into ``buckets`` by a hash, and only buckets that the batch touches are read and written: each gets a new
+    version as one file, which readers see as a whole or not at all, and keeps the version before it; older ones are
+    deleted. A batch that is replayed changes nothing. ``upserted`` reads the newest versions.
     """
     spark = batch.sparkSession
+    columns = batch.columns
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    batch = stash(latest(batch, keys, order).select(*columns).withColumn("bucket", bucket))
+    touched = sorted(r["bucket"] for r in batch.select("bucket").distinct().collect())  # ``buckets`` at most
+    if not touched:
+        return
+    versions = dict.fromkeys(touched, 0)
     try:
-        old = upserted(spark, path)
-        number = spark.read.parquet(path).agg(F.max("version").alias("v")).first()["v"] or 0
-        batch = old.unionByName(batch.select(*old.columns))
+        old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
     except AnalysisException:  # no version yet
-        number = 0
-    best = latest(batch, keys, order).select(*batch.columns)
-    best.withColumn("version", F.lit(number + 1)).write.mode("append").partitionBy("version").parquet(path)
+        old = None
+    if old is not None:
+        versions |= {r["bucket"]: r["v"] for r in old.groupBy("bucket").agg(F.max("version").alias("v")).collect()}
+        live = old.where(_is_newest(versions)).select(*columns, "bucket")
+        batch = latest(live.unionByName(batch), keys, order).select(*columns, "bucket")
+    number = F.element_at(F.create_map(*[F.lit(x) for b, v in versions.items() for x in (b, v + 1)]), F.col("bucket"))
+    batch.withColumn("version", number).repartition(len(touched), "bucket").write.mode("append").partitionBy("bucket", "version").parquet(path)
+    for b, v in versions.items():
+        for gone in range(v - 1, 0, -1):
+            if not _deleted(spark, f"{path}/bucket={b}/version={gone}"):
+                break
+
+
+def _is_newest(versions: dict[int, int]) -> Column:
+    return F.array_contains(F.array(*[F.lit(f"{b}/{v}") for b, v in versions.items()]), F.concat_ws("/", F.col("bucket").cast("string"), F.col("version").cast("string")))
+
+
+def _deleted(spark: SparkSession, folder: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True))
 
 
 def upserted(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a table made by ``upsert_latest``."""
+    """The newest versions of a table made by ``upsert_latest``."""
     rows = spark.read.parquet(path)
-    newest = rows.agg(F.max("version").alias("v")).first()["v"]
-    return rows.where(F.col("version") == newest).drop("version")
+    versions = {r["bucket"]: r["v"] for r in rows.groupBy("bucket").agg(F.max("version").alias("v")).collect()}  # a row for each bucket
+    return rows.where(_is_newest(versions)).drop("bucket", "version")
+
+
+def outcome(completed: Column, oom: Column, has_log: Column, retry_level: Column, max_retry: int = MAX_RETRY) -> Column:
+    """What becomes of a job that has left the scheduler: completed; retry (out of memory, with retries left); failed (out
+    of retries, or a log without the marker of the end); pending (it left no log: it never ran, and is submitted again).
+    Null flags count as false, a null level as 0."""
+    spent = F.coalesce(retry_level, F.lit(0)) >= max_retry
+    return (
+        F.when(completed, "completed").when(oom, F.when(spent, "failed").otherwise("retry")).when(spent | F.coalesce(has_log, F.lit(False)), "failed").otherwise("pending")
+    )
+
+
+def outcomes(jobs: DataFrame, scheduled: DataFrame, max_retry: int = MAX_RETRY) -> DataFrame:
+    """``jobs`` (job_id, status, completed, oom, has_log, retry_level) with ``outcome``: ``active`` for those that the
+    scheduler (job_id) still has, their status for those that weren't submitted."""
+    there = scheduled.select("job_id").where("job_id is not null").distinct().withColumn("_there", F.lit(True))
+    found = outcome(F.col("completed"), F.col("oom"), F.col("has_log"), F.col("retry_level"), max_retry)
+    kind = F.when(F.col("status") != "submitted", F.col("status")).when(F.col("_there"), "active").otherwise(found)
+    return jobs.join(there, "job_id", "left").withColumn("outcome", kind).drop("_there")
 
 
 def backfilled(completed: DataFrame, path: str, keys: list[str], order: str, dry_run: bool = False) -> DataFrame:

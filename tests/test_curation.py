@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ferrolite.functions import composition as C
 from ferrolite.functions import structure as S
 from ferrolite.functions import text as X
-from ferrolite.operators import curation, defects, elastic, fits, selection
+from ferrolite.operators import curation, defects, elastic, fits, generators, selection, validation
 from ferrolite.sources import structures as R
 from ferrolite.sources import tables, xyz
 from ferrolite.streaming import jobs
@@ -286,6 +286,58 @@ def test_job_folders_and_kept_tables(spark, tmp_path):
     assert spark.createDataFrame([("x\n generation 250000 \n",), ("y",)], "t string").select(R.target_generation(F.col("t")).alias("g")).collect()[0]["g"] == 250000
 
 
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    path, ddl = str(tmp_path / "reg"), "a string, seq bigint, x string"
+    jobs.upsert_latest(spark.createDataFrame([(f"k{n}", 1, "old") for n in range(300)], ddl), path, ["a"], "seq", 16)
+
+    def versions():
+        return {(f.parent.parent.name, f.parent.name) for f in (tmp_path / "reg").glob("bucket=*/version=*/*.parquet")}
+
+    first = versions()
+    assert len(first) == 16
+    for n in range(2, 6):
+        jobs.upsert_latest(spark.createDataFrame([("k7", n, f"new{n}")], ddl), path, ["a"], "seq", 16)
+        # One bucket has a new version, and the one before it for those who read it.
+        assert len({b for b, _ in versions() - first}) == 1 and len(versions()) == 17
+    assert jobs.upserted(spark, path).count() == 300 and jobs.upserted(spark, path).where("a = 'k7'").first()["x"] == "new5"
+    jobs.upsert_latest(spark.createDataFrame([], ddl), path, ["a"], "seq", 16)
+    assert len(versions()) == 17
+
+
+def test_outcomes(spark):
+    rows = [(1, True, True, True, 9), (2, False, True, None, 2), (3, False, True, False, 3), (4, False, False, True, 0), (5, False, None, None, None), (6, None, False, False, 3)]
+    df = spark.createDataFrame([(i, "submitted", *r) for i, *r in rows] + [(7, "pending", True, None, None, 0), (8, "submitted", True, None, None, 0)], "job_id int, status string, completed boolean, oom boolean, has_log boolean, retry_level int")
+    got = {r["job_id"]: r["outcome"] for r in jobs.outcomes(df, spark.createDataFrame([(8,), (8,), (None,)], "job_id int")).collect()}
+    assert got == {1: "completed", 2: "retry", 3: "failed", 4: "failed", 5: "pending", 6: "failed", 7: "pending", 8: "active"}
+
+
+def test_settings_against_rules(spark):
+    rules = validation.rules(spark, None, {"elements": (["W", "Cr"], True), "lattices": (["bcc", "fcc"], False)})
+    rows = [("a", "composition_aware_fps_frontier_fraction", "0"), ("a", "composition_aware_fps_frontier_fraction", "1.0"), ("a", "elements", "w, CR"), ("a", "target_n_atoms", "x"), ("a", "lattices", " "), ("b", "elements", " , "), ("b", "lattices", "hcp"), ("b", "other", None), ("b", "composition_aware_fps_adaptive_retries", "2.5")]
+    got = sorted((r["run"], r["key"], r["reason"]) for r in validation.violations(spark.createDataFrame(rows, "run string, key string, value string"), rules).collect())
+    frontier, retries = "composition_aware_fps_frontier_fraction", "composition_aware_fps_adaptive_retries"
+    assert got == sorted([("a", frontier, "below the range"), ("a", "target_n_atoms", "not a number"), ("b", "elements", "missing"), ("b", "lattices", "unknown item"), ("b", retries, "not a whole number"), ("b", "target_n_atoms", "missing")])
+    names = spark.createDataFrame([("w, CR",), ("w,xx",), ("",)], "t string").select(validation.normalised_list(F.col("t"), ["W", "Cr"]).alias("n")).collect()
+    assert [r["n"] for r in names] == ["W,Cr", None, ""]
+
+
+def test_grids_of_odd_nodes(spark):
+    got = generators.parameter_grids(spark.createDataFrame([("a", 1, 0), ("b", 12, 3)], "node string, cores int, gpus int")).collect()
+    assert [tuple(r) for r in got if r["node"] == "a"] == [("a", 0, 0, 1, 1)]
+    assert [tuple(r)[2:] for r in got if r["node"] == "b"] == [(g, n, k) for g in (1, 2) for n in (2, 4) for k in (1, 2)]
+
+
+def test_principal_plane_of_large_offsets_and_odd_vectors(spark):
+    x = np.random.default_rng(5).normal(size=(300, 3)) * [0.5, 0.2, 0.01] + 1e8
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(900, None), (901, [1.0, None, 2.0]), (902, [math.nan] * 3), (903, [1.0])]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    got = {r["id"]: (r["pc1"], r["pc2"]) for r in fits.principal_plane(df).collect()}
+    y = x - x.mean(0)
+    want = y @ np.linalg.svd(y, full_matrices=False)[2][:2].T
+    assert np.allclose(np.abs([got[k] for k in range(300)]), np.abs(want), atol=1e-6) and all(got[k] == (None, None) for k in (900, 901, 902, 903))
+    assert fits.principal_plane(df.where("id < 0")).count() == 0 and fits.principal_plane(df, df.where("id < 0")).where("pc1 is null").count() == 304
+
+
 def test_required_and_axes(spark):
     with pytest.raises(ValueError):
         curation.required(spark.range(0), "rows")

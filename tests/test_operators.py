@@ -209,7 +209,7 @@ def test_walltimes_and_scalars(spark):
 def test_snapping_and_ladder(spark):
     r = spark.createDataFrame([(3,), (48,), (100,)], "v int").select(benchmark.snap(F.col("v"), benchmark.powers_of_two(64))).collect()
     assert [x[0] for x in r] == [2, 32, 64]
-    ladder = generators.retry_ladder(spark, 2, 8, 2, [1, 2, 4], 64, 4).orderBy("level").collect()
+    ladder = generators.retry_ladders(spark.createDataFrame([("a", 2, 8, 2)], "job string, gpu int, ncore int, kpar int"), [1, 2, 4], 64, 4).drop("job").orderBy("level").collect()
     assert [r["level"] for r in ladder] == list(range(1, len(ladder) + 1))
     assert (ladder[0]["gpus"], ladder[0]["kpar"], ladder[0]["ncore"]) == (2, 2, 4)
     assert len({tuple(r)[1:] for r in ladder}) == len(ladder) and ladder[-1]["nodes"] == 4

@@ -88,12 +88,28 @@ def test_trend(spark, tmp_path):
         tables.read_trend(spark, str(tmp_path / "bad.csv"))
 
 
+def test_file_lists(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for name in ("b.xyz", "ab.xyz", "d/b.xyz"):
+        (tmp_path / name).write_text("1")
+
+    def found(paths, **k):
+        return sorted(r["path"].split(str(tmp_path))[1][1:] for r in texts.files(spark, paths, recursive=True, **k).collect())
+
+    top = str(tmp_path)
+    assert found(top, exclude="b.xyz") == ["ab.xyz"] and found(top, exclude="d/b.xyz") == ["ab.xyz", "b.xyz"] and found(top, exclude=f"file:{top}/b.xyz") == ["ab.xyz", "d/b.xyz"]
+    assert found([f"{top}/b.xyz", top]) == ["ab.xyz", "b.xyz", "d/b.xyz"]
+
+
 def test_registry_document(spark, tmp_path):
     names = [c.split()[0] for c in tables.ENTRY.split(", ")]
     rows = spark.createDataFrame([("i", "p", "s1", "/a", "x", "train", 42, "now", "o", "v"), ("i", "p", "s2", "/b", "x", "test", 1, "now", None, "v")], f"incar_hash string, potcar_hash string, structure_hash string, {tables.ENTRY}")
     tables.registry_document(rows).write.text(str(tmp_path / "r"))
     got = tables.read_registry(spark, str(tmp_path / "r")).orderBy("structure_hash")
     assert got.select(*rows.columns).collect() == rows.collect() and got.columns[3:] == names
+    tables.registry_lines(rows).write.text(str(tmp_path / "l"))
+    lines = tables.read_registry(spark, str(tmp_path / "l"), lines=True).orderBy("structure_hash")
+    assert lines.select(*rows.columns).collect() == rows.collect()
     (tmp_path / "broken.json").write_text("{")
     assert tables.read_registry(spark, str(tmp_path / "broken.json")).count() == 0
 
