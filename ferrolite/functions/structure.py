@@ -98,7 +98,7 @@ def scaled(positions: Column, cell: Column) -> Column:
 
 
 def kpoint_mesh(cell: Column, spacing: Column) -> Column:
-    """Divisions along each reciprocal axis: ceil(2 pi |b| / spacing), 1 at least. Symmetry is not used."""
+    """Divisions along each reciprocal axis: ceil(2 pi |b| / spacing), 1 at least. ``irreducible_kpoints`` uses symmetry."""
 
     def one(inv: Column, j: int) -> Column:
         length = F.sqrt(inv[0][j] * inv[0][j] + inv[1][j] * inv[1][j] + inv[2][j] * inv[2][j])
@@ -116,3 +116,89 @@ def replicates(cell: Column, cutoff: Column) -> Column:
         return F.greatest(F.lit(1), F.ceil(2 * cutoff / span)).cast("int")
 
     return F.array(*[one(i) for i in range(3)])
+
+
+#: Relative difference of lengths, and difference of shares of the cell's vectors, up to which they are equal.
+SYMMETRY = 1e-5
+
+
+def lattice_rotations(cell: np.ndarray, tolerance: float = SYMMETRY) -> np.ndarray:
+    """Integer matrices W (of components up to 2) that keep the metric: x -> W x of shares of the cell's row vectors."""
+    g = cell @ cell.T
+    r = np.arange(-2, 3)
+    every = np.stack(np.meshgrid(r, r, r, indexing="ij"), axis=-1).reshape(-1, 3)
+    lengths = np.einsum("ki,ij,kj->k", every, g, every)
+    limit = tolerance * np.abs(np.diag(g)).max()
+    first, second, third = (every[np.abs(lengths - g[k, k]) <= limit] for k in range(3))
+    dots = first @ g @ second.T
+    out = []
+    for i, j in zip(*np.nonzero(np.abs(dots - g[0, 1]) <= limit), strict=True):
+        a, b = first[i], second[j]
+        fit = (np.abs(third @ g @ a - g[0, 2]) <= limit) & (np.abs(third @ g @ b - g[1, 2]) <= limit)
+        out += [np.stack([a, b, c], axis=1) for c in third[fit]]  # images of the vectors are columns
+    return np.array([w for w in out if abs(round(np.linalg.det(w))) == 1])
+
+
+def crystal_rotations(cell: np.ndarray, sites: np.ndarray, symbols: list[str], tolerance: float = 1e-4) -> np.ndarray:
+    """Those of ``lattice_rotations`` that map the atoms (shares of the cell's vectors) onto atoms of their kind, with a shift."""
+    names = np.array(symbols)
+    kinds, counts = np.unique(names, return_counts=True)
+    rare = np.flatnonzero(names == kinds[counts.argmin()])
+
+    def maps(w: np.ndarray) -> bool:
+        turned = sites @ w.T
+        for target in rare:
+            moved = turned + (sites[target] - turned[rare[0]])
+            d = moved[:, None] - sites[None]
+            near = (np.abs(d - np.rint(d)).max(axis=2) <= tolerance) & (names[:, None] == names[None])
+            if near.any(axis=1).all():
+                return True
+        return False
+
+    return np.array([w for w in lattice_rotations(cell) if maps(w)])
+
+
+def irreducible_points(rotations: np.ndarray, mesh: list[int], gamma: bool = True) -> int:
+    """Points of a mesh of reciprocal space that neither the rotations nor the reversal of time map onto each other."""
+    n = np.array(mesh)
+    shift = 0 if gamma else 1
+    address = np.stack(np.meshgrid(*[np.arange(x) for x in n], indexing="ij"), axis=-1).reshape(-1, 3)
+    twice = 2 * address + shift  # in units of 1 / (2 n)
+    label, whole = np.arange(len(address)), np.prod(n)
+    images = []
+    for w in np.concatenate([rotations, -rotations]):
+        # k' = W^T k, in units of 1 / (2 n): exact if it divides.
+        top = (twice * (whole // n)) @ w
+        index, rest = np.divmod(top * n, whole)
+        index -= shift
+        ok = (rest == 0).all(axis=1) & (index % 2 == 0).all(axis=1)
+        to = (index // 2) % n
+        images.append((np.flatnonzero(ok), np.ravel_multi_index(to[ok].T, n)))
+    while True:
+        before = label.copy()
+        for a, b in images:
+            low = np.minimum(label[a], label[b])
+            np.minimum.at(label, a, low)
+            np.minimum.at(label, b, low)
+        if (label == before).all():
+            return len(np.unique(label))
+
+
+def irreducible_kpoints(cell: Column, positions: Column, symbols: Column, mesh: Column, gamma: bool = True) -> Column:
+    """How many k-points of the mesh are left by the crystal's symmetry; null for a flat cell, without atoms or without a
+    mesh. ``positions`` are Cartesian. The mesh holds no more points than one task can (a row's own work)."""
+
+    def one(c, p, s, m) -> int | None:
+        if c is None or p is None or s is None or m is None or not len(p) or len(p) != len(s):
+            return None
+        cell = np.array([list(x) for x in c], np.float64)
+        if abs(np.linalg.det(cell)) < 1e-12:
+            return None
+        sites = np.array([list(x) for x in p], np.float64) @ np.linalg.inv(cell)
+        return irreducible_points(crystal_rotations(cell, sites, list(s)), [int(x) for x in m], gamma)
+
+    @F.pandas_udf("int")
+    def run(c: pd.Series, p: pd.Series, s: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([one(*x) for x in zip(c, p, s, m, strict=True)], dtype="Int32")
+
+    return run(cell, positions, symbols, mesh)

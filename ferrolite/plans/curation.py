@@ -235,6 +235,19 @@ def kpoint_meshes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", mesh[0].alias("n1"), mesh[1].alias("n2"), mesh[2].alias("n3"))
 
 
+def kpoints_irreducible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-points that symmetry leaves for one atom in every part's cubic, tetragonal or orthorhombic cell."""
+    kind, zero = F.col("p_partkey") % 3, F.lit(0.0)
+    a = (F.col("p_size") % 9).cast("double") + 2
+    b, c = F.when(kind == 2, a * 1.25).otherwise(a), F.when(kind > 0, a * 1.5).otherwise(a)
+    cell = F.array(F.array(a, zero, zero), F.array(zero, b, zero), F.array(zero, zero, c))
+    rows = table(spark, sf_dir, "part").select("p_partkey", cell.alias("cell"))
+    # Parts share few cells: each is worked out once.
+    cells = rows.select("cell").distinct().withColumn("mesh", S.kpoint_mesh(F.col("cell"), F.lit(0.4)))
+    n = S.irreducible_kpoints(F.col("cell"), F.lit([[0.0, 0.0, 0.0]]), F.lit(["W"]), F.col("mesh"))
+    return rows.join(cells.withColumn("n", n), "cell").select("p_partkey", F.col("mesh")[0].alias("n1"), F.col("mesh")[1].alias("n2"), F.col("mesh")[2].alias("n3"), F.col("n").alias("n_kpoints_irr"))
+
+
 def _elastic_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Strained cubic cells of every supplier, with planted gaps, and the outcome of their jobs."""
     bases = table(spark, sf_dir, "supplier").select(F.col("s_suppkey"), (F.col("s_suppkey") % 5 + 3).cast("double").alias("a"))
@@ -344,7 +357,7 @@ QUERIES = {
     for f in (
         elastic_structures, single_element_elastic, subset_compounds, gas_structures, symmetry_filter, space_group_names, pure_lattices, inherited_metadata, record_validation, position_matches,
         dft_ml_comparison, frames_of_atoms, scheduler_membership, element_union, distinct_bins, next_ids, seed_ids, composition_cap, latest_potential, first_lattice, unresolved_preview, anchor_union, perturbation_union,
-        hash_annotation, potential_names, fraction_labels, bin_centres, min_max, virials, kpoint_meshes, elastic_records, elastic_scan_counters, elastic_cubic_paired, elastic_summary, binary_histogram,
+        hash_annotation, potential_names, fraction_labels, bin_centres, min_max, virials, kpoint_meshes, kpoints_irreducible, elastic_records, elastic_scan_counters, elastic_cubic_paired, elastic_summary, binary_histogram,
         random_solutions, solution_cap, interstitials, element_lists,
     )
 }
@@ -398,6 +411,11 @@ ORACLES = {
     "min_max": """WITH m AS (SELECT *, min(s_acctbal) OVER w AS lo, max(s_acctbal) OVER w AS hi FROM supplier WINDOW w AS (PARTITION BY s_nationkey))
         SELECT s_suppkey, round(CASE WHEN hi > lo THEN (s_acctbal - lo) / (hi - lo) ELSE 0 END, 9) AS scaled FROM m""",
     "virials": """SELECT p_partkey, round(p_size * 0.1::DOUBLE, 6) AS xx, round((p_size * 2 + 20) * 0.1::DOUBLE, 6) AS yz, round(-p_size * 125 / 1602.17663::DOUBLE, 9) AS virial_xx, round(-(p_size * 2) * 125 / 1602.17663::DOUBLE, 9) AS virial_yx FROM part""",
+    "kpoints_irreducible": """WITH c AS (SELECT p_partkey, p_partkey % 3 AS k, (p_size % 9)::DOUBLE + 2 AS a FROM part),
+        m AS (SELECT p_partkey, k, greatest(1, ceil(2 * pi() / a / 0.4::DOUBLE))::INTEGER AS n1, greatest(1, ceil(2 * pi() / CASE k WHEN 2 THEN a * 1.25::DOUBLE ELSE a END / 0.4::DOUBLE))::INTEGER AS n2,
+            greatest(1, ceil(2 * pi() / CASE k WHEN 0 THEN a ELSE a * 1.5::DOUBLE END / 0.4::DOUBLE))::INTEGER AS n3 FROM c),
+        h AS (SELECT *, n1 // 2 + 1 AS x, n2 // 2 + 1 AS y, n3 // 2 + 1 AS z FROM m)
+        SELECT p_partkey, n1, n2, n3, (CASE k WHEN 0 THEN x * (x + 1) * (x + 2) // 6 WHEN 1 THEN x * (x + 1) // 2 * z ELSE x * y * z END)::INTEGER AS n_kpoints_irr FROM h""",
     "kpoint_meshes": """WITH m AS (SELECT p_partkey, p_size / 3.0::DOUBLE + 2 AS a FROM part) SELECT p_partkey, greatest(1, ceil(2 * pi() / a / 0.3::DOUBLE))::INTEGER AS n1, greatest(1, ceil(pi() / a / 0.3::DOUBLE))::INTEGER AS n2,
         greatest(1, ceil(2 * pi() / (a * 3) / 0.3::DOUBLE))::INTEGER AS n3 FROM m""",
     "elastic_records": f"""{_EL} SELECT k AS structure_index, printf('seed_%06d', s_suppkey) AS group_key, reason, {', '.join(f"CASE WHEN reason IS NULL THEN round(e{i}::DOUBLE, 9) END AS e{i}" for i in range(1, 7))},

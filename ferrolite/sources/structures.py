@@ -6,6 +6,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -58,10 +59,50 @@ def _cell_of(lengths: list[float], angles: list[float]) -> list[list[float]]:
     return [[a, 0.0, 0.0], [b * cg, b * sg, 0.0], [c * cb, c * y, c * math.sqrt(max(0.0, 1 - cb * cb - y * y))]]
 
 
+_TERM = re.compile(r"([+-]?)\s*(?:(\d+)\s*/\s*(\d+)|(\d*\.?\d+))?\s*\*?\s*([xyz]?)")
+#: Shares of a cell's vectors up to which images of a site are one atom.
+SAME_SITE = 1e-3
+
+
+def parse_operation(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Matrix and shift of an operation such as ``x,1/2-y,z+0.25``."""
+    parts = text.strip().strip("'\"").lower().split(",")
+    if len(parts) != 3:
+        raise ValueError(text)
+    matrix, shift = np.zeros((3, 3)), np.zeros(3)
+    for i, part in enumerate(parts):
+        part, at, terms = part.replace(" ", ""), 0, 0
+        while at < len(part):
+            m = _TERM.match(part, at)
+            if m.end() == at or not (m[2] or m[4] or m[5]) or (at and not m[1]):
+                raise ValueError(text)
+            size = (int(m[2]) / int(m[3]) if m[2] else float(m[4]) if m[4] else 1.0) * (-1 if m[1] == "-" else 1)
+            if m[5]:
+                matrix[i, "xyz".index(m[5])] += size
+            else:
+                shift[i] += size
+            at, terms = m.end(), terms + 1
+        if not terms:
+            raise ValueError(text)
+    return matrix, shift
+
+
+def orbit(site: np.ndarray, operations: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The different images of a site within the cell, its own first; those nearer than ``SAME_SITE`` are one."""
+    images = np.array([m @ site + t for m, t in operations])
+    images -= np.floor(images + SAME_SITE / 2)
+    out: list[np.ndarray] = []
+    for p in images:
+        if all(np.abs((d := p - q) - np.rint(d)).max() > SAME_SITE for q in out):
+            out.append(p)
+    return np.array(out)
+
+
 def parse_cif(text: str) -> tuple[list[str], list[list[float]], list[list[float]] | None, list[bool], dict[str, str], list[str]]:
     """Symbols, Cartesian positions, cell, periodicity, other keys, problems of the first block of a CIF.
 
-    Only structures that list all their atoms are read: symmetry operations beyond the identity are a problem.
+    The file's symmetry operations are applied to its sites, and images that coincide are one atom; without any, all atoms
+    must be listed, and the name of a space group other than P 1 is a problem.
     """
     number = lambda s: float(re.sub(r"\(\d+\)$", "", s))
     lines = [x.strip() for x in text.splitlines() if x.strip() and not x.strip().startswith("#")]
@@ -85,17 +126,28 @@ def parse_cif(text: str) -> tuple[list[str], list[list[float]], list[list[float]
         cell = _cell_of([number(single[f"_cell_length_{x}"]) for x in "abc"], [number(single[f"_cell_angle_{x}"]) for x in ("alpha", "beta", "gamma")])
     except (KeyError, ValueError, ZeroDivisionError):
         problems.append("no cell")
+    operations: list[tuple[np.ndarray, np.ndarray]] = []
+    for names, rows in loops:
+        column = next((k for k, n in enumerate(names) if n in ("_space_group_symop_operation_xyz", "_symmetry_equiv_pos_as_xyz")), None)
+        try:
+            # An operation without quotes may hold blanks.
+            operations += [parse_operation(r[column] if len(r) == len(names) else "".join(r[column:])) for r in rows] if column is not None else []
+        except (ValueError, IndexError, ZeroDivisionError):
+            problems.append("symmetry operations can't be read")
+    group = next((v for k, v in single.items() if k in ("_symmetry_space_group_name_h-m", "_space_group_name_h-m_alt")), "P 1")
+    if not operations and group.replace(" ", "").upper() not in ("P1", "?", "."):
+        problems.append(f"no symmetry operations for {group}")
+    operations = operations or [(np.eye(3), np.zeros(3))]
     for names, rows in loops:
-        if any("symop" in n or "symmetry_equiv" in n for n in names) and len(rows) > 1:
-            problems.append("symmetry operations are not applied")
         if "_atom_site_fract_x" in names and cell:
             at = [names.index(f"_atom_site_fract_{x}") for x in "xyz"]
             name = names.index("_atom_site_type_symbol" if "_atom_site_type_symbol" in names else "_atom_site_label")
             try:
                 for r in rows:
-                    f = [number(r[i]) for i in at]
-                    symbols.append(re.match(r"[A-Z][a-z]?", r[name])[0])
-                    positions.append([sum(f[i] * cell[i][j] for i in range(3)) for j in range(3)])
+                    f, symbol = np.array([number(r[i]) for i in at]), re.match(r"[A-Z][a-z]?", r[name])[0]
+                    sites = orbit(f, operations) if len(operations) > 1 else f[None]
+                    symbols += [symbol] * len(sites)
+                    positions += [[float(sum(p[i] * cell[i][j] for i in range(3))) for j in range(3)] for p in sites]
             except (ValueError, IndexError, TypeError):
                 problems.append(f"atom {len(positions)} can't be read")
                 symbols, positions = [], []
