@@ -6,7 +6,7 @@ it back with the next level of the retry ladder, or fails it after the last one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -21,9 +21,12 @@ FINAL = ("completed", "failed", "reused")
 MAX_RETRY = 3
 
 
-def replay(events: DataFrame, max_retry: int = MAX_RETRY) -> DataFrame:
+def replay(events: DataFrame, max_retry: int = MAX_RETRY, patience: float | None = None) -> DataFrame:
     """job_id, status, retry_level, last_event: the state after all events (job_id, seq, kind).
 
+    With ``patience`` (seconds; events have ts then) a job that was submitted last, and whose newest event is older than
+    the newest of all by more than that, never ran: it is pending again.
+
     Only combined aggregates and a ranked filter are used: the final event of a job is the first of its completed,
     failed and reused ones and its ``max_retry`` + 1st lack of memory; what comes later changes nothing. So a job with
     very many events is never gathered in one place.
@@ -36,7 +39,14 @@ def replay(events: DataFrame, max_retry: int = MAX_RETRY) -> DataFrame:
     before = events.join(ends, "job_id", "left").where(F.col("end").isNull() | (F.col("seq") <= F.col("end")))
     last = before.groupBy("job_id").agg(F.max_by("kind", "seq").alias("kind"), F.max("seq").alias("last_event"), F.count_if(F.col("kind") == "oom").alias("ooms"), F.first("gave_up").alias("gave_up"))
     status = F.when(F.coalesce("gave_up", F.lit(False)), "failed").when(F.col("kind") == "oom", "submitted").otherwise(F.col("kind"))
-    return last.select("job_id", status.alias("status"), F.least(F.col("ooms"), F.lit(max_retry)).cast("int").alias("retry_level"), "last_event")
+    if patience is None:
+        return last.select("job_id", status.alias("status"), F.least(F.col("ooms"), F.lit(max_retry)).cast("int").alias("retry_level"), "last_event")
+    newest = events.agg(F.max("ts").alias("now"))
+    seen = before.groupBy("job_id").agg(F.max("ts").alias("seen"))
+    quiet = F.unix_millis(F.col("seen").cast("timestamp")) + int(patience * 1000) <= F.unix_millis(F.col("now").cast("timestamp"))
+    both = last.join(seen, "job_id").join(F.broadcast(newest), F.lit(True))  # one row
+    status = F.when((status == "submitted") & quiet, "pending").otherwise(status)
+    return both.select("job_id", status.alias("status"), F.least(F.col("ooms"), F.lit(max_retry)).cast("int").alias("retry_level"), "last_event")
 
 
 def step(status: str, level: int, kind: str, max_retry: int = MAX_RETRY) -> tuple[str, int]:
@@ -48,24 +58,46 @@ def step(status: str, level: int, kind: str, max_retry: int = MAX_RETRY) -> tupl
     return kind, level
 
 
-def stream_states(events: DataFrame, max_retry: int = MAX_RETRY) -> DataFrame:
+def stream_states(events: DataFrame, max_retry: int = MAX_RETRY, patience: float | None = None) -> DataFrame:
     """The same from a stream of (job_id long, seq long, kind): the changed jobs of each micro-batch (update mode).
 
-    Events of a job must come in the order of seq across batches; within one they are sorted here.
+    Events of a job must come in the order of seq across batches; within one they are sorted here. With ``patience``
+    (seconds) the events need ts and a watermark on it; a timer of each submitted job then puts it back to pending when
+    the watermark has passed its last event by as much: it never ran, and what admits jobs submits it again.
     """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        status, level, last = state.get if state.exists else ("pending", 0, -1)
-        for seq, kind in sorted((int(s), k) for b in batches for s, k in zip(b["seq"], b["kind"], strict=True)):
-            if status not in FINAL:
-                status, level = step(status, level, kind, max_retry)
-                last = seq
-        state.update((status, level, last))
+        status, level, last, at = state.get if state.exists else ("pending", 0, -1, 0)
+        if state.hasTimedOut:
+            status = "pending" if status == "submitted" else status
+        else:
+            columns = ["seq", "kind", "ts"] if patience is not None else ["seq", "kind"]
+            for seq, kind, *ts in sorted(row for b in batches for row in zip(*[b[c] for c in columns], strict=True)):
+                if status not in FINAL:
+                    status, level = step(status, level, kind, max_retry)
+                    last = int(seq)
+                    at = max(at, int(pd.Timestamp(ts[0]).timestamp() * 1000)) if ts else at
+            if patience is not None and status == "submitted":
+                due = at + int(patience * 1000)
+                if due <= state.getCurrentWatermarkMs():
+                    status = "pending"
+                else:
+                    state.setTimeoutTimestamp(due)
+        state.update((status, level, last, at))
         yield pd.DataFrame({"job_id": [key[0]], "status": [status], "retry_level": [level], "last_event": [last]})
 
     return events.groupBy("job_id").applyInPandasWithState(
-        run, "job_id bigint, status string, retry_level int, last_event bigint", "status string, retry_level int, last_event bigint", "update", GroupStateTimeout.NoTimeout
-    )
+        run, "job_id bigint, status string, retry_level int, last_event bigint", "status string, retry_level int, last_event bigint, at bigint", "update",
+        GroupStateTimeout.NoTimeout if patience is None else GroupStateTimeout.EventTimeTimeout,
+    )
+
+
+def admit_batch(states: DataFrame, path: str, slots: int, submit: Callable[[list], None]) -> None:
+    """For foreachBatch of ``stream_states``: the newest states go into the keyed table at ``path``, and ``submit`` gets the
+    pending jobs, smallest id first, that the free slots admit (``slots`` at most). A replayed batch changes no state."""
+    upsert_latest(states.withColumn("order", F.struct("last_event", F.when(F.col("status") == "pending", 1).otherwise(0))), path, ["job_id"], "order")
+    ready = admitted(upserted(states.sparkSession, path), slots)
+    submit([r["job_id"] for r in ready.orderBy("job_id").collect()])  # ``slots`` at most
 
 
 #: Buckets of a keyed table; all calls for one table must agree.

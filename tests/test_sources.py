@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,24 @@ def test_replay_and_stream(spark, tmp_path):
     assert jobs.replay(rows.where("job_id > 9")).count() == 0
 
 
+def test_jobs_that_never_run_are_pending_again(spark, tmp_path):
+    """Stream and replay agree; a job that starts late runs all the same, and free slots admit what is pending."""
+    schema = "job_id bigint, seq bigint, kind string, ts timestamp"
+    at = lambda m: datetime.datetime(2024, 1, 1, m // 60, m % 60)
+    every = [(1, 1, "submitted", 0), (2, 2, "submitted", 1), (3, 3, "submitted", 2), (2, 4, "running", 5), (4, 5, "running", 100), (3, 6, "running", 130), (5, 7, "submitted", 300), (6, 8, "oom", 300), (7, 9, "completed", 330)]
+    rows = spark.createDataFrame([(j, s, k, at(m)) for j, s, k, m in every], schema)
+    for k in range(3):
+        rows.where((F.col("seq") > 3 * k) & (F.col("seq") <= 3 * k + 3)).coalesce(1).write.parquet(f"{tmp_path}/in/b={k}")
+    want = {1: ("pending", 0, 1), 2: ("running", 0, 4), 3: ("running", 0, 6), 4: ("running", 0, 5), 5: ("submitted", 0, 7), 6: ("submitted", 1, 8), 7: ("completed", 0, 9)}
+    assert {r[0]: tuple(r)[1:] for r in jobs.replay(rows, patience=3600).collect()} == want
+    read = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in").withWatermark("ts", "0 seconds")
+    table, admitted = f"{tmp_path}/states", []
+    stream = jobs.stream_states(read, patience=3600).writeStream.outputMode("update").foreachBatch(lambda b, _: jobs.admit_batch(b, table, 6, admitted.append))
+    stream.option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    assert {r["job_id"]: (r["status"], r["retry_level"], r["last_event"]) for r in jobs.upserted(spark, table).collect()} == want
+    assert admitted[-1] == [1]
+
+
 def test_admission_and_tally(spark):
     rows = spark.createDataFrame([(1, "pending"), (2, "running"), (3, "pending"), (4, "reused"), (5, "pending")], "job_id bigint, status string")
     assert [r[0] for r in jobs.admitted(rows, 3).collect()] == [1, 3]
