@@ -78,6 +78,53 @@ def with_defects(bases: DataFrame, kind: str, variants: int, elements: list[str]
     return bases.select(F.col("structure_index").cast("bigint").alias("structure_index"), "symbols", "positions", "cell").mapInArrow(run, _DDL)
 
 
+_MOVED = pa.schema([("structure_index", pa.int64()), ("rattle_index", pa.int32()), ("rattle_std", pa.float64()), ("symbols", pa.list_(pa.string())), ("positions", pa.list_(pa.list_(pa.float64()))), ("moved", pa.int32()), ("nearest", pa.float64())])
+_MOVED_DDL = "structure_index bigint, rattle_index int, rattle_std double, symbols array<string>, positions array<array<double>>, moved int, nearest double"
+
+
+def gaussian(*key: object) -> np.ndarray:
+    """Three normal numbers from a hash of the key."""
+    a, b = draws(*key, n=6).reshape(2, 3)
+    return np.sqrt(-2 * np.log1p(-a)) * np.cos(2 * np.pi * b)
+
+
+def displaced(bases: DataFrame, stds: list[float], d_min: float | None = 1.2, tries: int = 50, seed: int = 0) -> DataFrame:
+    """A structure for each base (structure_index, symbols, positions, cell) and each step of a ladder of displacements.
+
+    Every atom in turn is moved by normal numbers of the step's deviation. With ``d_min`` a move must keep that distance from
+    all other atoms' nearest images, or be no nearer than the atom was before; it is drawn ``tries`` times, and the atom
+    stays if none fits (``moved`` counts the others). ``nearest`` is the smallest distance in the outcome, null for a
+    single atom. Flat cells, and structures without atoms or with a null in them, come back as they are with 0 moved.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for base in batch.to_pylist():
+                whole = base["positions"] and base["cell"] and not any(x is None for p in [*base["positions"], *base["cell"]] for x in (p or [None]))
+                cell = np.array(base["cell"], np.float64) if whole else np.zeros((3, 3))
+                sound = bool(whole) and abs(np.linalg.det(cell)) > 1e-12
+                for step, std in enumerate(stds):
+                    if not sound:
+                        rows.append((base["structure_index"], step, std, base["symbols"], base["positions"], 0, None))
+                        continue
+                    inverse, positions, moved = np.linalg.inv(cell), np.array(base["positions"], np.float64), 0
+                    for k in range(len(positions)):
+                        others = np.delete(positions, k, axis=0)
+                        least = np.inf if d_min is None else min(d_min**2, nearest_squared(others, positions[k], cell, inverse))
+                        for t in range(tries if d_min is not None else 1):
+                            place = positions[k] + std * gaussian(seed, base["structure_index"], step, k, t)
+                            if d_min is None or nearest_squared(others, place, cell, inverse) >= least:
+                                positions[k], moved = place, moved + 1
+                                break
+                    apart = [nearest_squared(np.delete(positions, k, axis=0), p, cell, inverse) for k, p in enumerate(positions)]
+                    rows.append((base["structure_index"], step, std, base["symbols"], positions.tolist(), moved, float(np.sqrt(min(apart))) if len(positions) > 1 else None))
+            columns = list(zip(*rows, strict=True)) or [()] * len(_MOVED)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MOVED, strict=True)], schema=_MOVED)
+
+    return bases.select(F.col("structure_index").cast("bigint").alias("structure_index"), "symbols", "positions", "cell").mapInArrow(run, _MOVED_DDL)
+
+
 def random_solutions(sites: DataFrame, counts: DataFrame, variants: int, seed: int = 0) -> DataFrame:
     """structure_index, variant, site, element: each structure's sites (structure_index, site) filled ``variants`` times with
     its elements' counts (structure_index, element, n) in the order of a hash of structure, site and variant.

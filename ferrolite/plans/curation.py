@@ -325,19 +325,32 @@ def solution_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return defects.first_of_composition(rows, 5)
 
 
-def interstitials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every supplier's cubic cell of eight atoms with each kind of defect; what was placed keeps its distance."""
+def _cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cubic cell of eight atoms for every supplier."""
     zero = F.lit(0.0)
     a = (F.col("s_suppkey") % 4 + 4).cast("double")
     cell = F.array(F.array(a, zero, zero), F.array(zero, a, zero), F.array(zero, zero, a))
     corners = F.array(*[F.array(*[a / 2 if (k >> b) & 1 else zero for b in range(3)]) for k in range(8)])
-    bases = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("structure_index"), F.array_repeat(F.lit("W"), 8).alias("symbols"), corners.alias("positions"), cell.alias("cell"))
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("structure_index"), F.array_repeat(F.lit("W"), 8).alias("symbols"), corners.alias("positions"), cell.alias("cell"))
+
+
+def displaced_structures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's cubic cell with its atoms displaced by each step of a ladder."""
+    found = defects.displaced(_cubes(spark, sf_dir), generators.rattle_ladder(0.01, 0.25, 4), 1.9)
+    digest = F.md5(F.array_join(F.transform(F.flatten("positions"), lambda x: F.format_string("%.6f", x)), ","))
+    return found.select("structure_index", "rattle_index", F.round("rattle_std", 9).alias("rattle_std"), "moved", F.round("nearest", 6).alias("nearest"), digest.alias("positions_md5"))
+
+
+def interstitials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's cubic cell of eight atoms with each kind of defect; what was placed keeps its distance."""
+    bases = _cubes(spark, sf_dir)
     out = None
     for kind in defects.KINDS:
         gas = ["H", "He"] if kind.startswith("gas") else ["W", "Cr"]
         part = defects.with_defects(bases, kind, 2, gas, (0.1, 0.3))
         out = part if out is None else out.union(part)
-    return out.select("structure_index", "variant", "perturbation_type", F.size("symbols").alias("n_atoms"), "asked", "placed")
+    digest = F.md5(F.array_join(F.transform(F.flatten("positions"), lambda x: F.format_string("%.6f", x)), ","))
+    return out.select("structure_index", "variant", "perturbation_type", F.size("symbols").alias("n_atoms"), "asked", "placed", digest.alias("positions_md5"))
 
 
 _S = f"""WITH {ATOMS_SQL}, st AS (SELECT structure_index, list(element ORDER BY element) AS symbols FROM counts GROUP BY 1),
@@ -358,7 +371,7 @@ QUERIES = {
         elastic_structures, single_element_elastic, subset_compounds, gas_structures, symmetry_filter, space_group_names, pure_lattices, inherited_metadata, record_validation, position_matches,
         dft_ml_comparison, frames_of_atoms, scheduler_membership, element_union, distinct_bins, next_ids, seed_ids, composition_cap, latest_potential, first_lattice, unresolved_preview, anchor_union, perturbation_union,
         hash_annotation, potential_names, fraction_labels, bin_centres, min_max, virials, kpoint_meshes, kpoints_irreducible, elastic_records, elastic_scan_counters, elastic_cubic_paired, elastic_summary, binary_histogram,
-        random_solutions, solution_cap, interstitials, element_lists,
+        random_solutions, solution_cap, displaced_structures, interstitials, element_lists,
     )
 }
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferrolite.functions import structure as S
+from ferrolite.operators import defects
 from ferrolite.sources import structures as R
 
 SQUARE = ["x,y,z", "-x,-y,z", "1/2-y,1/2+x,1/2+z", "1/2+y,1/2-x,1/2+z", "1/2-x,1/2+y,1/2-z", "1/2+x,1/2-y,1/2-z", "y,x,-z", "-y,-x,-z"]
@@ -47,6 +48,29 @@ def test_known_crystals():
     assert R.parse_cif(cif((3, 3, 3, 90, 90, 90), ["x,y"], [("W", (0, 0, 0))]))[5] == ["symmetry operations can't be read"]
 
 
+def test_displaced_structures(spark):
+    """Draws are normal and the same in any order of rows; moves keep the distance, and atoms without room stay."""
+    cell = [[4.0, 0.0, 0.0], [0.0, 4.0, 0.0], [0.0, 0.5, 4.0]]
+    places = [[x, y, z] for x in (0.0, 2.0) for y in (0.0, 2.0) for z in (0.0, 2.0)]
+    rows = [(k, ["W"] * 8, places, cell) for k in range(60)] + [(90, ["W"], [[0.0] * 3], cell), (91, [], [], cell), (92, ["W"], [[0.0] * 3], [[0.0] * 3] * 3), (93, ["W"], [None], cell), (94, None, None, None)]
+    df = spark.createDataFrame(rows, "structure_index bigint, symbols array<string>, positions array<array<double>>, cell array<array<double>>")
+    read = lambda x: {(r["structure_index"], r["rattle_index"]): r for r in x.collect()}
+    got = read(defects.displaced(df, [0.02, 0.2], 1.9))
+    assert len(got) == 130 and got == read(defects.displaced(df.repartition(7), [0.02, 0.2], 1.9))
+    for (k, step), r in got.items():
+        if k >= 90:
+            assert r["nearest"] is None and r["moved"] == (1 if k == 90 else 0)
+            continue
+        p, inv = np.array(r["positions"]), np.linalg.inv(cell)
+        f = (p[:, None] - p[None]) @ inv
+        d = np.sqrt((((f - np.rint(f)) @ np.array(cell)) ** 2).sum(axis=2)) + 99 * np.eye(8)
+        assert r["nearest"] == pytest.approx(d.min()) and d.min() >= 1.9 - 1e-9 and (step or r["moved"] == 8)
+    assert sum(r["moved"] for (k, s), r in got.items() if s == 1 and k < 60) < 480  # there is no room for all
+    free = read(defects.displaced(df, [0.3], None))
+    d = np.concatenate([np.array(free[k, 0]["positions"]) - places for k in range(60)]).ravel()
+    assert abs(d.mean()) < 0.03 and abs(d.std() - 0.3) < 0.02
+
+
 HEX = [[1.0, 0.0, 0.0], [-0.5, 3**0.5 / 2, 0.0], [0.0, 0.0, 1.6]]
 CELLS = {
     "simple": ([[1.0, 0, 0], [0, 1, 0], [0, 0, 1]], 48, 10), "face": ([[0, 0.5, 0.5], [0.5, 0, 0.5], [0.5, 0.5, 0]], 48, 8), "body": ([[-0.5, 0.5, 0.5], [0.5, -0.5, 0.5], [0.5, 0.5, -0.5]], 48, 8),
