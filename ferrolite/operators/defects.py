@@ -141,6 +141,78 @@ def random_solutions(sites: DataFrame, counts: DataFrame, variants: int, seed: i
     return placed.join(blocks, "structure_index").select("structure_index", "variant", "site", element.alias("element"))
 
 
+def shell_counts(positions: np.ndarray, cell: np.ndarray, cutoff: float, tolerance: float = 1e-3) -> np.ndarray:
+    """(shells, n, n): how many images of atom j lie in each shell of equal distances around atom i, up to the cutoff."""
+    inverse = np.linalg.inv(cell)
+    reach = np.ceil(cutoff * np.sqrt((inverse**2).sum(axis=0))).astype(int)
+    f = positions @ inverse
+    apart = f[None] - f[:, None]
+    apart -= np.floor(apart)
+    found = []
+    for shift in np.ndindex(*(2 * reach + 2)):
+        d = np.sqrt((((apart + np.array(shift) - reach - 1) @ cell) ** 2).sum(axis=2))
+        i, j = np.nonzero((d <= cutoff) & (d > tolerance))
+        found.append(np.stack([d[i, j], i, j], axis=1))
+    every = np.concatenate(found)
+    every = every[np.argsort(every[:, 0], kind="stable")]
+    shell = np.cumsum(np.diff(every[:, 0], prepend=every[:1, 0]) > tolerance)
+    out = np.zeros((int(shell[-1]) + 1 if len(shell) else 0, len(positions), len(positions)), np.int64)
+    np.add.at(out, (shell, every[:, 1].astype(int), every[:, 2].astype(int)), 1)
+    return out
+
+
+def quasi_random(structures: DataFrame, cutoff: float = 6.0, steps: int = 5000, seed: int = 0) -> DataFrame:
+    """structure_index, symbols, before, after, swaps: each structure's elements put on its sites so that its pairs come as
+    often as at random.
+
+    ``structures`` (structure_index, symbols, positions, cell) have the composition already. For each shell of distances up
+    to ``cutoff`` the pairs of elements are compared with their expectation over all orders of the elements; the score is
+    the sum over shells of the summed differences over the shell's pairs. In each of ``steps`` two sites are drawn by a
+    hash, and their elements change places if that lowers the score. Structures of one element, flat cells and those
+    without pairs come back as they are.
+    """
+
+    def score(c: np.ndarray, e: np.ndarray, total: np.ndarray) -> float:
+        return float((np.abs(c - e).sum(axis=(1, 2)) / total).sum())
+
+    def arranged(index: int, symbols: list[str], positions: np.ndarray, cell: np.ndarray) -> tuple[list[str], float, float, int]:
+        names, kind = np.unique(symbols, return_inverse=True)
+        if len(names) < 2 or abs(np.linalg.det(cell)) < 1e-12:
+            return symbols, 0.0, 0.0, 0
+        s, n = shell_counts(positions, cell, cutoff), len(symbols)
+        if not len(s):
+            return symbols, 0.0, 0.0, 0
+        x = np.eye(len(names), dtype=np.int64)[kind]
+        own, total = np.trace(s, axis1=1, axis2=2), s.sum(axis=(1, 2))
+        each = x.sum(axis=0)
+        expected = (total - own)[:, None, None] * (np.outer(each, each) - np.diag(each)) / (n * (n - 1)) + own[:, None, None] * np.diag(each) / n
+        m = s @ x
+        c = x.T @ m
+        first = now = score(c, expected, total)
+        done = 0
+        for step in range(steps):
+            i, j = (draws(seed, index, "swap", step, n=2) * n).astype(int)
+            if kind[i] == kind[j]:
+                continue
+            d = x[[j, i]] - x[[i, j]]
+            half = np.einsum("ra,kri->kai", d, m[:, [i, j]])
+            changed = c + half + half.transpose(0, 2, 1) + np.einsum("ra,krs,sb->kab", d, s[:, [i, j]][:, :, [i, j]], d)
+            new = score(changed, expected, total)
+            if new < now - 1e-12:
+                m, c, now, done = m + s[:, :, [i, j]] @ d, changed, new, done + 1
+                kind[[i, j]], x[[i, j]] = kind[[j, i]], x[[j, i]]
+        return names[kind].tolist(), first, now, done
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(r["structure_index"], *arranged(r["structure_index"], r["symbols"], np.array(r["positions"], np.float64).reshape(-1, 3), np.array(r["cell"], np.float64))) for r in batch.to_pylist()]
+            kinds = (("structure_index", pa.int64()), ("symbols", pa.list_(pa.string())), ("before", pa.float64()), ("after", pa.float64()), ("swaps", pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(kinds)], names=[c for c, _ in kinds])
+
+    there = structures.where(F.col("symbols").isNotNull() & F.col("positions").isNotNull() & F.col("cell").isNotNull())
+    return there.select(F.col("structure_index").cast("bigint").alias("structure_index"), "symbols", "positions", "cell").mapInArrow(run, "structure_index bigint, symbols array<string>, before double, after double, swaps int")
+
+
 def first_of_composition(structures: DataFrame, n: int) -> DataFrame:
     """The first ``n`` (composition, lattice order, variant) of each composition: the cap counts over all lattices together."""
     w = Window.partitionBy("composition").orderBy("lattice", "variant")

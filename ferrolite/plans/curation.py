@@ -341,6 +341,15 @@ def displaced_structures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("structure_index", "rattle_index", F.round("rattle_std", 9).alias("rattle_std"), "moved", F.round("nearest", 6).alias("nearest"), digest.alias("positions_md5"))
 
 
+def quasi_random_structures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's cube with one to seven of its eight atoms of a second element, ordered as at random."""
+    bases = _cubes(spark, sf_dir)
+    second = F.col("structure_index") % 7 + 1
+    mixed = bases.withColumn("symbols", F.transform(F.sequence(F.lit(1), F.lit(8)), lambda k: F.when(k <= second, "Cr").otherwise("W")))
+    found = defects.quasi_random(mixed, 6.0, 200)
+    return found.select("structure_index", F.array_join("symbols", "").alias("order"), F.round("before", 9).alias("before"), F.round("after", 9).alias("after"), "swaps")
+
+
 def interstitials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every supplier's cubic cell of eight atoms with each kind of defect; what was placed keeps its distance."""
     bases = _cubes(spark, sf_dir)
@@ -371,7 +380,7 @@ QUERIES = {
         elastic_structures, single_element_elastic, subset_compounds, gas_structures, symmetry_filter, space_group_names, pure_lattices, inherited_metadata, record_validation, position_matches,
         dft_ml_comparison, frames_of_atoms, scheduler_membership, element_union, distinct_bins, next_ids, seed_ids, composition_cap, latest_potential, first_lattice, unresolved_preview, anchor_union, perturbation_union,
         hash_annotation, potential_names, fraction_labels, bin_centres, min_max, virials, kpoint_meshes, kpoints_irreducible, elastic_records, elastic_scan_counters, elastic_cubic_paired, elastic_summary, binary_histogram,
-        random_solutions, solution_cap, displaced_structures, interstitials, element_lists,
+        random_solutions, solution_cap, displaced_structures, quasi_random_structures, interstitials, element_lists,
     )
 }
 

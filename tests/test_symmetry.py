@@ -71,6 +71,40 @@ def test_displaced_structures(spark):
     assert abs(d.mean()) < 0.03 and abs(d.std() - 0.3) < 0.02
 
 
+def test_shells_of_a_cubic_cell():
+    """A simple cube of one atom: 6, 12, 8, 6 images in the first four shells, also in a doubled cell."""
+    one = defects.shell_counts(np.zeros((1, 3)), 3.0 * np.eye(3), 6.01)
+    assert one[:, 0, 0].tolist() == [6, 12, 8, 6]
+    places = np.array([[0, 0, 0], [3.0, 0, 0]])
+    two = defects.shell_counts(places, np.diag([6.0, 3.0, 3.0]), 6.01)
+    assert two.sum(axis=2).tolist() == [[6, 6], [12, 12], [8, 8], [6, 6]] and (two == two.transpose(0, 2, 1)).all()
+
+
+def test_quasi_random_structures(spark):
+    """Elements in halves of a box become mixed; counts stay, and the score is the one of a plain count of pairs."""
+    places = [[2.0 * x, 2.0 * y, 2.0 * z] for x in range(4) for y in range(4) for z in range(2)]
+    cell = [[8.0, 0.0, 0.0], [0.0, 8.0, 0.0], [0.0, 0.0, 4.0]]
+    halves = ["W"] * 16 + ["Cr"] * 10 + ["Y"] * 6
+    df = spark.createDataFrame([(1, halves, places, cell), (2, ["W"] * 32, places, cell), (3, halves, places, [[0.0] * 3] * 3), (4, None, places, cell)], "structure_index bigint, symbols array<string>, positions array<array<double>>, cell array<array<double>>")
+    got = {r["structure_index"]: r for r in defects.quasi_random(df, 3.0, 400).collect()}
+    assert set(got) == {1, 2, 3} and got[2]["swaps"] == got[3]["swaps"] == 0 and got[3]["symbols"] == halves
+    r = got[1]
+    assert sorted(r["symbols"]) == sorted(halves) and r["after"] < 0.4 * r["before"] and r["swaps"] > 3
+
+    def plain(symbols):
+        s, n, out = defects.shell_counts(np.array(places), np.array(cell), 3.0), len(symbols), 0.0
+        for shell in s:
+            for a in set(symbols):
+                for b in set(symbols):
+                    na, nb, same = symbols.count(a), symbols.count(b), a == b
+                    mine = sum(int(shell[i, j]) for i in range(n) for j in range(n) if symbols[i] == a and symbols[j] == b)
+                    want = (shell.sum() - np.trace(shell)) * (na * nb - same * na) / (n * (n - 1)) + np.trace(shell) * same * na / n
+                    out += abs(mine - want) / shell.sum()
+        return out
+
+    assert plain(halves) == pytest.approx(r["before"]) and plain(r["symbols"]) == pytest.approx(r["after"])
+
+
 HEX = [[1.0, 0.0, 0.0], [-0.5, 3**0.5 / 2, 0.0], [0.0, 0.0, 1.6]]
 CELLS = {
     "simple": ([[1.0, 0, 0], [0, 1, 0], [0, 0, 1]], 48, 10), "face": ([[0, 0.5, 0.5], [0.5, 0, 0.5], [0.5, 0.5, 0]], 48, 8), "body": ([[-0.5, 0.5, 0.5], [0.5, -0.5, 0.5], [0.5, 0.5, -0.5]], 48, 8),
