@@ -8,9 +8,10 @@
 3. A tile has the nodes with one prefix shingle whose sizes lie in one band or the one below; sizes of linked sets lie
    in one band or in neighbouring ones. Each tile links its nodes to its smallest one first. Bit counts of the two bitmaps
    bound the overlap from above; pairs whose bound is high enough are confirmed by the exact intersection of sorted arrays.
-4. Tiles that still hold several components are compared in blocks, across components only. Of the pairs that the bound
-   lets through, those that would join what is apart go first; if a confirmed set shows one of them to be none, all
-   others of such tiles are confirmed as well. So no tile is cut short, and none is expanded into all its links.
+4. Tiles that still hold several components are compared in blocks, across components only; of the pairs that the bound
+   lets through, those that join what is apart make families, in which all links that are missing lie. Families are
+   tiled by bands again, now with the sets themselves: wider bitmaps, then exact intersections, across components only.
+   So no tile is cut short, and none is expanded into all its links.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ WIDTH = 3
 LEAST_BITS, MOST_BITS = 64, 1 << 15
 #: Prefixes that a shingle may be in before it is a frequent one; frequent ones are HOT_MOST at most (8 bytes each).
 HOT_FROM, HOT_MOST = 256, 1 << 20
-#: Nodes of one block of a tile.
-BLOCK = 2048
+#: Nodes of one block of a tile, with bitmaps and with whole sets.
+BLOCK, SET_BLOCK = 2048, 512
 #: Pairs that one copy of a node's text serves, and nodes up to which their keys are broadcast.
 COPY_PAIRS, BROADCAST_ROWS = 4096, 200_000
 
@@ -180,73 +181,220 @@ def enough(bound: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     return F.lit(100) * bound >= F.lit(percent) * (n_a + n_b - bound)
 
 
-def _across(percent: int, every: bool) -> Callable:
-    """Over rows sorted by (tile, i, j): pairs of nodes of different components whose overlap can be enough.
+class _Union:
+    """Which of a tile's nodes are taken to be joined, by their components' numbers."""
 
-    Unless ``every`` is asked for, a pair goes only if pairs before it in the same tile would not have joined its nodes.
-    Pairs of two nodes of the lower band are left to the tile in which this is the upper one.
-    """
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
 
-    def compare(node, comp, guest, n, maps, left, right) -> Iterator[tuple[int, int]]:
-        width = min(len(m) for m in maps)
-        folded = np.array([np.bitwise_or.reduce(m.reshape(-1, width), axis=0) for m in maps])
-        comp = np.unique(comp, return_inverse=True)[1]
-        rows, cols = np.flatnonzero(left), np.flatnonzero(right)
-        for r in rows.tolist():
-            there = cols[(comp[cols] != comp[r]) & ~(guest[cols] & guest[r]) & (np.minimum(n[cols], n[r]) * 100 >= percent * np.maximum(n[cols], n[r]))]
-            if not len(there):
-                continue
-            x, y = folded[there], folded[r]
-            bound = np.minimum(n[there] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), n[r] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
-            there = there[100 * bound >= percent * (n[there] + n[r] - bound)]
-            if every:
-                yield from ((int(node[r]), int(c)) for c in node[there])
-                continue
-            for c in there.tolist():
-                if comp[c] != comp[r]:
-                    yield int(node[r]), int(node[c])
-                    comp[comp == comp[c]] = comp[r]
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[x] = y
+        return x != y
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
 
-        def done() -> list[tuple[int, int]]:
-            if len(held) < 2:
-                return []
-            node, comp, guest, n, maps, blk = zip(*held, strict=True)
-            blk = np.array(blk)
-            i, j = key[1], key[2]
-            found = compare(np.array(node), np.array(comp), np.array(guest), np.array(n), maps, blk == i, blk == j)
-            return [(min(p), max(p)) for p in found]
+_PAIR = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
-        def batch_of(rows: set[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in sorted(rows)], pa.int64()) for c in range(2)], schema=schema)
 
+def _by_tile(compare: Callable[[list[np.ndarray], dict[str, np.ndarray], np.ndarray], list[tuple[int, int]]], lists: str):
+    """Hands whole tiles of rows sorted by (tile, i, j) on: their bounds, the columns and the edges of the column ``lists``."""
+    names = ("tile", "i", "j", "node", "component", "guest", "n", "blk")
+
+    def tiles(table: pa.RecordBatch, ends: bool) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+        """Rows of tiles that are complete, and the rest."""
+        keys = [table.column(c).to_numpy() for c in names[:3]]
+        last = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) if len(table) else []
+        cut = len(table) if ends else int(last[-1]) + 1 if len(last) else 0
+        return table.slice(0, cut), table.slice(cut)
+
+    def found(table: pa.RecordBatch) -> pa.RecordBatch:
+        columns = {c: table.column(c).to_numpy(zero_copy_only=False) for c in names}
+        column = table.column(lists)
+        values, edges = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy().astype(np.int64)
+        keys = [columns[c] for c in names[:3]]
+        starts = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])) if len(table) else np.zeros(0, np.int64)
+        pairs = sorted(set(compare(np.append(starts, len(table)), columns, values, edges)))
+        return pa.RecordBatch.from_arrays([pa.array([p[c] for p in pairs], pa.int64()) for c in range(2)], schema=_PAIR)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
         for batch in batches:
-            lists = batch.column("bitmap")
-            values, edges = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
-            columns = [batch.column(c).to_pylist() for c in ("tile", "i", "j", "node", "component", "guest", "n", "blk")]
-            out: set[tuple[int, int]] = set()
-            for k, (tile, i, j, node, comp, guest, n, blk) in enumerate(zip(*columns, strict=True)):
-                if (tile, i, j) != key:
-                    out.update(done())
-                    key, held = (tile, i, j), []
-                held.append((node, comp, guest, n, values[edges[k] : edges[k + 1]].copy(), blk))
-            yield batch_of(out)
-        yield batch_of(set(done()))
+            if not len(batch):
+                continue
+            done, left = tiles(batch, False)
+            if not len(done):
+                rest.append(batch)
+                continue
+            yield found(pa.concat_batches([*rest, done]))
+            rest = [pa.concat_batches([left])] if len(left) else []
+        if rest:
+            yield found(pa.concat_batches(rest))
 
     return run
 
 
-def _mixed(rest: DataFrame, reps: DataFrame, percent: int, every: bool) -> DataFrame:
-    """Pairs across components within tiles (``rest``: tile, node, guest, n, component, and the tile's ``nodes``)."""
-    blocks = F.ceil(F.col("nodes") / F.lit(BLOCK)).cast("int")
+def _alone(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x & ~y).sum(axis=-1, dtype=np.int64)
+
+
+def _bound(n: np.ndarray, x: np.ndarray, m: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``overlap_bound`` of rows of bitmaps of one width."""
+    return np.minimum(n - _alone(x, y), m - _alone(y, x))
+
+
+def _near(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether two sets of these sizes can be linked."""
+    return np.minimum(n, m) * 100 >= percent * np.maximum(n, m)
+
+
+#: Nodes of a tile up to which all its pairs are laid out at once.
+FEW = 48
+
+
+def _candidates(percent: int):
+    """For every tile pairs of nodes of different components whose overlap can be enough, one only if the pairs before it
+    do not join its nodes. Pairs of two nodes of the lower band are left to the tile in which this is the upper one."""
+
+    def compare(bounds: np.ndarray, c: dict[str, np.ndarray], values: np.ndarray, edges: np.ndarray) -> list[tuple[int, int]]:
+        sizes = np.diff(bounds)
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for size in np.unique(sizes[(sizes > 1) & (sizes <= FEW)]).tolist():
+            one, two = np.triu_indices(size, 1)
+            first = bounds[:-1][sizes == size]
+            left.append((first[:, None] + one).ravel())
+            right.append((first[:, None] + two).ravel())
+        hits = _passing(np.concatenate(left), np.concatenate(right), c, values, edges, percent)
+        out = []
+        for k in np.flatnonzero(sizes > FEW).tolist():
+            out += _forest(np.arange(bounds[k], bounds[k + 1]), c, values, edges, percent)
+        unions: dict[int, _Union] = {}
+        tile_of = np.searchsorted(bounds, [a for a, _ in hits], side="right") if hits else []
+        for t, (a, b) in zip(tile_of, hits, strict=True):
+            if unions.setdefault(int(t), _Union()).join(int(c["component"][a]), int(c["component"][b])):
+                u, v = int(c["node"][a]), int(c["node"][b])
+                out.append((min(u, v), max(u, v)))
+        return out
+
+    return compare
+
+
+def _forest(rows: np.ndarray, c: dict[str, np.ndarray], values: np.ndarray, edges: np.ndarray, percent: int, sets: bool = False) -> list[tuple[int, int]]:
+    """Of one large tile's rows: pairs across components that can be linked, each joining what those before it leave apart.
+
+    The lists are bitmaps, or else sets: then bitmaps of 16 bits for each element are made of them, and what these let
+    through is confirmed by the intersection of the sorted arrays. Joined rows are compared with each other no more.
+    """
+    n, guest, blk = (c[k][rows] for k in ("n", "guest", "blk"))
+    i, j = c["i"][rows[0]], c["j"][rows[0]]
+    own = [values[edges[r] : edges[r + 1]] for r in rows.tolist()]
+    if sets:
+        width = min(1 << max(6, int(16 * n.max()).bit_length()), MOST_BITS * 16)
+        maps = np.zeros((len(rows), width // 64), np.uint64)
+        for k, s in enumerate(own):
+            bit = np.zeros(width, np.uint8)
+            bit[(s & np.uint64(width - 1)).astype(np.int64)] = 1
+            maps[k] = np.packbits(bit, bitorder="little").view(np.uint64)
+    else:
+        width = min(len(s) for s in own)
+        maps = np.array([np.bitwise_or.reduce(s.reshape(-1, width), axis=0) for s in own])
+    comp = np.unique(c["component"][rows], return_inverse=True)[1]
+    step = max(1, (1 << 20) // maps.shape[1])
+    cols, out = np.flatnonzero(blk == j), []
+    for r in np.flatnonzero(blk == i).tolist():
+        there = cols[(comp[cols] != comp[r]) & ~(guest[cols] & guest[r]) & _near(n[cols], n[r], percent)]
+        if i == j:
+            there = there[there > r]
+        for at in range(0, len(there), step):
+            some = there[at : at + step]
+            bound = _bound(n[some], maps[some], n[r], maps[r])
+            some = some[100 * bound >= percent * (n[some] + n[r] - bound)]
+            while len(some := some[comp[some] != comp[r]]):
+                k, some = int(some[0]), some[1:]
+                if sets:
+                    both = len(np.intersect1d(own[r], own[k], assume_unique=True))
+                    if 100 * both < percent * (n[r] + n[k] - both):
+                        continue
+                u, v = int(c["node"][rows[r]]), int(c["node"][rows[k]])
+                out.append((min(u, v), max(u, v)))
+                comp[comp == comp[k]] = comp[r]
+    return out
+
+
+def _passing(left: np.ndarray, right: np.ndarray, c: dict[str, np.ndarray], values: np.ndarray, edges: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Of pairs of rows those of different blocks of their tile, or of its one block, that can be linked."""
+    if not len(left):
+        return []
+    i, j, blk = c["i"][left], c["j"][left], c["blk"]
+    apart = (i == j) | (blk[left] != blk[right])
+    ok = apart & (c["component"][left] != c["component"][right]) & ~(c["guest"][left] & c["guest"][right]) & _near(c["n"][left], c["n"][right], percent)
+    left, right = left[ok], right[ok]
+    widths = np.diff(edges)
+    out: list[tuple[int, int]] = []
+    both = widths[left] * (1 << 32) + widths[right]
+    for key in np.unique(both).tolist():
+        w, z = key >> 32, key & (2**32 - 1)
+        width = min(w, z)
+        for at in range(0, len(here := np.flatnonzero(both == key)), step := max(1, (1 << 18) // width)):
+            a, b = left[here[at : at + step]], right[here[at : at + step]]
+            x = np.bitwise_or.reduce(values[edges[a][:, None] + np.arange(w)].reshape(len(a), -1, width), axis=1)
+            y = np.bitwise_or.reduce(values[edges[b][:, None] + np.arange(z)].reshape(len(b), -1, width), axis=1)
+            bound = _bound(c["n"][a], x, c["n"][b], y)
+            fit = 100 * bound >= percent * (c["n"][a] + c["n"][b] - bound)
+            out += zip(a[fit].tolist(), b[fit].tolist(), strict=True)
+    return out
+
+
+def _linked(percent: int):
+    """For every tile links between nodes of different components, as many as join what belongs together; the lists are sets."""
+
+    def compare(bounds: np.ndarray, c: dict[str, np.ndarray], values: np.ndarray, edges: np.ndarray) -> list[tuple[int, int]]:
+        tiles = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+        return [pair for a, b in tiles for pair in _forest(np.arange(a, b), c, values, edges, percent, True)]
+
+    return compare
+
+
+def _dealt(rows: DataFrame, lists: str, block: int) -> DataFrame:
+    """Tiles (tile, node, component, guest, n, ``lists`` and the tile's ``nodes``) cut into pairs of blocks (i, j)."""
+    blocks = F.ceil(F.col("nodes") / F.lit(block)).cast("int")
     blk = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    rows = rest.join(reps.select("node", "bitmap"), "node").withColumn("blk", blk).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("tile", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "node", "component", "guest", "n", "blk", "bitmap")
+    rows = rows.withColumn("blk", blk).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("tile", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "node", "component", "guest", "n", "blk", lists)
     keys = ["tile", "i", "j"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(_across(percent, every), "u bigint, v bigint").distinct()
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "node")
+
+
+def _mixed(tiles: DataFrame, reached: DataFrame) -> DataFrame:
+    """tile, node, guest, n, component, nodes of the tiles (tile, node, guest, n) whose nodes are in several components."""
+    placed = tiles.select("tile", "node", "guest", F.col("n").alias("size")).join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = placed.groupBy("tile").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b").select("tile", "n")
+    return spread_join(placed, stash(several), "tile").withColumnRenamed("n", "nodes").withColumnRenamed("size", "n")
+
+
+def _banded(rows: DataFrame, percent: int, *key: str) -> DataFrame:
+    """A row for the tile of its band and one, as a guest, for the next band's. A band is a little wider than the ratio of
+    linked sizes, so that rounding moves no link beyond the next band."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent / 100 - 0.01))).cast("bigint")
+    return rows.withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.xxhash64(*key, band + F.col("up")).alias("tile"), "node", "n", (F.col("up") == 1).alias("guest"))
+
+
+_SET_DDL = "node bigint, set array<bigint>"
+
+
+def _sets_of(width: int):
+    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in slices(as_text(batch.column("text")), TEXT_PASS):
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(at, len(texts)), _lists(list(sets(texts, width)))], schema=schema)
+
+    return run
 
 
 def join(docs: DataFrame, percent: int = 90, width: int = WIDTH, hot_from: int = HOT_FROM) -> DataFrame:
@@ -287,11 +435,9 @@ def join(docs: DataFrame, percent: int = 90, width: int = WIDTH, hot_from: int =
         keyed = stash(keyed.join(touched, "node", "left_anti").union(changed))
         counts = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
 
-    # Tiles: a node is at home in the tile of its band, and a guest in the next one's. A band is a little wider than the
-    # ratio of linked sizes, so that rounding moves no link beyond the next band.
+    # Tiles: a node is at home in the tile of its band, and a guest in the next one's.
     shared = spread_join(keyed, counts, "key").drop("n").join(reps.select("node", "n"), "node")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent / 100 - 0.01))).cast("bigint")
-    tiles = shared.withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.xxhash64("key", band + F.col("up")).alias("tile"), "node", "n", (F.col("up") == 1).alias("guest"))
+    tiles = _banded(shared, percent, "key")
     pivots = stash(tiles.groupBy("tile").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")).where("last > pivot").drop("last"))
     tiles = stash(spread_join(tiles.withColumnRenamed("n", "size"), pivots, "tile").withColumnRenamed("n", "nodes").withColumnRenamed("size", "n"))
 
@@ -303,20 +449,21 @@ def join(docs: DataFrame, percent: int = 90, width: int = WIDTH, hot_from: int =
     links = confirmed(stash(stars.select("u", "v")), nodes, rows, percent, width)
     reached = components(links)
 
-    for every in (False, True):
-        placed = tiles.select("tile", "node", "guest", "n").join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = placed.groupBy("tile").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("nodes")).where("a <> b").select("tile", F.col("nodes").alias("n"))
-        rest = stash(spread_join(placed.withColumnRenamed("n", "size"), stash(mixed), "tile").withColumnRenamed("n", "nodes").withColumnRenamed("size", "n"))
-        found = _mixed(rest, reps, percent, every)
-        pairs = stash(found.join(pairs, ["u", "v"], "left_anti") if every else found)
-        asked = pairs.count()
-        if not asked:
-            break
-        more = confirmed(pairs, nodes, rows, percent, width)
-        links, held = links.union(more), more.count()
-        reached = components(links) if held else reached
-        if held == asked:  # whatever was taken to be joined is
-            break
+    # What is left: tiles with nodes of several components. Pairs that bounds let through make families, which hold all
+    # links that are missing yet; there sets themselves are compared, each node's once for each block and band.
+    rest = _mixed(tiles, reached).join(reps.select("node", "bitmap"), "node")
+    pairs = stash(_dealt(rest, "bitmap", BLOCK).mapInArrow(_by_tile(_candidates(percent), "bitmap"), "u bigint, v bigint").distinct())
+    if pairs.take(1):
+        families = components(links.union(pairs)).withColumnRenamed("component", "family")
+        open_ = families.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        several = stash(open_.groupBy("family").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b").select("family", "n"))
+        mine = stash(spread_join(open_.select("node", "family"), several, "family").drop("n").join(reps.select("node", "n"), "node"))
+        banded = _banded(mine, percent, "family")
+        pivoted = stash(banded.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        banded = stash(spread_join(banded.withColumnRenamed("n", "size"), pivoted, "tile").drop("n").withColumnRenamed("size", "n"))
+        wanted = stash(_texts_of(mine, nodes, rows).mapInArrow(_sets_of(width), _SET_DDL))
+        more = _dealt(_mixed(banded, reached).join(wanted, "node"), "set", SET_BLOCK).mapInArrow(_by_tile(_linked(percent), "set"), "u bigint, v bigint").distinct()
+        reached = components(links.union(stash(more)))
 
     place = nodes.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = place.groupBy("component").agg(F.min("doc_id").alias("component_id"))

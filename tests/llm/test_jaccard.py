@@ -80,6 +80,8 @@ def families(seed):
 @pytest.mark.parametrize("seed, block, hot, copies", [(0, 2048, 256, 4096), (1, 5, 4, 2), (2, 3, 1, 3)])
 def test_families_and_frequent_shingles(spark, monkeypatch, seed, block, hot, copies):
     monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "SET_BLOCK", block)
+    monkeypatch.setattr(J, "FEW", 48 if block > 4 else 4)
     monkeypatch.setattr(J, "COPY_PAIRS", copies)
     rows = families(seed)
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
