@@ -380,7 +380,9 @@ def _banded(rows: DataFrame, percent: int, *key: str) -> DataFrame:
     """A row for the tile of its band and one, as a guest, for the next band's. A band is a little wider than the ratio of
     linked sizes, so that rounding moves no link beyond the next band."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent / 100 - 0.01))).cast("bigint")
-    return rows.withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.xxhash64(*key, band + F.col("up")).alias("tile"), "node", "n", (F.col("up") == 1).alias("guest"))
+    return rows.withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+        F.xxhash64(*key, band + F.col("up")).alias("tile"), "node", "n", (F.col("up") == 1).alias("guest"), *[c for c in rows.columns if c not in ("node", "n", *key)]
+    )
 
 
 _SET_DDL = "node bigint, set array<bigint>"
@@ -423,7 +425,7 @@ def join(docs: DataFrame, percent: int = 90, width: int = WIDTH, hot_from: int =
     reps = stash(reps.select("node", F.col("n"), "bitmap", "prefix"))
 
     # Frequent shingles come last in the order of every document.
-    keyed = reps.select("node", F.explode("prefix").alias("key"))
+    keyed = reps.select("node", F.posexplode("prefix").alias("at", "key"))
     counts = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
     hot = counts.where(F.col("n") > max(hot_from, total // HOT_MOST)).select("key")
@@ -431,14 +433,17 @@ def join(docs: DataFrame, percent: int = 90, width: int = WIDTH, hot_from: int =
     if frequent:
         touched = stash(keyed.join(F.broadcast(hot), "key", "left_semi").select("node").distinct())
         changed = _texts_of(touched, nodes, rows).mapInArrow(_again(percent, width, frequent), "node bigint, prefix array<bigint>")
-        changed = stash(changed.select("node", F.explode("prefix").alias("key")))
+        changed = stash(changed.select("node", F.posexplode("prefix").alias("at", "key")))
         keyed = stash(keyed.join(touched, "node", "left_anti").union(changed))
         counts = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
 
-    # Tiles: a node is at home in the tile of its band, and a guest in the next one's.
+    # Tiles: a node is at home in the tile of its band, and a guest in the next one's. A guest is the smaller of two sets,
+    # which share so much of it that a shorter prefix does; tiles without a node at home have nothing to compare.
     shared = spread_join(keyed, counts, "key").drop("n").join(reps.select("node", "n"), "node")
-    tiles = _banded(shared, percent, "key")
-    pivots = stash(tiles.groupBy("tile").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")).where("last > pivot").drop("last"))
+    least_shared = F.call_function("div", 2 * percent * F.col("n") + (99 + percent), F.lit(100 + percent).cast("bigint"))
+    tiles = _banded(shared, percent, "key").where(~F.col("guest") | (F.col("at") <= F.col("n") - least_shared)).drop("at")
+    pivots = tiles.groupBy("tile").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n"), F.max(~F.col("guest")).alias("home"))
+    pivots = stash(pivots.where("last > pivot and home").drop("last", "home"))
     tiles = stash(spread_join(tiles.withColumnRenamed("n", "size"), pivots, "tile").withColumnRenamed("n", "nodes").withColumnRenamed("size", "n"))
 
     stars = tiles.where("node > pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
@@ -459,7 +464,7 @@ def join(docs: DataFrame, percent: int = 90, width: int = WIDTH, hot_from: int =
         several = stash(open_.groupBy("family").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b").select("family", "n"))
         mine = stash(spread_join(open_.select("node", "family"), several, "family").drop("n").join(reps.select("node", "n"), "node"))
         banded = _banded(mine, percent, "family")
-        pivoted = stash(banded.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        pivoted = stash(banded.groupBy("tile").agg(F.count(F.lit(1)).alias("n"), F.max(~F.col("guest")).alias("home")).where("n > 1 and home").drop("home"))
         banded = stash(spread_join(banded.withColumnRenamed("n", "size"), pivoted, "tile").drop("n").withColumnRenamed("size", "n"))
         wanted = stash(_texts_of(mine, nodes, rows).mapInArrow(_sets_of(width), _SET_DDL))
         more = _dealt(_mixed(banded, reached).join(wanted, "node"), "set", SET_BLOCK).mapInArrow(_by_tile(_linked(percent), "set"), "u bigint, v bigint").distinct()
