@@ -139,7 +139,12 @@ def nearest(probe: DataFrame, build: DataFrame, itself: bool = False, block: int
     n, m = left.count(), right.count()
     block = max(block, -(-max(n, m) // BLOCKS))
     found = None
-    if n and m:
+    if n and m and max(n, m) <= block:  # one block of each: nothing to rule out
+        grid = nearest_by_grid(left, right, itself, block)
+        found = grid.select("id", F.array("distance", "positive_distance").alias("d"))
+        if report is not None:
+            report |= {"block_pairs": 1, "visited": 1}
+    elif n and m:
         wanted = min(PIVOTS, 2 * -(-m // block)) if m > block else 1
         pivots = np.array([r["v"] for r in right.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()], np.float64)
         mine, theirs = _placed(left, pivots, n, block), None
