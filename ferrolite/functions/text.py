@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ def _some(text: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
 
 
+def once(value: Column, made: Callable[[Column], Column]) -> Column:
+    """``made`` of ``value``, which is worked out a single time however often ``made`` names it."""
+    return F.get(F.transform(F.array(value), made), F.lit(0))
+
+
 def loop_times(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(LOOP), F.lit(1)), lambda x: x.cast("double"))
 
@@ -110,19 +117,26 @@ def overridden(text: Column, values: list[tuple[str, str]]) -> Column:
 def settings_map(text: Column) -> Column:
     """KEY to value; # and ! begin comments, keys in upper case, the last setting of a key wins."""
     lines = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, r"[#!].*$", ""))
-    pairs = F.transform(F.filter(lines, lambda x: x.contains("=")), lambda x: F.struct(F.upper(F.trim(F.split(x, "=", 2)[0])).alias("key"), F.trim(F.split(x, "=", 2)[1]).alias("value")))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0))), lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(last)
+    halves = F.transform(F.filter(lines, lambda x: x.contains("=")), lambda x: F.split(x, "=", 2))
+    pairs = F.array_sort(F.transform(halves, lambda h, i: F.struct(F.upper(F.trim(h[0])).alias("key"), i.alias("at"), F.trim(h[1]).alias("value"))))
+    # In the order of keys and lines the last setting of a key is the one before another key.
+    last = once(pairs, lambda s: F.filter(s, lambda p, i: F.coalesce(F.get(s, i + 1)["key"] != p["key"], F.lit(True))))
+    listed = F.array_sort(F.transform(last, lambda p: F.struct(p["at"].alias("at"), p["key"].alias("key"), p["value"].alias("value"))))
+    return F.map_from_entries(F.transform(listed, lambda p: F.struct(p["key"].alias("key"), p["value"].alias("value"))))
 
 
 def lint(settings: Column) -> Column:
     """Warnings about settings that do not suit stress calculations at fixed cells."""
-    nsw, ibrion, isif, isym = [F.try_element_at(settings, F.lit(k)).try_cast("int") for k in ("NSW", "IBRION", "ISIF", "ISYM")]
-    return F.array_compact(
-        F.array(
-            F.when(nsw > 0, "NSW > 0: ions move"), F.when(ibrion != -1, "IBRION is not -1"), F.when(isif >= 3, "ISIF >= 3: the cell relaxes").when(isif < 2, "ISIF < 2: no stress"), F.when(isym != 0, "ISYM is not 0"),
-        )
-    )
+
+    def warnings(found: Column) -> Column:
+        nsw, ibrion, isif, isym = [F.try_element_at(found, F.lit(k)).try_cast("int") for k in ("NSW", "IBRION", "ISIF", "ISYM")]
+        return F.array_compact(
+            F.array(
+                F.when(nsw > 0, "NSW > 0: ions move"), F.when(ibrion != -1, "IBRION is not -1"), F.when(isif >= 3, "ISIF >= 3: the cell relaxes").when(isif < 2, "ISIF < 2: no stress"), F.when(isym != 0, "ISYM is not 0"),
+            )
+        )
+
+    return once(settings, warnings)
 
 
 def error_class(log: Column) -> Column:
