@@ -82,36 +82,82 @@ def line_distances(pairs: DataFrame, parts: int = LINE_PARTS) -> DataFrame:
     return _spread(near.withColumn("d", F.when(F.col("n") > 1, F.lit(0.0)).otherwise(gap)), ["a", "b"])
 
 
-#: Different points of a subset that meet in one task at most (of either side).
-BLOCK = 4096
+#: Different points of a tile at most, and points that a tile of the first grid has on average.
+BLOCK, SPARSE = 1024, 256
 
 
-def plane_distances(triples: DataFrame) -> DataFrame:
+def _tiles(points: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """``points`` (keys, x, y of [0, 1], n) with their cell (w wide, gx, gy) of the subset's first grid and their ``tile`` in it.
+
+    The grid has as many cells as the subset's number of points asks for; a cell that holds more than ``block`` of them is
+    cut into eight by eight, and so on, so that points that crowd do not share a tile.
+    """
+    sizes = points.groupBy(*keys).agg(F.greatest(F.lit(1.0), F.ceil(F.sqrt(F.count(F.lit(1)) / min(SPARSE, block)))).cast("double").alias("g"))
+    found = points.join(sizes, keys).withColumn("w", 1 / F.col("g")).withColumn("gx", F.floor(F.col("x") / F.col("w"))).withColumn("gy", F.floor(F.col("y") / F.col("w")))
+    placed = stash(found.select(*points.columns, "w", "gx", "gy", F.xxhash64("gx", "gy").alias("tile"), F.col("w").alias("side")))
+    while True:
+        full = stash(placed.groupBy(*keys, "tile").agg(F.count(F.lit(1)).alias("held"), F.min("side").alias("least")).where((F.col("held") > block) & (F.col("least") > 1e-15)).select(*keys, "tile", F.lit(True).alias("full")))
+        if not full.take(1):
+            return placed
+        part = F.col("side") / 8
+        marked = placed.join(full, [*keys, "tile"], "left").withColumn("tile", F.when(F.col("full"), F.xxhash64("tile", F.floor(F.col("x") / part), F.floor(F.col("y") / part))).otherwise(F.col("tile")))
+        placed = stash(marked.withColumn("side", F.when(F.col("full"), part).otherwise(F.col("side"))).select(placed.columns))
+
+
+def _apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The distance of each of ``p`` to the nearest of ``q`` that is another point; infinite without any."""
+    d = np.empty(len(p))
+    for k in range(len(p)):
+        apart = np.sqrt(((q - p[k]) ** 2).sum(axis=1))
+        d[k] = apart[apart > 0].min(initial=np.inf)
+    return d
+
+
+def plane_distances(triples: DataFrame, block: int = BLOCK) -> DataFrame:
     """a, b, c, n, nn_mean, nn_p95: distance of each structure's point in the triangle to the nearest other one's.
 
-    Equal points are one row with a count first, at distance 0. The different points of a subset meet in blocks, so that
-    no subset is gathered in one task. Null for a subset with a single structure.
+    Equal points are one row with a count first, at distance 0. The others look for their nearest in their own tile, and
+    those that a nearer one may await elsewhere visit the tiles within the distance that they have found by then: a
+    point is moved some few times, however many there are. Null for a subset with a single structure.
     """
     keys, s = ["a", "b", "c"], F.col("n_a") + F.col("n_b") + F.col("n_c")
     x, y = cartesian(F.col("n_b") / s, F.col("n_c") / s)
     points = stash(triples.select(*keys, x.alias("x"), y.alias("y")).groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("n")))
-    blocks = points.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
-    placed = points.join(blocks, keys).withColumn("i", F.pmod(F.xxhash64("x", "y"), F.col("nb")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
-    left, right = placed.select(*keys, "x", "y", "i", other.alias("j")), placed.toDF(*placed.columns).select(*keys, "x", "y", F.col("i").alias("j"), other.alias("i"))
-
-    def near(key: tuple, mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        p, q = mine[["x", "y"]].to_numpy(), theirs[["x", "y"]].to_numpy()
-        d = np.empty(len(p))
-        for k in range(len(p)):
-            apart = np.sqrt(((q - p[k]) ** 2).sum(axis=1))
-            d[k] = apart[apart > 0].min(initial=np.inf)
-        return pd.DataFrame({"a": key[0], "b": key[1], "c": key[2], "x": p[:, 0], "y": p[:, 1], "d": d})
+    placed = _tiles(points, keys, block)
+
+    def near(pdf: pd.DataFrame) -> pd.DataFrame:
+        p = pdf[["x", "y"]].to_numpy()
+        return pdf.assign(d=_apart(p, p))
+
+    # A point that occurs more than once is at distance 0 and looks for nothing.
+    home = stash(placed.groupBy(*keys, "tile").applyInPandas(near, ", ".join(f"{c} {t}" for c, t in placed.dtypes) + ", d double"))
+    ends = [f(c).alias(f"{c}{k}") for c in "xy" for k, f in ((0, F.min), (1, F.max))]
+    outlines = stash(home.groupBy(*keys, "tile").agg(F.first("gx").alias("gx"), F.first("gy").alias("gy"), *ends))
+    low, high, w = F.col("d") * (1 + 1e-9), F.col("d"), F.col("w")
+    asking = home.where("n = 1").select(*keys, "x", "y", "d", "w", "tile")
+    # Distances to the nearest and the farthest place of an outline.
+    sides = [F.greatest(F.col(f"{c}0") - F.col(c), F.col(c) - F.col(f"{c}1"), F.lit(0.0)) for c in "xy"]
+    spans = [F.greatest(F.abs(F.col(f"{c}0") - F.col(c)), F.abs(F.col(f"{c}1") - F.col(c))) for c in "xy"]
+    inside, reach = F.sqrt(sides[0] * sides[0] + sides[1] * sides[1]), F.sqrt(spans[0] * spans[0] + spans[1] * spans[1])
+    theirs = outlines.withColumnRenamed("tile", "other")
+    # Those with a neighbour within a cell's width meet the cells around them, the few others all outlines of their subset.
+    cells = [F.sequence(F.floor((F.col(c) - low) / w), F.floor((F.col(c) + low) / w)) for c in "xy"]
+    around = asking.where(high <= w).withColumn("gx", F.explode(cells[0])).withColumn("gy", F.explode(cells[1])).join(theirs, [*keys, "gx", "gy"])
+    lone = asking.where(high > w)
+    bound = lone.toDF(*lone.columns).join(theirs.toDF(*theirs.columns), keys).where("other <> tile").groupBy(*keys, "x", "y").agg(F.min(reach).alias("most"))
+    alone = lone.join(bound, [*keys, "x", "y"]).withColumn("d", F.least("d", F.col("most") * (1 + 1e-9))).join(theirs, keys)
+    columns = [*keys, F.col("other").alias("tile"), "x", "y"]
+    visits = [v.where((F.col("other") != F.col("tile")) & (inside <= low)).select(*columns) for v in (around, alone)]
+
+    def visit(key: tuple, mine: pd.DataFrame, guests: pd.DataFrame) -> pd.DataFrame:
+        p = guests[["x", "y"]].to_numpy()
+        return pd.DataFrame({"a": key[0], "b": key[1], "c": key[2], "x": p[:, 0], "y": p[:, 1], "d": _apart(p, mine[["x", "y"]].to_numpy())})
 
     kind = ", ".join(f"{c} {t}" for c, t in points.dtypes if c in (*keys, "x", "y"))
-    found = left.groupBy(*keys, "i", "j").cogroup(right.groupBy(*keys, "i", "j")).applyInPandas(near, f"{kind}, d double").groupBy(*keys, "x", "y").agg(F.min("d").alias("d"))
-    both = points.toDF(*points.columns).join(found, [*keys, "x", "y"]).withColumn("d", F.when(F.col("n") > 1, F.lit(0.0)).when(F.col("d") < float("inf"), F.col("d")))
-    return _spread(both, keys)
+    tiles, guests = home.toDF(*home.columns).select(*keys, "tile", "x", "y").groupBy(*keys, "tile"), visits[0].union(visits[1]).groupBy(*keys, "tile")
+    seen = tiles.cogroup(guests).applyInPandas(visit, f"{kind}, d double").groupBy(*keys, "x", "y").agg(F.min("d").alias("seen"))
+    both = home.toDF(*home.columns).select(*keys, "x", "y", "n", "d").join(seen, [*keys, "x", "y"], "left").withColumn("d", F.least("d", "seen"))
+    return _spread(both.withColumn("d", F.when(F.col("n") > 1, F.lit(0.0)).when(F.col("d") < float("inf"), F.col("d"))), keys)
 
 
 def report(summaries: DataFrame, distances: DataFrame, keys: list[str], total_bins: int) -> DataFrame:

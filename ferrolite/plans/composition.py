@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ferrolite.functions import composition as C
 from ferrolite.operators import coverage, generators
 from ferrolite.plans.tables import ATOMS_SQL, atoms, table
+from ferrolite.sources.scratch import stash
 
 BINS, RESOLUTION = 20, 18
 
@@ -42,9 +43,10 @@ def binary_neighbour_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve columns for every pair and triple of elements."""
-    found = _structures(spark, sf_dir)
-    two = coverage.report(binary_coverage_summary(spark, sf_dir), coverage.line_distances(C.pairs(found)), ["a", "b"], BINS)
-    three = coverage.report(ternary_coverage_summary(spark, sf_dir), coverage.plane_distances(C.triples(found)), ["a", "b", "c"], C.ternary_cells(RESOLUTION))
+    found = stash(_structures(spark, sf_dir))  # the tables are joined once for the report's four parts
+    cells = C.ternary_cells(RESOLUTION)
+    two = coverage.report(coverage.summary(coverage.binary_bins(C.pairs(found), BINS), ["a", "b"], BINS), coverage.line_distances(C.pairs(found)), ["a", "b"], BINS)
+    three = coverage.report(coverage.summary(coverage.ternary_bins(C.triples(found), RESOLUTION), ["a", "b", "c"], cells), coverage.plane_distances(C.triples(found)), ["a", "b", "c"], cells)
     return coverage.ordered(two.union(three))
 
 

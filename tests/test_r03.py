@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ferrolite.functions import text as X
+from ferrolite.operators import coverage
 
 
 def test_lint_reads_the_settings_once(spark):
@@ -17,3 +20,26 @@ def test_lint_reads_the_settings_once(spark):
     assert first["m"] == {"A": "2", "NSW": "1", "IBRION": "2", "ISIF": "3", "ISYM": "0 = 1"}
     assert first["w"] == ["NSW > 0: ions move", "IBRION is not -1", "ISIF >= 3: the cell relaxes"]
     assert empty["m"] == {} and empty["w"] == [] and none["m"] is None and len(long["m"]) == 20_000
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_plane_distances_meet_few_tiles(spark, block):
+    rng = np.random.default_rng(1)
+    some = [("A", "B", "C", *map(int, n)) for n in rng.integers(1, 40, (1500, 3))]
+    crowd = [("A", "B", "C", 100_000, *map(int, n)) for n in rng.integers(1, 30, (300, 2))]  # in one corner of the triangle
+    rows = [*some, *crowd, ("A", "B", "D", 1, 1, 1), ("A", "C", "D", 1, 1, 1), ("A", "C", "D", 1, 2, 1), ("A", "C", "D", 1, 1, 9)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, n_a bigint, n_b bigint, n_c bigint")
+    got = {(r["a"], r["b"], r["c"]): r for r in coverage.plane_distances(df, block).collect()}
+    for key in {r[:3] for r in rows}:
+        n = np.array([r[3:] for r in rows if r[:3] == key], np.float64)
+        s = n.sum(axis=1)
+        p = np.stack([n[:, 1] / s + n[:, 2] / s / 2, n[:, 2] / s * np.float64(3.0**0.5 / 2)], axis=1)
+        d = np.sqrt(((p[:, None] - p[None]) ** 2).sum(axis=2))
+        np.fill_diagonal(d, np.inf)
+        near = d.min(axis=1)
+        r = got[key]
+        assert r["n"] == len(n)
+        if len(n) == 1:
+            assert r["nn_mean"] is None and r["nn_p95"] is None
+        else:
+            assert abs(r["nn_mean"] - near.mean()) < 2e-9 and abs(r["nn_p95"] - np.percentile(near, 95)) < 2e-9
