@@ -21,6 +21,11 @@ _SCHEMA = pa.schema(
 _DDL = "structure_index bigint, variant int, perturbation_type string, symbols array<string>, positions array<array<double>>, asked int, placed int"
 
 
+def _dealt(bases: DataFrame) -> DataFrame:
+    """Rows over all cores: the work of a row is long, and a small table is read by one task."""
+    return bases.repartition(4 * bases.sparkSession.sparkContext.defaultParallelism)
+
+
 def draws(*key: object, n: int = 3) -> np.ndarray:
     """``n`` numbers in [0, 1) from a hash of the key."""
     data = hashlib.blake2b("|".join(map(str, key)).encode(), digest_size=8 * n).digest()
@@ -75,7 +80,7 @@ def with_defects(bases: DataFrame, kind: str, variants: int, elements: list[str]
             columns = list(zip(*rows, strict=True)) or [()] * len(_SCHEMA)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
 
-    return bases.select(F.col("structure_index").cast("bigint").alias("structure_index"), "symbols", "positions", "cell").mapInArrow(run, _DDL)
+    return _dealt(bases.select(F.col("structure_index").cast("bigint").alias("structure_index"), "symbols", "positions", "cell")).mapInArrow(run, _DDL)
 
 
 _MOVED = pa.schema([("structure_index", pa.int64()), ("rattle_index", pa.int32()), ("rattle_std", pa.float64()), ("symbols", pa.list_(pa.string())), ("positions", pa.list_(pa.list_(pa.float64()))), ("moved", pa.int32()), ("nearest", pa.float64())])
@@ -122,7 +127,7 @@ def displaced(bases: DataFrame, stds: list[float], d_min: float | None = 1.2, tr
             columns = list(zip(*rows, strict=True)) or [()] * len(_MOVED)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MOVED, strict=True)], schema=_MOVED)
 
-    return bases.select(F.col("structure_index").cast("bigint").alias("structure_index"), "symbols", "positions", "cell").mapInArrow(run, _MOVED_DDL)
+    return _dealt(bases.select(F.col("structure_index").cast("bigint").alias("structure_index"), "symbols", "positions", "cell")).mapInArrow(run, _MOVED_DDL)
 
 
 def random_solutions(sites: DataFrame, counts: DataFrame, variants: int, seed: int = 0) -> DataFrame:
@@ -148,11 +153,12 @@ def shell_counts(positions: np.ndarray, cell: np.ndarray, cutoff: float, toleran
     f = positions @ inverse
     apart = f[None] - f[:, None]
     apart -= np.floor(apart)
-    found = []
-    for shift in np.ndindex(*(2 * reach + 2)):
-        d = np.sqrt((((apart + np.array(shift) - reach - 1) @ cell) ** 2).sum(axis=2))
-        i, j = np.nonzero((d <= cutoff) & (d > tolerance))
-        found.append(np.stack([d[i, j], i, j], axis=1))
+    found, shifts = [], np.array(list(np.ndindex(*(2 * reach + 2))))
+    many = max(1, 100_000 // max(1, apart.size))
+    for at in range(0, len(shifts), many):  # many shifts at once, as far as they take little memory
+        d = np.sqrt((((apart + shifts[at : at + many, None, None] - reach - 1) @ cell) ** 2).sum(axis=3))
+        t, i, j = np.nonzero((d <= cutoff) & (d > tolerance))
+        found.append(np.stack([d[t, i, j], i, j], axis=1))
     every = np.concatenate(found)
     every = every[np.argsort(every[:, 0], kind="stable")]
     shell = np.cumsum(np.diff(every[:, 0], prepend=every[:1, 0]) > tolerance)
@@ -194,12 +200,12 @@ def quasi_random(structures: DataFrame, cutoff: float = 6.0, steps: int = 5000,
             i, j = (draws(seed, index, "swap", step, n=2) * n).astype(int)
             if kind[i] == kind[j]:
                 continue
-            d = x[[j, i]] - x[[i, j]]
-            half = np.einsum("ra,kri->kai", d, m[:, [i, j]])
-            changed = c + half + half.transpose(0, 2, 1) + np.einsum("ra,krs,sb->kab", d, s[:, [i, j]][:, :, [i, j]], d)
+            d = x[j] - x[i]
+            half = d[:, None] * (m[:, i] - m[:, j])[:, None]
+            changed = c + half + half.transpose(0, 2, 1) + d[:, None] * d * (s[:, i, i] - s[:, i, j] - s[:, j, i] + s[:, j, j])[:, None, None]
             new = score(changed, expected, total)
             if new < now - 1e-12:
-                m, c, now, done = m + s[:, :, [i, j]] @ d, changed, new, done + 1
+                m, c, now, done = m + (s[:, :, i] - s[:, :, j])[:, :, None] * d, changed, new, done + 1
                 kind[[i, j]], x[[i, j]] = kind[[j, i]], x[[j, i]]
         return names[kind].tolist(), first, now, done
 
@@ -210,7 +216,7 @@ def quasi_random(structures: DataFrame, cutoff: float = 6.0, steps: int = 5000,
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(kinds)], names=[c for c, _ in kinds])
 
     there = structures.where(F.col("symbols").isNotNull() & F.col("positions").isNotNull() & F.col("cell").isNotNull())
-    return there.select(F.col("structure_index").cast("bigint").alias("structure_index"), "symbols", "positions", "cell").mapInArrow(run, "structure_index bigint, symbols array<string>, before double, after double, swaps int")
+    return _dealt(there.select(F.col("structure_index").cast("bigint").alias("structure_index"), "symbols", "positions", "cell")).mapInArrow(run, "structure_index bigint, symbols array<string>, before double, after double, swaps int")
 
 
 def first_of_composition(structures: DataFrame, n: int) -> DataFrame:

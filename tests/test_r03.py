@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferrolite.functions import text as X
-from ferrolite.operators import coverage
+from ferrolite.operators import coverage, defects
 
 
 def test_lint_reads_the_settings_once(spark):
@@ -43,3 +43,26 @@ def test_plane_distances_meet_few_tiles(spark, block):
             assert r["nn_mean"] is None and r["nn_p95"] is None
         else:
             assert abs(r["nn_mean"] - near.mean()) < 2e-9 and abs(r["nn_p95"] - np.percentile(near, 95)) < 2e-9
+
+
+def test_long_rows_of_a_small_table_are_dealt_out(spark):
+    cube = [[float(x), float(y), float(z)] for x in (0, 2) for y in (0, 2) for z in (0, 2)]
+    cell = [[4.0, 0.0, 0.0], [0.0, 4.0, 0.0], [0.0, 0.0, 4.0]]
+    rows = [(k, ["W"] * 5 + ["Cr"] * 3, cube, cell) for k in range(8)]
+    one = spark.createDataFrame(rows, "structure_index bigint, symbols array<string>, positions array<array<double>>, cell array<array<double>>").coalesce(1)
+    for made in (defects.quasi_random(one, 4.5, 20), defects.displaced(one, [0.01]), defects.with_defects(one, "interstitial", 1, ["H"])):
+        assert made.rdd.getNumPartitions() > 1
+        assert made.count() == 8
+
+
+def test_swaps_of_mixed_cells_lower_the_score(spark):
+    """The outcome's score is that of its own pairs, counted anew."""
+    cube = np.array([[x, y, z] for x in (0, 2) for y in (0, 2) for z in (0, 2)], np.float64)
+    rows = [(k, ["Cr"] * 2 + ["Mo"] * 3 + ["W"] * 3, cube.tolist(), (4 * np.eye(3)).tolist()) for k in range(6)]
+    df = spark.createDataFrame(rows, "structure_index bigint, symbols array<string>, positions array<array<double>>, cell array<array<double>>")
+    got = {r["structure_index"]: r for r in defects.quasi_random(df, 4.5, 60).collect()}
+    again = spark.createDataFrame([(k, r["symbols"], cube.tolist(), (4 * np.eye(3)).tolist()) for k, r in got.items()], df.schema)
+    for r in defects.quasi_random(again, 4.5, 0).collect():
+        assert abs(r["before"] - got[r["structure_index"]]["after"]) < 1e-9
+        assert got[r["structure_index"]]["after"] <= got[r["structure_index"]]["before"]
+    assert sum(r["swaps"] for r in got.values()) > 0
