@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ferrolite.functions.text import once
+
 
 def composition_grid(elements: DataFrame, step: float) -> DataFrame:
     """a, b, c, x_a, x_b, x_c: each element alone, each pair and each triple in steps of ``step``, interior points only.
@@ -69,19 +71,29 @@ def retry_ladders(jobs: DataFrame, gpu_tiers: list[int], cores: int, max_nodes:
     For the job's own tier and each larger one: ncore halves from its start, at falling kpar; after the last tier the
     nodes double. The first settings and repeats are left out; levels count from 1. Each job is a row for itself.
     """
-    tiers = F.filter(F.lit(gpu_tiers), lambda g: g >= F.col("gpu"))
+    tiers = F.filter(F.lit(list(dict.fromkeys(gpu_tiers))), lambda g: g >= F.col("gpu"))
     tiers = F.when(F.size(tiers) > 0, tiers).otherwise(F.array(F.col("gpu").cast("int")))
     doubled = [2**k for k in range(1, max(1, max_nodes).bit_length())]
-    wide = F.array(*[F.struct(F.lit(n).alias("nodes"), F.element_at(tiers, -1).alias("gpus")) for n in doubled]) if doubled else None
-    steps = F.transform(tiers, lambda g: F.struct(F.lit(1).alias("nodes"), g.alias("gpus")))
-    steps = steps if wide is None else F.concat(steps, wide)
     start = F.greatest(F.lit(1), F.least(F.col("ncore"), F.lit(cores))).cast("int")
     halves = F.transform(F.sequence(F.lit(0), F.floor(F.log2(start.cast("double"))).cast("int")), lambda k: F.call_function("shiftright", start, k))
-    falling = F.array(F.col("kpar").cast("int"), F.greatest(F.lit(1), F.floor(F.col("kpar") / 2)).cast("int"), F.lit(1))
-    every = F.flatten(F.transform(steps, lambda s: F.flatten(F.transform(falling, lambda k: F.transform(halves, lambda n: F.struct(s["nodes"].alias("nodes"), s["gpus"].alias("gpus"), n.alias("ncore"), k.alias("kpar")))))))
+    falling = F.array_distinct(F.array(F.col("kpar").cast("int"), F.greatest(F.lit(1), F.floor(F.col("kpar") / 2)).cast("int"), F.lit(1)))
     own = F.struct(F.lit(1).alias("nodes"), F.col("gpu").cast("int").alias("gpus"), F.col("ncore").cast("int").alias("ncore"), F.col("kpar").cast("int").alias("kpar"))
-    left = jobs.select("job", F.filter(F.array_distinct(every), lambda x: x != own).alias("every"))
-    return left.select("job", F.posexplode("every").alias("at", "x")).select("job", (F.col("at") + 1).alias("level"), "x.*")
+
+    def steps(t: Column) -> Column:
+        one = F.transform(t, lambda g: F.struct(F.lit(1).alias("nodes"), g.alias("gpus")))
+        wide = [F.struct(F.lit(n).alias("nodes"), F.element_at(t, -1).alias("gpus")) for n in doubled]
+        return F.concat(one, F.array(*wide)) if wide else one
+
+    # Tiers, nodes, halves and falling numbers are different ones each, and so is every combination of them.
+    def product(t: Column, h: Column, f: Column) -> Column:
+        return F.flatten(F.transform(steps(t), lambda s: F.flatten(F.transform(f, lambda k: F.transform(h, lambda n: F.struct(s["nodes"].alias("nodes"), s["gpus"].alias("gpus"), n.alias("ncore"), k.alias("kpar")))))))
+
+    every = once(tiers, lambda t: once(halves, lambda h: once(falling, lambda f: product(t, h, f))))
+    # A row becomes many, and a small table is read by one task.
+    dealt = jobs.repartition(4 * jobs.sparkSession.sparkContext.defaultParallelism)
+    left = dealt.select("job", F.filter(every, lambda x: x != own).alias("every"))
+    # An inner posexplode would first work the list out once more, to see whether it is empty.
+    return left.select("job", F.posexplode_outer("every").alias("at", "x")).where("at is not null").select("job", (F.col("at") + 1).alias("level"), "x.*")
 
 
 # The nine deformation modes.

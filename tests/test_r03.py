@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferrolite.functions import text as X
-from ferrolite.operators import coverage, defects
+from ferrolite.operators import coverage, defects, generators
 
 
 def test_lint_reads_the_settings_once(spark):
@@ -66,3 +66,22 @@ def test_swaps_of_mixed_cells_lower_the_score(spark):
         assert abs(r["before"] - got[r["structure_index"]]["after"]) < 1e-9
         assert got[r["structure_index"]]["after"] <= got[r["structure_index"]]["before"]
     assert sum(r["swaps"] for r in got.values()) > 0
+
+
+def test_retry_ladders_work_out_their_lists_once(spark):
+    jobs = spark.createDataFrame([(1, 1, 4, 2), (2, 8, 1, 1), (3, 2, 200, 5)], "job int, gpu int, ncore int, kpar int").coalesce(1)
+    found = generators.retry_ladders(jobs, [1, 2, 2, 4], 64, 4)
+    assert found.rdd.getNumPartitions() > 1
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("shiftright") == 1
+    for job, gpu, ncore, kpar in jobs.collect():
+        tiers = [g for g in (1, 2, 2, 4) if g >= gpu] or [gpu]
+        want, n = [], max(1, min(ncore, 64))
+        for nodes, gpus in [(1, g) for g in tiers] + [(2, tiers[-1]), (4, tiers[-1])]:
+            for k in (kpar, max(1, kpar // 2), 1):
+                for h in range(n.bit_length()):
+                    x = (nodes, gpus, n >> h, k)
+                    if x not in want:
+                        want.append(x)
+        want = [x for x in want if x != (1, gpu, ncore, kpar)]
+        got = sorted(found.where(F.col("job") == job).collect(), key=lambda r: r["level"])
+        assert [(r["level"], r["nodes"], r["gpus"], r["ncore"], r["kpar"]) for r in got] == [(i + 1, *x) for i, x in enumerate(want)]
