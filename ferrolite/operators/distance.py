@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ferrolite.operators import ranks
 from ferrolite.sources.scratch import stash
 
-#: Rows of one side of a block pair.
-BLOCK = 4096
+#: Rows of one side of a block pair, and rows of a block that meet the other block at once.
+BLOCK, ROWS = 4096, 256
 
 
 def euclidean(a: Column, b: Column) -> Column:
@@ -36,12 +36,26 @@ def _least(itself: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]
         if not len(probe) or not len(build):
             return pd.DataFrame({"id": np.zeros(0, np.int64), "d": pd.Series([], dtype=object)})
         b, ids = np.array(build["v"].tolist(), np.float64), build["id"].to_numpy()
-        out, positive = np.empty(len(probe)), np.empty(len(probe))
-        for k, (i, v) in enumerate(zip(probe["id"], probe["v"], strict=True)):
-            d = np.sqrt(((b - np.asarray(v, np.float64)) ** 2).sum(axis=1))
+        p, own = np.array(probe["v"].tolist(), np.float64), probe["id"].to_numpy()
+        out, positive = np.empty(len(p)), np.empty(len(p))
+        squares = (b * b).sum(axis=1)
+        for at in range(0, len(p), ROWS):
+            some = p[at : at + ROWS]
+            mine = (some * some).sum(axis=1)
+            # Products show which rows may be the nearest, up to what rounding can hide; these are measured exactly.
+            near = mine[:, None] + squares - 2 * (some @ b.T)
+            slack = 1e-13 * (b.shape[1] + 8) * (mine + squares.max(initial=0)) + 1e-20
+            same = own[at : at + ROWS, None] == ids if itself else None
             if itself:
-                d[ids == i] = np.inf
-            out[k], positive[k] = d.min(), np.where(d > 1e-12, d, np.inf).min()
+                near[same] = np.inf
+            least = np.where(near > 4 * slack[:, None], near, np.inf).min(axis=1)
+            maybe = ~(near > np.maximum(4 * slack, least + 2 * slack)[:, None])
+            for k, v in enumerate(some):
+                hit = np.flatnonzero(maybe[k])
+                d = np.sqrt(((b[hit] - v) ** 2).sum(axis=1))
+                if itself:
+                    d[same[k, hit]] = np.inf
+                out[at + k], positive[at + k] = d.min(initial=np.inf), np.where(d > 1e-12, d, np.inf).min(initial=np.inf)
         return pd.DataFrame({"id": probe["id"].to_numpy(), "d": list(np.stack([out, positive], axis=1))})
 
     return run

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferrolite.functions import text as X
-from ferrolite.operators import coverage, defects, generators
+from ferrolite.operators import coverage, defects, distance, generators
 
 
 def test_lint_reads_the_settings_once(spark):
@@ -85,3 +85,20 @@ def test_retry_ladders_work_out_their_lists_once(spark):
         want = [x for x in want if x != (1, gpu, ncore, kpar)]
         got = sorted(found.where(F.col("job") == job).collect(), key=lambda r: r["level"])
         assert [(r["level"], r["nodes"], r["gpus"], r["ncore"], r["kpar"]) for r in got] == [(i + 1, *x) for i, x in enumerate(want)]
+
+
+def test_nearest_measures_only_what_may_be_nearest(spark):
+    """Copies, near copies, rows far from the origin: distances to the last bit."""
+    rng = np.random.default_rng(2)
+    v = rng.standard_normal((600, 8))
+    v[100:200] = v[:100]
+    v[200:300] = v[:100] + 1e-9
+    v[300:400] = 1e6 + v[300:400] * 1e-6
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    assert distance.ROWS < len(rows)
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    got = {r["id"]: (r["distance"], r["positive_distance"]) for r in distance.nearest(df, df, itself=True).collect()}
+    for i in range(len(v)):
+        d = np.sqrt(((v - v[i]) ** 2).sum(axis=1))
+        d[i] = np.inf
+        assert got[i] == (d.min(), d[d > 1e-12].min())
