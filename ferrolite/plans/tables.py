@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of lineitem that a task sums up on average.
+TASK_ROWS = 250_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -14,7 +18,9 @@ def atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """structure_index, element, n_atoms: an order is a structure, the part's type an element, the quantity its atoms."""
     items = table(spark, sf_dir, "lineitem").select("l_partkey", F.col("l_orderkey").alias("structure_index"), F.col("l_quantity").cast("bigint").alias("n_atoms"))
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("element"))
-    return items.join(parts, "l_partkey").select("structure_index", "element", "n_atoms")
+    # More parts as the table grows, so that no task sums up more than so many rows; all of a structure are in one.
+    n = max(2 * spark.sparkContext.defaultParallelism, -(-items.count() // TASK_ROWS))
+    return items.join(parts, "l_partkey").select("structure_index", "element", "n_atoms").repartition(n, "structure_index")
 
 
 ATOMS_SQL = """

@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ferrolite.functions import composition as C
 from ferrolite.functions import text as X
 from ferrolite.operators import coverage, defects, distance, generators
+from ferrolite.plans import tables
 
 
 def test_lint_reads_the_settings_once(spark):
@@ -102,3 +104,13 @@ def test_nearest_measures_only_what_may_be_nearest(spark):
         d = np.sqrt(((v - v[i]) ** 2).sum(axis=1))
         d[i] = np.inf
         assert got[i] == (d.min(), d[d > 1e-12].min())
+
+
+def test_atoms_are_dealt_by_structure(spark, monkeypatch):
+    monkeypatch.setattr(tables, "TASK_ROWS", 50)
+    found = tables.atoms(spark, "/root/testdata/sf0.001")
+    n = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert found.rdd.getNumPartitions() == -(-n // 50)
+    # Sums over elements and over structures move no row again.
+    plan = C.per_structure(C.element_counts(found))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(structure_index") == 1
