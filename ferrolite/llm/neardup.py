@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolite.llm import words as W
-from ferrolite.llm.common import as_text, frequent_from, only, slices, spread_join, stash, tuned
+from ferrolite.llm.common import as_text, frequent_from, only, sifted, slices, spread_join, stash, tuned
 from ferrolite.llm.components import components
 
 PERMS, BANDS, BITS = 128, 32, 4
@@ -172,8 +172,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     counts = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
     size = counts.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
     most = frequent_from(size["n"] or 0)
-    left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
-    right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
+    # Most texts are in no pair: these stay where they are.
+    left = sifted(texts, pairs.select("u"), "doc_id").select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
+    right = sifted(texts, pairs.select("v"), "doc_id").select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
     if (size["most"] or 0) <= most:
         both = pairs.join(left, "u").join(right, "v")
     else:
@@ -221,7 +222,8 @@ def _across(threshold: float, bits: int = MORE_BITS):
 def _mended(rest: DataFrame, reps: DataFrame, texts: DataFrame, links: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
     """The components with the links that are found within buckets of several components (``rest``)."""
     high = least_estimate(percent / 100, MORE_PERMS, MORE_BITS)
-    wanted = texts.join(rest.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    asked = stash(rest.select(F.col("node").alias("doc_id")).distinct())
+    wanted = sifted(texts, asked, "doc_id").join(asked, "doc_id", "left_semi")
     longer = stash(wanted.mapInArrow(_sign_more, "node bigint, sig array<bigint>"))
     x = rest.where(F.col("n") <= SMALL)
     y = x.select("key", F.col("node").alias("v"), F.col("component").alias("cv"))

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from ferrolite.llm import neardup
 from ferrolite.llm import queries as Q
 from ferrolite.llm import words as W
+from ferrolite.llm.common import sifted
 from ferrolite.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -111,3 +114,39 @@ def test_odd_rows(odd):
 
 def test_empty_table(none):
     assert neardup.near_duplicates(none).count() == 0
+
+
+def test_texts_without_a_near_copy_are_not_moved(spark):
+    """Of 600 long texts of random words 6 have a copy in which a word differs; the others' texts are not shuffled."""
+    draw = random.Random(5)
+    texts = {k: " ".join(f"{draw.getrandbits(64):016x}" for _ in range(400)) for k in range(600)}
+    for k in range(6):
+        texts[1000 + k] = texts[k] + " end"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    stashed = neardup.stash(docs)
+
+    def written():
+        spark.range(1).count()
+        time.sleep(1)  # figures reach the status store with a delay
+        return spark.sparkContext._jsc.sc().statusStore().executorList(False).head().totalShuffleWrite()
+
+    conf, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(conf, "-1")
+    try:
+        before = written()
+        got = result(neardup.near_duplicates(stashed))
+        moved = written() - before
+    finally:
+        spark.conf.set(conf, was)
+    assert {d: c for d, (_, c) in got.items()} == {d: d - 1000 if d >= 1000 else d for d in texts}
+    assert moved < 0.6 * sum(map(len, texts.values())), moved
+
+
+def test_sieve_keeps_all_that_are_asked_for(spark, monkeypatch):
+    rows = spark.range(-5000, 5000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).union(spark.createDataFrame([(None, "x")], "doc_id bigint, text string"))
+    ids = spark.range(-4000, 4000, 40).select(F.col("id").alias("u"))
+    got = [r["doc_id"] for r in sifted(rows, ids, "doc_id").collect()]
+    assert set(range(-4000, 4000, 40)) <= set(got) and len(got) < 2000
+    assert sifted(rows, ids.limit(0), "doc_id").count() == 0
+    monkeypatch.setattr("ferrolite.llm.common.SIEVE_MOST", 1 << 6)  # the filter is full: nothing is lost
+    assert set(range(-4000, 4000, 40)) <= {r["doc_id"] for r in sifted(rows, ids, "doc_id").collect()}
