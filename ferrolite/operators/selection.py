@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Callable, Iterator
 
@@ -17,8 +18,10 @@ from ferrolite.sources.scratch import stash
 
 #: Farthest rows that the driver sees in a round (their vectors are sent to it), and rounds after which lineage is cut.
 CANDIDATES, CUT = 2048, 8
-#: Picks that a round of the composition-aware fill foresees, and rows whose place one of its steps may ask for.
-STEPS, MARKS = 64, 64
+#: Picks that a round of the composition-aware fill foresees, rows whose place one of its steps may ask for, rows that
+#: foresee places (their vectors are sent to the driver once), rows that a task has at least and looks at together,
+#: and how far beyond the first rows, in parts of their number, a round looks for rows that come among them.
+STEPS, MARKS, SAMPLE, TASK_ROWS, REACH = 256, 64, 16_384, 2048, 1.5
 
 
 def farthest_points(rows: DataFrame, k: int | None, min_distance: float = 0.0, anchors: DataFrame | None = None, first: int | None = None) -> DataFrame:
@@ -184,21 +187,25 @@ def composition_aware_points(
     at no distance are left out if others remain, and so are those below ``floor`` of the largest distance; the row whose
     bins are the emptiest is taken, then the farther one, then the smaller id.
 
-    A round foresees up to ``steps`` picks on a bounded list of rows, the farthest ones and the farthest of each set of
-    bins, and then certifies them all in one pass over the rows: with the picks foreseen, each task returns for every
-    step the farthest row of each reward (of rows with equal reward no other can be taken) and how many of its rows come
-    before those that the step compares. The picks that this confirms are taken, and so is the right one of the first
-    step that was foreseen wrongly. So a round takes one pick at least, and as many as were foreseen while the list
+    A round foresees up to ``steps`` picks on a bounded list of rows, the farthest ones and those of the emptiest bins, and on a sample that tells how many rows are ahead of one. It then
+    certifies them all in one pass over the rows: with the picks foreseen, each task returns for every step the farthest
+    row of each reward that can be taken (a row with a farther one of a larger reward can't) and how many of its rows
+    come before those that the step compares. The picks that this confirms are taken, and so is the right one of the
+    first step that was foreseen wrongly. So a round takes one pick at least, and as many as were foreseen while the list
     holds what matters. Rows without an id and unusable vectors take no part.
     """
     spark = rows.sparkSession
-    held = rows.where(F.col("id").isNotNull() & usable(F.col("v"))).select("id", "v", "bins", F.lit(float("inf")).alias("d")).persist(StorageLevel.MEMORY_AND_DISK)
+    whole = rows.where(F.col("id").isNotNull() & usable(F.col("v"))).select("id", "v", "bins", F.to_json("bins").alias("kind"), F.lit(float("inf")).alias("d"))
+    left = whole.count()
+    parts = max(1, min(-(-left // TASK_ROWS), 2 * spark.sparkContext.defaultParallelism))
+    held = whole.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     start = held.join(anchors.select("id").distinct(), "id", "left_semi") if anchors is not None else held
     first = start.select("id", "v", "bins").orderBy("id").limit(target if anchors is not None else 1).collect()  # target rows at most
     if not first and anchors is not None:
         first = held.select("id", "v", "bins").orderBy("id").limit(1).collect()
     picks = [(int(r["id"]), np.array(r["v"], np.float64), r["bins"]) for r in first[:target]]
-    left, fresh, rounds = held.count() - len(picks), list(picks), 0
+    sample = _Sample(held.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow(), left <= SAMPLE)
+    left, fresh, rounds = left - len(picks), list(picks), 0
     rewards = _Rewards(ternary_weight, totals)
     for _, _, bins in picks:
         rewards.count(bins)
@@ -206,24 +213,32 @@ def composition_aware_points(
         after = held.mapInArrow(_moved(fresh), held.schema)
         rounds += 1
         after = (stash(after) if rounds % CUT == 0 else after).persist(StorageLevel.MEMORY_AND_DISK)
-        known = _candidates(after)
+        sample.move(fresh)
+        (low,) = sample.reached(REACH * frontier * left)
+        known, counts = _candidates(after, sample.edges(), low, rewards.copy(), parts)
+        sample.weigh(counts)
         held.unpersist()
         held = after
         wides = [max(1, math.ceil(frontier * (left - t))) for t in range(min(steps, target - len(picks), left))]
-        plan, marks = _foreseen(known, rewards.copy(), wides, left, floor)
-        found = held.mapInArrow(_certified(plan, marks, rewards.copy()), "step int, reward double, mark bigint, id bigint, d double, n bigint")
-        found = found.groupBy("step", "reward", "mark").agg(F.max(F.struct("d", (-F.col("id")).alias("m"))).alias("x"), F.sum("n").alias("n")).collect()
+        plan, marks = _foreseen(known, sample.copy(), rewards.copy(), wides, left, floor)
+        found = held.mapInArrow(_certified(plan, marks, rewards.copy()), _FOUND)
+        found = found.groupBy("step", "reward", "mark").agg(F.max(F.struct("d", (-F.col("id")).alias("m"))).alias("x"), F.sum("n").alias("n"))
+        found = found.select("step", "reward", "mark", "x.d", (-F.col("x.m")).alias("id"), "n").toArrow().to_pylist()
+        bests: dict[int, list[tuple[float, float, int]]] = {}
+        aheads: dict[int, list[tuple[float, int, int]]] = {}
+        for r in found:
+            if r["mark"] is None:
+                bests.setdefault(r["step"], []).append((-r["reward"], -r["d"], r["id"]))
+            else:
+                aheads.setdefault(r["step"], []).append((*marks[r["step"]][r["mark"]], r["n"]))
         fresh = []
         for t, wide in enumerate(wides[: max(1, len(plan))]):
-            best = sorted((-r["reward"], -r["x"]["d"], -r["x"]["m"]) for r in found if r["step"] == t and r["mark"] is None)
-            ahead = {r["mark"]: r["n"] for r in found if r["step"] == t and r["mark"] is not None}
-            sure = set(marks[t]) if marks else set()
-            chosen = _chosen(best, lambda d, i, a=ahead, s=sure: a.get(i, 0) if (d, i) in s else None, wide, left - t, floor)
+            best = sorted(bests.get(t, []))
+            chosen = _chosen(best, lambda d, i, a=aheads.get(t, []), w=wide: _place(a, d, i, w), wide, left - t, floor)
             if chosen is None and t == 0:  # a row that wasn't foreseen: one more pass counts what is before it
                 every = [(-d, i) for _, d, i in best]
-                counts = held.mapInArrow(_certified([], [every], rewards.copy()), "step int, reward double, mark bigint, id bigint, d double, n bigint").where("mark is not null").groupBy("mark").agg(F.sum("n").alias("n")).collect()
-                exact = {r["mark"]: r["n"] for r in counts}
-                chosen = _chosen(best, lambda d, i, e=exact: e.get(i, 0), wide, left, floor)
+                exact = {every[r["mark"]]: r["n"] for r in held.mapInArrow(_certified([], [every], rewards.copy()), _FOUND).where("mark is not null").groupBy("mark").agg(F.sum("n").alias("n")).collect()}
+                chosen = _chosen(best, lambda d, i, e=exact: e[d, i], wide, left, floor)
             if chosen is None:
                 break
             row = known.get(chosen)
@@ -240,16 +255,21 @@ def composition_aware_points(
     return spark.createDataFrame([(k + 1, i) for k, (i, _, _) in enumerate(picks)], "pick int, id bigint")
 
 
+_FOUND = "step int, reward double, mark bigint, id bigint, d double, n bigint"
+
+
 def _chosen(best: list[tuple[float, float, int]], ahead: Callable[[float, int], int | None], wide: int, left: int, floor: float) -> int | None:
     """The id that is taken among the farthest rows of each reward, sorted (-reward, -d, id); null if it takes a count
     of rows ahead that is not known."""
     if not best:
         return None
-    most = max(-d for _, d, _ in best)
+    best = _not_beaten(best)
+    farthest_row = min((d, i) for _, d, i in best)
+    most = -farthest_row[0]
     if most > 1e-12:
         best = [b for b in best if -b[1] >= floor * most]
     for _, d, i in best:
-        if wide >= left or len(best) == 1:
+        if wide >= left or len(best) == 1 or (d, i) == farthest_row:
             return i
         n = ahead(-d, i)
         if n is None:
@@ -259,98 +279,217 @@ def _chosen(best: list[tuple[float, float, int]], ahead: Callable[[float, int],
     return None
 
 
-def _candidates(held: DataFrame) -> dict[int, tuple[np.ndarray, list]]:
-    """id: (vector, bins) of the ``CANDIDATES`` farthest rows and of the farthest row of each set of bins, as many again."""
-    there = held.where("d >= 0")
-    far = there.select("id", "v", "bins", "d").orderBy(F.desc("d"), "id").limit(CANDIDATES).collect()
-    out = {int(r["id"]): (np.array(r["v"], np.float64), r["bins"], r["d"]) for r in far}
-    if len(far) == CANDIDATES:
-        each = there.groupBy(F.xxhash64(F.to_json("bins")).alias("s")).agg(F.max(F.struct("d", (-F.col("id")).alias("m"))).alias("x")).select("x.d", (-F.col("x.m")).alias("id"))
-        ids = each.orderBy(F.desc("d"), "id").limit(CANDIDATES)
-        out |= {int(r["id"]): (np.array(r["v"], np.float64), r["bins"], r["d"]) for r in there.join(F.broadcast(ids.select("id")), "id", "left_semi").select("id", "v", "bins", "d").collect()}
-    return _Known(out)
+def _place(marks: list[tuple[float, int, int]], d: float, i: int, wide: int) -> int | None:
+    """How many rows are ahead of the row, as far as the counts n at the ``marks`` (d, id, n) tell on which side of ``wide``
+    it is; null if they don't."""
+    least = max((n for x, j, n in marks if (-x, j) <= (-d, i)), default=0)
+    most = min((n for x, j, n in marks if (-x, j) >= (-d, i)), default=None)
+    if least >= wide:
+        return least
+    return most if most is not None and most < wide else None
+
+
+def _not_beaten(best: list[tuple[float, float, int]]) -> list[tuple[float, float, int]]:
+    """Without the rows that are nearer than one of a larger reward: where such a row may be taken, so may the other."""
+    out, most = [], -1.0
+    for b in best:
+        if -b[1] >= most:
+            out.append(b)
+            most = -b[1]
+    return out
+
+
+def _matrix(rows: pa.Table) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in rows.column("v").chunks] or [np.zeros(0)]).reshape(len(rows), -1) if len(rows) else np.zeros((0, 0))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list, pa.Table]]:
+    """ids, vectors, distances, kinds (numbers), the bins of each kind, and the rows, of ``TASK_ROWS`` rows or so at a time."""
+
+    def arrays(some: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(some).combine_chunks()
+        names = table.column("kind").combine_chunks().dictionary_encode()
+        names = names.chunk(0) if isinstance(names, pa.ChunkedArray) else names
+        kind = names.indices.to_numpy().astype(np.int64)
+        bins = table.column("bins").take(pa.array(np.unique(kind, return_index=True)[1])).to_pylist()
+        return table.column("id").to_numpy(), _matrix(table), table.column("d").to_numpy().copy(), kind, bins, table
+
+    held, size = [], 0
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            size += len(batch)
+        if size >= TASK_ROWS:
+            yield arrays(held)
+            held, size = [], 0
+    if held:
+        yield arrays(held)
+
+
+def _candidates(held: DataFrame, edges: np.ndarray, low: float, rewards: _Rewards, parts: int) -> tuple[_Known, np.ndarray]:
+    """The farthest rows of the tasks, and the farthest one of each set of bins, the emptiest first, and others of it that
+    are no nearer than ``low``, ``CANDIDATES`` of both in all; and how many rows are in each of the intervals of distances that end at
+    the ``edges``."""
+    most = max(1, CANDIDATES // parts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, counts = [], np.zeros(len(edges) + 1, np.int64)
+        for ids, _, d, kind, bins, table in _gathered(batches):
+            there = np.flatnonzero(d >= 0)
+            counts += np.bincount(np.searchsorted(edges, d[there]), minlength=len(counts))
+            r = _Table(bins, rewards).rewards()[kind]
+            # The farthest row of each kind first, kinds by reward; then the next one of each.
+            order = there[np.lexsort((ids[there], -d[there], kind[there]))]
+            first = np.flatnonzero(np.diff(kind[order], prepend=-1))
+            nth = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+            near = (nth == 0) | (d[order] >= low)
+            order, nth = order[near], nth[near]
+            some = np.unique(np.concatenate([there[np.lexsort((ids[there], -d[there]))[:most]], order[np.lexsort((-d[order], -r[order], nth))[:most]]]))
+            place = np.zeros(len(ids), np.int64)
+            place[order] = nth
+            kept.append((d[some], r[some], place[some], table.take(pa.array(some)).select(["id", "v", "bins", "d"])))
+            if len(kept) > 1:  # as many as one part of the rows has
+                d, r, nth = (np.concatenate([k[c] for k in kept]) for c in range(3))
+                table = pa.concat_tables([k[3] for k in kept])
+                some = np.unique(np.concatenate([np.argsort(-d, kind="stable")[:most], np.lexsort((-d, -r, nth))[:most]]))
+                kept = [(d[some], r[some], nth[some], table.take(pa.array(some)))]
+        if kept:
+            table = kept[0][3].combine_chunks()
+            n = pa.ListArray.from_arrays(pa.array([0, len(counts), *[len(counts)] * (len(table) - 1)][: len(table) + 1], pa.int32()), pa.array(counts))
+            if len(table):
+                yield pa.RecordBatch.from_arrays([*[table.column(c).combine_chunks() for c in ("id", "v", "bins", "d")], n], names=["id", "v", "bins", "d", "counts"])
+
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema if f.name != "kind")
+    got = held.mapInArrow(run, f"{ddl}, counts array<bigint>").toArrow()
+    counts = np.zeros(len(edges) + 1, np.int64)
+    for n in got.column("counts").to_pylist():
+        if n:
+            counts += np.array(n)
+    return _Known(got.column("id").to_pylist(), _matrix(got), got.column("bins").to_pylist(), got.column("d").to_numpy()), counts
 
 
 class _Known(dict):
-    """Candidates by id; ``d`` has their distances as the round begins."""
-
-    def __init__(self, rows: dict) -> None:
-        super().__init__({i: (v, bins) for i, (v, bins, _) in rows.items()})
-        self.d = {i: d for i, (_, _, d) in rows.items()}
-
-
-def _foreseen(known: _Known, rewards: _Rewards, wides: list[int], left: int, floor: float) -> tuple[list, list]:
-    """The picks (id, v, bins) that the fill would make if the candidates were all rows, and for each step the (d, id) of
-    the rows whose place it asks for."""
-    ids = np.array(list(known), np.int64)
-    v, d = np.array([known[i][0] for i in ids.tolist()]), np.array([known.d[i] for i in ids.tolist()])
-    names = [tuple((b["subset"], b["bin"], b["ternary"]) for b in known[i][1]) for i in ids.tolist()]
-    kinds, kind = list(dict.fromkeys(names)), np.zeros(len(ids), np.int64)
-    place = {n: k for k, n in enumerate(kinds)}
-    kind[:] = [place[n] for n in names]
-    sample = {n: known[i][1] for n, i in zip(names, ids.tolist(), strict=True)}
+    """Candidates (vector, bins) by id; ``ids``, ``v``, ``d`` have them as arrays, as the round begins."""
+
+    def __init__(self, ids: list[int], v: np.ndarray, bins: list, d: np.ndarray) -> None:
+        super().__init__({i: (x, b) for i, x, b in zip(ids, v, bins, strict=True)})
+        self.ids, self.v, self.bins, self.d = np.array(ids, np.int64), v, bins, d.copy()
+
+
+class _Sample:
+    """Rows of the smallest hashes, which foresee how many rows are farther than a distance: each stands for as many as
+    were counted about its own distance when the round began."""
+
+    def __init__(self, rows: pa.Table, whole: bool) -> None:
+        self.whole = whole
+        self.ids, self.v = rows.column("id").to_numpy(), _matrix(rows)
+        self.squares, self.d, self.weight = (self.v**2).sum(axis=1), np.full(len(self.ids), np.inf), np.ones(len(self.ids))
+
+    def copy(self) -> _Sample:
+        out = copy.copy(self)
+        out.d = self.d.copy()
+        return out
+
+    def move(self, fresh: list[tuple]) -> None:
+        for i, p, _ in fresh:
+            near = np.sqrt(np.maximum(self.squares + (p * p).sum() - 2 * (self.v @ p), 0))
+            np.minimum(self.d, near, out=self.d, where=self.d >= 0)
+            self.d[self.ids == i] = -1.0
+
+    def edges(self) -> np.ndarray:
+        return np.unique(np.sort(self.d[self.d >= 0])[3::4])
+
+    def reached(self, *counts: float) -> list[float]:
+        """Distances that about so many rows reach."""
+        if self.whole:
+            at = np.minimum(np.array(counts, np.int64), len(self.d) - 1)
+            return (-np.partition(-self.d, at)[at]).tolist()
+        order = np.argsort(-self.d)
+        at = np.searchsorted(np.cumsum(self.weight[order]), counts)
+        return self.d[order[np.minimum(at, len(order) - 1)]].tolist()
+
+    def weigh(self, counts: np.ndarray) -> None:
+        if self.whole:
+            return
+        there = self.d >= 0
+        at = np.searchsorted(self.edges(), self.d[there])
+        self.weight = np.zeros(len(self.d))
+        self.weight[there] = (counts / np.maximum(1, np.bincount(at, minlength=len(counts))))[at]
+
+    def ahead(self, x: float) -> float:
+        return float(np.count_nonzero(self.d > x) if self.whole else self.weight[self.d > x].sum())
+
+
+def _foreseen(known: _Known, sample: _Sample, rewards: _Rewards, wides: list[int], left: int, floor: float) -> tuple[list, list]:
+    """The picks (id, v, bins) that the fill would make if the candidates were all rows that can be taken, and for each
+    step the (d, id) of the rows whose place it asks for."""
+    ids, v, d = known.ids, known.v, known.d
+    names = [tuple((b["subset"], b["bin"], b["ternary"]) for b in x) for x in known.bins]
+    place = {n: k for k, n in enumerate(dict.fromkeys(names))}
+    kind = np.array([place[n] for n in names], np.int64)
+    table = _Table([known.bins[k] for k in np.unique(kind, return_index=True)[1].tolist()], rewards)
     plan, marks = [], []
     for t, wide in enumerate(wides):
-        r = np.array([rewards.of(sample[n]) for n in kinds])[kind]
-        best = _farthest_of_each(r, d, ids)
+        best = _farthest_of_each(table.rewards(), kind, d, ids)
         asked: list[tuple[float, int]] = []
 
         def ahead(x: float, i: int) -> int:
             asked.append((x, i))
-            return int(((d > x) | ((d == x) & (ids < i))).sum())
+            return int(sample.ahead(x + 1e-12))
 
         chosen = _chosen(best, ahead, wide, left - t, floor)
         if chosen is None or len(asked) > MARKS:
             break
+        after = [(-x, i) for _, x, i in _not_beaten(best) if (-x, i) not in asked]
         plan.append((chosen, *known[chosen]))
-        marks.append(asked)
-        k = int(np.flatnonzero(ids == chosen)[0])
-        np.minimum(d, np.sqrt(((v - v[k]) ** 2).sum(axis=1)), out=d, where=d >= 0)
-        d[k] = -1.0
-        rewards.count(known[chosen][1])
+        border = [(x, -1) for x in sample.reached(wide * 0.99 - 2, wide - 1, wide, wide * 1.01 + 2)]  # tells of rows that are not asked for
+        marks.append(asked + after[: MARKS - len(asked)] + border)
+        _near(d, v, plan[-1][1])
+        d[ids == chosen] = -1.0
+        sample.move(plan[-1:])
+        table.count(known[chosen][1])
     return plan, marks
 
 
-def _farthest_of_each(r: np.ndarray, d: np.ndarray, ids: np.ndarray) -> list[tuple[float, float, int]]:
-    """(-reward, -d, id) of the farthest row of each reward, ties to the smaller id, sorted; rows with d < 0 are out."""
-    there = d >= 0
-    r, d, ids = r[there], d[there], ids[there]
-    order = np.lexsort((ids, -d, -r))
-    first = order[np.flatnonzero(np.diff(r[order], prepend=np.nan) != 0)] if len(order) else order
-    return [(-float(r[k]), -float(d[k]), int(ids[k])) for k in first.tolist()]
+def _farthest_of_each(rewards: np.ndarray, kind: np.ndarray, d: np.ndarray, ids: np.ndarray) -> list[tuple[float, float, int]]:
+    """(-reward, -d, id) of the farthest row of each reward (given for each kind), ties to the smaller id, sorted; rows
+    with d < 0 are out, and so are those that are beaten."""
+    values, of_kind = np.unique(rewards, return_inverse=True)
+    of_row = of_kind[kind]
+    most = np.full(len(values), -1.0)
+    np.maximum.at(most, of_row, d)
+    best: dict[int, int] = {}
+    for k in np.flatnonzero((d >= 0) & (d == most[of_row])).tolist():
+        best[int(of_row[k])] = min(best.get(int(of_row[k]), int(ids[k])), int(ids[k]))
+    return _not_beaten(sorted((-float(values[c]), -float(most[c]), i) for c, i in best.items()))
+
+
+def _near(d: np.ndarray, v: np.ndarray, p: np.ndarray) -> None:
+    """``d`` no larger than the distance to ``p``, but for picked rows; in parts that fit a cache."""
+    for at in range(0, len(d), 512):
+        some = d[at : at + 512]
+        np.minimum(some, np.sqrt(((v[at : at + 512] - p) ** 2).sum(axis=1)), out=some, where=some >= 0)
 
 
 def _certified(plan: list, marks: list, rewards: _Rewards):
     """For every step of the plan the farthest row of each reward (mark null), and the number of rows before each mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps = [rewards.copy()]
-        for _, _, bins in plan[:-1]:
-            steps.append(steps[-1].copy())
-            steps[-1].count(bins)
-        best: dict[tuple[int, float], tuple[float, int]] = {}
+        best: list[dict[float, tuple[float, int]]] = [{} for _ in range(max(1, len(plan)))]
         ahead = [[0] * len(m) for m in marks]
-        for batch in batches:
-            if not len(batch):
-                continue
-            ids, d = batch.column("id").to_numpy(), batch.column("d").to_numpy().copy()
-            v = batch.column("v").flatten().to_numpy().reshape(len(ids), -1)
-            bins = batch.column("bins").to_pylist()
-            place: dict[tuple, int] = {}
-            kind = np.array([place.setdefault(tuple((b["subset"], b["bin"], b["ternary"]) for b in x), len(place)) for x in bins])
-            sample = [bins[k] for k in np.unique(kind, return_index=True)[1].tolist()]
-            for t, step in enumerate(steps):
-                r = np.array([step.of(x) for x in sample])[kind]
-                for reward, far, i in _farthest_of_each(r, d, ids):
-                    key = (t, -reward)
-                    best[key] = max(best.get(key, (-1.0, 0)), (-far, -i))
+        for ids, v, d, kind, bins, _ in _gathered(batches):
+            table = _Table(bins, rewards)
+            for t, mine in enumerate(best):
+                for reward, far, i in _farthest_of_each(table.rewards(), kind, d, ids):
+                    mine[-reward] = max(mine.get(-reward, (-1.0, 0)), (-far, -i))
                 for k, (x, i) in enumerate(marks[t] if t < len(marks) else []):
                     ahead[t][k] += int(((d > x) | ((d == x) & (ids < i))).sum())
-                if t + 1 < len(steps):
-                    np.minimum(d, np.sqrt(((v - plan[t][1]) ** 2).sum(axis=1)), out=d, where=d >= 0)
+                if t + 1 < len(best):
+                    _near(d, v, plan[t][1])
                     d[ids == plan[t][0]] = -1.0
-        rows = [(t, r, None, -m, x, 0) for (t, r), (x, m) in best.items()]
-        rows += [(t, None, i, i, x, n) for t, m in enumerate(marks) for (x, i), n in zip(m, ahead[t], strict=True)]
+                    table.count(plan[t][2])
+        rows = [(t, r, None, -m, x, 0) for t, mine in enumerate(best) for r, (x, m) in mine.items()]
+        rows += [(t, None, k, 0, x, n) for t, m in enumerate(marks) for k, ((x, _), n) in enumerate(zip(m, ahead[t], strict=True))]
         kinds = (("step", pa.int32()), ("reward", pa.float64()), ("mark", pa.int64()), ("id", pa.int64()), ("d", pa.float64()), ("n", pa.int64()))
         yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], k) for c, (_, k) in enumerate(kinds)], names=[n for n, _ in kinds])
 
@@ -358,50 +497,69 @@ def _certified(plan: list, marks: list, rewards: _Rewards):
 
 
 class _Rewards:
-    """Mean emptiness of a row's bins, by what is chosen so far."""
+    """How often bins, and subsets in all, are chosen so far; a row's reward is the mean emptiness of its bins."""
 
     def __init__(self, ternary_weight: float, totals: tuple[int, int], tally: dict[tuple, int] | None = None, sums: dict[str, int] | None = None) -> None:
         self.ternary_weight, self.totals, self.tally, self.sums = ternary_weight, totals, tally or {}, sums or {}
-        self.known: dict[tuple, float] = {}
 
     def copy(self) -> _Rewards:
         return _Rewards(self.ternary_weight, self.totals, dict(self.tally), dict(self.sums))
 
     def count(self, bins: list) -> None:
         """One more chosen row."""
-        self.known = {}
         for b in bins:
             self.tally[b["subset"], b["bin"]] = self.tally.get((b["subset"], b["bin"]), 0) + 1
             self.sums[b["subset"]] = self.sums.get(b["subset"], 0) + 1
 
-    def of(self, bins: list[dict]) -> float:
-        weight = total = 0.0
+
+class _Table:
+    """The rewards of many sets of bins at once, with counts of its own that go on from those given."""
+
+    def __init__(self, kinds: list[list], rewards: _Rewards) -> None:
+        cells: dict[tuple, int] = {}
+        self.bins: dict[tuple, int] = {}
+        self.subsets: dict[str, int] = {}
+        of_kind = [[cells.setdefault((b["subset"], b["bin"], b["ternary"]), len(cells)) for b in x] for x in kinds]
+        self.bin = np.array([self.bins.setdefault(c[:2], len(self.bins)) for c in cells], np.int64)
+        self.subset = np.array([self.subsets.setdefault(c[0], len(self.subsets)) for c in cells], np.int64)
+        self.cells = np.array([rewards.totals[c[2]] for c in cells], np.int64)
+        self.tally = np.array([rewards.tally.get(b, 0) for b in self.bins], np.int64)
+        self.sums = np.array([rewards.sums.get(s, 0) for s in self.subsets], np.int64)
+        weights = [max(0.0, rewards.ternary_weight if c[2] else 1.0) for c in cells]
+        self.columns = []  # the first bin of each kind, the second one and so on
+        for k in range(max((len(x) for x in of_kind), default=0)):
+            have = [k < len(x) for x in of_kind]
+            self.columns.append((np.array([x[k] if h else 0 for x, h in zip(of_kind, have, strict=True)]), np.array([weights[x[k]] if h else 0.0 for x, h in zip(of_kind, have, strict=True)])))
+        self.weight = sum((w for _, w in self.columns), np.zeros(len(kinds)))
+
+    def count(self, bins: list) -> None:
         for b in bins:
-            key = (b["subset"], b["bin"], b["ternary"])
-            if key not in self.known:
-                goal = max(1, self.sums.get(b["subset"], 0) // self.totals[b["ternary"]] + 1)
-                self.known[key] = max(0, goal - self.tally.get(key[:2], 0)) / goal
-            w = self.ternary_weight if b["ternary"] else 1.0
-            if w > 0:
-                total, weight = total + w * self.known[key], weight + w
-        return total / weight if weight else 0.0
-
-
-def _moved_d(batch: pa.RecordBatch, fresh: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    """ids and distances after the fresh picks; -1 for the picked rows."""
-    ids, d = batch.column("id").to_numpy(), batch.column("d").to_numpy().copy()
-    lists = batch.column("v")
-    v = lists.flatten().to_numpy().reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
-    for _, p, _ in fresh:
-        np.minimum(d, np.sqrt(((v - p) ** 2).sum(axis=1)), out=d, where=d >= 0)
-    d[np.isin(ids, [i for i, _, _ in fresh])] = -1.0
-    return ids, d
+            if (b["subset"], b["bin"]) in self.bins:
+                self.tally[self.bins[b["subset"], b["bin"]]] += 1
+            if b["subset"] in self.subsets:
+                self.sums[self.subsets[b["subset"]]] += 1
+
+    def rewards(self) -> np.ndarray:
+        """Of each set of bins."""
+        goal = np.maximum(1, self.sums[self.subset] // self.cells + 1) if len(self.cells) else np.zeros(0)
+        empty = np.maximum(0, goal - self.tally[self.bin]) / goal if len(self.cells) else goal
+        total = np.zeros(len(self.weight))
+        for cell, weight in self.columns:
+            total += weight * empty[cell]
+        return np.divide(total, self.weight, out=np.zeros(len(total)), where=self.weight > 0)
 
 
 def _moved(fresh: list[tuple]):
+    """Distances after the fresh picks; -1 for the picked rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), batch.column("bins"), pa.array(_moved_d(batch, fresh)[1])], names=["id", "v", "bins", "d"])
+            ids, d = batch.column("id").to_numpy(), batch.column("d").to_numpy().copy()
+            v = batch.column("v").flatten().to_numpy().reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
+            for _, p, _ in fresh:
+                _near(d, v, p)
+            d[np.isin(ids, [i for i, _, _ in fresh])] = -1.0
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("id", "v", "bins", "kind")], pa.array(d)], names=["id", "v", "bins", "kind", "d"])
 
     return run
 

@@ -116,6 +116,38 @@ def test_composition_aware_points_equal_the_plain_form(spark, monkeypatch, front
     assert selection.attempt_schedule(0.2, 1.0, 4) == [(0.2, 1.0), (0.1, 1.0), (0.25, 1.0), (0.2, 2.0)] and len(selection.attempt_schedule(0.2, 1.0, 0)) == 1
 
 
+def test_composition_aware_rounds_are_few_where_the_front_is_wider_than_the_candidates(spark, monkeypatch):
+    """What is known of rows that are not on the list: how many are ahead of one, by the sample, whole or not."""
+    draw = np.random.Generator(np.random.PCG64(10))
+    v = draw.normal(0, 1, (600, 256))
+    v /= np.sqrt((v**2).sum(axis=1))[:, None]
+    rank = np.argsort(np.argsort(-((v - v[0]) ** 2).sum(axis=1)))  # the emptiest bins are mostly behind the front
+    bins = [[("a", "c", k % 40)] if 200 <= rank[k] < 300 else [("a", "b", int(draw.integers(6)))] for k in range(600)]
+    rows = [(k, v[k].tolist(), [("|".join(b[:2]), str(b[2:]), False) for b in bins[k]]) for k in range(600)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, bins array<struct<subset:string,bin:string,ternary:boolean>>").repartition(3)
+    monkeypatch.setattr(selection, "CANDIDATES", 64)
+    monkeypatch.setattr(selection, "STEPS", 64)
+    foreseen, rounds = selection._foreseen, []
+    monkeypatch.setattr(selection, "_foreseen", lambda *a: rounds.append(1) or foreseen(*a))
+    for sample in (16_384, 200):
+        monkeypatch.setattr(selection, "SAMPLE", sample, raising=False)
+        rounds.clear()
+        got = [r["id"] for r in selection.composition_aware_points(df, 30, 0.2, None, 1.0, (4, 6), steps=64).orderBy("pick").collect()]
+        assert got == composition_aware(v, bins, [], 30, 0.2, 1.0, (4, 6))
+        assert len(rounds) <= 10
+
+
+def test_rows_that_were_not_foreseen_are_placed_by_the_marks_about_them():
+    """Counts at (distance, id) tell on which side of the border a row is, also if nobody asked for that row."""
+    marks = [(1.3, 7, 4), (1.2, -1, 9), (1.1, -1, 12)]
+    assert selection._place(marks, 1.3, 7, 5) == 4  # counted itself
+    assert selection._place(marks, 1.25, 3, 10) == 9 and selection._place(marks, 1.15, 3, 9) == 9  # in front, and behind
+    assert selection._place(marks, 1.25, 3, 6) is None and selection._place(marks, 1.0, 3, 20) is None and selection._place([], 1.0, 3, 5) is None
+    best = [(-0.5, -1.15, 3), (-0.0, -1.4, 2)]
+    assert selection._chosen(best, lambda d, i: selection._place(marks, d, i, 9), 9, 50, 0.5) == 2
+    assert selection._not_beaten([(-0.5, -1.3, 1), (-0.2, -1.2, 2), (-0.1, -1.3, 0), (-0.0, -1.4, 5)]) == [(-0.5, -1.3, 1), (-0.1, -1.3, 0), (-0.0, -1.4, 5)]
+
+
 def test_metrics_are_means_over_subsets(spark):
     two = lambda b: ("W|Y", str(b), False)
     three = lambda b: ("Cr|W|Y", str(b), True)
