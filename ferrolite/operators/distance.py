@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -79,61 +80,150 @@ def usable(v: Column) -> Column:
 
 #: Pivots of the index, its blocks, and build blocks that a probe block meets first.
 PIVOTS, BLOCKS, HOME = 512, 200_000, 3
+#: Bytes of a block's vectors at most, full blocks and bytes of a part of a table, pairs of rows that are measured at once.
+BLOCK_BYTES, PART_BLOCKS, PART_BYTES, MEASURED = 1 << 23, 16, 1 << 25, 1 << 14
 
 
 def _placed(rows: DataFrame, pivots: np.ndarray, count: int, block: int) -> DataFrame:
-    """id, v, block, c, r: rows beside their nearest pivot, and blocks of consecutive distances from one pivot."""
+    """block, c, a, b, apart, ids, v: blocks of rows beside one pivot, whose distances from it follow one another, each as one
+    row: its pivot, the least and largest distance from it, that pivot's distances from all, and the block's ids and vectors."""
+    squares = (pivots * pivots).sum(axis=1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             v = batch.column("v").flatten().to_numpy().reshape(len(batch), -1)
-            r, c = np.full(len(v), np.inf), np.zeros(len(v), np.int32)
-            for k, p in enumerate(pivots):
-                d = np.sqrt(((v - p) ** 2).sum(axis=1))
-                c[d < r] = k
-                np.minimum(d, r, out=r)
+            c = (squares - 2 * (v @ pivots.T)).argmin(axis=1).astype(np.int32)  # any pivot would do, its distance is exact
+            r = np.sqrt(((v - pivots[c]) ** 2).sum(axis=1))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(c), pa.array(r)], names=["id", "v", "c", "r"])
 
-    order = ["c", "r", "id"]
-    near = rows.mapInArrow(run, "id bigint, v array<double>, c int, r double")
-    dealt = near.repartitionByRange(max(1, -(-count // (16 * block))), *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
-    number = F.shiftright("at", 33) * F.lit(2**31) + F.floor(F.col("at").bitwiseAND(F.lit(2**33 - 1)) / F.lit(block))
-    return stash(dealt.select("id", "v", "c", "r", F.xxhash64("c", number).alias("block")))
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
 
+        def one() -> pa.RecordBatch:
+            c, r = held[0][0], np.concatenate([x[1] for x in held])
+            apart = np.sqrt(((pivots - pivots[c]) ** 2).sum(axis=1))
+            ids, v = (np.concatenate([x[k] for x in held]).tobytes() for k in (2, 3))
+            cols = [pa.array([c], pa.int32()), pa.array([r.min()]), pa.array([r.max()]), pa.array([apart.tolist()], pa.list_(pa.float64())), pa.array([ids], pa.binary()), pa.array([v], pa.binary())]
+            held.clear()
+            return pa.RecordBatch.from_arrays(cols, names=["c", "a", "b", "apart", "ids", "v"])
 
-def _outlines(rows: DataFrame) -> DataFrame:
-    """Of each block its pivot and the least and largest distance from it."""
-    return rows.groupBy("block").agg(F.first("c").alias("c"), F.min("r").alias("a"), F.max("r").alias("b"))
+        for batch in batches:
+            if not len(batch):
+                continue
+            ids, c, r = (batch.column(n).to_numpy() for n in ("id", "c", "r"))
+            v = batch.column("v").flatten().to_numpy().reshape(len(batch), -1)
+            most = min(block, max(1, BLOCK_BYTES // max(8, 8 * v.shape[1])))
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(c)) + 1, [len(c)]]).tolist()
+            for at, end in zip(edges[:-1], edges[1:], strict=True):
+                if held and held[0][0] != c[at]:
+                    yield one()
+                    size = 0
+                while at < end:
+                    to = min(end, at + most - size)
+                    held.append((int(c[at]), r[at:to].copy(), ids[at:to].copy(), v[at:to].copy()))
+                    size, at = size + to - at, to
+                    if size == most:
+                        yield one()
+                        size = 0
+        if held:
+            yield one()
+
+    order = ["c", "r", "id"]
+    near = rows.mapInArrow(beside, "id bigint, v array<double>, c int, r double")
+    # Parts of a bounded size; of a small table as many as keep all cores busy, as each meets each.
+    busy = math.ceil(3 * rows.sparkSession.sparkContext.defaultParallelism**0.5)
+    parts = max(-(-count // (PART_BLOCKS * block)), -(-count * 8 * pivots.shape[1] // PART_BYTES), min(-(-count // block), busy))
+    dealt = near.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    blocks = dealt.mapInArrow(gathered, "c int, a double, b double, apart array<double>, ids binary, v binary")
+    return stash(blocks.select(F.monotonically_increasing_id().alias("block"), "*"))
 
 
-def _block_pairs(probes: DataFrame, builds: list, pivots: np.ndarray, home: bool) -> DataFrame:
-    """(p, q): the build blocks that each probe block (block, c, a, b, reach) meets: the ``HOME`` ones whose lower bounds, and
-    then pivots, are nearest, or else all others whose lower bound is within its ``reach``."""
+def _homes(probes: DataFrame, builds: list, pivots: np.ndarray) -> DataFrame:
+    """block, home: the ``HOME`` build blocks whose lower bounds, and then pivots, are nearest to each probe block (block, c, a, b)."""
     names = np.array([r["block"] for r in builds], np.int64)
     c, a, b = np.array([r["c"] for r in builds], np.int64), np.array([r["a"] for r in builds]), np.array([r["b"] for r in builds])
-    apart = np.sqrt(((pivots[:, None, :] - pivots[None]) ** 2).sum(axis=2)) if len(pivots) <= 64 else np.array([np.sqrt(((pivots - p) ** 2).sum(axis=1)) for p in pivots])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = [], []
-            for p, cp, ap, bp, reach in zip(*[batch.column(n).to_pylist() for n in ("block", "c", "a", "b", "reach")], strict=True):
-                d = apart[cp][c]
-                # By the triangle inequality no two of their rows are nearer than this.
+            found = []
+            for cp, ap, bp in zip(*[batch.column(n).to_pylist() for n in ("c", "a", "b")], strict=True):
+                d = np.sqrt(((pivots - pivots[cp]) ** 2).sum(axis=1))[c]
                 bound = np.maximum(np.maximum(d - bp - b, 0), np.maximum(a - d - bp, ap - d - b))
-                first = np.lexsort((d, bound))[:HOME]
-                if home:
-                    hit = names[first]
-                else:
-                    ok = bound * (1 - 1e-9) - 1e-12 <= reach
-                    ok[first] = False
-                    hit = names[ok]
-                left += [p] * len(hit)
-                right += hit.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["p", "q"])
+                found.append(names[np.lexsort((d, bound))[:HOME]].tolist())
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(found, pa.list_(pa.int64()))], names=["block", "home"])
+
+    return stash(probes.select("block", "c", "a", "b").mapInArrow(run, "block bigint, home array<bigint>"))
+
+
+def _lower(a: np.ndarray, b: np.ndarray, a_ids: np.ndarray, b_ids: np.ndarray, itself: bool, of_a: np.ndarray, of_b: np.ndarray | None) -> None:
+    """Bring the least and the least positive distance of each row of ``a``, ``of_a`` (2, rows), down to those from the rows
+    of ``b``; and ``of_b`` to those from ``a``, if given. Products show which pairs may matter, up to what rounding can hide;
+    these are measured exactly."""
+    mine, squares = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    unit = 1e-13 * (b.shape[1] + 8)
+    known = bool(np.isfinite(mine.max() + squares.max()))
+    left = np.concatenate([-2 * a, mine[:, None], np.ones((len(a), 1))], axis=1)
+    right = np.ascontiguousarray(np.concatenate([b, np.ones((len(b), 1)), squares[:, None]], axis=1).T)
+    shared = np.isin(a_ids, b_ids) if itself else np.zeros(len(a), bool)
+
+    def measure(i: np.ndarray, j: np.ndarray, out: np.ndarray, by: np.ndarray) -> None:
+        for at in range(0, len(i), MEASURED):
+            ii, jj, to = i[at : at + MEASURED], j[at : at + MEASURED], by[at : at + MEASURED]
+            d = np.sqrt(((b[jj] - a[ii]) ** 2).sum(axis=1))
+            if itself:
+                d[a_ids[ii] == b_ids[jj]] = np.inf
+            np.minimum.at(out[0], to, d)
+            np.minimum.at(out[1], to, np.where(d > 1e-12, d, np.inf))
+
+    def look(near: np.ndarray, least: np.ndarray, slack: np.ndarray, so_far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of ``near`` that hold what may be nearest, and the places there."""
+        positive, low = least, np.flatnonzero(least <= 4 * slack)
+        if len(low):
+            positive, part = least.copy(), near[low]
+            positive[low] = np.where(part > 4 * slack[low, None], part, np.inf).min(axis=1)
+        limit = np.maximum(4 * slack, np.minimum(positive, so_far * so_far * (1 + 1e-12)) + 2 * slack)
+        hit = np.flatnonzero(least <= limit)
+        return hit, *np.nonzero(near[hit] <= limit[hit, None])
+
+    for at in range(0, len(a), ROWS):
+        rows = slice(at, at + ROWS)
+        near = left[rows] @ right if known else np.zeros((len(left[rows]), len(b)))  # beyond the range of numbers: measure all
+        some = np.flatnonzero(shared[rows])
+        if len(some):
+            near[some] = np.where(a_ids[at + some, None] == b_ids, np.inf, near[some])
+        hit, i, j = look(near, near.min(axis=1), unit * (mine[rows] + squares.max()) + 1e-20, of_a[1, rows])
+        i = at + hit[i]
+        measure(i, j, of_a, i)
+        if of_b is not None:
+            hit, j, i = look(near.T, near.min(axis=0), unit * (squares + mine.max()) + 1e-20, of_b[1])
+            j = hit[j]
+            measure(at + i, j, of_b, j)
+
+
+def _met(left: DataFrame, right: DataFrame, meet: Column, itself: bool, both: bool) -> DataFrame:
+    """block, id, d, pd: how far the rows of blocks that ``meet`` are from each other, the least of each task. Parts of the tables are
+    read by the tasks that need them; no copy of a block is shuffled. With ``both`` each pair of blocks lowers both sides."""
 
-    return stash(probes.select("block", "c", "a", "b", "reach").mapInArrow(run, "p bigint, q bigint"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for k in range(len(batch)):
+                p, q = batch.column("p_block")[k].as_py(), batch.column("q_block")[k].as_py()
+                ids = [np.frombuffer(batch.column(n)[k].as_buffer(), np.int64) for n in ("p_ids", "q_ids")]
+                a, b = (np.frombuffer(batch.column(n)[k].as_buffer(), np.float64).reshape(len(i), -1) for n, i in zip(("p_v", "q_v"), ids, strict=True))
+                for block, i in zip((p, q) if both else (p,), ids, strict=False):
+                    if block not in held:
+                        held[block] = i.copy(), np.full((2, len(i)), np.inf)
+                _lower(a, b, *ids, itself, held[p][1], held[q][1] if both and p != q else None)
+        for p, (i, d) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), p)), pa.array(i), pa.array(d[0]), pa.array(d[1])], names=["block", "id", "d", "pd"])
+
+    wanted = ["block", "ids", "v"]
+    pairs = left.join(right.hint("shuffle_replicate_nl"), meet).select(*[f"{side}_{n}" for side in "pq" for n in wanted])
+    return stash(pairs.mapInArrow(run, "block bigint, id bigint, d double, pd double"))
 
 
 def nearest(probe: DataFrame, build: DataFrame, itself: bool = False, block: int = BLOCK, report: dict | None = None) -> DataFrame:
@@ -142,8 +232,9 @@ def nearest(probe: DataFrame, build: DataFrame, itself: bool = False, block: int
 
     Rows are placed beside the nearest of up to ``PIVOTS`` rows of ``build`` and cut into blocks by their distance from
     it. A probe block meets a few build blocks first; then, with the largest distance that its rows have by then, those
-    that the triangle inequality does not rule out. A task holds one block of each side and returns two numbers for a
-    row. ``report`` gets the numbers of ``block_pairs`` and of those ``visited``. With ``itself`` a row is not compared
+    that the triangle inequality does not rule out. Blocks are single rows of a table, and each part of one table meets each
+    part of the other where a task reads them: no vector is copied for a pair. A set meets itself once for both sides.
+    ``report`` gets the numbers of ``block_pairs`` and of those ``visited``. With ``itself`` a row is not compared
     with its own id. Infinite where nothing is to compare with; null for a vector that is null or holds null or
     non-finite components, which is compared with nothing.
     """
@@ -152,40 +243,49 @@ def nearest(probe: DataFrame, build: DataFrame, itself: bool = False, block: int
     right = left if build is probe else stash(build.where(ok).select(F.col("id").cast("bigint").alias("id"), "v"))
     n, m = left.count(), right.count()
     block = max(block, -(-max(n, m) // BLOCKS))
-    found = None
+    found, both = None, right is left
     if n and m and max(n, m) <= block:  # one block of each: nothing to rule out
         grid = nearest_by_grid(left, right, itself, block)
-        found = grid.select("id", F.array("distance", "positive_distance").alias("d"))
+        found = grid.select("id", F.col("distance").alias("d"), F.col("positive_distance").alias("pd"))
         if report is not None:
             report |= {"block_pairs": 1, "visited": 1}
     elif n and m:
         wanted = min(PIVOTS, 2 * -(-m // block)) if m > block else 1
         pivots = np.array([r["v"] for r in right.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()], np.float64)
         mine, theirs = _placed(left, pivots, n, block), None
-        theirs = mine if right is left else _placed(right, pivots, m, block)
-        builds = _outlines(theirs).collect()  # BLOCKS and PIVOTS at most
-
-        def met(pairs: DataFrame) -> DataFrame:
-            one = mine.join(pairs.withColumnRenamed("p", "block"), "block").select("id", "v", "block", "q").toDF("id", "v", "p", "q")
-            two = theirs.join(pairs.withColumnRenamed("q", "block"), "block").select("id", "v", "p", "block").toDF("id", "v", "p", "q")
-            return stash(one.groupBy("p", "q").cogroup(two.groupBy("p", "q")).applyInPandas(_least(itself), "id bigint, d array<double>"))
-
-        inf = F.lit(float("inf"))
-        outlines = stash(_outlines(mine))
-        pairs = _block_pairs(outlines.withColumn("reach", inf), builds, pivots, True)
-        found, visited = met(pairs), pairs.count()
+        theirs = mine if both else _placed(right, pivots, m, block)
+        builds = theirs.select("block", "c", "a", "b").collect()  # BLOCKS and PIVOTS at most
+        home = F.broadcast(_homes(mine, builds, pivots))  # and here
+        named = mine.join(home, "block")
+
+        def sides(p: DataFrame, q: DataFrame) -> tuple[DataFrame, DataFrame]:
+            return p.toDF(*[f"p_{n}" for n in p.columns]), q.toDF(*[f"q_{n}" for n in q.columns])
+
+        first = F.array_contains("p_home", F.col("q_block"))
+        once = F.lit(True)
+        if both:
+            first, once = first | F.array_contains("q_home", F.col("p_block")), F.col("p_block") <= F.col("q_block")
+        left_, right_ = sides(named, named if both else theirs)
+        found = _met(left_, right_, first & once, itself, both)
+        later = F.lit(False)
         if len(builds) > HOME:
-            far = found.groupBy("id").agg(F.min(F.col("d")[1]).alias("d"))
-            reach = mine.select("id", "block").join(far, "id", "left").groupBy("block").agg(F.max(F.coalesce("d", inf)).alias("reach"))
-            more = _block_pairs(outlines.join(reach, "block"), builds, pivots, False)
-            found, visited = found.union(met(more)), visited + more.count()
+            far = found.groupBy("block", "id").agg(F.min("pd").alias("pd")).groupBy("block").agg(F.max("pd").alias("reach"))
+            reached = named.join(F.broadcast(stash(far)), "block")  # each block has met its home
+            left_, right_ = sides(reached, reached if both else theirs)
+            # By the triangle inequality no two rows of the blocks are nearer than this.
+            d = F.get("p_apart", F.col("q_c"))
+            bound = F.greatest(F.lit(0.0), d - F.col("p_b") - F.col("q_b"), F.col("q_a") - d - F.col("p_b"), F.col("p_a") - d - F.col("q_b"))
+            limit = F.greatest("p_reach", "q_reach") if both else F.col("p_reach")
+            later = ~first & once & (F.nanvl(bound, F.lit(0.0)) * (1 - 1e-9) - 1e-12 <= limit)
+            found = found.union(_met(left_, right_, later, itself, both))
         if report is not None:
-            report |= {"block_pairs": outlines.count() * len(builds), "visited": visited}
+            p, q = (x.drop("p_ids", "p_v", "q_ids", "q_v") for x in (left_, right_))
+            report |= {"block_pairs": p.crossJoin(q).where(once).count(), "visited": p.crossJoin(q).where((first & once) | later).count()}
     inf = F.lit(float("inf"))
     if found is None:
         least = left.select("id", inf.alias("d"), inf.alias("pd")).limit(0)
     else:
-        least = found.groupBy("id").agg(F.min(F.col("d")[0]).alias("d"), F.min(F.col("d")[1]).alias("pd"))
+        least = found.groupBy("id").agg(F.min("d").alias("d"), F.min("pd").alias("pd"))
     return probe.select("id", ok.alias("ok")).join(least, "id", "left").select("id", F.when(F.col("ok"), F.coalesce("d", inf)).alias("distance"), F.when(F.col("ok"), F.coalesce("pd", inf)).alias("positive_distance"))
 
 
